@@ -73,8 +73,7 @@ def event_date(text: Column) -> Column:
     return text.try_cast("date")
 
 
-def event_hour(text: Column, zone: str = LAKE_ZONE) -> Column:
-    """The hour of day of the event in `zone`; null for unreadable text."""
-    utc = parse_utc(text, zone)
+def hour_in(utc: Column, zone: str = LAKE_ZONE) -> Column:
+    """The hour of day in `zone` of a UTC wall clock."""
     shiftable = utc > F.lit(_FIRST_SHIFTABLE).cast("timestamp_ntz")
     return F.hour(F.when(shiftable, F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from iotlake.functions.event_time import LAKE_ZONE, event_date, event_hour, parse_utc
+from iotlake.functions.event_time import LAKE_ZONE, event_date, hour_in, parse_utc
 from iotlake.schemas import EVENT
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -42,15 +42,16 @@ def with_partitions(events: DataFrame, zone: str = LAKE_ZONE, keys: str = "lake"
     `keys="lake"` pairs the date as written with the hour in `zone`.
     `keys="utc"` takes both from the UTC instant.
     """
-    text = F.col("timestamp")
+    if keys not in ("lake", "utc"):
+        raise ValueError(f"unknown keys: {keys!r}")
+    # A column of its own, so that the text is parsed once.
+    utc = F.col("_utc")
+    timed = events.withColumn("_utc", parse_utc(F.col("timestamp"), zone))
     if keys == "lake":
-        date, hour = event_date(text), event_hour(text, zone)
-    elif keys == "utc":
-        utc = parse_utc(text, zone)
-        date, hour = utc.cast("date"), F.hour(utc)
+        date, hour = event_date(F.col("timestamp")), hour_in(utc, zone)
     else:
-        raise ValueError(f"unknown keys: {keys!r}")
-    return events.withColumns({"date": date, "hour": hour})
+        date, hour = utc.cast("date"), F.hour(utc)
+    return timed.withColumns({"date": date, "hour": hour}).drop("_utc")
 
 
 def malformed(rows: DataFrame) -> DataFrame:

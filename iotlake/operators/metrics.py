@@ -56,6 +56,7 @@ def producer_metrics(deliveries: DataFrame, keys: Iterable[str] = ("topic", "cli
     dropped = F.col("error_count") if family == KPYTHON else F.lit(0).cast("bigint")
     return counted.select(
         *keys,
+        "window",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "msg_count",
@@ -126,13 +127,18 @@ def current_lambda(controls: DataFrame, clamp: bool = True) -> DataFrame:
 
 def to_samples(metrics: DataFrame, label_columns: Iterable[str] = ("topic", "client_id"),
                gauges: dict[str, str] = GAUGES, at: str = "window_end") -> DataFrame:
-    """Window metrics as samples: one row per gauge, labels from `label_columns`."""
+    """Window metrics as samples: one row per gauge, labels from `label_columns`.
+
+    A sample has the time of its window's end. With `at="window"` it is the last
+    microsecond inside the window, which still carries a stream's watermark.
+    """
+    time = F.window_time("window") if at == "window" else F.col(at)
     values = F.array(*[
         F.struct(F.lit(name).alias("metric"), F.col(column).cast("double").alias("value"))
         for name, column in gauges.items()
     ])
     labels = label_map({name: F.col(name) for name in label_columns})
-    return metrics.select(F.col(at).alias("ts"), labels.alias("labels"), F.inline(values)).select(
+    return metrics.select(time.alias("ts"), labels.alias("labels"), F.inline(values)).select(
         "ts", "metric", "labels", "value"
     )
 

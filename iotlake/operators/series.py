@@ -35,7 +35,7 @@ def per_step(samples: DataFrame, step: str, tie: str | None = None,
              watermark: str | None = None) -> DataFrame:
     """The last sample of every series in every step of `step` length.
 
-    Empty steps stay empty. A series has one sample per instant; where that is
+    Empty steps stay empty; `window` is the step with its end. A series has one sample per instant; where that is
     not given, `tie` names a whole-number column that decides. Time and tie are
     packed into one decimal, as that is a fixed-width value: the aggregate then
     hashes in place, where a struct would have every task sort all its samples.
@@ -55,7 +55,7 @@ def per_step(samples: DataFrame, step: str, tie: str | None = None,
     return (
         samples.groupBy(F.window("ts", step), "metric", "labels")
         .agg(F.max_by("value", order).alias("value"))
-        .select(F.col("window.start").alias("step"), "metric", "labels", "value")
+        .select("window", F.col("window.start").alias("step"), "metric", "labels", "value")
     )
 
 
@@ -69,9 +69,10 @@ def sum_by(stepped: DataFrame, *names: str, scale: int | None = None) -> DataFra
     value = F.col("value")
     if scale is not None:
         value = value.cast(f"decimal({18 + scale},{scale})")
-    return stepped.groupBy("step", *[label(n).alias(n) for n in names]).agg(
+    summed = stepped.groupBy("window", *[label(n).alias(n) for n in names]).agg(
         F.sum(value).cast("double").alias("total")
     )
+    return summed.select(F.col("window.start").alias("step"), *names, "total")
 
 
 def label_values(samples: DataFrame, metric: str, name: str) -> DataFrame:

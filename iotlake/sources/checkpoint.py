@@ -1,32 +1,24 @@
 """Offset logs of a streaming checkpoint, read as tables."""
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def batch_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """Batch ids and times of a folder of numbered log files; null if there is none.
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """The highest batch id among a folder's log files (`7`, `9.compact`); None without any.
 
-    Only the listing is read, not the files.
+    A listing of a few small files. It asks the file system, as Spark's readers
+    skip folders whose name starts with an underscore, such as a sink's log.
     """
-    try:
-        files = spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(
-        F.regexp_extract(name, r"^(\d+)(\.compact)?$", 1).try_cast("bigint").alias("batch_id"),
-        F.col("modificationTime").alias("modified"),
-    ).where("batch_id IS NOT NULL")
-
-
-def last_batch(spark: SparkSession, path: str) -> int | None:
-    """The highest batch id of a log folder: one number, or None."""
-    log = batch_log(spark, path)
-    return None if log is None else log.agg(F.max("batch_id")).first()[0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    ids = [int(found[1]) for found in (re.fullmatch(r"(\d+)(\.compact)?", name) for name in names) if found]
+    return max(ids, default=None)
 
 
 def offset_log(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -34,7 +26,7 @@ def offset_log(spark: SparkSession, checkpoint: str) -> DataFrame:
 
     An offset file is a version line, a metadata line, then one line per source.
     """
-    files = spark.read.option("wholetext", True).text(f"{checkpoint}/offsets")
+    files = spark.read.text(f"{checkpoint}/offsets", wholetext=True)
     parts = files.select(
         F.col("_metadata.file_name").try_cast("bigint").alias("batch_id"),
         F.col("_metadata.file_modification_time").alias("modified"),
