@@ -28,10 +28,11 @@ def decode(envelopes: DataFrame, schema: T.StructType = EVENT, corrupt: bool = F
     `corrupt` adds the raw text of payloads that could not be parsed in full;
     `keep` names envelope columns to carry along.
     """
-    options = {"mode": "PERMISSIVE"}
+    # No options unless needed: Spark parses only the used fields without them.
+    options = {}
     if corrupt:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-        options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
+        options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
     data = F.from_json(F.col("value").cast("string"), schema, options)
     return envelopes.select(*keep, data.alias("data")).select(*keep, "data.*")
 

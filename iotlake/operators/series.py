@@ -3,12 +3,18 @@
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from iotlake.functions.event_time import ntz_micros
 from iotlake.functions.labels import label, label_equals, label_matches
 
+# Labels of the jobs that add some to their samples.
+TARGET_LABELS = {
+    "kafka-producer-json-ckafka": {"impl": "ckafka"},
+    "kafka-producer-parq-ckafka": {"impl": "ckafka"},
+}
+
 
 def select_series(samples: DataFrame, metric: str | None = None,
                   equals: Mapping[str, str] | None = None,
@@ -101,6 +107,13 @@ def with_static_labels(samples: DataFrame, **labels: str) -> DataFrame:
     return samples.withColumn("labels", with_labels(F.col("labels"), added))
 
 
+def targets(spark: SparkSession, labels: Mapping[str, Mapping[str, str]] = TARGET_LABELS) -> DataFrame:
+    """A target table (`job, target_labels`) of the given labels; each also gets its `job`."""
+    return spark.createDataFrame(
+        [(job, {"job": job, **added}) for job, added in labels.items()],
+        "job string, target_labels map<string,string>")
+
+
 def with_target_labels(samples: DataFrame, targets: DataFrame, on: Iterable[str] = ("job",)) -> DataFrame:
     """Add the labels of each sample's target (`*on, target_labels map`).
 

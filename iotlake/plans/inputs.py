@@ -105,6 +105,16 @@ def samples(events: DataFrame) -> DataFrame:
     return events.select("ts", F.explode(metrics).alias("metric"), labels.alias("labels"), "value", "event_id")
 
 
+def scraped(events: DataFrame) -> DataFrame:
+    """Message-rate samples as scraped: no `impl` yet, but the job they came from."""
+    stack = F.when(F.col("user_id") % 2 == 0, "json").otherwise("parq")
+    job = F.concat(
+        F.lit("kafka-producer-"), stack, F.when(F.col("user_id") % 3 == 0, "-ckafka").otherwise(""))
+    labels = F.create_map(F.lit("topic"), _topic(), F.lit("client_id"), _client())
+    return events.select(
+        "ts", F.lit(MESSAGE_RATE).alias("metric"), labels.alias("labels"), "value", "event_id", job.alias("job"))
+
+
 def targets(events: DataFrame) -> DataFrame:
     """Labels of each producer job that has some: only the JSON topic's producers."""
     topics = events.select(_topic().alias("topic")).distinct().where("topic = 'topic-json'")

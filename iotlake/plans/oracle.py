@@ -82,13 +82,16 @@ _SAFE_TOPIC = "replace(topic, '-', '_')"
 _GC = "case when event_type = 'purchase' then 'G1 Young Generation' else '' end"
 _TYPE = "case when event_type = 'purchase' then 'COUNTER' else 'GAUGE' end"
 
+_TAIL = f"""select null::varchar as "key", {_TEXT} as value, ts as "timestamp"
+from (select {_EVENT}, ts from events)"""
+
 ORACLE = {
     "lake_rows": _LAKE,
     "lake_rows_utc_keys": f"""select {_EVENT}, cast(ts as date) as "date", extract(hour from ts)::int as "hour"
 from events""",
     "lake_partitions": f"""select "date", "hour", count(*) as n from ({_LAKE}) group by 1, 2""",
-    "tail_text": f"""select null::varchar as "key", {_TEXT} as value, ts as "timestamp"
-from (select {_EVENT}, ts from events)""",
+    "tail_text": _TAIL,
+    "replay_roundtrip": _TAIL,
     "damaged_rows": f"""select device_id, battery_level, motion_detected, "timestamp", "date", "hour"
 from ({_DAMAGED})""",
     "malformed_rows": f"""select case when d.user_id % 2 = 0 then 'topic-json' else 'topic-parq' end as topic,
@@ -117,7 +120,9 @@ from (select topic, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by topic
   (epoch_us(window_start + interval '1 hour') - epoch_us(min(min(ts)) over (partition by topic)))::double
     / 1e6::double as elapsed_seconds
 from ({_SENT}) group by 1, 2, 3""",
-    "lambda_current": f"""select topic, greatest(0::double, value - 15) as lambda, value - 15 as raw_lambda
+    "lambda_current": f"""select topic, greatest(0::double, value - 15) as lambda
+from (select *, row_number() over (partition by topic order by ts desc, value desc) as rn from ({_SENT})) where rn = 1""",
+    "lambda_current_unclamped": f"""select topic, value - 15 as lambda
 from (select *, row_number() over (partition by topic order by ts desc, value desc) as rn from ({_SENT})) where rn = 1""",
     "lambda_samples": f"""select ts, 'kafka_producer_lambda' as metric, topic, greatest(0::double, value - 15) as value
 from ({_SENT})""",
@@ -143,6 +148,10 @@ union all select distinct 'impl', impl from ({_SAMPLES}) where impl <> ''""",
   case when topic = 'topic-json' then impl else '' end as exported_impl,
   case when topic = 'topic-json' then 'producer-topic-json' else '' end as job_label
 from ({_SAMPLES})""",
+    "scraped_impl": f"""select ts, event_id, value,
+  'kafka-producer-' || right(topic, 4) || case when user_id % 3 = 0 then '-ckafka' else '' end as job, topic,
+  case when user_id % 3 = 0 then 'ckafka' else '' end as impl
+from ({_SENT})""",
     "normalize_names": _named(
         rule="case event_type when 'view' then 1 when 'click' then 8 when 'signup' then 1 else 17 end",
         metric=f"""case event_type
@@ -172,6 +181,7 @@ from ({_SAMPLES})""",
       (user_id % 5) || ',name2=leader>:electiontimetaken' end as metric,
   case when event_type in ('view', 'click', 'signup') then 'GAUGE' end as type
 from events""",
+    "topic_list": f"select distinct topic from ({_SENT})",
     "topic_inventory": f"select topic, count(distinct user_id % 3) as partitions from ({_SENT}) group by 1",
     "end_offsets": f"""select topic, (user_id % 3)::int as "partition", max(event_id) + 1 as end_offset
 from ({_SENT}) group by 1, 2""",

@@ -13,6 +13,7 @@ from iotlake.plans.jobs import lake_rows as to_lake_rows
 from iotlake.scratch import shared_dir
 from iotlake.sources.lake import read_lake, read_lake_between
 from iotlake.sources.metrics_log import read_metrics_csv
+from iotlake.sources.replay import replay
 from iotlake.streaming import progress, sinks
 
 # `events` holds one row every few minutes or less, so windows and steps of an
@@ -95,9 +96,11 @@ def run_elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lambda_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    controls = inputs.controls(inputs.events(spark, sf_dir))
-    raw = metrics.current_lambda(controls, clamp=False).withColumnRenamed("lambda", "raw_lambda")
-    return metrics.current_lambda(controls).join(raw, "topic")
+    return metrics.current_lambda(inputs.controls(inputs.events(spark, sf_dir)))
+
+
+def lambda_current_unclamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.current_lambda(inputs.controls(inputs.events(spark, sf_dir)), clamp=False)
 
 
 def lambda_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +182,14 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def scraped_impl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of both client families, told apart by the labels of their jobs."""
+    scraped = inputs.scraped(inputs.events(spark, sf_dir))
+    labelled = series.with_target_labels(scraped, series.targets(spark))
+    return labelled.select(
+        "ts", "event_id", "value", "job", label("topic").alias("topic"), label("impl").alias("impl"))
+
+
 def target_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples joined to the targets they came from; the targets add or replace `impl`."""
     samples = _samples(spark, sf_dir).withColumn("job", F.concat(F.lit("producer-"), label("topic")))
@@ -216,9 +227,12 @@ def normalize_coordination(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Completeness
 
 
+def topic_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.topics(inputs.envelopes(inputs.events(spark, sf_dir)))
+
+
 def topic_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    envelopes = inputs.envelopes(inputs.events(spark, sf_dir))
-    return monitor.topics(envelopes).join(monitor.describe_topics(envelopes), "topic")
+    return monitor.describe_topics(inputs.envelopes(inputs.events(spark, sf_dir)))
 
 
 def end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +249,19 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams and files
 
 
+def replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages stored as envelopes, replayed as a stream and written as text."""
+    base = shared_dir(spark, "replay")
+    inputs.envelopes(inputs.events(spark, sf_dir)).write.parquet(f"{base}/in")
+    query = (
+        decode.to_text(replay(spark, f"{base}/in")).writeStream.format("parquet").outputMode("append")
+        .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    _drain(query)
+    return spark.read.parquet(f"{base}/out").withColumn("timestamp", utc_wall(F.col("timestamp")))
+
+
 def _stream_lake(spark: SparkSession, sf_dir: str, fmt: str) -> tuple[str, str]:
     """Stream all messages into a lake; its path and its checkpoint."""
     base = shared_dir(spark, f"lake-{fmt}")

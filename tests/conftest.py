@@ -16,6 +16,8 @@ def spark():
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.debug.maxToStringFields", "1000")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -53,6 +55,6 @@ def rows(frame, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=repr)
 
 
-def plan(frame, mode="formatted"):
+def plan(frame):
     """The physical plan as text."""
     return frame._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
 WRITES_FILES = {name for name in QUERIES if name.startswith(("lake_", "stream_", "metrics_csv", "progress", "newest",
-                                                             "recent"))} - {
+                                                             "recent", "replay"))} - {
     "lake_rows", "lake_rows_utc_keys", "lake_partitions"}
 
 
