@@ -1,7 +1,7 @@
 """Metric-name normalisation by ordered regex rules."""
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -75,9 +75,6 @@ COORDINATION_RULES = (
 FIRST_MATCH = "first_match"
 MOST_SPECIFIC = "most_specific"
 
-_RESULT = "struct<rule:int,name:string,labels:map<string,string>,type:string,help:string>"
-
-
 def _ordered(rules: Sequence[Rule], mode: str) -> list[tuple[int, Rule]]:
     numbered = list(enumerate(rules, start=1))
     if mode == FIRST_MATCH:
@@ -100,45 +97,57 @@ def _legal(name: Column) -> Column:
     return F.regexp_replace(merged, "^(?=[0-9])", "_")
 
 
-def _apply(rule: Rule, number: int, source: Column) -> Column:
-    name = source if rule.name is None else _legal(_render(rule.name, source, rule.pattern))
-    labels = [
-        part for label, value in rule.labels.items()
-        for part in (F.lit(label), _render(value, source, rule.pattern))
-    ]
-    return F.struct(
-        F.lit(number).alias("rule"),
-        name.alias("name"),
-        F.create_map(*labels).cast("map<string,string>").alias("labels"),
-        F.lit(rule.type).cast("string").alias("type"),
-        (_render(rule.help, source, rule.pattern) if rule.help else F.lit(None).cast("string")).alias("help"),
-    ).cast(_RESULT)
-
-
-def matched(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH) -> Column:
-    """`struct<rule, name, labels, type, help>` of a source name; null if no rule fits.
+def rule_number(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH) -> Column:
+    """The number, from 1, of the rule that applies to a source name; null if none does.
 
     Patterns may match anywhere in the name. `first_match` tries the rules in
     their order, so a general rule hides later ones; `most_specific` tries those
     with most captured groups first.
     """
     (number, rule), *rest = _ordered(rules, mode)
-    chain = F.when(source.rlike(rule.pattern), _apply(rule, number, source))
+    chain = F.when(source.rlike(rule.pattern), number)
     for number, rule in rest:
-        chain = chain.when(source.rlike(rule.pattern), _apply(rule, number, source))
+        chain = chain.when(source.rlike(rule.pattern), number)
+    return chain
+
+
+def _by_rule(rules: Sequence[Rule], value: Callable[[Rule], Column | None]) -> Column:
+    """For each row the value of its rule; rules without one give null."""
+    values = [(number, value(rule)) for number, rule in enumerate(rules, start=1)]
+    chain = F.when(F.lit(False), F.lit(None))
+    for number, column in values:
+        if column is not None:
+            chain = chain.when(F.col("_rule") == number, column)
     return chain
 
 
+def _labels(rule: Rule, source: Column, lower: bool) -> Column:
+    parts = [
+        part for name, value in rule.labels.items()
+        for part in (F.lit(name.lower() if lower else name), _render(value, source, rule.pattern))
+    ]
+    return F.create_map(*parts) if parts else F.create_map().cast("map<string,string>")
+
+
 def _normalized(rows: DataFrame, others: list[str], rules: Sequence[Rule], mode: str, source: str,
                 lower: bool) -> DataFrame:
-    """Rows some rule fits, with its result as columns."""
-    found = rows.select(*others, F.explode(F.filter(
-        F.array(matched(F.col(source), rules, mode)), lambda m: m.isNotNull())).alias("_m"))
-    name, labels = F.col("_m.name"), F.col("_m.labels")
-    if lower:
-        name, labels = F.lower(name), F.transform_keys(labels, lambda k, _: F.lower(k))
+    """Rows some rule fits, with its result as columns.
+
+    The number is made into rows by an explode: rows no rule fits disappear
+    without the patterns being tried a second time in a filter.
+    """
+    text = F.col(source)
+    found = rows.select(
+        *{*others, source}, F.explode(F.array_compact(F.array(rule_number(text, rules, mode)))).alias("_rule"))
+    name = _by_rule(rules, lambda r: _legal(_render(r.name, text, r.pattern)) if r.name else text)
     return found.select(
-        *others, "_m.rule", name.alias("name"), labels.alias("labels"), "_m.type", "_m.help")
+        *others,
+        F.col("_rule").alias("rule"),
+        (F.lower(name) if lower else name).alias("name"),
+        _by_rule(rules, lambda r: _labels(r, text, lower)).alias("labels"),
+        _by_rule(rules, lambda r: F.lit(r.type) if r.type else None).cast("string").alias("type"),
+        _by_rule(rules, lambda r: _render(r.help, text, r.pattern) if r.help else None).cast("string").alias("help"),
+    )
 
 
 def normalize_names(samples: DataFrame, rules: Sequence[Rule], mode: str = FIRST_MATCH,

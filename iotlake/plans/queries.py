@@ -262,20 +262,20 @@ def replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").withColumn("timestamp", utc_wall(F.col("timestamp")))
 
 
-def _stream_lake(spark: SparkSession, sf_dir: str, fmt: str) -> tuple[str, str]:
-    """Stream all messages into a lake; its path and its checkpoint."""
+def _stream_lake(spark: SparkSession, sf_dir: str, fmt: str) -> str:
+    """Stream all messages into a lake; its path."""
     base = shared_dir(spark, f"lake-{fmt}")
     rows = to_lake_rows(inputs.envelopes(inputs.events_stream(spark, sf_dir)))
     _drain(sinks.write_lake(rows, fmt, f"{base}/out", f"{base}/checkpoint", f"lake-{fmt}", {"availableNow": True}))
-    return f"{base}/out", f"{base}/checkpoint"
+    return f"{base}/out"
 
 
 def lake_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_lake(spark, _stream_lake(spark, sf_dir, "json")[0], "json")
+    return read_lake(spark, _stream_lake(spark, sf_dir, "json"), "json")
 
 
 def lake_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_lake(spark, _stream_lake(spark, sf_dir, "parquet")[0], "parquet")
+    return read_lake(spark, _stream_lake(spark, sf_dir, "parquet"), "parquet")
 
 
 def lake_damaged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,19 +301,28 @@ def lake_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.newest_files(spark, _stream_lake(spark, sf_dir, "parquet")[0])
+    return monitor.newest_files(spark, _stream_lake(spark, sf_dir, "parquet"))
+
+
+def _stream_decoded(spark: SparkSession, sf_dir: str, name: str):
+    """Stream all messages through the decoder without storing them; the query and its checkpoint."""
+    checkpoint = f"{shared_dir(spark, name)}/checkpoint"
+    query = (
+        to_lake_rows(inputs.envelopes(inputs.events_stream(spark, sf_dir)))
+        .writeStream.format("noop").queryName(name).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    _drain(query)
+    return query, checkpoint
 
 
 def recent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.recent_batches(spark, _stream_lake(spark, sf_dir, "parquet")[1])
+    return monitor.recent_batches(spark, _stream_decoded(spark, sf_dir, "recent")[1])
 
 
 def progress_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches and rows of a stream as its progress reports count them."""
-    base = shared_dir(spark, "progress")
-    rows = to_lake_rows(inputs.envelopes(inputs.events_stream(spark, sf_dir)))
-    query = sinks.write_lake(rows, "parquet", f"{base}/out", f"{base}/checkpoint", "progress", {"availableNow": True})
-    _drain(query)
+    """Rows of a stream as its progress reports count them."""
+    query, _ = _stream_decoded(spark, sf_dir, "progress")
     return progress.progress_rates(spark, [query]).groupBy("name").agg(
         F.sum("numInputRows").alias("input_rows"))
 

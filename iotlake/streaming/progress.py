@@ -4,6 +4,7 @@ from collections import deque
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from iotlake.schemas import PROGRESS
@@ -26,6 +27,26 @@ def progress_rates(spark: SparkSession, queries: Iterable[StreamingQuery]) -> Da
     return spark.createDataFrame(rows, PROGRESS)
 
 
+def progress_offsets(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
+    """End and committed offsets of running topic queries: `query, topic, partition, end_offset, committed`.
+
+    Taken from each query's newest report, so no message is read: the source
+    names the topic's latest offsets there beside those of the batch.
+    """
+    reports = [(query.name, query.lastProgress) for query in queries]
+    sources = [
+        (name, source.latestOffset, source.endOffset)
+        for name, report in reports if report for source in report.sources
+    ]
+    offsets = "map<string,map<string,bigint>>"
+    by_topic = spark.createDataFrame(sources, "query string, latest string, done string").select(
+        "query", F.from_json("done", offsets).alias("done"), F.explode(F.from_json("latest", offsets)).alias("topic", "ends"))
+    by_partition = by_topic.select("query", "topic", "done", F.explode("ends").alias("partition", "end_offset"))
+    done = F.try_element_at(F.try_element_at("done", F.col("topic")), F.col("partition"))
+    return by_partition.select(
+        "query", "topic", F.col("partition").try_cast("int").alias("partition"), "end_offset", done.alias("committed"))
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the newest progress reports of every query of a session."""
 

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.maxMetadataStringLength", "10000")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from iotlake.operators import monitor
 from iotlake.plans import inputs
+from iotlake.plans.report import report
 from iotlake.sources.lake import read_lake, read_lake_between
 from iotlake.streaming.sinks import write_lake_batch
 
@@ -96,3 +97,10 @@ def test_newest_files(spark, lake):
     assert len(found) == 3
     assert [r.modified for r in found] == sorted((r.modified for r in found), reverse=True)
     assert all("/_" not in r.path and r.length > 0 for r in found)
+
+
+def test_report(spark, events, lake, checkpoint):
+    parts = report(spark, inputs.envelopes(events), {lake[1]: lake[0]}, {"sink": checkpoint})
+    assert list(parts) == ["topics", "end offsets", "lag", "newest batches of sink", f"newest {lake[1]} files",
+                           f"{lake[1]} rows"]
+    assert [part.count() for part in parts.values()] == [2, 6, 6, 3, 2, 5]

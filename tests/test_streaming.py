@@ -79,6 +79,27 @@ def test_rates_come_from_progress(spark, folders):
         spark.streams.removeListener(log)
 
 
+class Report:
+    """The part of a topic query's newest progress report that holds offsets."""
+
+    def __init__(self, name, *sources):
+        self.name, self.sources, self.lastProgress = name, sources, self
+
+
+class Source:
+    def __init__(self, latest, end):
+        self.latestOffset, self.endOffset = latest, end
+
+
+def test_lag_of_a_running_query_comes_from_its_report(spark):
+    sink = Report("sink", Source('{"t":{"0":25,"1":8,"2":4}}', '{"t":{"0":20,"1":8}}'))
+    files = Report("files", Source(None, '{"logOffset":3}'))
+    offsets = progress.progress_offsets(spark, [sink, files])
+    assert rows(offsets) == [("sink", "t", 0, 25, 20), ("sink", "t", 1, 8, 8), ("sink", "t", 2, 4, None)]
+    ends = offsets.select("topic", "partition", "end_offset")
+    assert rows(monitor.consumer_lag(ends, offsets), "partition", "lag") == [(0, 5), (1, 0), (2, 4)]
+
+
 def test_restart_neither_loses_nor_repeats(spark, folders):
     run = lambda: jobs.lake_job(
         replay(spark, folders["in"]), "parquet", folders["out"], folders["checkpoint"], trigger=ONCE).awaitTermination()
