@@ -1,6 +1,7 @@
 """Windowed producer metrics and their conversion to samples."""
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,21 +105,23 @@ def with_elapsed(metrics: DataFrame, run: Iterable[str] = ("topic",)) -> DataFra
     `run` would put all windows of a busy topic into one task.
     """
     run = list(run)
-    starts = metrics.groupBy(*run).agg(F.min("first_ts").alias("run_start"))
-    elapsed = interval_micros(F.col("window_end") - F.col("run_start")) / F.lit(1e6)
-    return metrics.join(starts, run).withColumn("elapsed_seconds", elapsed).drop("run_start")
+    starts = metrics.groupBy(*[F.col(c).alias(f"_{c}") for c in run]).agg(F.min("first_ts").alias("_start"))
+    # Null-safe, so that windows of a missing key are kept.
+    same_run = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in run])
+    elapsed = interval_micros(F.col("window_end") - F.col("_start")) / F.lit(1e6)
+    return metrics.join(starts, same_run).select(*metrics.columns, elapsed.alias("elapsed_seconds"))
 
 
 def current_lambda(controls: DataFrame, clamp: bool = True) -> DataFrame:
     """Newest readable control value per topic; `clamp` lifts negatives to zero.
 
-    Two values of one instant resolve to the larger.
+    Two values of one instant resolve to the larger. The newest instants are
+    found first and joined back, so that no value but theirs is shuffled while
+    the list of topics is small enough to broadcast.
     """
-    newest = (
-        controls.where("lambda IS NOT NULL")
-        .groupBy("topic", "ts").agg(F.max("lambda").alias("lambda"))
-        .groupBy("topic").agg(F.max_by("lambda", "ts").alias("lambda"))
-    )
+    known = controls.where("lambda IS NOT NULL").select("topic", "ts", "lambda")
+    last = known.groupBy("topic").agg(F.max("ts").alias("ts"))
+    newest = known.join(last, ["topic", "ts"]).groupBy("topic").agg(F.max("lambda").alias("lambda"))
     if not clamp:
         return newest
     positive = (F.col("lambda") > 0) & ~F.isnan("lambda")

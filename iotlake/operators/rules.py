@@ -1,7 +1,7 @@
 """Metric-name normalisation by ordered regex rules."""
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -84,17 +84,19 @@ def _ordered(rules: Sequence[Rule], mode: str) -> list[tuple[int, Rule]]:
     raise ValueError(f"unknown mode: {mode!r}")
 
 
-def _render(template: str, source: Column, pattern: str) -> Column:
-    """The template, its `$n` filled with what group n of the pattern captured."""
-    if "$" not in template:
-        return F.lit(template)
-    return F.regexp_replace(source, f"(?s)^.*?(?:{pattern}).*$", template)
+# Stands between the fields of a rendered rule; not part of any metric name.
+_MARK = "\u0001"
+
+
+def _template(rule: Rule) -> str:
+    """Name, help and label values of a rule as one replacement text."""
+    return _MARK.join([rule.name or "$0", rule.help or "", *rule.labels.values()])
 
 
 def _legal(name: Column) -> Column:
     """Characters a metric name may not have become one underscore."""
     merged = F.regexp_replace(name, "[^a-zA-Z0-9:]+", "_")
-    return F.regexp_replace(merged, "^(?=[0-9])", "_")
+    return F.when(merged.rlike("^[0-9]"), F.concat(F.lit("_"), merged)).otherwise(merged)
 
 
 def rule_number(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH) -> Column:
@@ -111,22 +113,9 @@ def rule_number(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH)
     return chain
 
 
-def _by_rule(rules: Sequence[Rule], value: Callable[[Rule], Column | None]) -> Column:
-    """For each row the value of its rule; rules without one give null."""
-    values = [(number, value(rule)) for number, rule in enumerate(rules, start=1)]
-    chain = F.when(F.lit(False), F.lit(None))
-    for number, column in values:
-        if column is not None:
-            chain = chain.when(F.col("_rule") == number, column)
-    return chain
-
-
-def _labels(rule: Rule, source: Column, lower: bool) -> Column:
-    parts = [
-        part for name, value in rule.labels.items()
-        for part in (F.lit(name.lower() if lower else name), _render(value, source, rule.pattern))
-    ]
-    return F.create_map(*parts) if parts else F.create_map().cast("map<string,string>")
+def _of_rule(values: Sequence, kind: str) -> Column:
+    """The value that belongs to the row's rule, from one value per rule."""
+    return F.element_at(F.array(*[F.lit(value).cast(kind) for value in values]), F.col("_rule"))
 
 
 def _normalized(rows: DataFrame, others: list[str], rules: Sequence[Rule], mode: str, source: str,
@@ -134,19 +123,29 @@ def _normalized(rows: DataFrame, others: list[str], rules: Sequence[Rule], mode:
     """Rows some rule fits, with its result as columns.
 
     The number is made into rows by an explode: rows no rule fits disappear
-    without the patterns being tried a second time in a filter.
+    without the patterns being tried a second time in a filter. A rule's fields
+    are then filled in with one replacement, so the plan has one such expression
+    and not one per rule and field.
     """
-    text = F.col(source)
     found = rows.select(
-        *{*others, source}, F.explode(F.array_compact(F.array(rule_number(text, rules, mode)))).alias("_rule"))
-    name = _by_rule(rules, lambda r: _legal(_render(r.name, text, r.pattern)) if r.name else text)
-    return found.select(
+        *{*others, source},
+        F.explode(F.array_compact(F.array(rule_number(F.col(source), rules, mode)))).alias("_rule"))
+    rendered = F.regexp_replace(
+        F.translate(source, _MARK, "_"),
+        _of_rule([f"(?s)^.*?(?:{rule.pattern}).*$" for rule in rules], "string"),
+        _of_rule([_template(rule) for rule in rules], "string"))
+    parts = F.col("_parts")
+    named = _of_rule([rule.name is not None for rule in rules], "boolean")
+    name = F.when(named, _legal(parts[0])).otherwise(F.col(source))
+    label_names = [[label.lower() if lower else label for label in rule.labels] for rule in rules]
+    labels = F.map_from_arrays(_of_rule(label_names, "array<string>"), F.slice(parts, 3, F.size(parts)))
+    return found.withColumn("_parts", F.split(rendered, _MARK)).select(
         *others,
         F.col("_rule").alias("rule"),
         (F.lower(name) if lower else name).alias("name"),
-        _by_rule(rules, lambda r: _labels(r, text, lower)).alias("labels"),
-        _by_rule(rules, lambda r: F.lit(r.type) if r.type else None).cast("string").alias("type"),
-        _by_rule(rules, lambda r: _render(r.help, text, r.pattern) if r.help else None).cast("string").alias("help"),
+        labels.alias("labels"),
+        _of_rule([rule.type for rule in rules], "string").alias("type"),
+        F.nullif(parts[1], F.lit("")).alias("help"),
     )
 
 

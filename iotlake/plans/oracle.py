@@ -98,7 +98,8 @@ from ({_DAMAGED})""",
   (d.user_id % 3)::int as "partition", d.event_id as "offset", d.device_id, d.battery_level, d.motion_detected,
   d."timestamp", case when d.event_type = 'error' then substring(t.text, 1, 30)
     when d.event_type = 'signup' then 'signup' end as raw
-from ({_DAMAGED}) d join (select event_id, {_TEXT} as text from (select {_EVENT}, event_id from events)) t using (event_id)
+from ({_DAMAGED}) d
+  join (select event_id, {_TEXT} as text from (select {_EVENT}, event_id from events)) t using (event_id)
 where d."date" is null""",
     "dedup_payload": f"select distinct {_EVENT} from events",
     "producer_rate": f"""select topic, client_id, window_start, count(*) as msg_count,

@@ -1,6 +1,9 @@
-"""The completeness report: topics, offsets, batches, files and lag of a running system.
+"""The completeness report: topics, offsets, batches, files and lag of a stored or running system.
 
 `python -m iotlake.plans.report --servers ... --lake json=PATH --checkpoint NAME=PATH`
+
+Topics are read from `--starting` to their end. On a large topic give offsets near
+the end there, or take offsets and lag from the running queries (`progress_offsets`).
 """
 
 import argparse
@@ -42,12 +45,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="iotlake.plans.report")
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topics", default="topic-json,topic-parq", help="comma-separated")
+    parser.add_argument("--starting", default="earliest", help="earliest or offsets as JSON")
     parser.add_argument("--lake", action="append", default=[], metavar="FORMAT=PATH")
     parser.add_argument("--checkpoint", action="append", default=[], metavar="QUERY=PATH")
     parser.add_argument("--endpoint", help="object store endpoint")
     args = parser.parse_args(argv)
     spark = session("iotlake-report", object_store_conf(args.endpoint) if args.endpoint else None)
-    envelopes = read_topic_range(spark, args.servers, args.topics)
+    envelopes = read_topic_range(spark, args.servers, args.topics, args.starting)
     for title, frame in report(spark, envelopes, _pairs(args.lake), _pairs(args.checkpoint)).items():
         print(f"\n{title}")
         frame.show(50, truncate=False)

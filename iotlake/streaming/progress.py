@@ -40,7 +40,8 @@ def progress_offsets(spark: SparkSession, queries: Iterable[StreamingQuery]) ->
     ]
     offsets = "map<string,map<string,bigint>>"
     by_topic = spark.createDataFrame(sources, "query string, latest string, done string").select(
-        "query", F.from_json("done", offsets).alias("done"), F.explode(F.from_json("latest", offsets)).alias("topic", "ends"))
+        "query", F.from_json("done", offsets).alias("done"),
+        F.explode(F.from_json("latest", offsets)).alias("topic", "ends"))
     by_partition = by_topic.select("query", "topic", "done", F.explode("ends").alias("partition", "end_offset"))
     done = F.try_element_at(F.try_element_at("done", F.col("topic")), F.col("partition"))
     return by_partition.select(

@@ -84,7 +84,8 @@ def test_rows_are_kept(envelopes):
 
 
 def test_text_projection(spark):
-    frame = spark.sql("SELECT cast('k' AS binary) key, cast('v' AS binary) value, timestamp'2025-01-01' timestamp, 1 offset")
+    frame = spark.sql(
+        "SELECT cast('k' AS binary) key, cast('v' AS binary) value, timestamp'2025-01-01' timestamp, 1 offset")
     text = decode.to_text(frame)
     assert text.dtypes == [("key", "string"), ("value", "string"), ("timestamp", "timestamp")]
     assert tuple(text.first())[:2] == ("k", "v")

@@ -64,7 +64,9 @@ def test_observed_gap_equals_row_by_row(events, width):
     from iotlake.plans import inputs
 
     sent = inputs.deliveries(events)
-    result = {(r.topic, r.window_start): (r.n, r.avg_delay) for r in metrics.observed_gap(sent, ["topic"], width).collect()}
+    result = {
+        (r.topic, r.window_start): (r.n, r.avg_delay)
+        for r in metrics.observed_gap(sent, ["topic"], width).collect()}
 
     micros = lambda t: round((t - datetime(1970, 1, 1)) / timedelta(microseconds=1))
     amount, unit = width.split()
@@ -101,6 +103,12 @@ def test_elapsed_counts_from_the_first_message_of_the_run(deliveries):
         ("a", "a-p1", at(30), 40.0), ("b", "b-p1", at(0), 5.0)], key=repr)
 
 
+def test_elapsed_keeps_windows_without_a_topic(spark):
+    sent = spark.createDataFrame([(at(1), None, "c", 0.0, "ok"), (at(2), "a", "c", 0.0, "ok")], DELIVERY)
+    result = metrics.with_elapsed(metrics.producer_metrics(sent))
+    assert rows(result, "topic", "elapsed_seconds") == [("a", 8.0), (None, 9.0)]
+
+
 def test_current_lambda(spark):
     nan = float("nan")
     controls = spark.createDataFrame([

@@ -71,7 +71,8 @@ def lake(spark, tmp_path, request):
 def test_read_back(spark, lake):
     assert rows(read_lake(spark, *lake)) == sorted(LAKE, key=repr)
     assert read_lake(spark, *lake).dtypes[1:] == [
-        ("battery_level", "int"), ("motion_detected", "boolean"), ("timestamp", "string"), ("date", "date"), ("hour", "int")]
+        ("battery_level", "int"), ("motion_detected", "boolean"), ("timestamp", "string"),
+        ("date", "date"), ("hour", "int")]
 
 
 def test_one_date_and_hour(spark, lake):

@@ -16,7 +16,8 @@ from iotlake.streaming.sinks import write_lake_batch
 from test_oracle import ORACLE, QUERIES, WRITES_FILES
 
 PLANNED = sorted(set(QUERIES) - WRITES_FILES)
-JOINS = ["consumer_lag", "target_labels", "scraped_impl", "normalize_names", "normalize_coordination", "run_elapsed"]
+JOINS = ["consumer_lag", "target_labels", "scraped_impl", "normalize_names", "normalize_coordination", "run_elapsed",
+         "lambda_current"]
 
 
 @pytest.mark.parametrize("name", PLANNED)

@@ -36,7 +36,9 @@ def test_missing_label_is_empty(samples):
 
 
 def test_regex_matches_the_whole_value(samples):
-    chosen = lambda pattern: sorted(v for v, in rows(series.select_series(samples, RATE, matches={"impl": pattern}), "value"))
+    def chosen(pattern):
+        return sorted(v for v, in rows(series.select_series(samples, RATE, matches={"impl": pattern}), "value"))
+
     assert chosen("kafka") == []
     assert chosen("c|k") == []
     assert chosen("kpython|") == [16.0, 32.0]
