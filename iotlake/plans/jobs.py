@@ -33,8 +33,9 @@ def lake_rows(envelopes: DataFrame, zone: str = LAKE_ZONE, keys: str = "lake") -
 
 
 def lake_job(envelopes: DataFrame, fmt: str, path: str, checkpoint: str, zone: str = LAKE_ZONE,
-             keys: str = "lake", trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    return write_lake(lake_rows(envelopes, zone, keys), fmt, path, checkpoint, LAKE_JOBS[fmt][2], trigger)
+             keys: str = "lake", trigger: Mapping[str, object] | None = None,
+             files: int | None = None) -> StreamingQuery:
+    return write_lake(lake_rows(envelopes, zone, keys), fmt, path, checkpoint, LAKE_JOBS[fmt][2], trigger, files)
 
 
 def tail_job(envelopes: DataFrame, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
@@ -55,6 +56,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--every", help="trigger interval, such as '1 minute'")
+    parser.add_argument("--files", type=int, help="most files per partition and micro-batch")
     parser.add_argument("--once", action="store_true", help="drain what is there and stop")
     parser.add_argument("--endpoint", help="object store endpoint")
     args = parser.parse_args(argv)
@@ -81,7 +83,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         topic, group, _ = LAKE_JOBS[args.job]
         envelopes = read_topic(spark, args.servers, args.topic or topic, args.group or group,
                                starting=args.starting, client=LAKE_CLIENT, **shared)
-        query = lake_job(envelopes, args.job, args.path, args.checkpoint, args.zone, args.keys, _trigger(args))
+        query = lake_job(envelopes, args.job, args.path, args.checkpoint, args.zone, args.keys, _trigger(args),
+                         args.files)
     query.awaitTermination()
 
 

@@ -12,16 +12,30 @@ from iotlake.schemas import METRICS_LOG, PARTITION_COLUMNS
 from iotlake.streaming.recovery import check_recovery
 
 
+def _gather(rows: DataFrame, files: int) -> DataFrame:
+    """Bring each date and hour to at most `files` tasks, its rows spread evenly over them.
+
+    The share is drawn, as the rows of a hot partition may all be equal; with a
+    fixed seed a task that runs again draws the same.
+    """
+    share = F.floor(F.rand(seed=0) * files)
+    return rows.withColumn("_share", share).repartition(*PARTITION_COLUMNS, "_share").drop("_share")
+
+
 def write_lake(rows: DataFrame, fmt: str, path: str, checkpoint: str, name: str,
-               trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+               trigger: Mapping[str, object] | None = None, files: int | None = None) -> StreamingQuery:
     """Append a stream to a date/hour-partitioned lake, exactly once.
 
     There is no watermark and no state: late events go to their own partition.
-    Every micro-batch is map-only and writes at least one file per partition it
-    touches, so give `trigger={"processingTime": ...}` for larger files, or
+    A micro-batch is map-only, and every task writes a file per partition it
+    touches. Give `trigger={"processingTime": ...}` for fewer, larger files, or
     `{"availableNow": True}` to drain and stop; the default runs back to back.
+    With many tasks set `files`: one shuffle per micro-batch then leaves at most
+    that many files per partition, and still splits a partition that is large.
     """
     check_recovery(rows.sparkSession, path, checkpoint)
+    if files:
+        rows = _gather(rows, files)
     writer = (
         rows.writeStream.format(fmt)
         .queryName(name)

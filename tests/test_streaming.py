@@ -60,6 +60,20 @@ def test_lake_stream_equals_batch_over_many_small_batches(spark, folders, fmt):
     assert sum(counts.values()) == 8 and counts[None, None] == 4
 
 
+def test_files_per_partition_are_bounded_and_a_hot_one_is_split(spark, settings, folders):
+    for i in range(8):
+        add(spark, folders["in"], [payload(100 * i + j) for j in range(100)] + ["bad"] * 50, 200 * i)
+    source = replay(spark, folders["in"]).repartition(8)
+    with settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        jobs.lake_job(
+            source, "parquet", folders["out"], folders["checkpoint"], trigger=ONCE, files=8).awaitTermination()
+    stored = read_lake(spark, folders["out"], "parquet")
+    files = stored.groupBy("date").agg(F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("n"))
+    (bad, bad_files), (good, good_files) = rows(files, "n", "files")
+    assert (bad, good) == (400, 800)
+    assert 2 <= bad_files <= 4 and 2 <= good_files <= 4
+
+
 def test_rates_come_from_progress(spark, folders):
     add(spark, folders["in"], [payload(i) for i in range(5)])
     log = progress.ProgressLog()
