@@ -1,3 +1,31 @@
 """DuckDB SQL for the queries that SQL can express; the others are tested against brute force."""
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Pairs of documents with equal shingles, counted; then everything reachable from a document.
+_OP4 = rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from words
+), members as (
+  select doc_id, len(s) as n, unnest(s) as m from sets
+), links as (
+  select x.doc_id as a, y.doc_id as b from members x join members y on x.m = y.m and x.doc_id <> y.doc_id
+  group by x.doc_id, y.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach as (
+  select doc_id, doc_id as other from sets
+  union
+  select r.doc_id, l.b from reach r join links l on r.other = l.a
+), least as (
+  select doc_id, min(other) as component_id from reach group by doc_id
+)
+select s.doc_id, len(s.s) as n_shingles, l.component_id, s.doc_id = l.component_id as kept
+from sets s join least l using (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_odd_sketch_dedup": _OP4,
+}

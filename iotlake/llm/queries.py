@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import quality, toxicity
+from iotlake.llm import odd_sketch_dedup, quality, toxicity
 from iotlake.llm.tables import split_of, table
 
 #: A score from this on counts as label 1.
@@ -25,10 +25,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(toxicity.score(docs, model), 4, 2)
 
 
+def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~split_of("doc_id", 5, 0)))
     return _graded(quality.score(docs, model), 5, 0)
 
 
-QUERIES = (op1_toxicity, op9_quality)
+QUERIES = (op1_toxicity, op4_odd_sketch_dedup, op9_quality)
