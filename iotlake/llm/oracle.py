@@ -26,6 +26,34 @@ select s.doc_id, len(s.s) as n_shingles, l.component_id, s.doc_id = l.component_
 from sets s join least l using (doc_id)
 """
 
+_OP8 = rf"""
+with doc_words as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), item_words as (
+  select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item_id, len(w[i:i + 9]) as n, array_to_string(w[i:i + 9], ' ') as t
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item_words where len(w) > 0)
+), lengths as (
+  select distinct n from windows
+), runs as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as t
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, lengths where len(w) >= n)
+), hits as (
+  select r.doc_id, r.i, r.n, x.item_id from runs r join windows x on r.n = x.n and r.t = x.t
+), covered as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, i, n from hits)) group by doc_id
+), found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(f.n_items, 0) as n_items,
+  sha256(coalesce(f.items, '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from doc_words d left join covered c using (doc_id) left join found f using (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_odd_sketch_dedup": _OP4,
+    "op8_phrase_index": _OP8,
 }

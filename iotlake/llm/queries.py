@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import odd_sketch_dedup, quality, toxicity
+from iotlake.llm import odd_sketch_dedup, phrase_index, quality, toxicity
 from iotlake.llm.tables import split_of, table
 
 #: A score from this on counts as label 1.
@@ -29,10 +29,17 @@ def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~split_of("doc_id", 5, 0)))
     return _graded(quality.score(docs, model), 5, 0)
 
 
-QUERIES = (op1_toxicity, op4_odd_sketch_dedup, op9_quality)
+QUERIES = (op1_toxicity, op4_odd_sketch_dedup, op8_phrase_index, op9_quality)
