@@ -8,7 +8,7 @@ allowed a distance from its place.
 
 Every join is on (document, position, term) or on the term, so neither a common term nor a passage that many
 documents share gathers in one task. Query terms, and the documents still in question before the last
-intersection, are broadcast when a count shows that there are at most BROADCAST_ROWS of them; otherwise those
+intersection, are broadcast when a count shows that there are at most `tables.BROADCAST_ROWS` of them; otherwise those
 joins are shuffled.
 
 Defined results: null, empty and punctuation-only texts have no words and no matches; an item of fewer words than
@@ -22,10 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import plain, stored
-
-#: A row of what is broadcast has a few numbers, or a term: some 20 MB at most.
-BROADCAST_ROWS = 200_000
+from iotlake.llm.tables import plain, small, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,11 +33,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def _small(frame: DataFrame) -> DataFrame:
-    """The stored frame, to be broadcast if it is small enough by count."""
-    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
-
-
 def windows(items: DataFrame, size: int) -> DataFrame:
     """item_id, phrase_id, terms: every run of `size` words, or all words of a shorter item."""
     listed = items.where("item_id is not null").select("item_id", words(F.col("text")).alias("w")).where("size(w) > 0")
@@ -51,7 +43,7 @@ def windows(items: DataFrame, size: int) -> DataFrame:
 
 def build_index(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """Stored postings (doc_id, pos, term) of the terms that `phrases` (terms) name. Terms are kept as 64-bit hashes."""
-    vocabulary = _small(stored(phrases.select(F.explode("terms").alias("word")).distinct().select(
+    vocabulary = small(stored(phrases.select(F.explode("terms").alias("word")).distinct().select(
         "word", F.xxhash64("word").alias("term")), "phrase-terms"))
     listed = docs.where("doc_id is not null").select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
     return stored(listed.join(vocabulary, "word").select("doc_id", "pos", "term"), "postings")
@@ -69,13 +61,13 @@ def _ranked(postings: DataFrame, phrases: DataFrame) -> DataFrame:
 
 def _of_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     """The postings of these terms."""
-    return postings.join(_small(stored(terms.distinct(), "phrase-some")), "term", "left_semi")
+    return postings.join(small(stored(terms.distinct(), "phrase-some")), "term", "left_semi")
 
 
 def _proposed(postings: DataFrame, ranked: DataFrame) -> DataFrame:
     """phrase_id, doc_id, start: each posting of a phrase's rarest term, adjusted by the term's offset."""
     first = ranked.select("phrase_id", F.col("by_n")[0]["term"].alias("term"), F.col("by_n")[0]["k"].alias("k"))
-    return postings.join(_small(stored(first, "phrase-first")), "term").select(
+    return postings.join(small(stored(first, "phrase-first")), "term").select(
         "phrase_id", "doc_id", (F.col("pos") - F.col("k")).alias("start")).where("start >= 0")
 
 
@@ -84,13 +76,13 @@ def phrase_matches(postings: DataFrame, phrases: DataFrame) -> DataFrame:
     ranked = _ranked(postings, phrases)
     longer = ranked.where("n_terms > 1")
     second = longer.select("phrase_id", F.col("by_n")[1]["term"].alias("term"), F.col("by_n")[1]["k"].alias("k"))
-    proposed = _proposed(postings, longer).join(_small(stored(second, "phrase-second")), "phrase_id").select(
+    proposed = _proposed(postings, longer).join(small(stored(second, "phrase-second")), "phrase_id").select(
         "phrase_id", "doc_id", "start", (F.col("start") + F.col("k")).alias("pos"), "term")
     left = stored(proposed.join(_of_terms(postings, second.select("term")), ["doc_id", "pos", "term"], "left_semi").select(
         "phrase_id", "doc_id", "start").distinct(), "phrase-pairs")
 
-    documents = _small(stored(left.select("doc_id").distinct(), "phrase-docs"))
-    rest = left.join(_small(ranked), "phrase_id").select(
+    documents = small(stored(left.select("doc_id").distinct(), "phrase-docs"))
+    rest = left.join(small(ranked), "phrase_id").select(
         "phrase_id", "doc_id", "start", "n_terms",
         F.explode_outer(F.slice("by_n", 3, F.greatest(F.col("n_terms") - 2, F.lit(0)))).alias("t"))
     rest = rest.select("phrase_id", "doc_id", "start", "n_terms", F.col("t")["k"].alias("k"), F.col("t")["term"].alias("term"),
@@ -111,9 +103,9 @@ def proximity_matches(postings: DataFrame, phrases: DataFrame, slop: int) -> Dat
     ranked = _ranked(postings, phrases)
     run = slop + 1
     first = ranked.select("phrase_id", F.col("by_n")[0]["term"].alias("term"), F.col("by_n")[0]["k"].alias("k"))
-    starts = postings.join(_small(stored(first, "phrase-first")), "term").select(
+    starts = postings.join(small(stored(first, "phrase-first")), "term").select(
         "phrase_id", "doc_id", (F.col("pos") - F.col("k")).alias("start")).distinct()
-    terms = starts.join(_small(ranked), "phrase_id").select(
+    terms = starts.join(small(ranked), "phrase_id").select(
         "phrase_id", "doc_id", "start", "n_terms", F.explode("by_n").alias("t"))
     wanted = terms.select("phrase_id", "doc_id", "start", "n_terms", F.col("t")["k"].alias("k"), F.col("t")["term"].alias("term"),
                           (F.col("start") + F.col("t")["k"]).alias("place"))
@@ -139,7 +131,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
         "doc_id", F.explode(F.sequence("start", F.col("start") + F.col("n_terms") - 1)).alias("pos"))
     hit = places.distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     named = found.select("doc_id", "phrase_id").join(
-        _small(owners.select("phrase_id", F.col("item_id").cast("string").alias("item"))), "phrase_id")
+        small(owners.select("phrase_id", F.col("item_id").cast("string").alias("item"))), "phrase_id")
     named = named.select("doc_id", "item").distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
     counts = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     return counts.join(stored(hit.join(named, "doc_id"), "contaminated"), "doc_id", "left").select(

@@ -22,10 +22,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import list_array, map_texts, plain
+from iotlake.llm.tables import list_array, map_texts, plain, text_column
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Unit vectors kept at hand per task.
@@ -252,20 +252,17 @@ def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> QualityMo
     return QualityModel(vectors, fit_network(x, np.array([r.y for r in found], float), shape))
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """doc_id and score (0 to 1, higher: label 1 likelier) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    buckets = len(model.vectors)
-
-    def rows(keys, values):
-        m = sent.value
-        return {"doc_id": keys, "score": m.network.probability(features(values, m.vectors, _units(buckets)))}
+def score_column(spark: SparkSession, model: QualityModel) -> Column:
+    """The score (0 to 1, higher: label 1 likelier) of the column `text`."""
+    sent = spark.sparkContext.broadcast(model)
+    units = Units(len(model.vectors))
 
-    return map_texts(docs, rows, "doc_id long, score double")
+    def run(texts):
+        return sent.value.network.probability(features(texts, sent.value.vectors, units))
 
+    return text_column(run)
 
-_UNITS: dict[int, Units] = {}
 
-
-def _units(buckets: int) -> Units:
-    return _UNITS.setdefault(buckets, Units(buckets))
+def score(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id and score of every row."""
+    return plain(docs, "doc_id", "text").select("doc_id", score_column(docs.sparkSession, model).alias("score"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import odd_sketch_dedup, phrase_index, quality, toxicity
+from iotlake.llm import odd_sketch_dedup, phrase_index, piece_scan, quality, toxicity
 from iotlake.llm.tables import split_of, table
 
+#: The folder of the public vocabulary files, on every machine.
+TOKENIZERS = "/opt/tokenizers"
 #: A score from this on counts as label 1.
 THRESHOLD = 0.3
 
@@ -25,6 +27,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(toxicity.score(docs, model), 4, 2)
 
 
+def op3_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the digest of what they decode to."""
+    encoded = piece_scan.encode(table(spark, sf_dir, "documents"), TOKENIZERS + "/piece_bpe_32k.model")
+    return piece_scan.decode(encoded, TOKENIZERS + "/piece_bpe_32k.model").select(
+        "doc_id", "ids", F.md5("text").alias("text_md5"))
+
+
 def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,4 +51,4 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(quality.score(docs, model), 5, 0)
 
 
-QUERIES = (op1_toxicity, op4_odd_sketch_dedup, op8_phrase_index, op9_quality)
+QUERIES = (op1_toxicity, op3_piece_scan, op4_odd_sketch_dedup, op8_phrase_index, op9_quality)

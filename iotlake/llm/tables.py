@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +93,32 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+def text_column(function: Callable[[list[str]], np.ndarray], text: str = "text") -> Column:
+    """A double for each text by `function`, which gets runs of texts; a null text comes as empty."""
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        values, out, at = texts.tolist(), [], 0
+        while at < len(values):
+            end, held = at, 0
+            while end < len(values) and (end == at or held + len(values[end]) <= BATCH_BYTES):
+                held += len(values[end])
+                end += 1
+            out.append(np.asarray(function(values[at:end]), float))
+            at = end
+        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+
+    return run(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
+#: A row of what is broadcast has a few numbers or words: some 20 MB at most.
+BROADCAST_ROWS = 200_000
+
+
+def small(frame: DataFrame) -> DataFrame:
+    """The stored frame, marked to be broadcast if a count shows that it is small enough."""
+    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -23,11 +23,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from iotlake.llm.quality import labelled_sample
-from iotlake.llm.tables import list_array, map_texts, plain, stored
+from iotlake.llm.tables import list_array, map_texts, plain, stored, text_column
 
 WORD = re.compile(r"\w+")
 MEMO = 1 << 20
@@ -188,16 +188,18 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, shape: S
     return fit_linear(picked, y[order] == 1, features, prior, shape)
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id and score (0 to 1, higher: toxic likelier) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: ToxicityModel) -> Column:
+    """The score (0 to 1, higher: toxic likelier) of the column `text`."""
+    sent = spark.sparkContext.broadcast(model)
+    memo: dict = {}
 
-    def rows(keys, values):
-        m = sent.value
-        z = np.array([m.logit(v, _MEMO.setdefault(id(m), {})) for v in values])
-        return {"doc_id": keys, "score": 1 / (1 + np.exp(-np.clip(z, -40, 40)))}
+    def run(texts):
+        z = np.array([sent.value.logit(t, memo) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
-    return map_texts(docs, rows, "doc_id long, score double")
+    return text_column(run)
 
 
-_MEMO: dict[int, dict] = {}
+def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id and score of every row."""
+    return plain(docs, "doc_id", "text").select("doc_id", score_column(docs.sparkSession, model).alias("score"))
