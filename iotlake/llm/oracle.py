@@ -26,6 +26,27 @@ select s.doc_id, len(s.s) as n_shingles, l.component_id, s.doc_id = l.component_
 from sets s join least l using (doc_id)
 """
 
+def _escaped_length(text: str) -> str:
+    """Escapes write each of three characters as two."""
+    return rf"(length({text}) + length(regexp_replace({text}, '[^\\<\[]', '', 'g')))"
+
+
+_OP2 = rf"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), whole as (
+  select conv_id, count(*) as n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss,
+    cast(sum(length('<|turn|><|text|><|end|>') + {_escaped_length('role')} + {_escaped_length('text')}) as bigint) as formatted_chars
+  from turns group by conv_id
+)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars
+from whole
+"""
+
 _OP8 = rf"""
 with doc_words as (
   select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
@@ -53,7 +74,24 @@ select d.doc_id, len(d.w) as n_words, coalesce(c.n_hit, 0) as n_hit, coalesce(f.
 from doc_words d left join covered c using (doc_id) left join found f using (doc_id)
 """
 
+#: For pages of one article whose only entities are these; a block ends at any tag but an inline one.
+_OP10 = r"""
+with parts as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|<footer>|$)', 1) as a from pages
+), blocks as (
+  select page_id, url, list_transform(string_split(regexp_replace(regexp_replace(a,
+      '</?(b|i|em|strong|span|a)(\s[^>]*)?>', '', 'g'), '<[^>]*>', chr(1), 'g'), chr(1)),
+    lambda b: trim(regexp_replace(replace(replace(replace(replace(b,
+      '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) as b from parts
+), texts as (
+  select page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) as text from blocks
+)
+select page_id, url, text, length(text) as n_chars from texts
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_chat_format": _OP2,
     "op4_odd_sketch_dedup": _OP4,
     "op8_phrase_index": _OP8,
+    "op10_html_region": _OP10,
 }

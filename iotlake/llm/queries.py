@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import odd_sketch_dedup, phrase_index, piece_scan, quality, toxicity
+from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, quality, toxicity
 from iotlake.llm.tables import split_of, table
 
 #: The folder of the public vocabulary files, on every machine.
@@ -27,6 +27,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(toxicity.score(docs, model), 4, 2)
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read back from the formatted text. Conversation -7 holds other templates' control strings."""
+    text = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select(*more.columns).unionByName(more)
+    chats = chat_format.format_chats(rows.select(
+        "conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts")))
+    turns = chat_format.read_turns(F.col("formatted"))
+    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat_format.masked_text(F.col("formatted"), F.col("loss_spans"))
+    read = chats.select("conv_id", "formatted", F.size(turns).cast("long").alias("n_turns"), said.alias("said"), loss.alias("loss"))
+    return read.select(
+        "conv_id", "n_turns", F.sha2("said", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op3_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
     encoded = piece_scan.encode(table(spark, sf_dir, "documents"), TOKENIZERS + "/piece_bpe_32k.model")
@@ -51,4 +69,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _graded(quality.score(docs, model), 5, 0)
 
 
-QUERIES = (op1_toxicity, op3_piece_scan, op4_odd_sketch_dedup, op8_phrase_index, op9_quality)
+def op10_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_region.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op8_phrase_index, op9_quality, op10_html_region)
