@@ -47,6 +47,28 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_char
 from whole
 """
 
+_OP5 = """
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e,
+    embedding is not null and len(embedding) > 0 and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null
+      and isfinite(x))), false) and coalesce(list_max(list_transform(embedding, lambda x: abs(x))), 0) > 0 as ok
+  from embeddings
+), links as (
+  select x.vec_id as a, y.vec_id as b from v x join v y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+  where x.ok and y.ok and list_cosine_similarity(x.e, y.e) >= 0.9
+), reach as (
+  select vec_id, vec_id as other from v
+  union
+  select r.vec_id, l.b from reach r join links l on r.other = l.a
+), least as (
+  select vec_id, min(other) as component_id from reach group by vec_id
+), counted as (
+  select a as vec_id, count(*) as n from links group by a
+)
+select v.vec_id, coalesce(c.n, 0) as n_links, l.component_id, v.vec_id = l.component_id as kept
+from v join least l using (vec_id) left join counted c using (vec_id)
+"""
+
 _OP8 = rf"""
 with doc_words as (
   select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
@@ -92,6 +114,7 @@ select page_id, url, text, length(text) as n_chars from texts
 ORACLE: dict[str, str] = {
     "op2_chat_format": _OP2,
     "op4_odd_sketch_dedup": _OP4,
+    "op5_projection_dedup": _OP5,
     "op8_phrase_index": _OP8,
     "op10_html_region": _OP10,
 }

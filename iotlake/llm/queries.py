@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, quality, toxicity
+from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, toxicity
 from iotlake.llm.tables import split_of, table
 
 #: The folder of the public vocabulary files, on every machine.
@@ -56,6 +56,10 @@ def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -74,4 +78,4 @@ def op10_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op8_phrase_index, op9_quality, op10_html_region)
+QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op8_phrase_index, op9_quality, op10_html_region)
