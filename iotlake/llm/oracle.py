@@ -69,6 +69,48 @@ select v.vec_id, coalesce(c.n, 0) as n_links, l.component_id, v.vec_id = l.compo
 from v join least l using (vec_id) left join counted c using (vec_id)
 """
 
+_OP7 = r"""
+with base as (
+  select page_id, url, coalesce(html, '') as html, '"' || md5(coalesce(html, '')) || '"' as tag, 'day ' || page_id as day,
+    epoch_us(timestamp '2024-01-01') + page_id * 3600000000 as t0, page_id % 4 as k,
+    case when page_id % 2 = 0 then '"second"' else '"' || md5(coalesce(html, '')) || '"' end as second,
+    regexp_extract(url, '^\s*([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?', ['s', 'h', 'p', 'q']) as u
+  from pages
+), keyed as (
+  select *, lower(u.s) || '://' || regexp_replace(lower(u.h), ':(80|443)?$', '') || case when u.p = '' then '/' else u.p end
+    || case when u.q = '' then '' else '?' || array_to_string(list_sort(string_split(u.q, '&')), '&') end as url_key from base
+), responses as (
+  select page_id * 10 as ref_id, url_key, t0 as at, tag, day as modified, html,
+    [('cache-control', 'max-age=1'), ('content-type', 'text/html'), ('etag', tag), ('last-modified', day)] as headers from keyed
+  union all
+  select page_id * 10 + 4, url_key, t0 + 36 * 3600000000, second, day, html,
+    [('content-type', 'text/html'), ('etag', 'W/' || second), ('last-modified', day)] from keyed where page_id % 2 = 0
+), revisits as (
+  select page_id * 10 + 1 as record_id, url_key, t0 + 24 * 3600000000 as at, tag, null as modified,
+    [('cache-control', 'max-age=2'), ('etag', 'W/' || tag)] as headers from keyed
+  union all
+  select page_id * 10 + 2, url_key, t0 + 48 * 3600000000, case when k = 0 then second when k = 1 then '"other"' end,
+    case when k = 2 then day end, list_filter([('date', 'now'),
+      ('etag', case when k = 0 then 'W/' || second when k = 1 then '"other"' end), ('last-modified', case when k = 2 then day end)],
+      lambda x: x[2] is not null) from keyed
+  union all
+  select page_id * 10 + 3, url_key, t0 - 24 * 3600000000, tag, null, [('etag', tag)] from keyed
+), joined as (
+  select v.record_id, v.url_key, r.ref_id, r.html, r.headers as stored, v.headers as fresh,
+    case when r.ref_id is null then 'orphan'
+      when coalesce(v.tag = r.tag, v.modified = r.modified) is null then 'unchecked'
+      when coalesce(v.tag = r.tag, v.modified = r.modified) then 'matched' else 'mismatched' end as state
+  from revisits v left join responses r on r.url_key = v.url_key and r.at < v.at
+  qualify row_number() over (partition by v.record_id order by r.at desc nulls last, r.ref_id desc) = 1
+)
+select record_id, url_key, state, ref_id,
+  case when state = 'matched' then array_to_string(list_sort(list_transform(list_concat(
+    list_filter(stored, lambda x: not list_contains(list_transform(fresh, lambda y: y[1]), x[1])), fresh),
+    lambda x: x[1] || ': ' || x[2])), chr(10)) end as headers,
+  case when state = 'matched' then length(html) end as n_chars
+from joined
+"""
+
 _OP8 = rf"""
 with doc_words as (
   select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
@@ -115,6 +157,7 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": _OP2,
     "op4_odd_sketch_dedup": _OP4,
     "op5_projection_dedup": _OP5,
+    "op7_warc_revisit": _OP7,
     "op8_phrase_index": _OP8,
     "op10_html_region": _OP10,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, toxicity
+from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, toxicity, warc_revisit
 from iotlake.llm.tables import split_of, table
 
 #: The folder of the public vocabulary files, on every machine.
@@ -60,6 +60,47 @@ def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Archive records of the pages: a response of each and a second one of every other, and three revisits of each.
+
+    The first revisit writes the URL differently and repeats the entity tag, the second repeats it, has another one, only a date or
+    nothing, by the page's id, and the third comes before any response.
+    """
+    start = F.lit(1_704_067_200) + F.col("page_id") * 3600
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    host = F.regexp_extract("url", "^([^:]*://[^/?#]*)", 1)
+    odd_url = F.concat(F.upper(host), F.when(F.col("url").startswith("https"), ":443").otherwise(":80"),
+                       F.expr("substring(url, length(regexp_extract(url, '^([^:]*://[^/?#]*)', 1)) + 1)"), F.lit("#again"))
+
+    def record(number, url, hours, kind, *headers):
+        pairs = [x for name, value in headers for x in (F.lit(name), value)]
+        return F.struct(
+            (F.col("page_id") * 10 + number).alias("record_id"), url.alias("url"), F.timestamp_seconds(start + hours * 3600).alias("date"),
+            F.lit(kind).alias("kind"), F.lit(200 if kind == "response" else 304).alias("status"),
+            F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("headers"),
+            (F.coalesce("html", F.lit("")) if kind == "response" else F.lit(None).cast("string")).alias("payload"))
+
+    day, text = F.concat(F.lit("day "), F.col("page_id").cast("string")), F.lit("text/html")
+    case = F.col("page_id") % 4
+    second = F.concat(F.lit("W/"), F.when(F.col("page_id") % 2 == 0, F.lit('"second"')).otherwise(tag))
+    rows = F.array(
+        record(0, F.col("url"), 0, "response", ("ETag", tag), ("Last-Modified", day), ("Content-Type", text), ("Cache-Control", F.lit("max-age=1"))),
+        record(1, odd_url, 24, "revisit", ("etag", F.concat(F.lit("W/"), tag)), ("Content-Type", F.lit("text/plain")), ("cache-control", F.lit("max-age=2"))),
+        record(2, F.col("url"), 48, "revisit", ("ETag", F.when(case == 0, second).when(case == 1, F.lit('"other"'))),
+               ("Last-Modified", F.when(case == 2, day)), ("Date", F.lit("now"))),
+        record(3, F.col("url"), -24, "revisit", ("ETag", tag)),
+        record(4, F.col("url"), 36, "response", ("ETag", second), ("Last-Modified", day), ("Content-Type", text)))
+    rows = F.filter(rows, lambda r: (r["record_id"] % 10 != 4) | (F.col("page_id") % 2 == 0))
+    return pages.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def op7_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve(captures(table(spark, sf_dir, "pages")))
+    return found.select(
+        "record_id", "url_key", "state", "ref_id", warc_revisit.header_text(F.col("headers")).alias("headers"),
+        F.length("payload").cast("long").alias("n_chars"))
+
+
 def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -78,4 +119,4 @@ def op10_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op8_phrase_index, op9_quality, op10_html_region)
+QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op7_warc_revisit, op8_phrase_index, op9_quality, op10_html_region)
