@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, toxicity, warc_revisit
+from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, range_coder, toxicity, warc_revisit
 from iotlake.llm.tables import split_of, table
 
 #: The folder of the public vocabulary files, on every machine.
@@ -60,6 +60,16 @@ def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+#: Fixed value: how the byte-level tokenizers split a text before they merge.
+BYTE_LEVEL = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def op6_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read back from the files."""
+    files = range_coder.write_ids(table(spark, sf_dir, "documents"), TOKENIZERS + "/byte_bpe_50k.json", 2, BYTE_LEVEL)
+    return range_coder.read_documents(files)
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Archive records of the pages: a response of each and a second one of every other, and three revisits of each.
 
@@ -119,4 +129,4 @@ def op10_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op7_warc_revisit, op8_phrase_index, op9_quality, op10_html_region)
+QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op6_range_coder, op7_warc_revisit, op8_phrase_index, op9_quality, op10_html_region)
