@@ -8,9 +8,10 @@
    the sets are much alike (Mitzenmacher, Pagh and Pham, 2014).
 3. Within a key every class is paired with the smallest one only. Pairs whose sizes or sketches rule out the
    threshold go; the others are confirmed on the full sets, which gives components.
-4. Classes of one key that are still in different components are paired in full (size class by size class,
-   sketches compared inside the join), confirmed likewise, and the components are joined. So each pair that shares
-   a key is either in one component already or compared: no cap, and no pairs within a large group of copies.
+4. In a key that still holds several components every class is compared with those of the other components: a key's
+   classes are cut into tiles, each pair of tiles is a task's group, sketches and sizes choose the pairs, and full sets
+   decide. A group reports only links that join something. So each pair that shares a key is in one component
+   already or compared: no cap, and no table of a large group's pairs.
 
 Recall: a pair at similarity s shares no key with probability (1 - s^rows)^bands: 3e-7 at 0.85. The sketch
 estimate keeps a pair unless it falls `margin` short, five standard deviations at the default sizes.
@@ -25,12 +26,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from iotlake.llm.components import components
-from iotlake.llm.tables import list_array, map_texts, plain, stored
+from iotlake.llm.tables import BROADCAST_IDS, list_array, map_texts, plain, small, stored
 
 
 @dataclass(frozen=True)
@@ -211,40 +213,134 @@ def _sketches_allow(most: int, words: int, x: str, y: str):
     return count <= most
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
-    """Those of the pairs (a, b: doc_ids) whose full sets are alike enough.
-
-    Only texts that a pair names are read again and cut into shingles.
-    """
-    named = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+def full_sets(ids: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
+    """id and members (the set's sorted hashes, as bytes) of the documents that `ids` (id) names; their texts are read again."""
+    named = small(stored(ids.distinct(), "near-named"), BROADCAST_IDS)
     texts = docs.join(named, docs.doc_id == named.id, "left_semi").dropDuplicates(["doc_id"])
 
     def rows(keys, values):
         return {"id": keys, "members": [s.tobytes() for s in Shingler(shape.words, shape.seed)(values)]}
 
-    sets = stored(map_texts(texts, rows, "id long, members binary", binary=True), "near-sets")
+    return stored(map_texts(texts, rows, "id long, members binary", binary=True), "near-sets")
+
+
+def alike(x: np.ndarray, y: np.ndarray, hundredths: int) -> bool:
+    """Whether two sorted sets are alike enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return False
+    place = np.searchsorted(y, x)
+    shared = int((y[np.minimum(place, len(y) - 1)] == x).sum())
+    return 100 * shared >= hundredths * (len(x) + len(y) - shared)
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
+    """Those of the pairs (a, b: doc_ids) whose full sets are alike enough."""
+    sets = full_sets(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))), docs, shape)
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
 
     def compare(batches):
         for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                x = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
-                y = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                place = np.searchsorted(y, x)
-                shared = int((y[np.minimum(place, len(y) - 1)] == x).sum()) if len(y) else 0
-                if 100 * shared >= shape.hundredths * (len(x) + len(y) - shared):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())),
-                                              batch.column(1).take(pa.array(keep, pa.int64()))], names=["a", "b"])
+            keep = [i for i in range(batch.num_rows) if alike(
+                np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64),
+                np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64), shape.hundredths)]
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
     return both.mapInArrow(compare, "a long, b long")
 
 
+def open_members(keyed: DataFrame, found: DataFrame, heads: DataFrame) -> DataFrame:
+    """key, rep, component, n, odd of the classes of each key that holds classes of several components."""
+    marked = keyed.join(found, keyed.rep == found.node, "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component"))
+    several = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return stored(marked.join(several.select("key"), "key").join(heads.select("rep", "n", "odd"), "rep"), "near-open")
+
+
+def _tiled(members: DataFrame, columns: list[str], tile: int) -> DataFrame:
+    """The members with their group: a key's classes fall into tiles, and every pair of its tiles is a group.
+
+    Keys of one tile share groups, of some `tile` rows.
+    """
+    counts = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    shared = max(members.count() // tile, 1)
+    cut = members.join(counts, "key").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return cut.select(
+        "key", "tile", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), *columns,
+        F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("key"), F.lit(shared))).otherwise(
+            F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other"))).alias("bin"))
+
+
+def _near_pairs(part: pd.DataFrame, lo: int, hi: int, most: int, hundredths: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows x, y of different components whose sizes and sketches allow the threshold, and their XOR counts."""
+    tiles, n, component = part["tile"].to_numpy(), part["n"].to_numpy(), part["component"].to_numpy()
+    odd = np.array(part["odd"].tolist(), np.int64).view(np.uint8)
+    bits = np.unpackbits(odd, axis=1).astype(np.float32) * 2 - 1
+    first, second = np.flatnonzero(tiles == lo), np.flatnonzero(tiles == hi)
+    apart = (bits.shape[1] - bits[first] @ bits[second].T) / 2
+    fit = np.minimum(n[first][:, None], n[second]) * 100 >= np.maximum(n[first][:, None], n[second]) * hundredths
+    fit &= (apart <= most) & (component[first][:, None] != component[second])
+    if lo == hi:
+        fit &= first[:, None] < second
+    i, j = np.nonzero(fit)
+    return first[i], second[j], apart[i, j]
+
+
+def active_members(members: DataFrame, shape: Shape, tile: int = 512) -> DataFrame:
+    """Those of the open members that a class of another component may be alike to, within their key."""
+    most = Sketcher(shape).most_bits()
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (key, lo, hi), part in rows.groupby(["key", "lo", "hi"], sort=False):
+            x, y, _ = _near_pairs(part, lo, hi, most, shape.hundredths)
+            reps = part["rep"].to_numpy()[np.unique(np.concatenate([x, y]))]
+            out.append(pd.DataFrame({"key": np.full(len(reps), key), "rep": reps}))
+        return pd.concat(out)
+
+    found = _tiled(members, ["rep", "component", "n", "odd"], tile).groupBy("bin").applyInPandas(compare, "key long, rep long")
+    return stored(members.join(found.distinct(), ["key", "rep"]), "near-active")
+
+
+def close(members: DataFrame, docs: DataFrame, shape: Shape, tile: int = 512) -> DataFrame:
+    """Links (a, b) that join all of the members (key, rep, component, n, odd) of a key that are joined by pairs alike enough.
+
+    Within a group pairs are taken by their estimate, and a pair that others have joined already isn't compared. So a group
+    gives fewer links than it has members.
+    """
+    most = Sketcher(shape).most_bits()
+    sets = full_sets(members.select(F.col("rep").alias("id")), docs, shape).withColumnRenamed("id", "rep")
+    tiled = _tiled(members, ["rep", "component", "n", "odd"], tile).join(sets, "rep")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        for (_, lo, hi), part in rows.groupby(["key", "lo", "hi"], sort=False):
+            x, y, apart = _near_pairs(part, lo, hi, most, shape.hundredths)
+            reps, component = part["rep"].tolist(), part["component"].tolist()
+            sets = [np.frombuffer(m, np.uint64) for m in part["members"]]
+            parent = {c: c for c in component}
+
+            def root(c):
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for k in np.argsort(apart, kind="stable"):
+                i, j = x[k], y[k]
+                one, two = root(component[i]), root(component[j])
+                if one != two and alike(sets[i], sets[j], shape.hundredths):
+                    parent[max(one, two)] = min(one, two)
+                    links.append((reps[i], reps[j]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return tiled.groupBy("bin").applyInPandas(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (doc_id, text)."""
     docs = plain(docs, "doc_id", "text")
@@ -275,24 +371,15 @@ def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     links = stored(confirm(stars, docs, shape), "near-links")
     found = stored(components(links, "a", "b"), "near-components")
 
-    # Keys whose classes are not one component yet.
-    marked = keyed.join(found, keyed.rep == found.node, "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
-    open_keys = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo <> hi").select("key")
-    step = float(np.log(100 / shape.hundredths))
-    members = stored(marked.join(open_keys, "key").join(sketches, "rep").select(
-        "key", "rep", "component", "n", "odd", F.floor(F.log(F.col("n").cast("double")) / step).alias("size")), "near-open")
-    # Sets alike enough are in the same size class or in neighbouring ones.
-    x = members.select("key", "size", *[F.col(c).alias(f"{c}_a") for c in ("rep", "component", "n", "odd")])
-    y = members.select("key", F.explode(F.array(F.col("size") - 1, "size", F.col("size") + 1)).alias("size"),
-                       *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "n", "odd")])
-    more = x.join(y, ["key", "size"]).where(
-        (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-        & _sizes_allow(shape.hundredths, "n_a", "n_b") & _sketches_allow(most, longs, "odd_a", "odd_b"))
-    more = stored(more.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(
-        stars, ["a", "b"], "left_anti"), "near-more")
-    found = components(links.unionAll(confirm(more, docs, shape)), "a", "b")
+    # First each open class in its largest key, which joins most of a large group, then whatever is left in every key.
+    active = active_members(open_members(keyed, found, heads), shape)
+    sizes = active.groupBy("key").agg(F.count("*").alias("size"))
+    largest = active.join(sizes, "key").groupBy("rep").agg(F.max(F.struct("size", "key")).alias("k")).select(
+        "rep", F.col("k.key").alias("key"))
+    links = stored(links.unionAll(close(stored(active.join(largest, ["rep", "key"]), "near-first"), docs, shape)), "near-links")
+    found = stored(components(links, "a", "b"), "near-components")
+    active = active_members(open_members(keyed, found, heads), shape)
+    found = components(links.unionAll(close(active, docs, shape)), "a", "b")
 
     named = rows.where("name_a is not null and doc_id is not null").select(
         "doc_id", "n_shingles", "name_a", "name_b").join(classes, ["name_a", "name_b"]).join(

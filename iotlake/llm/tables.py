@@ -110,13 +110,14 @@ def text_column(function: Callable[[list[str]], np.ndarray], text: str = "text")
     return run(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-#: A row of what is broadcast has a few numbers or words: some 20 MB at most.
+#: Rows of what is broadcast: a few numbers or words each, or one id each. Some 20 MB at most.
 BROADCAST_ROWS = 200_000
+BROADCAST_IDS = 1_000_000
 
 
-def small(frame: DataFrame) -> DataFrame:
-    """The stored frame, marked to be broadcast if a count shows that it is small enough."""
-    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
+def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The stored frame, marked to be broadcast if a count shows at most so many rows; else its join is shuffled."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
 
 
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
