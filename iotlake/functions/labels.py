@@ -15,7 +15,7 @@ def label_equals(name: str, value: str) -> Column:
 
 def label_matches(name: str, pattern: str) -> Column:
     """Regex match on the whole label value, not on a part of it."""
-    return label(name).rlike(f"^(?:{pattern})$")
+    return label(name).rlike(rf"(?s)\A(?:{pattern})\z")
 
 
 def label_map(pairs: dict[str, Column]) -> Column:

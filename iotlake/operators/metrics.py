@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from iotlake.functions.event_time import interval_micros
+from iotlake.functions.event_time import interval_micros, micros_of
 from iotlake.functions.labels import label_map
 
 # Gauge names.
@@ -73,14 +73,14 @@ def producer_metrics(deliveries: DataFrame, keys: Iterable[str] = ("topic", "cli
 
 
 def observed_gap(deliveries: DataFrame, keys: Iterable[str] = ("topic",),
-                 width: str = "10 seconds") -> DataFrame:
+                 width: str = "10 seconds", run: int = 10_000) -> DataFrame:
     """Mean gap between consecutive messages of a key, per window of the later one.
 
     Stands in for the planned delay where none is recorded. The gaps that end in
     a window add up to its last time minus the last time before it, so messages
-    are first reduced to three numbers per key and window, and only those rows,
-    whose number is bounded by time span over width, are ordered within a key.
-    The very first message of a key has no gap.
+    are first reduced to three numbers per key and window. Those rows are ordered within a key and a
+    run of `run` windows, and the last time of each run, one row a run, is handed to the next; so a key with
+    years of windows is spread over its runs. The very first message of a key has no gap.
     """
     keys = list(keys)
     windows = (
@@ -88,8 +88,15 @@ def observed_gap(deliveries: DataFrame, keys: Iterable[str] = ("topic",),
         .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
         .select(*keys, F.col("window.start").alias("window_start"), "n", "first", "last")
     )
-    previous = F.lag("last").over(Window.partitionBy(*keys).orderBy("window_start"))
-    spanned = windows.withColumn("previous", previous)
+    length = interval_micros(F.expr(f"INTERVAL {width}").cast("interval day to second")) * run
+    windows = windows.withColumn("_run", F.floor(micros_of(windows, "window_start") / length))
+    within = F.lag("last").over(Window.partitionBy(*keys, "_run").orderBy("window_start"))
+    runs = windows.groupBy(*keys, "_run").agg(F.max("last").alias("_last"))
+    before = runs.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_run").alias("_of"), F.lag("_last").over(
+        Window.partitionBy(*keys).orderBy("_run")).alias("_before"))
+    # Null-safe, so that windows of a missing key are kept.
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_run") == F.col("_of"))
+    spanned = windows.withColumn("_within", within).join(before, same).withColumn("previous", F.coalesce("_within", "_before"))
     span = F.col("last") - F.coalesce("previous", "first")
     gaps = F.col("n") - F.when(F.col("previous").isNull(), 1).otherwise(0)
     return spanned.select(
@@ -115,13 +122,17 @@ def with_elapsed(metrics: DataFrame, run: Iterable[str] = ("topic",)) -> DataFra
 def current_lambda(controls: DataFrame, clamp: bool = True) -> DataFrame:
     """Newest readable control value per topic; `clamp` lifts negatives to zero.
 
-    Two values of one instant resolve to the larger. The newest instants are
-    found first and joined back, so that no value but theirs is shuffled while
-    the list of topics is small enough to broadcast.
+    Two values of one instant resolve to the larger, if they differ by more than a
+    millionth. One grouping: time and value are packed into one decimal, a fixed-width value, so
+    it hashes in place and combines in the scanning task; a topic costs a row a task.
     """
     known = controls.where("lambda IS NOT NULL").select("topic", "ts", "lambda")
-    last = known.groupBy("topic").agg(F.max("ts").alias("ts"))
-    newest = known.join(last, ["topic", "ts"]).groupBy("topic").agg(F.max("lambda").alias("lambda"))
+    value = F.when(F.isnan("lambda"), 5e9).otherwise(F.greatest(F.least(F.col("lambda"), F.lit(4e9)), F.lit(-4e9)))
+    order = (
+        micros_of(known, "ts").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
+        + ((value + 5e9) * 1e8).cast("decimal(19,0)")
+    )
+    newest = known.groupBy("topic").agg(F.max_by("lambda", order).alias("lambda"))
     if not clamp:
         return newest
     positive = (F.col("lambda") > 0) & ~F.isnan("lambda")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.sources.checkpoint import offset_log
+from iotlake.sources.checkpoint import last_batch, offset_log
 
 
 def topics(envelopes: DataFrame) -> DataFrame:
@@ -22,24 +22,36 @@ def end_offsets(envelopes: DataFrame) -> DataFrame:
 
 
 def recent_batches(spark: SparkSession, checkpoint: str, n: int = 3) -> DataFrame:
-    """The `n` newest entries of a checkpoint's offset log."""
-    return offset_log(spark, checkpoint).orderBy(
-        F.desc("batch_id"), "source").limit(n)
+    """All lines of the `n` newest batches of a checkpoint's offset log, and whether each batch was committed.
+
+    Spark writes a batch's offsets before it runs and its commit after it.
+    """
+    log = offset_log(spark, checkpoint)
+    newest = log.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(n)
+    done = last_batch(spark, f"{checkpoint}/commits")
+    return log.join(newest, "batch_id", "left_semi").withColumn(
+        "committed", F.col("batch_id") <= F.lit(-1 if done is None else done))
 
 
 def committed_offsets(spark: SparkSession, checkpoint: str, query: str) -> DataFrame:
-    """Offsets a topic query has reached by its newest batch: `COMMITTED` rows.
+    """`query, topic, partition, committed, planned`: offsets a topic query has reached.
 
-    The log keeps the end of each batch as `{"topic": {"partition": next}}`.
+    The log keeps the end of each batch as `{"topic": {"partition": next}}`. `committed` is that of the
+    newest batch that finished, null before the first one does; `planned` is that of the newest batch begun.
     """
-    log = offset_log(spark, checkpoint)
-    newest = log.groupBy("source").agg(F.max_by("offsets", "batch_id").alias("offsets"))
+    done = last_batch(spark, f"{checkpoint}/commits")
+    log = offset_log(spark, checkpoint).withColumn("done", F.col("batch_id") <= F.lit(-1 if done is None else done))
+    newest = log.groupBy("source").agg(
+        F.max_by("offsets", "batch_id").alias("planned"),
+        F.max_by("offsets", F.when(F.col("done"), F.col("batch_id"))).alias("committed"))
+    offsets = "map<string,map<string,bigint>>"
     by_topic = newest.select(
-        F.explode(F.from_json("offsets", "map<string,map<string,bigint>>")).alias("topic", "at")
-    )
-    return by_topic.select(
-        F.lit(query).alias("query"), "topic", F.explode("at").alias("partition", "committed")
-    ).withColumn("partition", F.col("partition").try_cast("int"))
+        F.from_json("committed", offsets).alias("reached"), F.explode(F.from_json("planned", offsets)).alias("topic", "at"))
+    by_partition = by_topic.select("reached", "topic", F.explode("at").alias("partition", "planned"))
+    reached = F.try_element_at(F.try_element_at("reached", F.col("topic")), F.col("partition"))
+    return by_partition.select(
+        F.lit(query).alias("query"), "topic", F.col("partition").try_cast("int").alias("partition"),
+        reached.alias("committed"), "planned")
 
 
 def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:

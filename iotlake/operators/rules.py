@@ -1,6 +1,5 @@
 """Metric-name normalisation by ordered regex rules."""
 
-import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -80,7 +79,8 @@ def _ordered(rules: Sequence[Rule], mode: str) -> list[tuple[int, Rule]]:
     if mode == FIRST_MATCH:
         return numbered
     if mode == MOST_SPECIFIC:
-        return sorted(numbered, key=lambda r: -re.compile(r[1].pattern).groups)
+        # Most `key=` parts first, then the longest literal text: a rule never hides one that asks for more.
+        return sorted(numbered, key=lambda r: (-r[1].pattern.count("="), -len(r[1].pattern.replace("(.+)", ""))))
     raise ValueError(f"unknown mode: {mode!r}")
 
 
@@ -96,7 +96,8 @@ def _template(rule: Rule) -> str:
 def _legal(name: Column) -> Column:
     """Characters a metric name may not have become one underscore."""
     merged = F.regexp_replace(name, "[^a-zA-Z0-9:]+", "_")
-    return F.when(merged.rlike("^[0-9]"), F.concat(F.lit("_"), merged)).otherwise(merged)
+    # A name that starts with a digit gets an underscore in front, in the same pass over it.
+    return F.concat(F.when(F.ascii(name).between(48, 57), "_").otherwise(""), merged)
 
 
 def rule_number(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH) -> Column:
@@ -104,7 +105,7 @@ def rule_number(source: Column, rules: Sequence[Rule], mode: str = FIRST_MATCH)
 
     Patterns may match anywhere in the name. `first_match` tries the rules in
     their order, so a general rule hides later ones; `most_specific` tries those
-    with most captured groups first.
+    with most `key=` parts first, and of those the longest literal text.
     """
     (number, rule), *rest = _ordered(rules, mode)
     chain = F.when(source.rlike(rule.pattern), number)
@@ -157,21 +158,3 @@ def normalize_names(samples: DataFrame, rules: Sequence[Rule], mode: str = FIRST
     """
     others = [c for c in samples.columns if c != source]
     return _normalized(samples, others, rules, mode, source, lower)
-
-
-def normalize_by_dictionary(samples: DataFrame, rules: Sequence[Rule], mode: str = FIRST_MATCH,
-                            source: str = "name", lower: bool = True) -> DataFrame:
-    """The same result (batch only), with every distinct name matched once.
-
-    Samples repeat few names very often. Those names are grouped, which shrinks
-    in the scanning task, run through the rules, and joined back. No hint on the
-    join: the dictionary is broadcast only while its measured size allows.
-    """
-    key = "_source"
-    others = [c for c in samples.columns if c != source]
-    names = samples.select(F.col(source).alias(key)).distinct()
-    dictionary = _normalized(names, [key], rules, mode, key, lower)
-    return (
-        samples.withColumnRenamed(source, key).join(dictionary, key)
-        .select(*others, "rule", "name", "labels", "type", "help")
-    )

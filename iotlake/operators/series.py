@@ -1,18 +1,22 @@
 """Queries over metric samples (`ts, metric, labels, value`)."""
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.functions.event_time import ntz_micros
+from iotlake.functions.event_time import micros_of
 from iotlake.functions.labels import label, label_equals, label_matches
 
-# Labels of the jobs that add some to their samples.
-TARGET_LABELS = {
-    "kafka-producer-json-ckafka": {"impl": "ckafka"},
-    "kafka-producer-parq-ckafka": {"impl": "ckafka"},
+# The producer jobs, their targets, and the labels that a job adds to its samples.
+TARGETS = {
+    "kafka-producer-json": (["host.docker.internal:9108"], {}),
+    "kafka-producer-parq": (["host.docker.internal:9109"], {}),
+    "kafka-producer-json-ckafka": (["host.docker.internal:9118"], {"impl": "ckafka"}),
+    "kafka-producer-parq-ckafka": (["host.docker.internal:9119"], {"impl": "ckafka"}),
+    "kafka-producers-kpython": (["localhost:9108", "localhost:9109"], {"impl": "kpython"}),
+    "kafka-producers-ckafka": (["localhost:9118", "localhost:9119"], {"impl": "ckafka"}),
 }
 
 
@@ -50,12 +54,8 @@ def per_step(samples: DataFrame, step: str, tie: str | None = None,
         samples = samples.withWatermark("ts", watermark)
     order = F.col("ts")
     if tie:
-        if dict(samples.dtypes)["ts"] == "timestamp_ntz":
-            micros = ntz_micros(F.col("ts"))
-        else:
-            micros = F.unix_micros("ts")
         order = (
-            micros.cast("decimal(19,0)") * F.lit("20000000000000000000").cast("decimal(20,0)")
+            micros_of(samples, "ts").cast("decimal(19,0)") * F.lit("20000000000000000000").cast("decimal(20,0)")
             + F.col(tie).cast("decimal(19,0)")
         )
     return (
@@ -81,10 +81,10 @@ def sum_by(stepped: DataFrame, *names: str, scale: int | None = None) -> DataFra
     return summed.select(F.col("window.start").alias("step"), *names, "total")
 
 
-def label_values(samples: DataFrame, metric: str, name: str) -> DataFrame:
-    """Distinct non-empty values of a label on a metric."""
-    values = select_series(samples, metric).select(label(name).alias("value"))
-    return values.where("value <> ''").distinct()
+def label_values(samples: DataFrame, metric: str, *names: str) -> DataFrame:
+    """`label, value`: the distinct non-empty values of the labels on a metric, in one pass."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("label"), label(name).alias("value")) for name in names])
+    return select_series(samples, metric).select(F.inline(pairs)).where("value <> ''").distinct()
 
 
 def with_display_name(samples: DataFrame, name: str) -> DataFrame:
@@ -101,26 +101,43 @@ def with_labels(labels: Column, added: Column) -> Column:
     return F.map_concat(renamed, added)
 
 
-def with_static_labels(samples: DataFrame, **labels: str) -> DataFrame:
-    """Add the same labels to every sample."""
-    added = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    return samples.withColumn("labels", with_labels(F.col("labels"), added))
-
+def with_listed_targets(
+    samples: DataFrame, targets: Mapping[str, tuple[Sequence[str], Mapping[str, str]]] = TARGETS,
+) -> DataFrame:
+    """Add `job`, `instance` and the target's labels to samples that carry the columns job and instance.
 
-def targets(spark: SparkSession, labels: Mapping[str, Mapping[str, str]] = TARGET_LABELS) -> DataFrame:
-    """A target table (`job, target_labels`) of the given labels; each also gets its `job`."""
-    return spark.createDataFrame(
-        [(job, {"job": job, **added}) for job, added in labels.items()],
-        "job string, target_labels map<string,string>")
+    `targets` lists each job's instances and labels. A list is part of the expression, so nothing is
+    joined or shuffled. A sample of a target that isn't listed stays as it is.
+    """
+    added = F.create_map().cast("map<string,string>")
+    for job, (instances, labels) in targets.items():
+        pairs = [F.lit(x) for pair in {"job": job, **labels}.items() for x in pair]
+        here = F.create_map(*pairs, F.lit("instance"), F.col("instance"))
+        added = F.when((F.col("job") == job) & F.col("instance").isin(*instances), here).otherwise(added)
+    return samples.withColumn("labels", with_labels(F.col("labels"), added))
 
 
 def with_target_labels(samples: DataFrame, targets: DataFrame, on: Iterable[str] = ("job",)) -> DataFrame:
-    """Add the labels of each sample's target (`*on, target_labels map`).
+    """Add the labels of each sample's target, from a stored table (`*on, target_labels map`).
 
-    Left join without a hint: Spark broadcasts the target list while its
-    measured size is below the broadcast threshold, and shuffles beyond it.
+    Left join without a hint: Spark broadcasts the table while its size in storage is below the broadcast
+    threshold, and shuffles beyond it. For a fixed list use `with_listed_targets`.
     """
     none = F.create_map().cast("map<string,string>")
     joined = samples.join(targets, list(on), "left")
     added = F.coalesce("target_labels", none)
     return joined.withColumn("labels", with_labels(F.col("labels"), added)).drop("target_labels")
+
+
+def per_type(samples: DataFrame, step: str, types: Column) -> DataFrame:
+    """`step, metric, labels, value`: a step's last value of a GAUGE, and the increase of a COUNTER over it.
+
+    `types` gives a sample's type. An increase is the step's last value less its first; a value lower than the one
+    before it, a restart, isn't told from a fall, so an increase is not below zero.
+    """
+    grouped = samples.groupBy(F.window("ts", step), "metric", "labels", types.alias("type")).agg(
+        F.max_by("value", "ts").alias("last"), F.min_by("value", "ts").alias("first"))
+    increase = F.greatest(F.col("last") - F.col("first"), F.lit(0.0))
+    return grouped.select(
+        F.col("window.start").alias("step"), "metric", "labels", "type",
+        F.when(F.col("type") == "COUNTER", increase).otherwise(F.col("last")).alias("value"))

@@ -24,6 +24,11 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(_EVENTS).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
+def events_stream_of(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of event files as a stream, a file per batch, in order of their times."""
+    return spark.readStream.schema(_EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _topic() -> Column:
     return F.when(F.col("user_id") % 2 == 0, "topic-json").otherwise("topic-parq")
 
@@ -73,9 +78,24 @@ def damaged_envelopes(events: DataFrame) -> DataFrame:
     return envelopes(events, payload)
 
 
+def odd_time_envelopes(events: DataFrame) -> DataFrame:
+    """One message per event, its time written in a way that depends on the event's type."""
+    kind = F.col("event_type")
+    form = (
+        F.when(kind == "error", F.date_format("ts", "yyyy-MM-dd'T'HH"))
+        .when(kind == "signup", F.date_format("ts", "HH:mm:ss"))
+        .when(kind == "click", F.date_format("ts", "'T'HH:mm"))
+        .when(kind == "purchase", F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    return envelopes(events, F.to_json(F.struct(
+        F.concat(F.lit("iot_device_"), (F.col("user_id") % 50 + 1).cast("string")).alias("device_id"), form.alias("timestamp"))))
+
+
 def resent_envelopes(events: DataFrame) -> DataFrame:
-    """All messages, and those of failed deliveries once more."""
-    return envelopes(events).unionByName(envelopes(events.where(F.col("event_type") == "error")))
+    """All messages, and those of failed deliveries once more, at an offset of their own."""
+    again = envelopes(events.where(F.col("event_type") == "error")).withColumn("offset", F.col("offset") + 10 ** 12)
+    return envelopes(events).unionByName(again)
 
 
 def deliveries(events: DataFrame) -> DataFrame:
@@ -106,13 +126,20 @@ def samples(events: DataFrame) -> DataFrame:
 
 
 def scraped(events: DataFrame) -> DataFrame:
-    """Message-rate samples as scraped: no `impl` yet, but the job they came from."""
+    """Message-rate samples as scraped: no `impl` yet, but the job and the instance they came from."""
     stack = F.when(F.col("user_id") % 2 == 0, "json").otherwise("parq")
     job = F.concat(
         F.lit("kafka-producer-"), stack, F.when(F.col("user_id") % 3 == 0, "-ckafka").otherwise(""))
     labels = F.create_map(F.lit("topic"), _topic(), F.lit("client_id"), _client())
+    port = F.concat(F.lit("91"), F.when(F.col("user_id") % 3 == 0, "1").otherwise("0"), F.when(stack == "json", "8").otherwise("9"))
     return events.select(
-        "ts", F.lit(MESSAGE_RATE).alias("metric"), labels.alias("labels"), "value", "event_id", job.alias("job"))
+        "ts", F.lit(MESSAGE_RATE).alias("metric"), labels.alias("labels"), "value", "event_id", job.alias("job"),
+        F.concat(F.lit("host.docker.internal:"), port).alias("instance"))
+
+
+def one_per_instant(samples: DataFrame) -> DataFrame:
+    """A sample per series and instant: its largest."""
+    return samples.groupBy("ts", "metric", "labels").agg(F.max("value").alias("value"))
 
 
 def targets(events: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The deployed jobs: topic to lake, and topic to console.
 
-Submit as `spark-submit -m iotlake.plans.jobs` or through `python -m`; every
+Run with `python -m iotlake.plans.jobs`, or give `spark-submit` the path of this file; every
 address, path and zone is an argument, credentials come from the cluster.
 """
 

@@ -82,6 +82,17 @@ _SAFE_TOPIC = "replace(topic, '-', '_')"
 _GC = "case when event_type = 'purchase' then 'G1 Young Generation' else '' end"
 _TYPE = "case when event_type = 'purchase' then 'COUNTER' else 'GAUGE' end"
 
+# Where a client is scraped.
+_INSTANCE = """'host.docker.internal:91' || case when user_id % 3 = 0 then '1' else '0' end ||
+  case when user_id % 2 = 0 then '8' else '9' end"""
+
+# Damaged payloads as they were sent.
+_DISTINCT_DAMAGED = f"""select distinct case d.event_type when 'error' then substring(t.text, 1, 30) when 'signup' then 'signup'
+    when 'click' then regexp_replace(t.text, '"battery_level":([0-9]+)', '"battery_level":"\\1"')
+    when 'purchase' then regexp_replace(t.text, '"timestamp":"[^"]*"', '"timestamp":"yesterday"') else t.text end as raw,
+  d.device_id, d.battery_level, d.motion_detected, d."timestamp"
+from ({_DAMAGED}) d join (select event_id, {_TEXT} as text from (select {_EVENT}, event_id from events)) t using (event_id)"""
+
 _TAIL = f"""select null::varchar as "key", {_TEXT} as value, ts as "timestamp"
 from (select {_EVENT}, ts from events)"""
 
@@ -102,6 +113,15 @@ from ({_DAMAGED}) d
   join (select event_id, {_TEXT} as text from (select {_EVENT}, event_id from events)) t using (event_id)
 where d."date" is null""",
     "dedup_payload": f"select distinct {_EVENT} from events",
+    "dedup_damaged": _DISTINCT_DAMAGED,
+    "stream_dedup_damaged": _DISTINCT_DAMAGED,
+    "odd_time_rows": """select 'iot_device_' || (user_id % 50 + 1) as device_id, case event_type
+    when 'error' then strftime(ts, '%Y-%m-%dT%H') when 'signup' then strftime(ts, '%H:%M:%S')
+    when 'click' then strftime(ts, 'T%H:%M') when 'purchase' then strftime(ts, '%Y-%m-%d')
+    else strftime(ts, '%Y-%m-%d %H:%M:%S') end as "timestamp",
+  case when event_type not in ('signup', 'click') then cast(ts as date) end as "date",
+  case when event_type = 'purchase' then 0 else extract(hour from ts)::int end as "hour"
+from events""",
     "producer_rate": f"""select topic, client_id, window_start, count(*) as msg_count,
   count(*)::double / 3600::double as rate, {_FAILED} as error_count, ({_FAILED})::double / 3600::double as error_rate,
   {_FAILED} as dropped_count
@@ -142,15 +162,23 @@ where metric = 'kafka_producer_message_rate' and topic = 'topic-json'
   and ts > timestamp '2024-01-14 12:00:00' and ts <= timestamp '2024-01-15 12:00:00'""",
     "error_by_client": f"""select ts, client_id as series, value, event_id from ({_SAMPLES})
 where metric = 'kafka_producer_error_rate' and topic = 'topic-parq'""",
-    "label_values": f"""select distinct 'topic' as label, topic as value from ({_SAMPLES})
-union all select distinct 'impl', impl from ({_SAMPLES}) where impl <> ''""",
+    "label_values": f"""select distinct 'topic' as label, topic as value from ({_SENT})
+union all select distinct 'impl', 'ckafka' from ({_SENT}) where user_id % 3 = 0
+union all select distinct 'instance', {_INSTANCE} from ({_SENT})""",
+    "error_panel": f"""select ts, client_id, impl, value, event_id from ({_SAMPLES})
+where metric = 'kafka_producer_error_rate' and topic = 'topic-json' and impl in ('ckafka', 'kpython')""",
+    "value_by_type": f"""select step, metric, case when metric = 'kafka_producer_error_rate' then 'COUNTER' else 'GAUGE' end as type,
+  topic, client_id, impl, case when metric = 'kafka_producer_error_rate' then greatest(latest - earliest, 0) else latest end as value
+from (select step, metric, topic, client_id, impl, max_by(value, ts) as latest, min_by(value, ts) as earliest
+  from (select step, ts, metric, topic, client_id, impl, max(value) as value from ({_SAMPLES}) group by all) group by all)""",
     "target_labels": f"""select ts, metric, event_id,
   case when topic = 'topic-json' then 'kpython' else impl end as impl,
   case when topic = 'topic-json' then impl else '' end as exported_impl,
   case when topic = 'topic-json' then 'producer-topic-json' else '' end as job_label
 from ({_SAMPLES})""",
     "scraped_impl": f"""select ts, event_id, value,
-  'kafka-producer-' || right(topic, 4) || case when user_id % 3 = 0 then '-ckafka' else '' end as job, topic,
+  'kafka-producer-' || right(topic, 4) || case when user_id % 3 = 0 then '-ckafka' else '' end as job,
+  {_INSTANCE} as instance, topic,
   case when user_id % 3 = 0 then 'ckafka' else '' end as impl
 from ({_SENT})""",
     "normalize_names": _named(
@@ -166,8 +194,8 @@ from ({_SENT})""",
         partition="case when event_type = 'click' then (user_id % 3)::varchar else '' end",
         client="''", gc=_GC),
     "normalize_names_specific": _named(
-        rule="case event_type when 'view' then 2 when 'click' then 8 when 'signup' then 13 else 17 end",
-        metric="""case event_type when 'view' then 'kafka_server_brokertopicmetrics_messagesinpersec'
+        rule="case event_type when 'view' then 14 when 'click' then 8 when 'signup' then 13 else 17 end",
+        metric="""case event_type when 'view' then 'kafka_broker_topic_metrics_messagesinpersec'
     when 'click' then 'kafka_log_log_logendoffset' when 'signup' then 'kafka_fetcher_lag_metrics_consumerlag'
     else 'jvm_gc_collection_count' end""",
         type=_TYPE,
@@ -197,7 +225,11 @@ from ({_DAMAGED})""",
     "lake_range": f"""{_LAKE}
 where ts >= timestamp '2024-01-10 03:30:00' and ts < timestamp '2024-01-12 07:15:00'""",
     "lake_hour": f"""select * from ({_LAKE}) where "date" = date '2024-01-15' and "hour" = 21""",
-    "progress_rates": "select 'progress' as name, count(*) as input_rows from events",
+    "progress_rates": "select 'progress' as name, count(*) as input_rows from events where day(ts) > 16",
+    "recent_batches": """select * from (values (1, 0, true), (2, 0, true), (3, 0, true)) as v(batch_id, source, committed)
+where exists (select * from events)""",
+    "newest_files": f"""select distinct "date", "hour" from ({_LAKE}) where "date" >= date '2024-01-29'""",
+    "stream_lake_parts": f"""select "date", "hour", count(*) as n from ({_LAKE}) group by 1, 2""",
     "stream_producer_rate": f"""select topic, client_id, window_start, count(*) as msg_count,
   count(*)::double / 3600::double as rate, {_FAILED} as error_count,
   sum(floor(value * 64) / 64) / count(*) as avg_delay

@@ -1,5 +1,6 @@
 """The registered queries: each takes a session and a table folder."""
 
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,22 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode.dedup(decode.decode(inputs.resent_envelopes(inputs.events(spark, sf_dir))))
+    return decode.decode(decode.dedup_payloads(inputs.resent_envelopes(inputs.events(spark, sf_dir))))
+
+
+def _raw(payloads: DataFrame) -> DataFrame:
+    """Each payload's text and what is read of it."""
+    return decode.decode(payloads.withColumn("raw", F.col("value").cast("string")), keep=["raw"])
+
+
+def dedup_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct damaged payloads: those that cannot be read stay apart."""
+    return _raw(decode.dedup_payloads(inputs.damaged_envelopes(inputs.events(spark, sf_dir))))
+
+
+def odd_time_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of events whose time names no zone, has no minutes, no date or only a date."""
+    return to_lake_rows(inputs.odd_time_envelopes(inputs.events(spark, sf_dir))).select("device_id", "timestamp", "date", "hour")
 
 
 # Producer metrics
@@ -174,20 +190,32 @@ def error_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _samples(spark, sf_dir)
-    parts = [
-        series.label_values(rows, metrics.MESSAGE_RATE, name).select(F.lit(name).alias("label"), "value")
-        for name in ("topic", "impl", "instance")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    scraped = series.with_listed_targets(inputs.scraped(inputs.events(spark, sf_dir)))
+    return series.label_values(scraped, metrics.MESSAGE_RATE, "topic", "impl", "instance")
+
+
+def error_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error panel: one topic and a pattern of implementations."""
+    chosen = series.select_series(
+        _samples(spark, sf_dir), metrics.ERROR_RATE, {"topic": "topic-json"}, {"impl": "ckafka|kpython"})
+    return chosen.select("ts", label("client_id").alias("client_id"), label("impl").alias("impl"), "value", "event_id")
+
+
+def value_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value of a gauge and the increase of a counter, per hour: error rates are taken for counters here."""
+    kind = F.when(F.col("metric") == metrics.ERROR_RATE, "COUNTER").otherwise("GAUGE")
+    found = series.per_type(inputs.one_per_instant(_samples(spark, sf_dir)), WIDTH, kind)
+    return found.select("step", "metric", "type", label("topic").alias("topic"), label("client_id").alias("client_id"),
+                        label("impl").alias("impl"), "value")
 
 
 def scraped_impl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples of both client families, told apart by the labels of their jobs."""
     scraped = inputs.scraped(inputs.events(spark, sf_dir))
-    labelled = series.with_target_labels(scraped, series.targets(spark))
+    labelled = series.with_listed_targets(scraped)
     return labelled.select(
-        "ts", "event_id", "value", "job", label("topic").alias("topic"), label("impl").alias("impl"))
+        "ts", "event_id", "value", label("job").alias("job"), label("instance").alias("instance"),
+        label("topic").alias("topic"), label("impl").alias("impl"))
 
 
 def target_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +238,7 @@ def _named(rows: DataFrame) -> DataFrame:
 
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.bean_samples(inputs.events(spark, sf_dir))
-    return _named(rules.normalize_by_dictionary(rows, rules.BROKER_RULES))
+    return _named(rules.normalize_names(rows, rules.BROKER_RULES))
 
 
 def normalize_names_specific(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +248,7 @@ def normalize_names_specific(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_coordination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.coordination_samples(inputs.events(spark, sf_dir))
-    return rules.normalize_by_dictionary(rows, rules.COORDINATION_RULES).select(
+    return rules.normalize_names(rows, rules.COORDINATION_RULES).select(
         "ts", "value", "rule", F.col("name").alias("metric"), "type")
 
 
@@ -301,27 +329,52 @@ def lake_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.newest_files(spark, _stream_lake(spark, sf_dir, "parquet"))
+    """The newest files of a lake whose older half was written first: what date and hour they are of."""
+    path = f"{shared_dir(spark, 'newest')}/out"
+    rows, late = lake_rows(spark, sf_dir), F.col("date") >= F.lit("2024-01-29").cast("date")
+    sinks.write_lake_batch(rows.where(~late), "parquet", path)
+    # The file system's times may be whole seconds.
+    time.sleep(1.1)
+    sinks.write_lake_batch(rows.where(late).coalesce(1), "parquet", path, mode="append", cluster=False)
+    n = rows.where(late).select("date", "hour").distinct().count()
+    found = monitor.newest_files(spark, path, n)
+    return found.select(
+        F.regexp_extract("path", "/date=([^/]*)/", 1).cast("date").alias("date"),
+        F.regexp_extract("path", "/hour=([^/]*)/", 1).cast("int").alias("hour"))
 
 
 def _stream_decoded(spark: SparkSession, sf_dir: str, name: str):
     """Stream all messages through the decoder without storing them; the query and its checkpoint."""
-    checkpoint = f"{shared_dir(spark, name)}/checkpoint"
-    query = (
-        to_lake_rows(inputs.envelopes(inputs.events_stream(spark, sf_dir)))
-        .writeStream.format("noop").queryName(name).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    _drain(query)
+    base = shared_dir(spark, name)
+    checkpoint, query = f"{base}/checkpoint", None
+    for stream in _in_parts(spark, sf_dir, base):
+        query = (
+            to_lake_rows(inputs.envelopes(stream))
+            .writeStream.format("noop").queryName(name).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        _drain(query)
     return query, checkpoint
 
 
+def _in_parts(spark: SparkSession, sf_dir: str, base: str):
+    """The events as a stream of several files in order of time, read by two runs: the second finds two files more."""
+    rows, path = inputs.events(spark, sf_dir), f"{base}/events"
+    day = F.dayofmonth("ts")
+    for parts in (((1, 8), (9, 16)), ((17, 24), (25, 31))):
+        for first, last in parts:
+            rows.where(day.between(first, last)).coalesce(1).write.mode("append").parquet(path)
+        yield inputs.events_stream_of(spark, path)
+
+
 def recent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.recent_batches(spark, _stream_decoded(spark, sf_dir, "recent")[1])
+    """The newest batches of a checkpoint that two runs have written."""
+    found = monitor.recent_batches(spark, _stream_decoded(spark, sf_dir, "recent")[1])
+    return found.select("batch_id", "source", "committed")
 
 
 def progress_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a stream as its progress reports count them."""
+    """Rows of a stream's second run as its progress reports count them."""
     query, _ = _stream_decoded(spark, sf_dir, "progress")
     return progress.progress_rates(spark, [query]).groupBy("name").agg(
         F.sum("numInputRows").alias("input_rows"))
@@ -347,8 +400,7 @@ def stream_dedup_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct payloads of a stream in which failed messages are sent twice."""
     base = shared_dir(spark, "dedup")
     sent = inputs.resent_envelopes(inputs.events_stream(spark, sf_dir))
-    events = decode.decode(sent.withColumnRenamed("timestamp", "sent_at"), keep=["sent_at", "partition", "offset"])
-    rows = decode.dedup_stream(events, "sent_at", "1 day")
+    rows = decode.decode(decode.dedup_stream(sent.withColumnRenamed("timestamp", "sent_at"), "sent_at", "1 day"))
     query = (
         rows.select(*EVENT_COLUMNS).writeStream.format("parquet").outputMode("append")
         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
@@ -358,6 +410,28 @@ def stream_dedup_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def stream_dedup_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct damaged payloads of a stream in four batches and two runs on one checkpoint."""
+    base = shared_dir(spark, "dedup-damaged")
+    for stream in _in_parts(spark, sf_dir, base):
+        sent = inputs.damaged_envelopes(stream).withColumnRenamed("timestamp", "sent_at")
+        rows = _raw(decode.dedup_stream(sent, "sent_at", "40 days"))
+        _drain(
+            rows.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start())
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_lake_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake that two runs on one checkpoint have streamed, with at most two files a partition and batch."""
+    base = shared_dir(spark, "lake-parts")
+    for stream in _in_parts(spark, sf_dir, base):
+        _drain(sinks.write_lake(to_lake_rows(inputs.envelopes(stream)), "parquet", f"{base}/out", f"{base}/checkpoint",
+                                "lake-parts", {"availableNow": True}, files=2))
+    return monitor.partition_counts(read_lake(spark, f"{base}/out", "parquet"))
+
+
 def metrics_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "metrics-log")
     log = metrics.with_elapsed(_metrics(spark, sf_dir, keys=["topic"]))

@@ -1,7 +1,6 @@
 """Rates of running queries as rows."""
 
-from collections import deque
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +16,16 @@ def _row(progress) -> tuple:
     )
 
 
-def progress_rates(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """One row per recent batch of the given queries.
+def progress_rates(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
+    """One row per batch of the given queries, from the reports that Spark keeps on the driver.
 
-    Spark keeps a bounded list of progress reports per query on the driver; that
-    list, never data, becomes the DataFrame.
+    Spark keeps the newest `spark.sql.streaming.numRecentProgressUpdates` of a query. One that may have lost
+    reports already is refused, as sums over it would be too low: use a `ProgressLog` there.
     """
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    cut = [query.name for query in queries if len(query.recentProgress) >= kept]
+    if cut:
+        raise ValueError(f"only the newest {kept} reports are kept of {cut}")
     rows = [_row(p) for query in queries for p in query.recentProgress]
     return spark.createDataFrame(rows, PROGRESS)
 
@@ -49,10 +52,14 @@ def progress_offsets(spark: SparkSession, queries: Iterable[StreamingQuery]) ->
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress reports of every query of a session."""
+    """Progress reports of every query of a session, all of them.
 
-    def __init__(self, size: int = 1000):
-        self._rows = deque(maxlen=size)
+    `save` appends the reports since the last save to a table and forgets them, so the driver holds no more than
+    arrive between two saves.
+    """
+
+    def __init__(self):
+        self._rows = []
 
     def onQueryStarted(self, event):
         pass
@@ -67,4 +74,11 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def rates(self, spark: SparkSession) -> DataFrame:
+        """The reports not saved yet."""
         return spark.createDataFrame(list(self._rows), PROGRESS)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        taken = list(self._rows)
+        if taken:
+            spark.createDataFrame(taken, PROGRESS).coalesce(1).write.mode("append").parquet(path)
+            del self._rows[:len(taken)]

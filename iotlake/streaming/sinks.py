@@ -61,9 +61,12 @@ def write_lake_batch(rows: DataFrame, fmt: str, path: str, mode: str = "errorife
     rows.write.format(fmt).mode(mode).partitionBy(*PARTITION_COLUMNS).save(path)
 
 
-def write_console(rows: DataFrame, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Print a stream untruncated. For looking at a topic: rows pass the driver."""
-    writer = rows.writeStream.format("console").outputMode("append").option("truncate", False)
+def write_console(rows: DataFrame, trigger: Mapping[str, object] | None = None, shown: int = 20) -> StreamingQuery:
+    """Print the first `shown` rows of every micro-batch, each in full; the others are left out.
+
+    For looking at a topic: the rows pass the driver.
+    """
+    writer = rows.writeStream.format("console").outputMode("append").option("truncate", False).option("numRows", shown)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 

@@ -103,6 +103,14 @@ def test_text_projection(spark):
     ("2025-01-15 03:04:05 Europe/Paris", date(2025, 1, 15), 20, 2),
     ("2025-01-15T03:04:05", date(2025, 1, 15), 3, 9),
     ("2025-01-15", date(2025, 1, 15), 0, 6),
+    ("2025-01-15T03", date(2025, 1, 15), 3, 9),
+    ("2025-01-15 3:04", date(2025, 1, 15), 3, 9),
+    ("2025-01-15T03:04:00+05:30", date(2025, 1, 15), 15, 21),
+    ("12:30:00", None, 12, None),
+    ("T12:30", None, 12, None),
+    ("25:30", None, None, None),
+    ("12:30:00Z", None, None, None),
+    ("12:30+02:00", None, None, None),
 ])
 @pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "Asia/Tokyo"])
 def test_zone_table(spark, settings, zone, text, day, hour, utc_hour):
@@ -139,7 +147,15 @@ def test_unknown_keys_are_refused(spark):
         decode.with_partitions(spark.createDataFrame([("x",)], "timestamp string"), keys="local")
 
 
-def test_dedup_keeps_one_of_each(spark):
-    hot = [("d", 1, True, AT)] * 50 + [("d", 2, True, AT)] + [(None, None, None, None)] * 3
-    frame = spark.createDataFrame(hot, EVENT)
-    assert len(rows(decode.dedup(frame))) == 3
+def test_dedup_keeps_one_of_each_payload(spark):
+    payloads = [event()] * 50 + [event(battery_level="2"), "cut {", "cut {", "other {", "", None, None]
+    frame = spark.createDataFrame([(p,) for p in payloads], "payload string").select(
+        F.col("payload").cast("binary").alias("value"))
+    # Different unreadable payloads stay apart, and messages without one are no copies.
+    assert decode.dedup_payloads(frame).count() == 7
+    assert decode.decode(decode.dedup_payloads(frame)).where("device_id IS NULL").count() == 5
+
+
+def test_dedup_by_named_columns(spark):
+    frame = spark.createDataFrame([("d", 1, True, AT)] * 5 + [("d", 2, True, AT)], EVENT)
+    assert rows(decode.dedup(frame, ["device_id"])) == [("d",)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from iotlake.operators import monitor
 from iotlake.plans import inputs
-from iotlake.plans.report import report
+from iotlake.plans.report import report, starting_offsets, summaries
 from iotlake.sources.lake import read_lake, read_lake_between
 from iotlake.streaming.sinks import write_lake_batch
 
@@ -20,25 +20,42 @@ def checkpoint(tmp_path):
     ], start=8):
         (folder / str(batch)).write_text(f'v1\n{{"batchWatermarkMs":0,"conf":{{}}}}\n{offsets}')
         (folder / f".{batch}.crc").write_bytes(b"x")
+    # The newest batch was begun and never finished.
+    (tmp_path / "checkpoint" / "commits").mkdir()
+    for batch in (8, 9, 10):
+        (tmp_path / "checkpoint" / "commits" / str(batch)).write_text('v1\n{"nextBatchWatermarkMs":0}')
     return str(tmp_path / "checkpoint")
 
 
-def test_committed_offsets_are_the_newest_batch(spark, checkpoint):
+def test_committed_offsets_are_those_of_the_newest_finished_batch(spark, checkpoint):
     result = monitor.committed_offsets(spark, checkpoint, "sink")
-    assert rows(result) == [("sink", "t", 0, 20), ("sink", "t", 1, 8), ("sink", "t", 10, 3)]
+    assert rows(result) == [("sink", "t", 0, 12, 20), ("sink", "t", 1, 8, 8), ("sink", "t", 10, None, 3)]
+
+
+def test_nothing_is_committed_before_the_first_commit(spark, tmp_path):
+    (tmp_path / "offsets").mkdir()
+    (tmp_path / "offsets" / "0").write_text('v1\n{}\n{"t":{"0":5}}')
+    assert rows(monitor.committed_offsets(spark, str(tmp_path), "q")) == [("q", "t", 0, None, 5)]
+
+
+def test_recent_batches_are_whole(spark, tmp_path):
+    (tmp_path / "offsets").mkdir()
+    for batch in range(3):
+        (tmp_path / "offsets" / str(batch)).write_text('v1\n{}\n{"t":{"0":1}}\n{"u":{"0":1}}')
+    found = monitor.recent_batches(spark, str(tmp_path), 2)
+    assert rows(found, "batch_id", "source", "committed") == [(1, 0, False), (1, 1, False), (2, 0, False), (2, 1, False)]
 
 
 def test_recent_batches(spark, checkpoint):
     result = monitor.recent_batches(spark, checkpoint)
-    assert [r.batch_id for r in result.collect()] == [11, 10, 9]
-    assert result.first().offsets == '{"t":{"0":20,"1":8,"10":3}}'
+    assert rows(result, "batch_id", "committed") == [(10, True), (11, False), (9, True)]
 
 
 def test_lag(spark, checkpoint):
     ends = spark.createDataFrame([("t", 0, 25), ("t", 1, 8), ("t", 2, 4), ("u", 0, 6)],
                                  "topic string, partition int, end_offset bigint")
     result = monitor.consumer_lag(ends, monitor.committed_offsets(spark, checkpoint, "sink"))
-    assert rows(result) == [("t", 0, 25, 20, 5), ("t", 1, 8, 8, 0), ("t", 2, 4, 0, 4), ("u", 0, 6, 0, 6)]
+    assert rows(result) == [("t", 0, 25, 12, 13), ("t", 1, 8, 8, 0), ("t", 2, 4, 0, 4), ("u", 0, 6, 0, 6)]
     assert result.where("lag < 0").count() == 0
 
 
@@ -104,4 +121,7 @@ def test_report(spark, events, lake, checkpoint):
     parts = report(spark, inputs.envelopes(events), {lake[1]: lake[0]}, {"sink": checkpoint})
     assert list(parts) == ["topics", "end offsets", "lag", "newest batches of sink", f"newest {lake[1]} files",
                            f"{lake[1]} rows"]
-    assert [part.count() for part in parts.values()] == [2, 6, 6, 3, 2, 5]
+    # The checkpoint's own two committed partitions are added to the topics' six.
+    assert [part.count() for part in parts.values()] == [2, 8, 8, 3, 2, 5]
+    assert starting_offsets(spark, {"sink": checkpoint}) == '{"t": {"0": 12, "1": 8}}'
+    assert summaries(parts)["lag"].first().total_lag == parts["lag"].agg(F.sum("lag")).first()[0]

@@ -16,8 +16,7 @@ from iotlake.streaming.sinks import write_lake_batch
 from test_oracle import ORACLE, QUERIES, WRITES_FILES
 
 PLANNED = sorted(set(QUERIES) - WRITES_FILES)
-JOINS = ["consumer_lag", "target_labels", "scraped_impl", "normalize_names", "normalize_coordination", "run_elapsed",
-         "lambda_current"]
+JOINS = ["consumer_lag", "target_labels", "run_elapsed", "producer_delay"]
 
 
 @pytest.mark.parametrize("name", PLANNED)
@@ -107,3 +106,36 @@ def test_time_range_and_metric_reach_the_scan(spark, tmp_path):
 
 def test_end_offsets_read_two_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan(contract.queries()["end_offsets"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["scraped_impl", "normalize_names", "normalize_coordination", "error_panel"])
+def test_samples_are_not_shuffled(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "Exchange" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("name,most", [("lambda_current", 16), ("label_values", 64), ("producer_delay", 200)])
+def test_shuffled_rows_stay_few_with_any_broadcast_limit(spark, settings, name, most):
+    """Rows that the exchanges wrote, with the limit below the input's size."""
+    with settings({"spark.sql.autoBroadcastJoinThreshold": "10KB"}):
+        frame = QUERIES[name](spark, SF)
+        frame.collect()
+        executed = frame._jdf.queryExecution().executedPlan()
+        assert sum(_shuffled(executed)) <= most
+
+
+def _shuffled(node):
+    """shuffleRecordsWritten of every exchange below a node."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from _shuffled(node.executedPlan())
+        return
+    if kind.endswith("QueryStageExec"):
+        yield from _shuffled(node.plan())
+        return
+    found = node.metrics().get("shuffleRecordsWritten")
+    if found.isDefined():
+        yield found.get().value()
+    children = node.children()
+    for i in range(children.size()):
+        yield from _shuffled(children.apply(i))

@@ -12,7 +12,10 @@ SHADOWED = {
         (1, "kafka_server_replicamanager_leadercount", {}),) * 2,
     "kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec, topic=topic-json><>Value": (
         (1, "kafka_server_brokertopicmetrics_messagesinpersec_topic_topic_json", {}),
-        (2, "kafka_server_brokertopicmetrics_messagesinpersec", {"topic": "topic-json"})),
+        (14, "kafka_broker_topic_metrics_messagesinpersec", {"topic": "topic-json"})),
+    "kafka.server<type=Fetcher, name=BytesPerSec, topic=t><>Value": (
+        (1, "kafka_server_fetcher_bytespersec_topic_t", {}),
+        (2, "kafka_server_fetcher_bytespersec", {"topic": "t"})),
     "kafka.server<type=Produce, name=ByteRate, client-id=p1><>Value": (
         (1, "kafka_server_produce_byterate_client_id_p1", {}),
         (3, "kafka_server_produce_byterate", {"client_id": "p1"})),
@@ -39,7 +42,8 @@ SHADOWED = {
         (1, "kafka_server_fetcherlagmetrics_client_id_c1_topic_t_partition_3_consumerlag", {}),
         (13, "kafka_fetcher_lag_metrics_consumerlag", {"client_id": "c1", "topic": "t", "partition": "3"})),
     "kafka.server<type=BrokerTopicMetrics, name=BytesInPerSec><>Value": (
-        (1, "kafka_server_brokertopicmetrics_bytesinpersec", {}),) * 2,
+        (1, "kafka_server_brokertopicmetrics_bytesinpersec", {}),
+        (15, "kafka_broker_topic_metrics_bytesinpersec", {})),
     "java.lang<type=Memory><>HeapMemoryUsage": ((16, "jvm_memory_heapmemoryusage", {}),) * 2,
     "java.lang<type=GarbageCollector, name=G1 Old Generation><>CollectionCount": (
         (17, "jvm_gc_collection_count", {"gc_collector": "G1 Old Generation"}),) * 2,
@@ -57,7 +61,7 @@ def apply(spark, names, chosen, how, mode=FIRST_MATCH, **options):
     return {r.source: (r.rule, r["name"], r.labels) for r in result.collect()}
 
 
-@pytest.mark.parametrize("how", [rules.normalize_names, rules.normalize_by_dictionary])
+@pytest.mark.parametrize("how", [rules.normalize_names])
 @pytest.mark.parametrize("mode,position", [(FIRST_MATCH, 0), (MOST_SPECIFIC, 1)])
 def test_broker_rules(spark, how, mode, position):
     names = [*SHADOWED, "kafka.other<type=X>", "", None]
@@ -65,9 +69,8 @@ def test_broker_rules(spark, how, mode, position):
 
 
 def test_every_rule_fires_in_one_of_the_orders():
-    """But for the two about broker topic metrics: equally specific rules come before them in both."""
     fired = {result[0] for case in SHADOWED.values() for result in case}
-    assert set(range(1, 21)) - fired == {14, 15}
+    assert set(range(1, 21)) == fired
 
 
 def test_types_and_help(spark):
@@ -79,7 +82,7 @@ def test_types_and_help(spark):
     assert result[17].help is None
 
 
-@pytest.mark.parametrize("how", [rules.normalize_names, rules.normalize_by_dictionary])
+@pytest.mark.parametrize("how", [rules.normalize_names])
 def test_coordination_rules_keep_every_other_name(spark, how):
     names = [LEADER + n for n in ("AvgRequestLatency", "MaxRequestLatency", "OutstandingRequests", "NumAliveConnections",
                                   "WatchCount", "DataTreeSize", "Other")]
@@ -108,5 +111,4 @@ def test_unknown_mode(spark):
 
 def test_sample_columns_are_kept(spark):
     frame = spark.createDataFrame([("java.lang<type=Threading><>ThreadCount", 4.0)], "name string, value double")
-    for how in (rules.normalize_names, rules.normalize_by_dictionary):
-        assert rows(how(frame, BROKER_RULES), "value", "name") == [(4.0, "jvm_thread_threadcount")]
+    assert rows(rules.normalize_names(frame, BROKER_RULES), "value", "name") == [(4.0, "jvm_thread_threadcount")]

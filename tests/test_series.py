@@ -100,8 +100,7 @@ def test_exact_sum_does_not_depend_on_order(spark):
 
 
 def test_label_values(samples):
-    assert rows(series.label_values(samples, RATE, "impl")) == [("ckafka",), ("kpython",)]
-    assert rows(series.label_values(samples, RATE, "instance")) == []
+    assert rows(series.label_values(samples, RATE, "impl", "instance")) == [("impl", "ckafka"), ("impl", "kpython")]
 
 
 def test_time_range_leaves_its_start_out(samples):
@@ -114,11 +113,39 @@ def test_display_name(samples):
     assert {r.series for r in named.collect()} == {"p1", "p2", ""}
 
 
-def test_static_labels_rename_what_they_replace(samples):
-    labelled = series.with_static_labels(samples, impl="new", job="j")
+def test_listed_targets_rename_what_they_replace(samples):
+    scraped = samples.withColumn("job", F.lit("j")).withColumn(
+        "instance", F.when(F.col("value") == 4.0, "elsewhere").otherwise("h:1"))
+    labelled = series.with_listed_targets(scraped, {"j": (["h:1", "h:2"], {"impl": "new"}), "k": (["h:1"], {})})
     result = {r.value: r.labels for r in labelled.collect()}
-    assert result[16.0] == {"topic": "topic-json", "impl": "new", "job": "j"}
-    assert result[32.0] == {"topic": "topic-parq", "exported_impl": "kpython", "impl": "new", "job": "j"}
+    assert result[16.0] == {"topic": "topic-json", "impl": "new", "job": "j", "instance": "h:1"}
+    assert result[32.0] == {"topic": "topic-parq", "exported_impl": "kpython", "impl": "new", "job": "j", "instance": "h:1"}
+    assert "job" not in result[4.0]
+
+
+def test_every_producer_job_is_listed(spark):
+    rows_ = [(job, instance) for job, (instances, _) in series.TARGETS.items() for instance in instances]
+    frame = spark.createDataFrame(rows_, "job string, instance string").withColumn(
+        "labels", F.create_map().cast("map<string,string>"))
+    labels = [r.labels for r in series.with_listed_targets(frame).collect()]
+    assert len(labels) == 8 and {x["job"] for x in labels} == set(series.TARGETS)
+    assert sum("impl" in x for x in labels) == 6
+
+
+def test_label_patterns_match_the_whole_value(spark):
+    frame = spark.createDataFrame([("ckafka",), ("ckafka\n",), ("a\nb",)], "v string").select(
+        F.create_map(F.lit("impl"), F.col("v")).alias("labels"))
+    assert series.select_series(frame, matches={"impl": "ckafka"}).count() == 1
+    assert series.select_series(frame, matches={"impl": "a.b"}).count() == 1
+
+
+def test_per_type(spark):
+    start = datetime(2024, 1, 1)
+    frame = spark.createDataFrame(
+        [(start.replace(minute=m), metric, float(v)) for metric in ("g", "c") for m, v in ((0, 5), (1, 9), (2, 7))],
+        "ts timestamp_ntz, metric string, value double").withColumn("labels", F.create_map().cast("map<string,string>"))
+    kind = F.when(F.col("metric") == "c", "COUNTER").otherwise("GAUGE")
+    assert rows(series.per_type(frame, "1 hour", kind), "metric", "value") == [("c", 2.0), ("g", 7.0)]
 
 
 def test_target_labels_keep_samples_without_target(spark, samples):

@@ -90,6 +90,9 @@ def test_rates_come_from_progress(spark, folders):
                 break
             time.sleep(0.1)
         assert log.rates(spark).where("name = 'topic-parq_sink'").agg(F.sum("numInputRows")).first()[0] == 5
+        log.save(spark, folders["out"] + "-log")
+        assert spark.read.parquet(folders["out"] + "-log").agg(F.sum("numInputRows")).first()[0] >= 5
+        assert log.rates(spark).count() == 0
     finally:
         spark.streams.removeListener(log)
 
@@ -269,16 +272,23 @@ def test_metrics_log_of_a_batch(spark, sent, folders):
     assert rows(log.where("run = '1'"), *sinks.metrics_log(windows).columns) == rows(sinks.metrics_log(windows))
 
 
+def test_progress_that_may_be_cut_is_refused(spark, settings):
+    class Query:
+        name, recentProgress = "q", [None] * 3
+
+    with settings({"spark.sql.streaming.numRecentProgressUpdates": "3"}), pytest.raises(ValueError):
+        progress.progress_rates(spark, [Query()])
+
+
 @pytest.mark.parametrize("salts", [1, 16])
 def test_dedup_stream(spark, folders, salts):
     hot = [payload(0)] * 40
     add(spark, folders["in"], hot + [payload(1), "bad"])
-    add(spark, folders["in"], hot + [payload(1), payload(2)], 42)
+    add(spark, folders["in"], hot + [payload(1), payload(2), "bad", "worse"], 42)
     add(spark, folders["in"], hot, 84)
     source = replay(spark, folders["in"], max_files_per_trigger=1).withColumnRenamed("timestamp", "sent_at")
-    events = decode.decode(source, keep=["sent_at", "partition", "offset"])
-    unique = decode.dedup_stream(events, "sent_at", "1 hour", salts=salts)
-    assert [d for d, in rows(drain(unique.select("device_id"), folders))] == ["d0", "d1", "d2", None]
+    unique = decode.decode(decode.dedup_stream(source, "sent_at", "1 hour", salts=salts))
+    assert [d for d, in rows(drain(unique.select("device_id"), folders))] == ["d0", "d1", "d2", None, None]
 
 
 def test_replayed_envelopes_have_the_connector_columns(spark, folders):
