@@ -2,8 +2,9 @@
 
 A page is read as a sequence of tags and texts. Each word scores by how often words in such a place (nearest block, in a
 link or not) were content in the labelled pages, always above zero; each tag scores below zero, the more so the more often
-it stood outside the content. One linear scan finds the contiguous run of tokens with the highest sum. Of that region, the texts
-outside menus, headers, footers, asides, notices, adverts, forms, scripts, styles and comments are returned, block by block.
+it stood outside the content. What stands in menus, headers, footers, asides, notices, adverts, forms, scripts, styles and comments
+scores nothing, as the content goes on around it. One linear scan finds the contiguous run of tokens with the highest sum. The
+texts of that region are returned block by block, without those parts.
 
 Weights come from labelled pages: pages that mark their content themselves by an `article` or `main` element, up to
 `label_pages` of them, taken by the hash of their id. Without any, `DEFAULT` weights hold.
@@ -138,11 +139,12 @@ def learn(pages: list[list[Token]]) -> Weights:
     inside, outside, words_in, words_out = Counter(), Counter(), Counter(), Counter()
     for page in pages:
         for t in page:
-            good = t.content and not t.left_out
+            if t.left_out:
+                continue
             if t.tag:
-                (inside if good else outside)[t.tag] += 1
+                (inside if t.content else outside)[t.tag] += 1
             else:
-                (words_in if good else words_out)[t.place] += len(t.text.split())
+                (words_in if t.content else words_out)[t.place] += len(t.text.split())
     weights = Weights()
     for name in inside.keys() | outside.keys():
         weights.tag[name] = -0.05 - 3 * outside[name] / (inside[name] + outside[name])
@@ -161,10 +163,10 @@ def best_region(page: list[Token], weights: Weights) -> tuple[int, int]:
     """First token of the best-scoring run and the one after its last; equal if no run scores above zero."""
     best, found, total, start = 0.0, (0, 0), 0.0, 0
     for i, t in enumerate(page):
-        if t.tag:
+        if t.left_out:
+            score = 0.0
+        elif t.tag:
             score = weights.of_tag(t.tag)
-        elif t.left_out:
-            score = 0.01 * len(t.text.split())
         else:
             score = weights.of_word(t.place) * len(t.text.split())
         if total < 0 or i == 0:

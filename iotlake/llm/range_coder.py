@@ -8,7 +8,7 @@ alike on every machine. Blocks are coded in step, one numpy lane each.
 
 A block is the bytes
 
-    "IDB1", crc32 of all that follows, n_ids, crc32 of the ids (4 bytes each, little-endian), n_pieces, payload size   4 bytes each
+    "IDB1", crc32 of all that follows, n_ids, crc32 of the ids (4 bytes each, little-endian), n_pieces, payload size, slots   4 bytes each
     index of the first id within its part, number of the first piece's document within the part                        8 bytes each
     per piece (the ids of one document in this block): doc_id (8 bytes), n (4), flags (1: goes on from the block before, 2: null doc_id)
     payload
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from iotlake.llm.tables import plain, stored, workers_find_us
 
 MAGIC = b"IDB1"
-_HEAD = struct.Struct("<4s5I2Q")
+_HEAD = struct.Struct("<4s6I2Q")
 _MASK, _TOP, _BOT = np.uint64(0xFFFFFFFF), np.uint64(1 << 24), np.uint64(1 << 16)
 _BITS = 15
 _ONE = 1 << _BITS
@@ -228,19 +228,19 @@ class Piece:
     goes_on: bool
 
 
-def pack(ids: np.ndarray, payload: bytes, pieces: list[Piece], first: int, number: int) -> bytes:
+def pack(ids: np.ndarray, payload: bytes, pieces: list[Piece], first: int, number: int, slots: int) -> bytes:
     rest = b"".join((
         np.array([p.doc_id or 0 for p in pieces], "<i8").tobytes(), np.array([p.n for p in pieces], "<u4").tobytes(),
         np.array([p.goes_on + 2 * (p.doc_id is None) for p in pieces], np.uint8).tobytes(), payload))
-    head = _HEAD.pack(MAGIC, 0, len(ids), crc32(ids.astype("<u4").tobytes()), len(pieces), len(payload), first, number)
+    head = _HEAD.pack(MAGIC, 0, len(ids), crc32(ids.astype("<u4").tobytes()), len(pieces), len(payload), slots, first, number)
     return MAGIC + struct.pack("<I", crc32(head[8:] + rest)) + head[8:] + rest
 
 
-def unpack(block: bytes) -> tuple[bytes, int, int, list[Piece], int, int]:
-    """Payload, n_ids, the ids' crc32, pieces, first index and first document number. ValueError for a damaged block."""
+def unpack(block: bytes) -> tuple[bytes, int, int, list[Piece], int, int, int]:
+    """Payload, n_ids, the ids' crc32, pieces, slots, first index and first document number. ValueError for a damaged block."""
     if len(block) < _HEAD.size or block[:4] != MAGIC:
         raise ValueError("not a block of ids")
-    _, check, n_ids, ids_crc, n, size, first, number = _HEAD.unpack_from(block)
+    _, check, n_ids, ids_crc, n, size, slots, first, number = _HEAD.unpack_from(block)
     if crc32(block[8:]) != check:
         raise ValueError("damaged block of ids")
     at = _HEAD.size
@@ -248,7 +248,7 @@ def unpack(block: bytes) -> tuple[bytes, int, int, list[Piece], int, int]:
     counts = np.frombuffer(block, "<u4", n, at + 8 * n)
     flags = np.frombuffer(block, np.uint8, n, at + 12 * n)
     pieces = [Piece(None if f & 2 else int(d), int(c), bool(f & 1)) for d, c, f in zip(names, counts, flags, strict=True)]
-    return block[at + 13 * n: at + 13 * n + size], n_ids, ids_crc, pieces, first, number
+    return block[at + 13 * n: at + 13 * n + size], n_ids, ids_crc, pieces, slots, first, number
 
 
 class BlockWriter:
@@ -287,7 +287,7 @@ class BlockWriter:
         """(seq, block) of what is waiting."""
         payloads = encode_blocks([w[0] for w in self.waiting], self.shape.slots)
         for (ids, pieces, first, number), payload in zip(self.waiting, payloads, strict=True):
-            yield self.seq, pack(ids, payload, pieces, first, number)
+            yield self.seq, pack(ids, payload, pieces, first, number, self.shape.slots)
             self.seq += 1
         self.waiting = []
 
@@ -405,7 +405,7 @@ def joined_crc(first: int, second: int, size: int) -> int:
     return first ^ second
 
 
-def read_pieces(files: DataFrame, lanes: int = Shape.lanes, slots: int = Shape.slots) -> DataFrame:
+def read_pieces(files: DataFrame, lanes: int = Shape.lanes) -> DataFrame:
     """part, number, seq, doc_id, first, n and crc of every piece, from decoded and checked blocks. ids are in `ids`."""
     workers_find_us(files.sparkSession)
     names = ["part", "number", "seq", "doc_id", "first", "n", "crc", "ids"]
@@ -415,8 +415,12 @@ def read_pieces(files: DataFrame, lanes: int = Shape.lanes, slots: int = Shape.s
 
         def flush():
             heads = [unpack(b) for _, _, b in waiting]
-            decoded = decode_blocks([h[0] for h in heads], [h[1] for h in heads], slots)
-            for (part, seq, _), (_, n_ids, ids_crc, pieces, first, number), ids in zip(waiting, heads, decoded, strict=True):
+            decoded: list = [None] * len(heads)
+            for slots in {h[4] for h in heads}:
+                some = [i for i, h in enumerate(heads) if h[4] == slots]
+                for i, ids in zip(some, decode_blocks([heads[i][0] for i in some], [heads[i][1] for i in some], slots), strict=True):
+                    decoded[i] = ids
+            for (part, seq, _), (_, n_ids, ids_crc, pieces, _, first, number), ids in zip(waiting, heads, decoded, strict=True):
                 data = ids.astype("<u4").tobytes()
                 if len(ids) != n_ids or crc32(data) != ids_crc:
                     raise ValueError("block of ids decoded to something else")
