@@ -1,5 +1,6 @@
 """Where a job may write intermediate tables and checkpoints."""
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        # `local-cluster` has executors of their own folders, as a cluster has.
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="iotlake-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
