@@ -17,8 +17,8 @@ Both scans go in blocks of `block` chunks, then of `block` blocks, and so on: no
 Scores are integers, and a chunk's ties are decided from the true scores of its entries, so the result is that of one
 pass over the whole text, whatever the chunk size.
 
-Where no piece crosses from a non-space to a space, which holds for the usual vocabularies and is checked, words are
-encoded once per task and kept in a bounded table, and a matrix is the outer sum of the ways to the first such
+Where no piece crosses from a non-space to a space, which holds for the usual vocabularies and is checked, words (and runs of
+punctuation, if no piece mixes the two) are encoded once per task and kept in a bounded table, and a matrix is the outer sum of the ways to the first such
 place, the words between, and the ways from the last one.
 
 The model in use was trained for merges and not as a unigram model: its scores are merge ranks, so the ids
@@ -32,9 +32,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from ahocorasick import Automaton
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +48,7 @@ SPACE = "\u2581"
 OWN = "\ud800"
 #: Below any sum of scores.
 LOW = -(1 << 60)
-MEMO = 300_000
+MEMO = 150_000
 
 
 @dataclass(frozen=True)
@@ -76,21 +79,46 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[name], self.scores[name] = i, round(model.get_score(i) * scale)
                 self.content[i] = name.replace(SPACE, " ").encode()
+        #: Score of each piece, None of what only begins one.
+        self.tree: dict[str, int | None] = {}
+        for name in self.ids:
+            for k in range(1, len(name)):
+                self.tree.setdefault(name[:k])
+            self.tree[name] = self.scores[name]
         self.longest = max(map(len, self.ids))
         self.unknown = min(self.scores.values()) - 10 * scale
-        self.starts = {name[:k] for name in self.ids for k in range(1, len(name) + 1)}
         #: Whether every place before a run of spaces, and after anything else, is one that no piece crosses.
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in self.ids)
+        self.stretch = self._stretches()
+        #: Finds all pieces in a stretch, those that end at one place from the longest to the shortest.
+        self.finder = Automaton()
+        for name, score in self.scores.items():
+            self.finder.add_word(name, (len(name), score))
+        self.finder.make_automaton()
+        self.single = {name for name in self.ids if len(name) == 1}
         self.memo: dict[str, tuple[tuple[int, ...], int]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], int]] = {}
+
+    def _stretches(self) -> re.Pattern:
+        """Matches the stretches of a text between places that no piece crosses: spaces with what follows them, letters and
+        the like, and code points that pieces never mix with those."""
+        loose = {c for name in self.ids for c in name if not c.isalnum() and c != SPACE}
+        while True:
+            mixed = {c for name in self.ids if not loose.issuperset(name.replace(SPACE, "")) for c in name}
+            if not mixed & loose:
+                break
+            loose -= mixed
+        some = "".join(map(re.escape, sorted(loose)))
+        return re.compile(f"{SPACE}*[^{SPACE}{some}]+|{SPACE}*[{some}]+|{SPACE}+" if some else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
-    def ways(self, text: str, at: int, end: int):
-        """(length, ids, score) of the pieces that start at `at` and start before `end`."""
+    def ways(self, text: str, at: int):
+        """(length, ids, score) of the pieces that start at `at`."""
         found = False
         for k in range(1, min(self.longest, len(text) - at) + 1):
             name = text[at:at + k]
-            if name not in self.starts:
+            score = self.tree.get(name, OWN)
+            if score is OWN:
                 break
-            score = self.scores.get(name)
             if score is not None:
                 found |= k == 1
                 yield k, (self.ids[name],), score
@@ -112,7 +140,7 @@ class Vocabulary:
             here = best[at]
             if here == LOW:
                 continue
-            for k, ids, score in self.ways(text, at, end):
+            for k, ids, score in self.ways(text, at):
                 # Places are gone through in order, so an equal score found earlier has the longer last piece.
                 if here + score > best[at + k]:
                     best[at + k], step[at + k] = here + score, (at, ids)
@@ -130,26 +158,46 @@ class Vocabulary:
         """Ids and score of a stretch that is entered at its start and left at its end."""
         got = self.memo.get(text)
         if got is None:
-            best, step = self.forward(text, [0], len(text))
-            steps, _ = self.back(step, len(text))
-            got = tuple(i for ids in steps for i in ids), best[len(text)]
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
+            got = self.older.get(text) or self._best(text)
             if len(text) <= 64:
+                if len(self.memo) >= MEMO:
+                    self.memo, self.older = {}, self.memo
                 self.memo[text] = got
         return got
 
+    def _best(self, text: str) -> tuple[tuple[int, ...], int]:
+        """What `forward` and `back` give for a stretch of its own."""
+        size = len(text)
+        if not self.single.issuperset(text):
+            best, step = self.forward(text, [0], size)
+            steps, _ = self.back(step, size)
+            return tuple(i for ids in steps for i in ids), best[size]
+        best, came = [LOW] * (size + 1), [0] * (size + 1)
+        best[0] = 0
+        # Pieces come by their ends, so all ways to a start are known before a piece that starts there.
+        for last, (length, score) in self.finder.iter(text):
+            start = last + 1 - length
+            score += best[start]
+            if score > best[last + 1]:
+                best[last + 1], came[last + 1] = score, start
+        out, at = [], size
+        while at:
+            out.append(self.ids[text[came[at]:at]])
+            at = came[at]
+        return tuple(out[::-1]), best[size]
+
     def words(self, text: str) -> list[str]:
         """Stretches between places that no piece crosses."""
-        return _WORDS.findall(text) if self.cuttable else [text]
+        return self.stretch.findall(text) if self.cuttable else [text]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
         if not text:
             return []
         out: list[int] = []
+        known, word = self.memo, self.word
         for part in self.words(prepared(" " + text)):
-            out += self.word(part)[0]
+            out += (known.get(part) or word(part))[0]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -224,7 +272,6 @@ class Vocabulary:
         return out
 
 
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: A non-space before a space.
 _CUT = re.compile(f"[^{SPACE}](?={SPACE})")
 _LOADED: dict[str, Vocabulary] = {}
@@ -367,7 +414,7 @@ def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
         v = vocabulary(path)
         found = [v.encode(t) for t in values]
         return {"doc_id": keys, "ids": list_array(
-            np.fromiter((i for f in found for i in f), np.int32, sum(map(len, found))), np.array([len(f) for f in found]),
+            np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found))), np.array([len(f) for f in found]),
             pa.int32())}
 
     short = map_texts(docs.where(F.coalesce(F.length("text"), F.lit(0)) <= shape.chunk), rows, "doc_id long, ids array<int>")
@@ -381,7 +428,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [v.decode(x.as_py() or ()) for x in part.column(1)]
+                ids, sizes = part.column(1).flatten().tolist(), pc.list_value_length(part.column(1)).fill_null(0).to_pylist()
+                ends = np.cumsum(sizes).tolist()
+                texts = [v.decode(ids[e - n:e]) for n, e in zip(sizes, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
