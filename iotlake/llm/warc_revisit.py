@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from iotlake.llm.tables import stored
+
 # What a 304 response may update, as RFC 9110 (15.4.5) and RFC 9111 (3.2, 4.3.4) have it.
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
@@ -60,10 +62,10 @@ def _tag(headers: Column) -> Column:
     return F.regexp_replace(F.trim(F.element_at(headers, "etag")), "^W/", "")
 
 
-def merged_headers(stored: Column, update: Column) -> Column:
+def merged_headers(kept: Column, update: Column) -> Column:
     """The stored headers, with the permitted ones of the update in their place."""
     allowed = F.map_filter(update, lambda k, _: k.isin(*PERMITTED))
-    rest = F.map_filter(stored, lambda k, _: ~F.array_contains(F.map_keys(allowed), k))
+    rest = F.map_filter(kept, lambda k, _: ~F.array_contains(F.map_keys(allowed), k))
     return F.map_concat(rest, allowed)
 
 
@@ -79,6 +81,8 @@ def resolve(records: DataFrame, hours: int = 1) -> DataFrame:
         (F.col("kind") == "revisit").alias("revisit"), _lower_names(F.col("headers")).alias("headers"))
     base = base.where("full or revisit").select(
         "*", _tag(F.col("headers")).alias("tag"), F.element_at("headers", "last-modified").alias("modified"))
+    # Read four times below, the records only here and for the payloads.
+    base = stored(base, "revisit-records")
     known = "url_key is not null and at is not null and record_id is not null"
     served = F.struct("at", F.col("record_id").alias("ref_id"), "tag", "modified")
     rows = base.where(known).select(
@@ -97,7 +101,7 @@ def resolve(records: DataFrame, hours: int = 1) -> DataFrame:
         F.when(F.col("r").isNull(), "orphan").when(agree.isNull(), "unchecked").when(agree, "matched").otherwise("mismatched").alias("state"))
     loose = base.where(f"revisit and not ({known})").select(
         "record_id", "url_key", "headers", F.lit(None).cast(base.schema["record_id"].dataType).alias("ref_id"), F.lit("orphan").alias("state"))
-    found = found.unionByName(loose)
+    found = stored(found.unionByName(loose), "revisit-states")
     full = records.where("kind = 'response' and status = 200 and payload is not null").select(
         F.col("record_id").alias("ref_id"), _lower_names(F.col("headers")).alias("of_response"), "payload")
     matched = found.where("state = 'matched'")
