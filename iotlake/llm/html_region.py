@@ -24,7 +24,7 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import map_texts, plain
+from iotlake.llm.tables import hash_sample, map_texts, plain
 
 # Element names and class words of HTML pages.
 BLOCKS = frozenset(
@@ -205,7 +205,8 @@ def extract(html: str, weights: Weights) -> str:
 def fit(pages: DataFrame, label_pages: int = 500) -> Weights:
     """Weights from at most `label_pages` of the pages (page_id, html) that have an article or a main element."""
     marked = plain(pages, "page_id", "html").where(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
-    rows = marked.orderBy(F.xxhash64("page_id"), "page_id").limit(label_pages).collect()
+    chosen = F.broadcast(hash_sample(marked.select("page_id").distinct(), "page_id", label_pages))
+    rows = marked.join(chosen, "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id").collect()
     return learn([tokens(r.html) for r in rows]) if rows else DEFAULT
 
 

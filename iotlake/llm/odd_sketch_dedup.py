@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from iotlake.llm.components import components
-from iotlake.llm.tables import BROADCAST_IDS, list_array, map_texts, plain, small, stored
+from iotlake.llm.tables import BROADCAST_IDS, give_back, list_array, map_texts, plain, small, stored
 
 
 @dataclass(frozen=True)
@@ -249,6 +249,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
                 np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64), shape.hundredths)]
             keep = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+        give_back()
 
     return both.mapInArrow(compare, "a long, b long")
 

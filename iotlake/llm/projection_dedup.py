@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from iotlake.llm.components import components
-from iotlake.llm.tables import plain, stored, workers_find_us
+from iotlake.llm.tables import plain, stored, prepare
 
 
 @dataclass(frozen=True)
@@ -214,7 +214,7 @@ def count_links(members: DataFrame, shape: Shape, tile: int = 1_024) -> DataFram
 
 def near_duplicates(vectors: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of `vectors` (vec_id, embedding)."""
-    workers_find_us(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     rows = stored(usable(plain(vectors, "vec_id", "embedding")), "vectors")
     known = rows.where("packed is not null and vec_id is not null")
     classes = stored(known.groupBy("packed").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import list_array, map_texts, plain, text_column
+from iotlake.llm.tables import give_back, hash_sample, list_array, map_texts, plain, text_column
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Unit vectors kept at hand per task.
-MEMO = 1 << 20
+MEMO = 200_000
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,7 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
             for text in batch.column(0):
                 held += units.of(text.as_py())
                 held += gap
-                if len(held) > 1 << 18:
+                if len(held) > 1 << 16:
                     add()
                     held = []
         if held:
@@ -111,6 +111,7 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32))] + [pa.array(total[used, i]) for i in range(shape.width)],
             names=["bucket", *names])
+        give_back()
 
     return texts.mapInArrow(run, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
 
@@ -230,7 +231,7 @@ def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
     """doc_id and y of at most `rows` rows labelled 0 or 1, taken by the hash of their id."""
     known = labels.select(F.col("doc_id").alias("id"), F.col(f"`{column}`").cast("int").alias("y"))
     known = known.where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
-    return known.orderBy(F.xxhash64("id"), "id").limit(rows)
+    return hash_sample(known, "id", rows)
 
 
 def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> QualityModel:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import plain, stored, workers_find_us
+from iotlake.llm.tables import plain, stored, prepare
 
 MAGIC = b"IDB1"
 _HEAD = struct.Struct("<4s6I2Q")
@@ -340,7 +340,7 @@ def write_ids(
     `path` names the tokenizer file on every machine. `pattern`, if given, is its own splitting pattern, by which texts are cut before
     the tokenizer sees them.
     """
-    workers_find_us(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
@@ -407,7 +407,7 @@ def joined_crc(first: int, second: int, size: int) -> int:
 
 def read_pieces(files: DataFrame, lanes: int = Shape.lanes) -> DataFrame:
     """part, number, seq, doc_id, first, n and crc of every piece, from decoded and checked blocks. ids are in `ids`."""
-    workers_find_us(files.sparkSession)
+    prepare(files.sparkSession)
     names = ["part", "number", "seq", "doc_id", "first", "n", "crc", "ids"]
 
     def run(batches):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
 from collections.abc import Callable
 from pathlib import Path
@@ -16,22 +18,30 @@ from pyspark.sql import functions as F
 from iotlake.scratch import shared_dir
 
 #: Text bytes that a Python step holds at once; a longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 18
 
 
-def workers_find_us(spark: SparkSession) -> None:
-    """Puts this library's folder on the Python path of tasks, for a session started from elsewhere.
+#: Rows that a task hands to Python at once: texts can be long.
+ARROW_ROWS = 512
 
-    A cluster that gets the library by `--py-files` doesn't need it; a folder that isn't there is ignored.
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of the session that Python steps need.
+
+    Puts this library's folder on the Python path of tasks, for a session started from elsewhere (a cluster that gets the library by
+    `--py-files` doesn't need it; a folder that isn't there is ignored), and bounds the rows of an Arrow batch.
     """
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    workers_find_us(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,6 +62,19 @@ def crc32_text(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def hash_sample(frame: DataFrame, key: str, rows: int, seed: int = 0) -> DataFrame:
+    """At most `rows` rows of the frame, those of the smallest hashes of `key`; null keys are left out.
+
+    Rows above a share that holds half as many again drop out where they are read, so that few are ordered.
+    """
+    known = frame.where(F.col(key).isNotNull())
+    n = known.count()
+    order = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40))
+    share = min(1.0, (1.5 * rows + 1000) / max(n, 1))
+    return known.withColumn("_order", order).where(F.col("_order") < int(share * (1 << 40))).orderBy(
+        "_order", key).limit(rows).drop("_order")
+
+
 def split_of(column: str, parts: int, remainder: int) -> Column:
     """Whether a row is held out: crc32(id as text) mod parts is the remainder. A null id is not."""
     return F.coalesce(crc32_text(column) % parts == remainder, F.lit(False))
@@ -71,7 +94,7 @@ def map_texts(
     """
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = frame.select(F.col(f"`{key}`").alias("k"), (content.cast("binary") if binary else content).alias("t"))
-    workers_find_us(frame.sparkSession)
+    prepare(frame.sparkSession)
     arrow = _arrow_schema(frame.sparkSession, schema)
 
     def run(batches):
@@ -89,10 +112,20 @@ def map_texts(
                     [x.cast(field.type) if isinstance(x, pa.Array) else pa.array(x, field.type)
                      for field, x in ((f, got[f.name]) for f in arrow)], schema=arrow)
                 at = end
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns freed memory to the machine at the end of a task, as Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim:
+        trim(0)
+
+
 def text_column(function: Callable[[list[str]], np.ndarray], text: str = "text") -> Column:
     """A double for each text by `function`, which gets runs of texts; a null text comes as empty."""
     @F.pandas_udf("double")

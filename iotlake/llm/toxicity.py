@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from iotlake.llm.quality import labelled_sample
-from iotlake.llm.tables import list_array, map_texts, plain, stored, text_column
+from iotlake.llm.tables import hash_sample, list_array, map_texts, plain, stored, text_column
 
 WORD = re.compile(r"\w+")
-MEMO = 1 << 20
+MEMO = 200_000
 #: A word's parts: itself, and its beginnings of so many code points, as many languages build words onto a stem.
 STEMS = (4, 6)
 #: A part counts once for each number of occurrences that a text reaches, up to this.
@@ -165,8 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, shape: S
         share = known.agg(F.avg("toxic")).first()[0]
         prior = min(max(share or 0.0, 1e-3), 0.999)
     toxic = labelled_sample(known.where("toxic = 1"), "toxic", shape.positives)
-    drawn = docs.where("doc_id is not null").select(F.col("doc_id").alias("id")).orderBy(
-        F.xxhash64("id", F.lit(1)), "id").limit(shape.unlabelled).select("id", F.lit(0).alias("y"))
+    drawn = hash_sample(docs.select(F.col("doc_id").alias("id")), "id", shape.unlabelled, 1).select("id", F.lit(0).alias("y"))
     # At most shape.positives + shape.unlabelled pairs of numbers, so the broadcast is bounded.
     chosen = F.broadcast(toxic.unionByName(drawn))
     sample = stored(docs.join(chosen, docs.doc_id == chosen.id).select("doc_id", "y", "text"), "toxicity-sample")
