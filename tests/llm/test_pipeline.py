@@ -1,5 +1,7 @@
 """The pipeline: columns, decisions and odd rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,3 +45,19 @@ def test_odd_rows(spark, rows):
         if name == "near duplicates":
             assert docs.where("doc_id = 4").count() <= 1 and docs.where("doc_id = 2").count() <= 1
     assert docs.columns[0] == "doc_id"
+
+
+def test_pairs_from_080_on_are_near_duplicates(spark):
+    rng = random.Random(3)
+    texts = []
+    # A text of 200 words and one whose last words differ: similarity (196 - changed) / (196 + changed).
+    for changed in (10, 14, 17, 19, 20, 21, 22, 25):
+        for _ in range(8):
+            words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
+            texts += [words, words[:200 - changed] + [f"v{rng.randrange(10 ** 6)}" for _ in range(changed)]]
+    sets = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in texts]
+    near = [100 * len(x & y) / len(x | y) for x, y in zip(sets[::2], sets[1::2])]
+    assert sum(80 <= s < 85 for s in near) >= 16 and any(s < 80 for s in near)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()}
+    assert kept == {2 * i for i in range(len(near))} | {2 * i + 1 for i, s in enumerate(near) if s < 80}
