@@ -344,9 +344,9 @@ def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_decoded(spark: SparkSession, sf_dir: str, name: str):
-    """Stream all messages through the decoder without storing them; the query and its checkpoint."""
+    """Stream all messages through the decoder without storing them; the query of each run and their checkpoint."""
     base = shared_dir(spark, name)
-    checkpoint, query = f"{base}/checkpoint", None
+    checkpoint, runs = f"{base}/checkpoint", []
     for stream in _in_parts(spark, sf_dir, base):
         query = (
             to_lake_rows(inputs.envelopes(stream))
@@ -354,7 +354,8 @@ def _stream_decoded(spark: SparkSession, sf_dir: str, name: str):
             .trigger(availableNow=True).start()
         )
         _drain(query)
-    return query, checkpoint
+        runs.append(query)
+    return runs, checkpoint
 
 
 def _in_parts(spark: SparkSession, sf_dir: str, base: str):
@@ -374,9 +375,9 @@ def recent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a stream's second run as its progress reports count them."""
-    query, _ = _stream_decoded(spark, sf_dir, "progress")
-    return progress.progress_rates(spark, [query]).groupBy("name").agg(
+    """Rows of a stream as the progress reports of all its runs count them."""
+    runs, _ = _stream_decoded(spark, sf_dir, "progress")
+    return progress.progress_rates(spark, runs).groupBy("name").agg(
         F.sum("numInputRows").alias("input_rows"))
 
 

@@ -6,11 +6,11 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from iotlake.operators import decode, metrics, monitor, series
-from iotlake.plans import jobs
+from iotlake.plans import jobs, queries
 from iotlake.schemas import DELIVERY, ENVELOPE, METRICS_LOG
 from iotlake.sources.lake import read_lake
 from iotlake.sources.metrics_log import read_metrics_csv
@@ -295,3 +295,7 @@ def test_replayed_envelopes_have_the_connector_columns(spark, folders):
     add(spark, folders["in"], [payload(0)])
     assert read_envelopes(spark, folders["in"]).schema == ENVELOPE
     assert replay(spark, folders["in"]).schema == ENVELOPE
+
+
+def test_progress_rates_count_both_runs(spark, events):
+    assert [tuple(r) for r in queries.progress_rates(spark, SF).collect()] == [("progress", events.count())]
