@@ -1,9 +1,9 @@
 """Quality classifier: random-indexing word vectors, pooled per document, into a small numpy network.
 
-Random indexing: every unit (a word up to three code points, or a longer word's first three; a run of
-symbols likewise) has a fixed sparse ternary index vector. Its word vector is the sum of the index vectors of
-the units within two places of it, over all documents. Units are hashed into `Shape.buckets`, so the
-vectors take buckets * width numbers however large the corpus is; each task sums its own part and Spark adds the parts.
+Random indexing: every unit (a whole word, or a whole run of symbols) has a fixed sparse ternary index vector. Its
+word vector is the sum of the index vectors of the units within two places of it, over all documents. Units are hashed
+into `Shape.buckets` (a million), so the vectors take buckets * width bytes however large the corpus is, and of more distinct
+words some share a vector. Tasks sum runs of tokens, Spark adds the sums, and unit vectors in 1/127 reach the driver.
 
 A document's features are the mean of its unit vectors, that mean's length, the mean likeness of
 neighbouring units and the shares of a few character kinds. A two-layer network gives a logit, whose
@@ -30,11 +30,13 @@ from iotlake.llm.tables import give_back, hash_sample, list_array, map_texts, pl
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Unit vectors kept at hand per task.
 MEMO = 200_000
+#: Tokens that a task sums at once.
+RUN = 1 << 18
 
 
 @dataclass(frozen=True)
 class Shape:
-    buckets: int = 1 << 13
+    buckets: int = 1 << 20
     width: int = 32
     nonzero: int = 4
     reach: int = 2
@@ -53,8 +55,7 @@ class Units:
 
     def of(self, text: str) -> list[int]:
         memo, out = self.memo, []
-        for token in TOKEN.findall(text):
-            unit = token if len(token) <= 3 else token[:3]
+        for unit in TOKEN.findall(text):
             bucket = memo.get(unit)
             if bucket is None:
                 if len(memo) >= MEMO:
@@ -78,54 +79,70 @@ def index_vectors(shape: Shape) -> np.ndarray:
 def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
     """Per bucket the sum of its neighbours' index vectors over all texts: bucket, v0, v1, ..."""
     names = [f"v{i}" for i in range(shape.width)]
-    schema = "bucket int, " + ", ".join(f"{n} long" for n in names)
+    schema = "bucket int, " + ", ".join(f"{n} int" for n in names)
     texts = frame.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
 
     def run(batches):
         index, units = index_vectors(shape), Units(shape.buckets)
-        total = np.zeros((shape.buckets, shape.width), np.int64)
         gap, held = [0] * shape.reach, []
 
-        def add():
+        def sums():
             ids = np.array(gap + held, np.int64)
             near = np.zeros((len(ids), shape.width), np.int8)
             vectors = index[ids]
             for step in range(1, shape.reach + 1):
                 near[step:] += vectors[:-step]
                 near[:-step] += vectors[step:]
-            near = np.ascontiguousarray(near.T)
-            for i in range(shape.width):
-                total[:, i] += np.bincount(ids, weights=near[i], minlength=shape.buckets).astype(np.int64)
+            order = np.argsort(ids, kind="stable")
+            used, starts = np.unique(ids[order], return_index=True)
+            total = np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
+            keep = (used > 0) & total.any(axis=1)
+            used, total = used[keep].astype(np.int32), np.ascontiguousarray(total[keep].T)
+            for at in range(0, len(used), 4096):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[at:at + 4096]) for x in (used, *total)], names=["bucket", *names])
 
         for batch in batches:
             for text in batch.column(0):
                 held += units.of(text.as_py())
                 held += gap
-                if len(held) > 1 << 16:
-                    add()
+                if len(held) > RUN:
+                    yield from sums()
                     held = []
         if held:
-            add()
-        total[0] = 0
-        used = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32))] + [pa.array(total[used, i]) for i in range(shape.width)],
-            names=["bucket", *names])
+            yield from sums()
         give_back()
 
     return texts.mapInArrow(run, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def word_vectors(frame: DataFrame, shape: Shape) -> np.ndarray:
-    """buckets x width unit-length vectors; at most shape.buckets rows reach the driver."""
-    sums = np.zeros((shape.buckets, shape.width))
-    for row in context_sums(frame, shape).collect():
-        sums[row[0]] = row[1:]
-    index = index_vectors(shape).astype(float)
-    own = index / np.maximum(np.linalg.norm(index, axis=1, keepdims=True), 1e-9)
-    context = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-    both = context + 0.5 * own
-    return (both / np.maximum(np.linalg.norm(both, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    """buckets x width unit-length vectors in 1/127, of a byte a number; at most shape.buckets rows of bytes reach the driver."""
+    def run(batches):
+        index = index_vectors(shape)
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            sums = np.stack([np.asarray(c, np.float32) for c in batch.columns[1:]], axis=1)
+            found = _mixed(sums, index[ids])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids.astype(np.int32).tobytes()], pa.binary()), pa.array([found.tobytes()], pa.binary())], names=["ids", "vectors"])
+
+    index = index_vectors(shape)
+    out = np.zeros(index.shape, np.int8)
+    for at in range(0, shape.buckets, 1 << 16):
+        own = index[at:at + (1 << 16)]
+        out[at:at + (1 << 16)] = _mixed(np.zeros(own.shape, np.float32), own)
+    for row in context_sums(frame, shape).mapInArrow(run, "ids binary, vectors binary").collect():
+        out[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row.vectors, np.int8).reshape(-1, shape.width)
+    return out
+
+
+def _mixed(sums: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The unit-length mixture of context sums and index vectors, in 1/127."""
+    def unit(x):
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+    return np.rint(127 * unit(unit(sums) + 0.5 * unit(index.astype(np.float32)))).astype(np.int8)
 
 
 def features(texts: list[str], vectors: np.ndarray, units: Units) -> np.ndarray:
@@ -138,7 +155,7 @@ def features(texts: list[str], vectors: np.ndarray, units: Units) -> np.ndarray:
     if len(full):
         ids = np.concatenate([np.asarray(rows[i], np.int64) for i in full])
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        flat = vectors[ids]
+        flat = vectors[ids].astype(np.float32) / np.float32(127)
         pooled = np.add.reduceat(flat, starts, axis=0) / sizes[full, None]
         like = np.zeros(len(ids), np.float32)
         like[1:] = np.einsum("ij,ij->i", flat[1:], flat[:-1])

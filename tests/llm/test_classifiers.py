@@ -82,3 +82,12 @@ def test_nn_risk_gradient_and_correction():
             assert grad[i] == pytest.approx(slope, abs=1e-6)
     # Positives scored high and the unlabelled low: the negatives' risk falls below zero.
     assert toxicity.nn_risk(np.where(positive, 5.0, -5.0), positive, 0.5)[2]
+
+
+def test_words_that_differ_after_the_third_letter_differ(spark):
+    texts = ["information station mother", "infantile stagnant motorway"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vectors = quality.word_vectors(docs, quality.Shape())
+    one, two = quality.features(texts, vectors, quality.Units(len(vectors)))
+    assert np.abs(one - two)[:vectors.shape[1]].max() > 0.1
+    assert np.abs(np.linalg.norm(vectors[1:] / 127, axis=1) - 1).max() < 0.05
