@@ -11,8 +11,10 @@
    group, however large it is and however far apart the passes put its members: the window is no cap on partners.
 
 Recall: two vectors at the threshold's angle a agree in m leading bits with probability p^m, p = 1 - a / pi. Of n classes some
-n / 2^m share m bits; so many passes are made that a pair is missed by all with probability `miss` at most, with m =
-log2(n / window). A pair that no pass finds can still be joined through others; step 4 then counts it.
+n / 2^m share m bits if they lie evenly, and so many passes are made first, with m = log2(n / window). Where vectors crowd, more share
+them: every class therefore measures how many bits it shares with the classes at its window's two edges, beyond which a partner is seen.
+Classes that would miss a partner with a probability above `miss`, by what they measured, go through further passes among themselves
+(a partner that is not crowded has seen them already), or are all compared in tiles where that costs less.
 
 Defined results: a null or zero vector, or one with null or non-finite components, is linked with nothing and kept; vectors
 of different lengths are never linked; rows that repeat a vec_id count as copies; a row without vec_id has a null component and
@@ -88,8 +90,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, packed binary")
 
 
-def _sorted_passes(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame:
-    """rep, packed and position (pass, rank) of every class in every pass."""
+def _sorted_passes(classes: DataFrame, first: int, n_passes: int, shape: Shape) -> DataFrame:
+    """rep, packed, number and position (pass, rank) of every class in every pass from the first on."""
     def run(batches):
         known: dict = {}
         for batch in batches:
@@ -100,7 +102,7 @@ def _sorted_passes(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame
                 for size in np.unique(sizes):
                     rows = np.flatnonzero(sizes == size)
                     unit = _unit([packed[i] for i in rows])
-                    for one in range(n_passes):
+                    for one in range(first, first + n_passes):
                         if (size, one) not in known:
                             known[size, one] = directions(unit.shape[1], one, shape)
                         side = (unit @ known[size, one].T > 0).astype(np.int64)
@@ -111,7 +113,7 @@ def _sorted_passes(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame
 
     hashed = classes.select("rep", "packed").mapInArrow(run, "pass int, number long, rep long, packed binary")
     ordered = hashed.repartitionByRange("pass", "number", "rep").sortWithinPartitions("pass", "number", "rep").select(
-        "rep", "pass", "packed", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+        "rep", "pass", "number", "packed", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
     ordered = stored(ordered, "passes-sorted")
     # A number per partition reaches the driver.
     counts = {r.part: (r.n, r.low) for r in ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("row").alias("low")).collect()}
@@ -120,9 +122,9 @@ def _sorted_passes(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame
         offsets.append((part, total - counts[part][1]))
         total += counts[part][0]
     if not offsets:
-        return ordered.select("rep", "pass", "packed", F.lit(0).cast("long").alias("rank"))
+        return ordered.select("rep", "pass", "number", "packed", F.lit(0).cast("long").alias("rank"))
     shift = ordered.sparkSession.createDataFrame(offsets, "part int, shift long")
-    return ordered.join(F.broadcast(shift), "part").select("rep", "pass", "packed", (F.col("row") + F.col("shift")).alias("rank"))
+    return ordered.join(F.broadcast(shift), "part").select("rep", "pass", "number", "packed", (F.col("row") + F.col("shift")).alias("rank"))
 
 
 def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -139,19 +141,49 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         root = after
 
 
-def found_links(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame:
-    """Pairs (a, b) that join the classes within each block of each sorted order."""
+def _shared_bits(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
+    """How many leading bits two numbers share."""
+    apart = x ^ y
+    # In halves, as a double holds 53 bits.
+    high, low = apart >> 31, apart & ((1 << 31) - 1)
+    return bits - np.where(high > 0, 31 + np.frexp(high.astype(float))[1], np.frexp(low.astype(float))[1])
+
+
+def _log_missed(number: np.ndarray, kind: np.ndarray, shape: Shape) -> np.ndarray:
+    """For each of the sorted numbers the logarithm of the chance that its window misses a partner at the threshold.
+
+    A partner that first differs at bit m stands before or after by the number's own bit m; it is within the window if the number
+    shares fewer than m bits with the edge on that side. Numbers of another `kind` (pass) are no edge.
+    """
+    bits, w, n = shape.bits, shape.window, len(number)
+    before, after = np.full(n, -1), np.full(n, -1)
+    if n > w:
+        same = kind[w:] == kind[:-w]
+        shared = np.where(same, _shared_bits(number[w:], number[:-w], bits), -1)
+        before[w:], after[:-w] = shared, shared
+    p = 1 - acos(shape.cosine) / pi
+    m = np.arange(bits)
+    side = (number[:, None] >> (bits - 1 - m)) & 1
+    seen = m > np.where(side == 1, before[:, None], after[:, None])
+    found = seen @ (p ** m * (1 - p)) + p ** bits * (np.maximum(before, after) < bits)
+    return np.log1p(-np.minimum(found, 1 - 1e-12))
+
+
+def found_links(classes: DataFrame, first: int, n_passes: int, shape: Shape) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that join the classes within each block of each sorted order; rep and log_missed of every class over the passes."""
     block, window, cosine = shape.block, shape.window, shape.cosine
-    ordered = _sorted_passes(classes, n_passes, shape)
-    # Every row is in its own block, and in the one before if that one's window reaches it.
+    ordered = _sorted_passes(classes, first, n_passes, shape)
+    # Every row is in its own block, and in those before and after if their windows reach it.
     own = F.floor(F.col("rank") / block)
-    placed = ordered.withColumn("block", F.explode(F.when(
-        (F.col("rank") % block < window) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))))
+    placed = ordered.withColumn("block", F.explode(F.array_compact(F.array(
+        own, F.when((F.col("rank") % block < window) & (own > 0), own - 1), F.when(F.col("rank") % block >= block - window, own + 1)))))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank")
         sizes = rows["packed"].map(len).to_numpy()
-        out = []
+        missed = _log_missed(rows["number"].to_numpy(), rows["pass"].to_numpy(), shape)
+        mine = (rows["rank"] // block == rows["block"]).to_numpy()
+        out = [pd.DataFrame({"a": rows["rep"][mine], "b": None, "log_missed": missed[mine]})]
         for (_, _), part in rows.groupby([rows["pass"], sizes], sort=False):
             unit = _unit(part["packed"].tolist())
             rank, reps = part["rank"].to_numpy(), part["rep"].to_numpy()
@@ -168,10 +200,53 @@ def found_links(classes: DataFrame, n_passes: int, shape: Shape) -> DataFrame:
             place[order] = np.arange(len(reps))
             root = _roots(len(reps), place[x], place[y])
             linked = np.flatnonzero(root != np.arange(len(root)))
-            out.append(pd.DataFrame({"a": reps[order][root[linked]], "b": reps[order][linked]}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+            out.append(pd.DataFrame({"a": reps[order][root[linked]], "b": reps[order][linked], "log_missed": None}))
+        return pd.concat([x.astype({"b": "Int64", "log_missed": "Float64"}) for x in out])
 
-    return placed.groupBy("block").applyInPandas(compare, "a long, b long").distinct()
+    both = stored(placed.groupBy("block").applyInPandas(compare, "a long, b long, log_missed double"), "passes-found")
+    return (both.where("b is not null").select("a", "b").distinct(),
+            both.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("log_missed").alias("log_missed")))
+
+
+def all_links(classes: DataFrame, shape: Shape, tile: int = 4_096) -> DataFrame:
+    """Pairs (a, b) that join all classes at the threshold, from all pairs of tiles."""
+    cosine, tiles = shape.cosine, max(-(-classes.count() // tile), 1)
+    cut = classes.select("rep", "packed", F.pmod(F.xxhash64("rep"), F.lit(tiles)).alias("tile"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))).select(
+        "rep", "packed", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"a": [], "b": []}, dtype="int64")]
+        for _, part in rows.sort_values("rep").groupby(rows["packed"].map(len), sort=False):
+            unit, reps = _unit(part["packed"].tolist()), part["rep"].to_numpy()
+            root, every = np.arange(len(reps)), np.arange(len(reps))
+            for at in range(0, len(reps), 256):
+                i, j = np.nonzero(unit[at:at + 256] @ unit[at:].T >= cosine)
+                root = _roots(len(reps), np.concatenate([every, at + i]), np.concatenate([root, at + j]))
+            linked = np.flatnonzero(root != every)
+            out.append(pd.DataFrame({"a": reps[root[linked]], "b": reps[linked]}))
+        return pd.concat(out)
+
+    return cut.groupBy("lo", "hi").applyInPandas(compare, "a long, b long").distinct()
+
+
+def joining_links(classes: DataFrame, shape: Shape) -> DataFrame:
+    """Pairs (a, b) from passes over all classes, then from passes or all pairs of those that crowd."""
+    n_passes, first = passes_for(classes.count(), shape), 0
+    rest, links = classes.select("rep", "packed", F.lit(log(shape.miss)).alias("left")), None
+    while True:
+        found, missed = found_links(rest, first, n_passes, shape)
+        links = found if links is None else links.unionAll(found)
+        first += n_passes
+        rest = stored(rest.join(missed, "rep").withColumn("left", F.col("left") - F.col("log_missed")).where("left < 0"), "vectors-crowded")
+        more = F.when(F.col("log_missed") < 0, F.ceil(F.col("left") * n_passes / F.col("log_missed"))).otherwise(1e9)
+        n, n_passes = rest.agg(F.count("*"), F.percentile_approx(more, 0.9)).first()
+        if not n:
+            return links.distinct()
+        # A pass takes some four windows of comparisons a class, with its sorting.
+        if n_passes * 4 * shape.window * 2 >= n:
+            return links.unionAll(all_links(rest, shape)).distinct()
+        n_passes, rest = int(n_passes), rest.select("rep", "packed", "left")
 
 
 def count_links(members: DataFrame, shape: Shape, tile: int = 1_024) -> DataFrame:
@@ -218,7 +293,7 @@ def near_duplicates(vectors: DataFrame, shape: Shape = Shape()) -> DataFrame:
     rows = stored(usable(plain(vectors, "vec_id", "embedding")), "vectors")
     known = rows.where("packed is not null and vec_id is not null")
     classes = stored(known.groupBy("packed").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    links = found_links(classes, passes_for(classes.count(), shape), shape)
+    links = joining_links(classes, shape)
     found = stored(components(links, "a", "b"), "vector-components")
     members = stored(classes.join(found, classes.rep == found.node).select("rep", "packed", "copies", "component"), "vector-members")
     counted = count_links(members, shape)

@@ -144,3 +144,24 @@ def test_components_of_a_path_and_of_nothing(spark):
     found = {r.node: r.component for r in components(path, "x", "y").collect()}
     assert found == {i: 0 for i in range(41)} | {90: 90, 100: 90}
     assert components(path.where("x < 0"), "x", "y").collect() == []
+
+
+def test_pairs_in_a_dense_unlinked_cone_are_found(spark):
+    rng = np.random.default_rng(4)
+
+    def units(n):
+        x = rng.normal(size=(n, 64))
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    axis = units(1)[0]
+    cone = 0.8 ** 0.5 * axis + 0.2 ** 0.5 * units(1_500)
+    cone /= np.linalg.norm(cone, axis=1, keepdims=True)
+    side = units(100)
+    side -= (side * cone[:100]).sum(axis=1, keepdims=True) * cone[:100]
+    partner = 0.905 * cone[:100] + (1 - 0.905 ** 2) ** 0.5 * side / np.linalg.norm(side, axis=1, keepdims=True)
+    all_rows = np.concatenate([cone, partner, units(500)])
+    frame = spark.createDataFrame(list(enumerate(all_rows.tolist())), "vec_id long, embedding array<double>")
+    shape = p.Shape(window=8, least_passes=4)
+    near = all_rows @ all_rows.T >= 0.9
+    expected = groups(range(len(all_rows)), [(int(a), int(b)) for a, b in np.argwhere(np.triu(near, 1))])
+    assert {r.vec_id: r.component_id for r in p.near_duplicates(frame, shape).collect()} == expected
