@@ -153,6 +153,104 @@ with parts as (
 select page_id, url, text, length(text) as n_chars from texts
 """
 
+#: Two rounds of assignment and update, and a last assignment, each over the distances of all parts to all entries.
+_OP11 = "with " + """
+kept as (
+  select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label, embedding as v from embeddings
+  where coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), false) and len(embedding) > 0
+), parts as (
+  select r, vec_id, label, i * 16 // len(v) as p, i % (len(v) // 16) as j, cast(floor(256 * cast(v[i + 1] as double)) as bigint) as x
+  from (select *, unnest(range(len(v))) as i from kept)
+), book0 as (
+  select p, r - 1 as e, j, x as c from parts where r <= 64
+)""" + "".join(f""", far{t} as (
+  select r, p, e, sum((x - c) * (x - c)) as d from parts join book{t} using (p, j) group by r, p, e
+), code{t} as (
+  select r, p, e, d from far{t} qualify row_number() over (partition by r, p order by d, e) = 1
+)""" + (f""", sums{t} as (
+  select p, e, j, sum(x) as s, count(*) as n from parts join code{t} using (r, p) group by p, e, j
+), book{t + 1} as (
+  select p, e, j, cast(coalesce((s - ((s % n) + n) % n) // n, c) as bigint) as c from book{t} left join sums{t} using (p, e, j)
+)""" if t < 2 else "") for t in range(3)) + """, coded as (
+  select r, string_agg(lower(lpad(to_hex(e), 2, '0')), '' order by p) as code, cast(sum(d) as bigint) as error from code2 group by r
+), named as (
+  select sha256(string_agg(cast(c as varchar), ',' order by p, e, j)) as codebooks_sha256 from book2
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join kept using (r), named
+"""
+
+#: crc32 of a column, a byte and then a bit at a time.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({0}, ''), lambda c: ascii(c)::bigint)),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _best(state: int) -> str:
+    """The best of all that may be done from a state before a row: some insertions, then an edit of the row. n: what comes after."""
+    follows, name = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    kept = {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}
+    options, at, before = [], state, []
+    for _ in range(3):
+        paid, edits = 2 * len(before), "I" * len(before)
+        lines = "[" + ", ".join(f"'{x}:'" for x in before) + "]::varchar[]"
+
+        def option(cost, edit, to, line, when):
+            found = f"""{{'cost': {paid} + {cost} + n.s{to}.cost, 'audit': '{edits}{edit}' || n.s{to}.audit,
+              'lines': list_concat({lines}, {line}, n.s{to}.lines)}}"""
+            return found if when is None else f"case when {when} then {found} end"
+
+        options.append(option(3, "D", at, "[]::varchar[]", None))
+        for letter, ways in kept.items():
+            if at in ways:
+                options.append(option("stays", "K", ways[at], "[role || ':' || text]", f"fault in ('k', 't') and role[1] = '{letter}'"))
+        to = follows[at]
+        options.append(option("2 + stays", "R", to, f"['{name[to]}:' || text]", "fault in ('k', 't')"))
+        before, at = [*before, name[to]], to
+    return f"list_min(list_filter([{', '.join(options)}], lambda x: x is not null and x.cost < 1000000))"
+
+
+_OP12 = rf"""
+with recursive named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations
+), hit as (
+  select *, {_CRC.format("k")} % 20 as f from named
+), damaged as (
+  select conv_id, turn, case when f = 4 then 'user' else role end as role,
+    case when f = 1 then '' when f = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(range(case when f = 3 then 2 else 1 end)) as copy from hit where f <> 0)
+), turns as (
+  select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as shown,
+    row_number() over (partition by conv_id order by turn nulls first, role, left(text, 64), md5(text)) as i,
+    row_number() over (partition by conv_id, role, text) as nth
+  from damaged
+), faulty as (
+  select * exclude (nth), case when shown = '' then 'b' when first < i then 'd' when right(shown, 1) not in ('.', '!', '?') then 't' else 'k' end as fault
+  from (select *, min(i) over (partition by conv_id, role, text) as first, lag(role[1]) over (partition by conv_id order by i) as before from turns)
+), rows_ as (
+  select *, case when fault = 't' then 1 else 0 end as stays from faulty
+), after_ as (
+  select conv_id, max(i) + 1 as i,
+    {{'cost': 0, 'audit': '', 'lines': []::varchar[]}} as s0, {{'cost': 4, 'audit': 'II', 'lines': ['user:', 'assistant:']}} as s1,
+    {{'cost': 2, 'audit': 'I', 'lines': ['assistant:']}} as s2, {{'cost': 0, 'audit': '', 'lines': []::varchar[]}} as s3
+  from rows_ group by conv_id
+  union all
+  select r.conv_id, r.i, {_best(0)}, {_best(1)}, {_best(2)}, {_best(3)}
+  from after_ n join rows_ r on r.conv_id is not distinct from n.conv_id and r.i = n.i - 1
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank,
+    count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+    count(*) filter (before is not null and before || role[1] not in ('su', 'ua', 'au')) as illegal
+  from rows_ group by conv_id
+), repaired as (
+  select conv_id, s0.cost as cost, s0.audit as audit, sha256(array_to_string(s0.lines, chr(10))) as sha from after_ where i = 1
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost, coalesce(audit, '') as audit, coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on c.conv_id is not distinct from o.conv_id left join repaired r on r.conv_id is not distinct from o.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_format": _OP2,
     "op4_odd_sketch_dedup": _OP4,
@@ -160,4 +258,6 @@ ORACLE: dict[str, str] = {
     "op7_warc_revisit": _OP7,
     "op8_phrase_index": _OP8,
     "op10_html_region": _OP10,
+    "op11_vector_codes": _OP11,
+    "op12_turn_repair": _OP12,
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm import chat_format, html_region, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup, quality, range_coder, toxicity, warc_revisit
-from iotlake.llm.tables import split_of, table
+from iotlake.llm import chat_format, html_region, maxent_lm, odd_sketch_dedup, phrase_index, piece_scan, projection_dedup
+from iotlake.llm import quality, range_coder, toxicity, turn_repair, vector_codes, warc_revisit
+from iotlake.llm.tables import plain, small, split_of, stored, table
 
 #: The folder of the public vocabulary files, on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -130,4 +133,47 @@ def op10_html_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op6_range_coder, op7_warc_revisit, op8_phrase_index, op9_quality, op10_html_region)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    named = sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    labels = small(stored(found.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label-errors"))
+    return found.join(labels, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit(named).alias("codebooks_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows (nulls: one space) with a fault in some, by the crc32 of their id and turn."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    case, role, text = F.crc32(named.cast("binary")) % 20, F.coalesce("role", space), F.coalesce("text", space)
+    return plain(conversations, "conv_id", "turn", "role", "text").where(case != 0).select(
+        "conv_id", "turn", F.when(case == 4, "user").otherwise(role).alias("role"),
+        F.when(case == 1, "").when(case == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(case == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    repaired, found = turn_repair.repair(damaged(chats))
+    digests = turn_repair.digests(repaired)
+    out = chats.select("conv_id").distinct()
+    for right in (found, digests):
+        right = right.withColumnRenamed("conv_id", "of")
+        out = out.join(right, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    none = F.lit(0).cast("long")
+    return out.select(
+        "conv_id", *[F.coalesce(c, none).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.lit(sha256(b"").hexdigest())).alias("repaired_sha256"))
+
+
+def op13_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = split_of("doc_id", 5, 1)
+    model, counts = maxent_lm.fit(docs.where(~held))
+    return maxent_lm.score(docs, model, counts).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+QUERIES = (op1_toxicity, op2_chat_format, op3_piece_scan, op4_odd_sketch_dedup, op5_projection_dedup, op6_range_coder, op7_warc_revisit,
+           op8_phrase_index, op9_quality, op10_html_region, op11_vector_codes, op12_turn_repair, op13_maxent_lm)

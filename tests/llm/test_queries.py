@@ -22,5 +22,5 @@ def test_query_equals_sql(spark, db, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(q.__name__[2:].split("_")[0]) for q in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(contract.queries()) >= {q.__name__ for q in QUERIES} | {"pipeline"}
