@@ -3,11 +3,12 @@
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from iotlake.functions.event_time import interval_micros, micros_of
 from iotlake.functions.labels import label_map
+from iotlake.operators.runs import run_number, with_previous
 
 # Gauge names.
 LAMBDA = "kafka_producer_lambda"
@@ -60,16 +61,74 @@ def producer_metrics(deliveries: DataFrame, keys: Iterable[str] = ("topic", "cli
         "window",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        "msg_count",
+        *_rates(seconds, dropped),
+        "first_ts",
+    )
+
+
+def _rates(seconds: Column, dropped: Column) -> list[Column]:
+    """The metric columns of `msg_count`, `error_count` and `delay_sum` of a window so many seconds long."""
+    return [
+        F.col("msg_count"),
         (F.col("msg_count").cast("double") / seconds).alias("rate"),
-        "error_count",
+        F.col("error_count"),
         (F.col("error_count").cast("double") / seconds).alias("error_rate"),
         dropped.alias("dropped_count"),
         F.when(F.col("msg_count") == 0, F.lit(0.0))
         .otherwise(F.coalesce("delay_sum", F.lit(0.0)) / F.col("msg_count"))
         .alias("avg_delay"),
-        "first_ts",
-    )
+    ]
+
+
+def late_errors(sends: DataFrame, reports: DataFrame, keys: Iterable[str] = ("topic", "client_id"),
+                within: str = "5 minutes", watermark: str | None = None) -> DataFrame:
+    """`*keys, ts`: the failed deliveries of accepted sends, at the time of their report.
+
+    `sends` has `message_id, ts, status` and the keys, `reports` has `message_id, ts, status`. A report belongs to the send of its id if it
+    comes no more than `within` after it. On streams both sides need `watermark`: a send is kept for as long as
+    a report may come, and only failed deliveries are kept of the reports.
+    """
+    keys = list(keys)
+    sent = sends.where("status <> 'refused'").select(*keys, F.col("message_id").alias("_sent"), F.col("ts").alias("_at"))
+    failed = reports.where("status = 'error'").select("message_id", "ts")
+    if watermark:
+        sent, failed = sent.withWatermark("_at", watermark), failed.withWatermark("ts", watermark)
+    in_time = F.expr(f"_sent = message_id AND ts >= _at AND ts <= _at + INTERVAL {within}")
+    return sent.join(failed, in_time).select(*keys, "ts")
+
+
+def reported_metrics(sends: DataFrame, reports: DataFrame, keys: Iterable[str] = ("topic", "client_id"),
+                     width: str = "10 seconds", within: str = "5 minutes", watermark: str | None = None) -> DataFrame:
+    """Window metrics of a client that learns of an error by a delivery report, later than it sends.
+
+    A message counts in the window it is sent in, an error in the window its report comes in, which may be one without any message. A
+    refused send (a full buffer) counts nowhere; one that is never reported counts as sent. This family never counts
+    drops. Batch and stream give the same windows; a stream's close once the watermark has passed them by `within`, as
+    an error may still be told until then.
+    """
+    keys = list(keys)
+    sent = sends.where("status <> 'refused'").select(
+        *keys, "ts", F.lit(1).alias("_sent"), F.lit(0).alias("_failed"), F.col("planned_delay").alias("_delay"))
+    if watermark:
+        sent = sent.withWatermark("ts", watermark)
+    failed = late_errors(sends, reports, keys, within, watermark).select(
+        *keys, "ts", F.lit(0).alias("_sent"), F.lit(1).alias("_failed"), F.lit(None).cast("double").alias("_delay"))
+    counted = sent.unionByName(failed).groupBy(*keys, F.window("ts", width)).agg(
+        F.sum("_sent").alias("msg_count"), F.sum("_failed").alias("error_count"), F.sum("_delay").alias("delay_sum"))
+    seconds = interval_micros(F.col("window.end") - F.col("window.start")) / F.lit(1e6)
+    return counted.select(
+        *keys, "window", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        *_rates(seconds, F.lit(0).cast("bigint")))
+
+
+def unreported(sends: DataFrame, reports: DataFrame, within: str = "5 minutes", watermark: str | None = None) -> DataFrame:
+    """The accepted sends that no report has come for `within` their time; a stream gives each once that is certain."""
+    sent = sends.where("status <> 'refused'")
+    told = reports.select(F.col("message_id").alias("_of"), F.col("ts").alias("_at"))
+    if watermark:
+        sent, told = sent.withWatermark("ts", watermark), told.withWatermark("_at", watermark)
+    in_time = F.expr(f"_of = message_id AND _at >= ts AND _at <= ts + INTERVAL {within}")
+    return sent.join(told, in_time, "left_outer").where("_of IS NULL").select(*sends.columns)
 
 
 def observed_gap(deliveries: DataFrame, keys: Iterable[str] = ("topic",),
@@ -88,21 +147,16 @@ def observed_gap(deliveries: DataFrame, keys: Iterable[str] = ("topic",),
         .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
         .select(*keys, F.col("window.start").alias("window_start"), "n", "first", "last")
     )
-    length = interval_micros(F.expr(f"INTERVAL {width}").cast("interval day to second")) * run
-    windows = windows.withColumn("_run", F.floor(micros_of(windows, "window_start") / length))
-    within = F.lag("last").over(Window.partitionBy(*keys, "_run").orderBy("window_start"))
-    runs = windows.groupBy(*keys, "_run").agg(F.max("last").alias("_last"))
-    before = runs.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_run").alias("_of"), F.lag("_last").over(
-        Window.partitionBy(*keys).orderBy("_run")).alias("_before"))
-    # Null-safe, so that windows of a missing key are kept.
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_run") == F.col("_of"))
-    spanned = windows.withColumn("_within", within).join(before, same).withColumn("previous", F.coalesce("_within", "_before"))
-    span = F.col("last") - F.coalesce("previous", "first")
-    gaps = F.col("n") - F.when(F.col("previous").isNull(), 1).otherwise(0)
-    return spanned.select(
-        *keys, "window_start", "n",
-        F.when(gaps > 0, interval_micros(span) / F.lit(1e6) / gaps).alias("avg_delay"),
-    )
+    windows = windows.withColumn("_run", run_number(windows, "window_start", width, run))
+    spanned = with_previous(windows, keys, "window_start", "_run", "last")
+    return spanned.select(*keys, "window_start", "n", mean_gap("n", "first", "last", "previous").alias("avg_delay"))
+
+
+def mean_gap(n: str, first: str, last: str, previous: str) -> Column:
+    """Mean gap of the messages of a window, in seconds; null where there is none."""
+    span = F.col(last) - F.coalesce(previous, first)
+    gaps = F.col(n) - F.when(F.col(previous).isNull(), 1).otherwise(0)
+    return F.when(gaps > 0, interval_micros(span) / F.lit(1e6) / gaps)
 
 
 def with_elapsed(metrics: DataFrame, run: Iterable[str] = ("topic",)) -> DataFrame:
@@ -126,15 +180,25 @@ def current_lambda(controls: DataFrame, clamp: bool = True) -> DataFrame:
     millionth. One grouping: time and value are packed into one decimal, a fixed-width value, so
     it hashes in place and combines in the scanning task; a topic costs a row a task.
     """
+    return clamped(newest_lambda(controls).select("topic", "lambda")) if clamp else newest_lambda(controls).select("topic", "lambda")
+
+
+def newest_lambda(controls: DataFrame) -> DataFrame:
+    """`topic, lambda, rank`: the newest readable value per topic, and the number that orders such values.
+
+    On a stream in update mode this is a row of state per topic, given again whenever a newer value comes.
+    """
     known = controls.where("lambda IS NOT NULL").select("topic", "ts", "lambda")
     value = F.when(F.isnan("lambda"), 5e9).otherwise(F.greatest(F.least(F.col("lambda"), F.lit(4e9)), F.lit(-4e9)))
     order = (
         micros_of(known, "ts").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
         + ((value + 5e9) * 1e8).cast("decimal(19,0)")
     )
-    newest = known.groupBy("topic").agg(F.max_by("lambda", order).alias("lambda"))
-    if not clamp:
-        return newest
+    return known.groupBy("topic").agg(F.max_by("lambda", order).alias("lambda"), F.max(order).alias("rank"))
+
+
+def clamped(newest: DataFrame) -> DataFrame:
+    """Values that are negative or no number as zero."""
     positive = (F.col("lambda") > 0) & ~F.isnan("lambda")
     return newest.withColumn("lambda", F.when(positive, F.col("lambda")).otherwise(F.lit(0.0)))
 
@@ -168,16 +232,30 @@ def lambda_samples(controls: DataFrame, clamp: bool = True) -> DataFrame:
     )
 
 
-def stop_samples(samples: DataFrame, after: str = "2 seconds") -> DataFrame:
-    """One zero per zeroed gauge of every series, `after` its last sample."""
-    return (
-        samples.where(F.col("metric").isin(*ZEROED_ON_STOP))
-        .groupBy("metric", "labels")
-        .agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts"))
-        .select("ts", "metric", "labels", F.lit(0.0).alias("value"))
-    )
+def stop_samples(samples: DataFrame, after: str = "2 seconds", gap: str | None = None,
+                 watermark: str | None = None) -> DataFrame:
+    """One zero per zeroed gauge of every series, `after` its last sample.
+
+    With `gap` a client stops whenever a gauge has had no sample for so long, so a series gets a zero for each time that it stops
+    and none while it goes on: its samples are grouped into sessions. That also works on a stream with `watermark`, which gives the
+    zero once the session can't go on any more. Sessions are merged in the scanning task where
+    `spark.sql.sessionWindow.merge.sessions.in.local.partition` is set.
+    """
+    gauges = samples.where(F.col("metric").isin(*ZEROED_ON_STOP))
+    if watermark:
+        gauges = gauges.withWatermark("ts", watermark)
+    if gap is None:
+        last = gauges.groupBy("metric", "labels").agg(F.max("ts").alias("last"))
+    else:
+        # Sessions are merged in order of their keys, and maps have none.
+        entries = F.array_sort(F.map_entries("labels")).alias("_labels")
+        last = (
+            gauges.groupBy("metric", entries, F.session_window("ts", gap)).agg(F.max("ts").alias("last"))
+            .withColumn("labels", F.map_from_entries("_labels"))
+        )
+    return last.select((F.col("last") + F.expr(f"INTERVAL {after}")).alias("ts"), "metric", "labels", F.lit(0.0).alias("value"))
 
 
-def with_stop_zeros(samples: DataFrame, after: str = "2 seconds") -> DataFrame:
+def with_stop_zeros(samples: DataFrame, after: str = "2 seconds", gap: str | None = None) -> DataFrame:
     """The samples and the closing zeros of all their series (batch only)."""
-    return samples.unionByName(stop_samples(samples, after))
+    return samples.unionByName(stop_samples(samples, after, gap))

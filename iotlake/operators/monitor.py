@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.sources.checkpoint import last_batch, offset_log
+from iotlake.sources.checkpoint import last_batch, offset_log, sink_log
 
 
 def topics(envelopes: DataFrame) -> DataFrame:
@@ -68,13 +68,17 @@ def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def newest_files(spark: SparkSession, path: str, n: int = 2) -> DataFrame:
-    """The `n` newest data files of a lake; only listed, never opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return (
-        files.select("path", F.col("modificationTime").alias("modified"), "length")
-        .orderBy(F.desc("modified"), "path")
-        .limit(n)
-    )
+    """`path, modified, size`: the `n` newest data files of a lake.
+
+    Of a streamed lake these are files that its sink has committed, from the sink's log; no folder of the lake is listed. A lake
+    that was written as a batch has no log: there Spark lists its folders, and opens no file.
+    """
+    if last_batch(spark, f"{path}/_spark_metadata") is not None:
+        files = sink_log(spark, path).select("path", "modified", "size")
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+            "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+    return files.orderBy(F.desc("modified"), "path").limit(n)
 
 
 def partition_counts(rows: DataFrame) -> DataFrame:

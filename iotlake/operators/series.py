@@ -3,11 +3,12 @@
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from iotlake.functions.event_time import micros_of
 from iotlake.functions.labels import label, label_equals, label_matches
+from iotlake.operators.runs import run_number, with_previous
 
 # The producer jobs, their targets, and the labels that a job adds to its samples.
 TARGETS = {
@@ -81,12 +82,33 @@ def sum_by(stepped: DataFrame, *names: str, scale: int | None = None) -> DataFra
     return summed.select(F.col("window.start").alias("step"), *names, "total")
 
 
-def label_values(samples: DataFrame, metric: str, *names: str) -> DataFrame:
-    """`label, value`: the distinct non-empty values of the labels on a metric, in one pass."""
-    pairs = F.array(*[F.struct(F.lit(name).alias("label"), label(name).alias("value")) for name in names])
+def label_values(samples: DataFrame, metric: str, *names: str,
+                 targets: Mapping[str, tuple[Sequence[str], Mapping[str, str]]] | None = None) -> DataFrame:
+    """`label, value`: the distinct non-empty values of the labels on a metric, in one pass.
+
+    With `targets` the samples are as scraped, with the columns job and instance, and the values are those that `with_listed_targets` would add;
+    only the asked labels are looked at, and no map is built.
+    """
+    value = label if targets is None else lambda name: _listed_label(name, targets)
+    pairs = F.array(*[F.struct(F.lit(name).alias("label"), value(name).alias("value")) for name in names])
     return select_series(samples, metric).select(F.inline(pairs)).where("value <> ''").distinct()
 
 
+def _listed_label(name: str, targets: Mapping[str, tuple[Sequence[str], Mapping[str, str]]]) -> Column:
+    """The value of one label after the listed targets have been added."""
+    found = label(name)
+    for job, (instances, labels) in targets.items():
+        added = {"job": F.lit(job), "instance": F.col("instance"), **{k: F.lit(v) for k, v in labels.items()}}
+        own = name.removeprefix("exported_")
+        here = added.get(name)
+        if here is None and own != name and own in added:
+            # What the target's own label has replaced.
+            here = F.coalesce(F.try_element_at("labels", F.lit(own)), label(name))
+        if here is not None:
+            found = F.when((F.col("job") == job) & F.col("instance").isin(*instances), here).otherwise(found)
+    return found
+
+
 def with_display_name(samples: DataFrame, name: str) -> DataFrame:
     """Add `series`, the legend text: the value of one label."""
     return samples.withColumn("series", label(name))
@@ -129,15 +151,45 @@ def with_target_labels(samples: DataFrame, targets: DataFrame, on: Iterable[str]
     return joined.withColumn("labels", with_labels(F.col("labels"), added)).drop("target_labels")
 
 
-def per_type(samples: DataFrame, step: str, types: Column) -> DataFrame:
-    """`step, metric, labels, value`: a step's last value of a GAUGE, and the increase of a COUNTER over it.
+def per_type(samples: DataFrame, step: str, types: Column, scale: int | None = None) -> DataFrame:
+    """`step, metric, labels, type, value`: a step's last value of a GAUGE, and the increase of a COUNTER over it.
+
+    `types` gives a sample's type: COUNTER, or anything else for a gauge. A series has one sample per instant.
+    """
+    typed = samples.withColumn("type", types)
+    counter = F.col("type") == "COUNTER"
+    last = (
+        typed.where(~F.coalesce(counter, F.lit(False)))
+        .groupBy(F.window("ts", step), "metric", "labels", "type").agg(F.max_by("value", "ts").alias("value"))
+        .select(F.col("window.start").alias("step"), "metric", "labels", "type", "value")
+    )
+    grown = increase(typed.where(counter), step, scale=scale)
+    return last.unionByName(grown.select("step", "metric", "labels", F.lit("COUNTER").alias("type"), "value"))
+
+
+def increase(samples: DataFrame, step: str, scale: int | None = None, run: int = 10_000) -> DataFrame:
+    """`step, metric, labels, value`: what the counters have counted in each step that has a sample of theirs.
 
-    `types` gives a sample's type. An increase is the step's last value less its first; a value lower than the one
-    before it, a restart, isn't told from a fall, so an increase is not below zero.
+    Each sample adds its difference to the series' sample before it, of whatever step; after a fall, which is a restart from
+    zero, it adds its own value. A series' first sample adds nothing. Samples without a value count for nothing. Samples are ordered within a
+    series and step; the last value of a step is handed on to the next within runs of `run` steps, and from run to run.
+    With `scale` differences and sums are taken in decimals of that scale, so the last digits don't depend on an order.
     """
-    grouped = samples.groupBy(F.window("ts", step), "metric", "labels", types.alias("type")).agg(
-        F.max_by("value", "ts").alias("last"), F.min_by("value", "ts").alias("first"))
-    increase = F.greatest(F.col("last") - F.col("first"), F.lit(0.0))
-    return grouped.select(
-        F.col("window.start").alias("step"), "metric", "labels", "type",
-        F.when(F.col("type") == "COUNTER", increase).otherwise(F.col("last")).alias("value"))
+    value = F.col("value") if scale is None else F.col("value").cast(f"decimal({18 + scale},{scale})")
+    # A map can't be ordered or partitioned by; its sorted entries can.
+    known = samples.where(F.col("value").isNotNull()).select(
+        F.window("ts", step)["start"].alias("step"), "metric", F.array_sort(F.map_entries("labels")).alias("_series"), "ts", value.alias("value"))
+    keys = ["metric", "_series"]
+    before = F.lag("value").over(Window.partitionBy(*keys, "step").orderBy("ts", "value"))
+    grown = known.withColumn("_grown", _growth(F.col("value"), before))
+    steps = grown.groupBy(*keys, "step").agg(
+        F.min_by("value", "ts").alias("first"), F.max_by("value", "ts").alias("last"), F.sum("_grown").alias("within"))
+    steps = steps.withColumn("_run", run_number(steps, "step", step, run))
+    carried = with_previous(steps, keys, "step", "_run", "last")
+    total = F.coalesce("within", F.lit(0)) + F.coalesce(_growth(F.col("first"), F.col("previous")), F.lit(0))
+    return carried.select("step", "metric", F.map_from_entries("_series").alias("labels"), total.cast("double").alias("value"))
+
+
+def _growth(value: Column, before: Column) -> Column:
+    """What a counter has counted since the sample before it; null without one."""
+    return F.when(value >= before, value - before).when(before.isNotNull(), value)

@@ -25,8 +25,8 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream_of(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of event files as a stream, a file per batch, in order of their times."""
-    return spark.readStream.schema(_EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+    """Folders of event files as a stream; what is there when a batch starts is in it."""
+    return spark.readStream.schema(_EVENTS).parquet(f"{path}/*")
 
 
 def _topic() -> Column:
@@ -98,9 +98,10 @@ def resent_envelopes(events: DataFrame) -> DataFrame:
     return envelopes(events).unionByName(again)
 
 
-def deliveries(events: DataFrame) -> DataFrame:
+def deliveries(events: DataFrame, *keep: str) -> DataFrame:
     """One delivery attempt per event; the planned delay is a multiple of 1/64 s."""
     return events.select(
+        *keep,
         "ts",
         _topic().alias("topic"),
         _client().alias("client_id"),
@@ -109,6 +110,23 @@ def deliveries(events: DataFrame) -> DataFrame:
     )
 
 
+def sends(events: DataFrame) -> DataFrame:
+    """One send per event; a full buffer refuses those of signups."""
+    status = F.when(F.col("event_type") == "signup", "refused").otherwise("sent")
+    return events.select(
+        "ts", _topic().alias("topic"), _client().alias("client_id"), F.col("event_id").alias("message_id"),
+        (F.floor(F.col("value") * 64).cast("double") / 64).alias("planned_delay"), status.alias("status"))
+
+
+def reports(events: DataFrame) -> DataFrame:
+    """The delivery report of each accepted send, up to two hours after it; every eleventh never comes."""
+    told = events.where("event_type <> 'signup' AND event_id % 11 <> 0")
+    return told.select(
+        F.col("event_id").alias("message_id"),
+        (F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 7 * 20).cast("int"))).alias("ts"),
+        F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status"))
+
+
 def samples(events: DataFrame) -> DataFrame:
     """A message-rate sample per event and an error-rate sample per failed one.
 
@@ -185,3 +203,45 @@ def coordination_samples(events: DataFrame) -> DataFrame:
         F.when(kind == "view", "AvgRequestLatency").when(kind == "click", "OutstandingRequests")
         .when(kind == "signup", "WatchCount").otherwise("ElectionTimeTaken")))
     return events.select(name.alias("name"), "ts", "value")
+
+
+def every_bean(events: DataFrame) -> DataFrame:
+    """A sample per event under a broker's name that is made for one of the rules, by the event's number; every 21st fits none."""
+    def named(text: str) -> Column:
+        return F.format_string(text.replace("{topic}", "%1$s").replace("{client}", "%2$s").replace("{partition}", "%3$s").replace(
+            "{type}", "%4$s"), _topic(), _client(), (F.col("user_id") % 3).cast("string"), F.col("event_type"))
+
+    names = [
+        "kafka.server<type=ReplicaManager, name=LeaderCount><>Value",
+        "kafka.server<type=Fetcher, name=BytesPerSec, topic={topic}><>Value",
+        "kafka.server<type=Produce, name=ByteRate, client-id={client}><>Value",
+        "kafka.network<type=SocketServer, name=IdlePercent><>Value",
+        "kafka.network<type=Processor, name=IdlePercent, networkProcessor={partition}><>Value",
+        "kafka.request<type=RequestMetrics, name=TotalTimeMs, request={type}><>Value",
+        "kafka.controller<type=KafkaController, name=ActiveControllerCount><>Value",
+        "kafka.log<type=Log, name=LogEndOffset, topic={topic}, partition={partition}><>Value",
+        "kafka.log<type=Log, name=Size, topic={topic}><>Value",
+        "kafka.cluster<type=Partition, name=UnderReplicated><>Value",
+        "kafka.coordinator<type=GroupMetadataManager, name=NumGroups><>Value",
+        "kafka.replica<type=Replica, name=Lag, topic={topic}, partition={partition}><>Value",
+        "kafka.server<type=FetcherLagMetrics, client-id={client}, topic={topic}, partition={partition}, name=ConsumerLag><>Value",
+        "kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec, topic={topic}><>Value",
+        "kafka.server<type=BrokerTopicMetrics, name=BytesInPerSec><>Value",
+        "java.lang<type=Memory><>HeapMemoryUsage",
+        "java.lang<type=GarbageCollector, name=G1 Old Generation><>CollectionCount",
+        "java.lang<type=GarbageCollector, name=G1 Old Generation><>CollectionTime",
+        "java.lang<type=Threading><>ThreadCount",
+        "java.lang<type=OperatingSystem><>OpenFileDescriptorCount",
+        "kafka.unknown<type=Other><>Count",
+    ]
+    name = F.get(F.array(*map(named, names)), (F.col("event_id") % len(names)).cast("int"))
+    return events.select(name.alias("name"), "event_id", "value")
+
+
+def every_coordination_bean(events: DataFrame) -> DataFrame:
+    """A sample per event under a name that is made for one of the coordination rules, the last of which keeps it."""
+    leader = F.concat(F.lit("org.apache.ZooKeeperService<name0=ReplicatedServer_id"), (F.col("user_id") % 3).cast("string"),
+                      F.lit(",name1=replica."), (F.col("user_id") % 5).cast("string"), F.lit(",name2=Leader>:"))
+    read = ["AvgRequestLatency", "MaxRequestLatency", "OutstandingRequests", "NumAliveConnections", "WatchCount", "DataTreeSize", "PacketsSent"]
+    name = F.concat(leader, F.get(F.array(*map(F.lit, read)), (F.col("event_id") % len(read)).cast("int")))
+    return events.select(name.alias("name"), "event_id", "value")

@@ -96,6 +96,99 @@ from ({_DAMAGED}) d join (select event_id, {_TEXT} as text from (select {_EVENT}
 _TAIL = f"""select null::varchar as "key", {_TEXT} as value, ts as "timestamp"
 from (select {_EVENT}, ts from events)"""
 
+# Sends that are accepted, and the reports that come in time: up to 90 minutes later.
+_ACCEPTED = f"select *, floor(value * 64) / 64 as delay from ({_SENT}) where event_type <> 'signup'"
+_TOLD = f"""select *, ts + to_minutes((event_id % 7 * 20)::int) as told from ({_ACCEPTED})
+  where event_id % 11 <> 0 and event_id % 7 * 20 <= 90"""
+_REPORTED = f"""select topic, client_id, window_start, sum(sent)::bigint as msg_count, sum(sent)::double / 3600::double as rate,
+  sum(failed)::bigint as error_count, sum(failed)::double / 3600::double as error_rate, 0::bigint as dropped_count,
+  case when sum(sent) = 0 then 0::double else sum(delay) / sum(sent) end as avg_delay
+from (select topic, client_id, window_start, 1 as sent, 0 as failed, delay from ({_ACCEPTED})
+  union all select topic, client_id, time_bucket(interval '1 hour', told), 0, 1, 0 from ({_TOLD}) where event_type = 'error')
+group by 1, 2, 3"""
+
+# What a stream has closed once it has read everything: all that ends ten seconds before the last time or earlier.
+_CLOSED = "window_start + interval '1 hour' <= (select max(ts) - interval '10 seconds' from events)"
+
+# Sessions of a client: a message an hour or more after the one before starts a new one.
+_ZEROS = f"""select max(ts) + interval '2 seconds' as ts, metric, topic, client_id, 0::double as value, max(ts) as last
+from (select *, sum(fresh) over (partition by topic, client_id order by ts, event_id) as session
+  from (select *, case when ts - lag(ts) over (partition by topic, client_id order by ts, event_id) < interval '1 hour' then 0 else 1 end as fresh from ({_SENT}))),
+  (values ('kafka_producer_message_rate'), ('kafka_producer_error_rate'), ('kafka_producer_avg_delay')) as m(metric)
+group by topic, client_id, session, metric"""
+
+_LOGGED = f"""select round(((epoch_us(window_start + interval '1 hour')
+    - epoch_us(min(min(ts)) over (partition by topic)))::double / 1e6)::decimal(18,6), 2)::double as elapsed_seconds,
+  round((count(*)::double / 3600)::decimal(18,10), 2)::double as rate, count(*) as msg_count,
+  {_FAILED} as error_count, {_FAILED} as dropped_count,
+  round((sum(floor(value * 64) / 64) / count(*))::decimal(18,10), 4)::double as avg_delay, '1' as run, topic, window_start
+from ({_SENT}) group by topic, window_start"""
+
+_NEWEST_LAMBDA = f"""select topic, greatest(0::double, value - 15) as lambda
+from (select *, row_number() over (partition by topic order by ts desc, value desc) as rn from ({_SENT})) where rn = 1"""
+
+# Messages in order, the first one an hour or more after each, and from the first message on one after the other.
+_CLIENT_WINDOWS = f"""with recursive m as (
+  select *, row_number() over (partition by topic, client_id order by ts, event_id) as i from ({_SENT})
+), instants as (
+  select topic, client_id, ts, min(i) as i from m group by all
+), closing as (
+  select a.topic, a.client_id, a.i, a.ts, b.i as next, b.ts as closed
+  from m a asof join instants b on a.topic = b.topic and a.client_id = b.client_id and a.ts + interval '1 hour' <= b.ts
+), w as (
+  select * from closing where i = 1
+  union all
+  select c.* from w join closing c on c.topic = w.topic and c.client_id = w.client_id and c.i = w.next
+)
+select w.topic, w.client_id, w.ts as window_start, w.closed as window_end, count(*) as msg_count,
+  count(*)::double / ((epoch_us(w.closed) - epoch_us(w.ts))::double / 1e6::double) as rate, {_FAILED} as error_count,
+  ({_FAILED})::double / ((epoch_us(w.closed) - epoch_us(w.ts))::double / 1e6::double) as error_rate,
+  sum(floor(value * 64) / 64) / count(*) as avg_delay
+from w join m on m.topic = w.topic and m.client_id = w.client_id and m.i <= w.next and (m.i > w.i or w.i = 1)
+group by w.topic, w.client_id, w.ts, w.closed"""
+
+# For each number: the first rule that fits and its name, the most specific one and its name, type, and the labels of the latter.
+# T stands for the topic, C for the client, P for the partition, E for the event's type; t, c in a name for the legal form.
+_RULES = [
+    (1, "server_replicamanager_leadercount", 1, "server_replicamanager_leadercount", ""),
+    (1, "server_fetcher_bytespersec_topic_{t}", 2, "server_fetcher_bytespersec", "T"),
+    (1, "server_produce_byterate_client_id_{c}", 3, "server_produce_byterate", "C"),
+    (4, "network_socketserver_idlepercent", 4, "network_socketserver_idlepercent", ""),
+    (4, "network_processor_idlepercent_networkprocessor_{p}", 5, "network_processor_idlepercent", "N"),
+    (6, "request_totaltimems", 6, "request_totaltimems", "E"),
+    (7, "controller_kafkacontroller_activecontrollercount", 7, "controller_kafkacontroller_activecontrollercount", ""),
+    (8, "log_log_logendoffset", 8, "log_log_logendoffset", "TP"),
+    (9, "log_log_size", 9, "log_log_size", "T"),
+    (10, "cluster_partition_underreplicated", 10, "cluster_partition_underreplicated", ""),
+    (11, "coordinator_groupmetadatamanager_numgroups", 11, "coordinator_groupmetadatamanager_numgroups", ""),
+    (12, "replica_replica_lag", 12, "replica_replica_lag", "TP"),
+    (1, "server_fetcherlagmetrics_client_id_{c}_topic_{t}_partition_{p}_consumerlag", 13, "fetcher_lag_metrics_consumerlag", "TPC"),
+    (1, "server_brokertopicmetrics_messagesinpersec_topic_{t}", 14, "broker_topic_metrics_messagesinpersec", "T"),
+    (1, "server_brokertopicmetrics_bytesinpersec", 15, "broker_topic_metrics_bytesinpersec", ""),
+    (16, "jvm_memory_heapmemoryusage", 16, "jvm_memory_heapmemoryusage", ""),
+    (17, "jvm_gc_collection_count", 17, "jvm_gc_collection_count", "G"),
+    (18, "jvm_gc_collection_time", 18, "jvm_gc_collection_time", "G"),
+    (19, "jvm_thread_threadcount", 19, "jvm_thread_threadcount", ""),
+    (20, "jvm_os_openfiledescriptorcount", 20, "jvm_os_openfiledescriptorcount", ""),
+]
+
+
+def _every_rule(specific: bool) -> str:
+    rows = []
+    for k, (first, name, best, best_name, labels) in enumerate(_RULES):
+        rule, text = (best, best_name) if specific else (first, name)
+        # A rule that is hidden gives its labels to nothing.
+        held = labels if rule == best else ""
+        rows.append(f"({k}, {rule}, '{text if text.startswith('jvm') else 'kafka_' + text}', '{held}')")
+    legal = "replace(replace(replace(r.name, '{{t}}', replace(topic, '-', '_')), '{{c}}', replace(client_id, '-', '_')), '{{p}}', (user_id % 3)::varchar)"
+    of = lambda letter, value: f"case when contains(labels, '{letter}') then {value} else '' end"
+    return f"""select event_id, value, rule, {legal.replace('{{', '{').replace('}}', '}')} as metric,
+  case when rule in (17, 18) then 'COUNTER' else 'GAUGE' end as type, {of('T', 'topic')} as topic, {of('P', '(user_id % 3)::varchar')} as "partition",
+  {of('C', 'client_id')} as client_id, {of('G', "'G1 Old Generation'")} as gc_collector, {of('N', '(user_id % 3)::varchar')} as network_processor,
+  {of('E', 'event_type')} as request
+from ({_SENT}) join (values {', '.join(rows)}) as r(k, rule, name, labels) on event_id % 21 = k"""
+
+
 ORACLE = {
     "lake_rows": _LAKE,
     "lake_rows_utc_keys": f"""select {_EVENT}, cast(ts as date) as "date", extract(hour from ts)::int as "hour"
@@ -141,8 +234,24 @@ from (select topic, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by topic
   (epoch_us(window_start + interval '1 hour') - epoch_us(min(min(ts)) over (partition by topic)))::double
     / 1e6::double as elapsed_seconds
 from ({_SENT}) group by 1, 2, 3""",
-    "lambda_current": f"""select topic, greatest(0::double, value - 15) as lambda
-from (select *, row_number() over (partition by topic order by ts desc, value desc) as rn from ({_SENT})) where rn = 1""",
+    "reported_rate": _REPORTED,
+    # The join may still give an error 90 minutes behind the slower of sends and failed reports.
+    "stream_reported_rate": f"""select * from ({_REPORTED})
+where window_start + interval '1 hour' <= (select least((select max(ts) from ({_ACCEPTED})),
+  (select max(ts + to_minutes((event_id % 7 * 20)::int)) from ({_ACCEPTED}) where event_type = 'error' and event_id % 11 <> 0)))
+    - interval '90 minutes 10 seconds'""",
+    "unreported_sends": f"select topic, client_id, ts, event_id as message_id from ({_ACCEPTED}) where event_id not in (select event_id from ({_TOLD}))",
+    "client_windows": _CLIENT_WINDOWS,
+    "session_zeros": f"select ts, metric, topic, client_id, value from ({_ZEROS})",
+    "stream_stop_zeros": f"""select ts, metric, topic, client_id, value from ({_ZEROS})
+where last + interval '1 hour' <= (select max(ts) - interval '10 seconds' from events)""",
+    "stream_gaps": f"""select topic, window_start, count(*) as n, sum(gap)::double / 1e6::double / nullif(count(gap), 0) as avg_delay,
+  (epoch_us(window_start + interval '1 hour') - min(first))::double / 1e6::double as elapsed_seconds
+from (select *, epoch_us(ts) - epoch_us(lag(ts) over (partition by topic order by ts, event_id)) as gap,
+    epoch_us(min(ts) over (partition by topic)) as first from ({_SENT}))
+where {_CLOSED} group by 1, 2""",
+    "stream_lambda_current": _NEWEST_LAMBDA,
+    "lambda_current": _NEWEST_LAMBDA,
     "lambda_current_unclamped": f"""select topic, value - 15 as lambda
 from (select *, row_number() over (partition by topic order by ts desc, value desc) as rn from ({_SENT})) where rn = 1""",
     "lambda_samples": f"""select ts, 'kafka_producer_lambda' as metric, topic, greatest(0::double, value - 15) as value
@@ -167,10 +276,15 @@ union all select distinct 'impl', 'ckafka' from ({_SENT}) where user_id % 3 = 0
 union all select distinct 'instance', {_INSTANCE} from ({_SENT})""",
     "error_panel": f"""select ts, client_id, impl, value, event_id from ({_SAMPLES})
 where metric = 'kafka_producer_error_rate' and topic = 'topic-json' and impl in ('ckafka', 'kpython')""",
-    "value_by_type": f"""select step, metric, case when metric = 'kafka_producer_error_rate' then 'COUNTER' else 'GAUGE' end as type,
-  topic, client_id, impl, case when metric = 'kafka_producer_error_rate' then greatest(latest - earliest, 0) else latest end as value
-from (select step, metric, topic, client_id, impl, max_by(value, ts) as latest, min_by(value, ts) as earliest
-  from (select step, ts, metric, topic, client_id, impl, max(value) as value from ({_SAMPLES}) group by all) group by all)""",
+    "value_by_type": f"""select step, metric, 'GAUGE' as type, topic, client_id, impl, max_by(value, ts) as value
+from (select step, ts, metric, topic, client_id, impl, max(value) as value from ({_SAMPLES}) group by all)
+where metric = 'kafka_producer_message_rate' group by all
+union all
+select step, metric, 'COUNTER', topic, client_id, impl, sum(case when value >= before then value - before when before is not null then value else 0 end)::double
+from (select *, lag(value) over (partition by topic, client_id, impl order by ts) as before
+  from (select step, ts, metric, topic, client_id, impl, max(value)::decimal(20,2) as value from ({_SAMPLES})
+    where metric = 'kafka_producer_error_rate' group by all))
+group by all""",
     "target_labels": f"""select ts, metric, event_id,
   case when topic = 'topic-json' then 'kpython' else impl end as impl,
   case when topic = 'topic-json' then impl else '' end as exported_impl,
@@ -209,6 +323,15 @@ from ({_SENT})""",
     else 'org.apache.zookeeperservice<name0=replicatedserver_id' || (user_id % 3) || ',name1=replica.' ||
       (user_id % 5) || ',name2=leader>:electiontimetaken' end as metric,
   case when event_type in ('view', 'click', 'signup') then 'GAUGE' end as type
+from events""",
+    "normalize_every_rule": _every_rule(False),
+    "normalize_every_rule_specific": _every_rule(True),
+    "normalize_every_coordination_rule": """select event_id, value, (event_id % 7 + 1)::int as rule, case event_id % 7
+    when 0 then 'zookeeper_avg_request_latency' when 1 then 'zookeeper_max_request_latency' when 2 then 'zookeeper_outstanding_requests'
+    when 3 then 'zookeeper_num_alive_connections' when 4 then 'zookeeper_watch_count' when 5 then 'zookeeper_data_tree_size'
+    else 'org.apache.zookeeperservice<name0=replicatedserver_id' || (user_id % 3) || ',name1=replica.' ||
+      (user_id % 5) || ',name2=leader>:packetssent' end as metric,
+  case when event_id % 7 < 6 then 'GAUGE' end as type
 from events""",
     "topic_list": f"select distinct topic from ({_SENT})",
     "topic_inventory": f"select topic, count(distinct user_id % 3) as partitions from ({_SENT}) group by 1",
@@ -225,10 +348,11 @@ from ({_DAMAGED})""",
     "lake_range": f"""{_LAKE}
 where ts >= timestamp '2024-01-10 03:30:00' and ts < timestamp '2024-01-12 07:15:00'""",
     "lake_hour": f"""select * from ({_LAKE}) where "date" = date '2024-01-15' and "hour" = 21""",
-    "progress_rates": "select 'progress' as name, count(*) as input_rows from events where day(ts) > 16",
+    "progress_log": "select 'logged' as name, count(*) as input_rows, 3::bigint as last_batch from events",
+    "progress_rates": "select 'progress' as name, count(*) as input_rows from events",
     "recent_batches": """select * from (values (1, 0, true), (2, 0, true), (3, 0, true)) as v(batch_id, source, committed)
 where exists (select * from events)""",
-    "newest_files": f"""select distinct "date", "hour" from ({_LAKE}) where "date" >= date '2024-01-29'""",
+    "newest_files": f"""select distinct "date", "hour" from ({_LAKE}) where day("date") > 24""",
     "stream_lake_parts": f"""select "date", "hour", count(*) as n from ({_LAKE}) group by 1, 2""",
     "stream_producer_rate": f"""select topic, client_id, window_start, count(*) as msg_count,
   count(*)::double / 3600::double as rate, {_FAILED} as error_count,
@@ -236,10 +360,6 @@ where exists (select * from events)""",
 from ({_SENT})
 where window_start + interval '1 hour' <= (select max(ts) - interval '10 seconds' from events) group by 1, 2, 3""",
     "stream_dedup_payload": f"select distinct {_EVENT} from events",
-    "metrics_csv_roundtrip": f"""select round(((epoch_us(window_start + interval '1 hour')
-    - epoch_us(min(min(ts)) over (partition by topic)))::double / 1e6)::decimal(18,6), 2)::double as elapsed_seconds,
-  round((count(*)::double / 3600)::decimal(18,10), 2)::double as rate, count(*) as msg_count,
-  {_FAILED} as error_count, {_FAILED} as dropped_count,
-  round((sum(floor(value * 64) / 64) / count(*))::decimal(18,10), 4)::double as avg_delay, '1' as run, topic
-from ({_SENT}) group by topic, window_start""",
+    "metrics_csv_roundtrip": f"select * exclude (window_start) from ({_LOGGED})",
+    "stream_metrics_log": f"select * exclude (window_start) from ({_LOGGED}) where {_CLOSED}",
 }

@@ -1,6 +1,5 @@
 """The registered queries: each takes a session and a table folder."""
 
-import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,18 +7,22 @@ from pyspark.sql import functions as F
 
 from iotlake.functions.event_time import instant, utc_wall
 from iotlake.functions.labels import label
+from iotlake.operators import client_windows as opened
 from iotlake.operators import decode, metrics, monitor, rules, series
 from iotlake.plans import inputs
 from iotlake.plans.jobs import lake_rows as to_lake_rows
 from iotlake.scratch import shared_dir
+from iotlake.sources.checkpoint import sink_log
 from iotlake.sources.lake import read_lake, read_lake_between
 from iotlake.sources.metrics_log import read_metrics_csv
 from iotlake.sources.replay import replay
-from iotlake.streaming import progress, sinks
+from iotlake.streaming import carried, progress, sinks
 
 # `events` holds one row every few minutes or less, so windows and steps of an
 # hour stand in for the ten and two seconds of a live run.
 WIDTH = "1 hour"
+# How late a delivery report may come; a client without a sample for that long has stopped.
+REPORTED, STOPPED = "90 minutes", "1 hour"
 
 EVENT_COLUMNS = ["device_id", "battery_level", "motion_detected", "timestamp"]
 
@@ -106,6 +109,28 @@ def producer_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.observed_gap(inputs.deliveries(inputs.events(spark, sf_dir)), ["topic"], "1 day")
 
 
+def reported_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors in the windows of their delivery reports; refused sends nowhere."""
+    events = inputs.events(spark, sf_dir)
+    return _reported(metrics.reported_metrics(inputs.sends(events), inputs.reports(events), width=WIDTH, within=REPORTED))
+
+
+def _reported(found: DataFrame) -> DataFrame:
+    return found.select("topic", "client_id", "window_start", "msg_count", "rate", "error_count", "error_rate", "dropped_count", "avg_delay")
+
+
+def unreported_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted sends without a report in time."""
+    events = inputs.events(spark, sf_dir)
+    return metrics.unreported(inputs.sends(events), inputs.reports(events), REPORTED).select("topic", "client_id", "ts", "message_id")
+
+
+def client_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that each client opens at the message that closed the one before."""
+    sent = inputs.deliveries(inputs.events(spark, sf_dir), "event_id")
+    return opened.client_windows(sent, width=WIDTH, tie="event_id")
+
+
 def run_elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.with_elapsed(_metrics(spark, sf_dir)).select(
         "topic", "client_id", "window_start", "elapsed_seconds")
@@ -190,8 +215,8 @@ def error_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scraped = series.with_listed_targets(inputs.scraped(inputs.events(spark, sf_dir)))
-    return series.label_values(scraped, metrics.MESSAGE_RATE, "topic", "impl", "instance")
+    scraped = inputs.scraped(inputs.events(spark, sf_dir))
+    return series.label_values(scraped, metrics.MESSAGE_RATE, "topic", "impl", "instance", targets=series.TARGETS)
 
 
 def error_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +229,7 @@ def error_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def value_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last value of a gauge and the increase of a counter, per hour: error rates are taken for counters here."""
     kind = F.when(F.col("metric") == metrics.ERROR_RATE, "COUNTER").otherwise("GAUGE")
-    found = series.per_type(inputs.one_per_instant(_samples(spark, sf_dir)), WIDTH, kind)
+    found = series.per_type(inputs.one_per_instant(_samples(spark, sf_dir)), WIDTH, kind, scale=2)
     return found.select("step", "metric", "type", label("topic").alias("topic"), label("client_id").alias("client_id"),
                         label("impl").alias("impl"), "value")
 
@@ -252,6 +277,30 @@ def normalize_coordination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "value", "rule", F.col("name").alias("metric"), "type")
 
 
+_RULE_LABELS = ("topic", "partition", "client_id", "gc_collector", "network_processor", "request")
+
+
+def _of_every_rule(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    found = rules.normalize_names(inputs.every_bean(inputs.events(spark, sf_dir)), rules.BROKER_RULES, mode)
+    return found.select("event_id", "value", "rule", F.col("name").alias("metric"), "type", *[label(n).alias(n) for n in _RULE_LABELS])
+
+
+def normalize_every_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name for each broker rule; the general rules 1 and 4 hide six others."""
+    return _of_every_rule(spark, sf_dir, rules.FIRST_MATCH)
+
+
+def normalize_every_rule_specific(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same names; every rule fires."""
+    return _of_every_rule(spark, sf_dir, rules.MOST_SPECIFIC)
+
+
+def normalize_every_coordination_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = inputs.every_coordination_bean(inputs.events(spark, sf_dir))
+    return rules.normalize_names(rows, rules.COORDINATION_RULES).select(
+        "event_id", "value", "rule", F.col("name").alias("metric"), "type")
+
+
 # Completeness
 
 
@@ -329,58 +378,65 @@ def lake_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest files of a lake whose older half was written first: what date and hour they are of."""
-    path = f"{shared_dir(spark, 'newest')}/out"
-    rows, late = lake_rows(spark, sf_dir), F.col("date") >= F.lit("2024-01-29").cast("date")
-    sinks.write_lake_batch(rows.where(~late), "parquet", path)
-    # The file system's times may be whole seconds.
-    time.sleep(1.1)
-    sinks.write_lake_batch(rows.where(late).coalesce(1), "parquet", path, mode="append", cluster=False)
-    n = rows.where(late).select("date", "hour").distinct().count()
+    """The newest files of a lake that four runs have streamed: the dates and hours that the last of them wrote."""
+    path = _lake_of_parts(spark, sf_dir, "newest", files=1)
+    # One file a partition, and as many as the last run has written.
+    n = sink_log(spark, path).where("batch_id = 3").count()
     found = monitor.newest_files(spark, path, n)
     return found.select(
         F.regexp_extract("path", "/date=([^/]*)/", 1).cast("date").alias("date"),
         F.regexp_extract("path", "/hour=([^/]*)/", 1).cast("int").alias("hour"))
 
 
+def _in_parts(spark: SparkSession, sf_dir: str, base: str):
+    """The events as a stream whose folders come one before each of four runs, in order of time; the first has those without a time."""
+    rows, path = inputs.events(spark, sf_dir), f"{base}/events"
+    part = F.coalesce(F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), F.lit(0))
+    for number in range(4):
+        rows.where(part == number).write.parquet(f"{path}/part-{number}")
+        yield inputs.events_stream_of(spark, path)
+
+
 def _stream_decoded(spark: SparkSession, sf_dir: str, name: str):
-    """Stream all messages through the decoder without storing them; the query of each run and their checkpoint."""
+    """Stream all messages through the decoder without storing them; each run's query is yielded once it has ended."""
     base = shared_dir(spark, name)
-    checkpoint, runs = f"{base}/checkpoint", []
     for stream in _in_parts(spark, sf_dir, base):
         query = (
             to_lake_rows(inputs.envelopes(stream))
-            .writeStream.format("noop").queryName(name).option("checkpointLocation", checkpoint)
+            .writeStream.format("noop").queryName(name).option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True).start()
         )
         _drain(query)
-        runs.append(query)
-    return runs, checkpoint
-
-
-def _in_parts(spark: SparkSession, sf_dir: str, base: str):
-    """The events as a stream of several files in order of time, read by two runs: the second finds two files more."""
-    rows, path = inputs.events(spark, sf_dir), f"{base}/events"
-    day = F.dayofmonth("ts")
-    for parts in (((1, 8), (9, 16)), ((17, 24), (25, 31))):
-        for first, last in parts:
-            rows.where(day.between(first, last)).coalesce(1).write.mode("append").parquet(path)
-        yield inputs.events_stream_of(spark, path)
+        yield query, f"{base}/checkpoint"
 
 
 def recent_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest batches of a checkpoint that two runs have written."""
-    found = monitor.recent_batches(spark, _stream_decoded(spark, sf_dir, "recent")[1])
-    return found.select("batch_id", "source", "committed")
+    """The newest batches of a checkpoint that four runs have written."""
+    *_, (_, checkpoint) = _stream_decoded(spark, sf_dir, "recent")
+    return monitor.recent_batches(spark, checkpoint).select("batch_id", "source", "committed")
 
 
 def progress_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a stream as the progress reports of all its runs count them."""
-    runs, _ = _stream_decoded(spark, sf_dir, "progress")
+    runs = [query for query, _ in _stream_decoded(spark, sf_dir, "progress")]
     return progress.progress_rates(spark, runs).groupBy("name").agg(
         F.sum("numInputRows").alias("input_rows"))
 
 
+def progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the reports that a listener has saved to a table after each run."""
+    log, path = progress.ProgressLog(), f"{shared_dir(spark, 'progress-log')}/reports"
+    spark.streams.addListener(log)
+    try:
+        for query, _ in _stream_decoded(spark, sf_dir, "logged"):
+            log.wait_for(query)
+            log.save(spark, path)
+    finally:
+        spark.streams.removeListener(log)
+    return spark.read.parquet(path).where("name = 'logged'").groupBy("name").agg(
+        F.sum("numInputRows").alias("input_rows"), F.max("batchId").alias("last_batch"))
+
+
 def stream_producer_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows a metrics stream has closed once all messages are read."""
     base = shared_dir(spark, "rate")
@@ -424,17 +480,92 @@ def stream_dedup_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-def stream_lake_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A lake that two runs on one checkpoint have streamed, with at most two files a partition and batch."""
-    base = shared_dir(spark, "lake-parts")
+def _lake_of_parts(spark: SparkSession, sf_dir: str, name: str, files: int) -> str:
+    """A lake that four runs on one checkpoint have streamed, with at most so many files a partition and batch; its path."""
+    base = shared_dir(spark, name)
     for stream in _in_parts(spark, sf_dir, base):
         _drain(sinks.write_lake(to_lake_rows(inputs.envelopes(stream)), "parquet", f"{base}/out", f"{base}/checkpoint",
-                                "lake-parts", {"availableNow": True}, files=2))
-    return monitor.partition_counts(read_lake(spark, f"{base}/out", "parquet"))
+                                name, {"availableNow": True}, files=files))
+    return f"{base}/out"
+
+
+def stream_lake_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.partition_counts(read_lake(spark, _lake_of_parts(spark, sf_dir, "lake-parts", files=2), "parquet"))
+
+
+def _timed(stream: DataFrame) -> DataFrame:
+    """Times as instants, which a watermark needs."""
+    return stream.withColumn("ts", instant(F.col("ts")))
+
+
+def _drained(spark: SparkSession, sf_dir: str, name: str, rows_of) -> DataFrame:
+    """What four runs on one checkpoint have appended of `rows_of(stream of events)`."""
+    base = shared_dir(spark, name)
+    for stream in _in_parts(spark, sf_dir, base):
+        _drain(
+            rows_of(stream).writeStream.format("parquet").outputMode("append")
+            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_reported_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of sends and of delivery reports, two streams that are joined."""
+    found = _drained(spark, sf_dir, "reported", lambda stream: _reported(metrics.reported_metrics(
+        _timed(inputs.sends(stream)), _timed(inputs.reports(stream)), width=WIDTH, within=REPORTED, watermark="10 seconds")))
+    return found.withColumn("window_start", utc_wall(F.col("window_start")))
+
+
+def _rate_samples(stream: DataFrame) -> DataFrame:
+    """A sample of each gauge per delivery, as a client's registry would be read."""
+    sent = inputs.deliveries(stream)
+    value = F.col("planned_delay")
+    return metrics.to_samples(
+        sent.select("ts", "topic", "client_id", value.alias("rate"), F.lit(0).alias("dropped_count"), value.alias("error_rate"), value.alias("avg_delay")),
+        at="ts")
+
+
+def session_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zero for each time that a client has stopped."""
+    return _flat(metrics.stop_samples(_rate_samples(inputs.events(spark, sf_dir)), gap=STOPPED))
+
+
+def stream_stop_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stream, once it is certain."""
+    found = _drained(spark, sf_dir, "zeros", lambda stream: metrics.stop_samples(
+        _timed(_rate_samples(stream)), gap=STOPPED, watermark="10 seconds"))
+    return _flat(found).withColumn("ts", utc_wall(F.col("ts")))
+
+
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean gap and elapsed time of the windows that four runs have closed."""
+    base = shared_dir(spark, "gaps")
+    for stream in _in_parts(spark, sf_dir, base):
+        _drain(carried.write_gaps(
+            _timed(inputs.deliveries(stream)), f"{base}/out", f"{base}/checkpoint", "gaps", width=WIDTH, trigger={"availableNow": True}))
+    return spark.read.parquet(f"{base}/out").select(
+        "topic", utc_wall(F.col("window_start")).alias("window_start"), "n", "avg_delay", "elapsed_seconds")
+
+
+def stream_lambda_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of newest control values that four runs have kept up."""
+    base = shared_dir(spark, "lambda")
+    for stream in _in_parts(spark, sf_dir, base):
+        _drain(sinks.upsert_lambda(
+            metrics.newest_lambda(inputs.controls(stream)), f"{base}/out", f"{base}/checkpoint", "lambda", {"availableNow": True}))
+    return sinks.read_lambda(spark, f"{base}/out")
+
+
+def stream_metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV log of the windows that four runs have closed."""
+    base = shared_dir(spark, "metrics-stream")
+    for stream in _in_parts(spark, sf_dir, base):
+        closed = metrics.producer_metrics(_timed(inputs.deliveries(stream)), ["topic"], WIDTH, watermark="10 seconds")
+        _drain(sinks.stream_metrics_csv(closed, f"{base}/log", f"{base}/checkpoint", "1", {"availableNow": True}, WIDTH))
+    return read_metrics_csv(spark, f"{base}/log").drop("batch")
 
 
 def metrics_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "metrics-log")
     log = metrics.with_elapsed(_metrics(spark, sf_dir, keys=["topic"]))
     sinks.write_metrics_csv(log, base, "1")
-    return read_metrics_csv(spark, base)
+    return read_metrics_csv(spark, base).drop("batch")

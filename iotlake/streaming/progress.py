@@ -1,5 +1,6 @@
 """Rates of running queries as rows."""
 
+import time
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,14 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
+    def wait_for(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Wait until the newest report of a query that has ended is here, as reports arrive on a thread of their own."""
+        last, until = query.lastProgress, time.monotonic() + seconds
+        while last and not any(row[:2] == (last.name, last.batchId) for row in list(self._rows)):
+            if time.monotonic() > until:
+                raise TimeoutError(f"no report of batch {last.batchId} of {last.name}")
+            time.sleep(0.05)
+
     def rates(self, spark: SparkSession) -> DataFrame:
         """The reports not saved yet."""
         return spark.createDataFrame(list(self._rows), PROGRESS)

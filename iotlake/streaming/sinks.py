@@ -1,15 +1,15 @@
 """Lake, console and log writers."""
 
 from collections.abc import Iterable, Mapping
-from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from iotlake.functions.event_time import interval_micros
+from iotlake.operators.metrics import clamped
 from iotlake.schemas import METRICS_LOG, PARTITION_COLUMNS
-from iotlake.streaming.recovery import check_recovery
+from iotlake.streaming.carried import for_each_carried, with_run_elapsed
+from iotlake.streaming.recovery import check_batches, check_recovery, drop_batch, whole_batches
 
 
 def _gather(rows: DataFrame, files: int) -> DataFrame:
@@ -80,32 +80,60 @@ def metrics_log(metrics: DataFrame, keep: Iterable[str] = ("topic",)) -> DataFra
     return metrics.select(*columns, *keep)
 
 
-def write_metrics_csv(metrics: DataFrame, path: str, run: str, mode: str = "errorifexists") -> None:
-    """Write one run's window log as CSV with a header, one folder per topic.
+def write_metrics_csv(metrics: DataFrame, path: str, run: str, mode: str = "errorifexists", batch: int = 0) -> None:
+    """Write a batch of one run's window log as CSV with a header, one folder per topic.
 
     `metrics` has `elapsed_seconds`, from `with_elapsed`.
     """
-    metrics_log(metrics).write.mode(mode).partitionBy("topic").option("header", True).csv(f"{path}/run={run}")
+    metrics_log(metrics).write.mode(mode).partitionBy("topic").option("header", True).csv(f"{path}/run={run}/batch={batch}")
 
 
-def stream_metrics_csv(metrics: DataFrame, path: str, checkpoint: str, run: str, run_start: datetime,
-                       trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Append the closed windows of a metrics stream to one run's CSV log, exactly once.
+def stream_metrics_csv(metrics: DataFrame, path: str, checkpoint: str, run: str,
+                       trigger: Mapping[str, object] | None = None, width: str = "10 seconds") -> StreamingQuery:
+    """Append the closed windows of a metrics stream, keyed by topic, to one run's CSV log.
 
-    A stream cannot look back for the run's first message, so its start is given.
+    The run's first message of a topic is carried on from batch to batch. Every micro-batch writes a folder of its own, named by
+    run and batch id: a batch that is run again, as after a failure, replaces itself, so each window is logged once.
     """
-    target = f"{path}/run={run}"
-    check_recovery(metrics.sparkSession, target, checkpoint)
-    start = F.lit(run_start)
-    elapsed = interval_micros(F.col("window_end") - start) / F.lit(1e6)
+    check_batches(metrics.sparkSession, f"{path}/run={run}", checkpoint)
+
+    def log(rows: DataFrame, batch: int) -> None:
+        write_metrics_csv(with_run_elapsed(rows), path, run, "overwrite", batch)
+
+    return for_each_carried(metrics, ["topic"], checkpoint, f"metrics_log_{run}", log, trigger, width)
+
+
+def upsert_lambda(newest: DataFrame, path: str, checkpoint: str, name: str,
+                  trigger: Mapping[str, object] | None = None, keep: int = 2) -> StreamingQuery:
+    """Keep a table of one row per topic at its newest control value, from a stream of `newest_lambda`.
+
+    The stream's update mode gives the topics that have had a value. Each micro-batch merges them into the table of the batch
+    before and writes that under its own batch id, so a batch that is run again replaces itself, and older values that come late change
+    nothing. Readers take the newest whole table, by `read_lambda`; the last `keep` tables are kept.
+    """
+    spark = newest.sparkSession
+    check_batches(spark, path, checkpoint)
+
+    def merge(rows: DataFrame, batch: int) -> None:
+        before = [n for n in whole_batches(spark, path) if n < batch]
+        if before:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{path}/batch={before[-1]}"))
+        merged = rows.groupBy("topic").agg(F.max_by("lambda", "rank").alias("lambda"), F.max("rank").alias("rank"))
+        merged.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        for old in before[:max(0, len(before) + 1 - keep)]:
+            drop_batch(spark, path, old)
+
     writer = (
-        metrics_log(metrics.withColumn("elapsed_seconds", elapsed))
-        .writeStream.format("csv")
-        .queryName(f"metrics_log_{run}")
-        .outputMode("append")
-        .partitionBy("topic")
-        .option("header", True)
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
+        newest.writeStream.queryName(name).outputMode("update")
+        .option("checkpointLocation", checkpoint).foreachBatch(merge)
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def read_lambda(spark: SparkSession, path: str, clamp: bool = True) -> DataFrame:
+    """`topic, lambda` of the newest whole table that `upsert_lambda` has written."""
+    batches = whole_batches(spark, path)
+    if not batches:
+        return spark.createDataFrame([], "topic string, lambda double")
+    newest = spark.read.parquet(f"{path}/batch={batches[-1]}").select("topic", "lambda")
+    return clamped(newest) if clamp else newest

@@ -139,13 +139,52 @@ def test_label_patterns_match_the_whole_value(spark):
     assert series.select_series(frame, matches={"impl": "a.b"}).count() == 1
 
 
+def counter(spark, values, labels=None, metric="c"):
+    start = datetime(2024, 1, 1)
+    return spark.createDataFrame(
+        [(start + timedelta(seconds=s), metric, labels or {"a": "1", "b": "2"}, v) for s, v in values], SAMPLE)
+
+
 def test_per_type(spark):
+    values = [(0, 5.0), (60, 9.0), (120, 7.0)]
+    frame = counter(spark, values).unionByName(counter(spark, values, metric="g")).unionByName(counter(spark, values[:1], metric="n"))
+    kind = F.when(F.col("metric") == "c", "COUNTER").when(F.col("metric") == "g", "GAUGE")
+    assert rows(series.per_type(frame, "1 hour", kind), "metric", "type", "value") == [
+        ("c", "COUNTER", 11.0), ("g", "GAUGE", 7.0), ("n", None, 5.0)]
+
+
+@pytest.mark.parametrize("run", [1, 2, 10_000])
+def test_increase_counts_restarts_and_goes_on_over_steps(spark, run):
+    values = [(0, 0.0), (10, 5.0), (20, 10.0), (30, 2.0), (40, 4.0), (60, 9.0), (250, 20.0), (260, None), (600, 1.0)]
+    found = series.increase(counter(spark, values).repartition(5), "1 minute", run=run)
     start = datetime(2024, 1, 1)
-    frame = spark.createDataFrame(
-        [(start.replace(minute=m), metric, float(v)) for metric in ("g", "c") for m, v in ((0, 5), (1, 9), (2, 7))],
-        "ts timestamp_ntz, metric string, value double").withColumn("labels", F.create_map().cast("map<string,string>"))
-    kind = F.when(F.col("metric") == "c", "COUNTER").otherwise("GAUGE")
-    assert rows(series.per_type(frame, "1 hour", kind), "metric", "value") == [("c", 2.0), ("g", 7.0)]
+    assert {r.step: r.value for r in found.collect()} == {
+        start: 14.0, start + timedelta(minutes=1): 5.0, start + timedelta(minutes=4): 11.0, start + timedelta(minutes=10): 1.0}
+
+
+def test_increase_keeps_series_apart(spark):
+    frame = counter(spark, [(0, 1.0), (100, 4.0)], {"x": "1"}).unionByName(counter(spark, [(50, 2.0), (110, 3.0)], {"x": "2"})).unionByName(
+        counter(spark, [(0, 7.0), (61, 8.0)], {"z": "1", "x": "1"})).unionByName(counter(spark, [(70, 9.0)], {"x": "1", "z": "1"}))
+    found = {(tuple(sorted(r.labels.items())), r.step.minute): r.value for r in series.increase(frame, "1 minute").collect()}
+    assert found == {((("x", "1"),), 0): 0.0, ((("x", "1"),), 1): 3.0, ((("x", "2"),), 0): 0.0, ((("x", "2"),), 1): 1.0,
+                     ((("x", "1"), ("z", "1")), 0): 0.0, ((("x", "1"), ("z", "1")), 1): 2.0}
+
+
+def test_increase_equals_a_fold_on_the_whole_table(events):
+    from collections import defaultdict
+
+    from iotlake.plans import inputs
+
+    frame = inputs.one_per_instant(inputs.samples(events))
+    expected, before = defaultdict(float), {}
+    for r in sorted(frame.collect(), key=lambda r: r.ts):
+        key = (r.metric, tuple(sorted(r.labels.items())))
+        last = before.get(key)
+        step = r.ts.replace(hour=r.ts.hour // 6 * 6, minute=0, second=0, microsecond=0)
+        expected[key, step] += 0 if last is None else r.value - last if r.value >= last else r.value
+        before[key] = r.value
+    found = {((r.metric, tuple(sorted(r.labels.items()))), r.step): r.value for r in series.increase(frame, "6 hours", scale=2, run=3).collect()}
+    assert found == {k: pytest.approx(v, abs=1e-6) for k, v in expected.items()}
 
 
 def test_target_labels_keep_samples_without_target(spark, samples):
