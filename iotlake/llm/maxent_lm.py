@@ -49,14 +49,14 @@ BLOCK = 16
 class Shape:
     head: int = 16
     width: int = 32
-    tail: int = 31
+    tail: int = 15
     #: Rows of the class weights and of the word weights, as powers of two (16 at most).
     class_bits: int = 14
     word_bits: int = 14
     #: Words held with their counts in every task.
     known: int = 1 << 16
     rounds: int = 1
-    batch: int = 8192
+    batch: int = 16384
     rate: float = 1.0
 
     @property
@@ -65,9 +65,11 @@ class Shape:
         return 1 + self.head + self.tail
 
 
-def words(text: Column) -> Column:
-    """The words of a text, A-Z lowered."""
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def words(texts: DataFrame) -> DataFrame:
+    """The words of all texts, A-Z lowered, a row each."""
+    # One kind of white space, so that no pattern is needed to split.
+    plain_text = F.translate("text", UPPER + "\t\n\x0b\f\r", LOWER + " " * 5)
+    return texts.select(F.explode(F.split(plain_text, " ")).alias("word")).where("word <> ''")
 
 
 def tail_class(word: Column, shape: Shape) -> Column:
@@ -77,7 +79,7 @@ def tail_class(word: Column, shape: Shape) -> Column:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """word and c, its number in all texts. Counts are added up in each task before they are shuffled."""
-    return texts.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    return words(texts).groupBy("word").agg(F.count("*").alias("c"))
 
 
 def most_frequent(counts: DataFrame, n: int) -> list:
@@ -213,26 +215,41 @@ def context(one: np.ndarray, two: np.ndarray, bits: int, more: np.ndarray | None
     return [_mixed(x, by, bits) for x, by in zip(found, (0x2C1B3C6D, 0x297A2D39, 0x7FEB352D))]
 
 
-def _softmax(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
-    z = bias + weights[buckets[0]]
+def _scores(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
+    """Logits, less the largest of each row."""
+    z = weights.take(buckets[0], axis=0, mode="clip")
     for b in buckets[1:]:
-        z += weights[b]
+        z += weights.take(b, axis=0, mode="clip")
+    z += bias
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def _softmax(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
+    z = _scores(bias, weights, buckets)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
     return z
 
 
+def _log_share(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+    """log10 of the softmax at one place of each row."""
+    z = _scores(bias, weights, buckets)
+    own = z[np.arange(len(z)), of].astype(np.float64)
+    np.exp(z, out=z)
+    return (own - np.log(z.sum(axis=1, dtype=np.float64))) / np.log(10)
+
+
 def _step(weights: np.ndarray, history: np.ndarray, buckets: list[np.ndarray], grad: np.ndarray, rate: float) -> None:
     """An AdaGrad step of the touched rows; `history` has a number for each row."""
+    columns = np.ascontiguousarray(grad.T, np.float64)
+    place = np.empty(len(weights), np.intp)
     for b in buckets:
-        order = np.argsort(b, kind="stable")
-        rows = b[order]
-        last = np.flatnonzero(np.concatenate([rows[1:] != rows[:-1], [True]]))
-        used = rows[last]
-        # Sums of runs as differences of running sums.
-        total = np.cumsum(grad[order], axis=0)[last]
-        total[1:] -= total[:-1].copy()
+        used = np.flatnonzero(np.bincount(b, minlength=len(weights)))
+        place[used] = np.arange(len(used))
+        at = place[b]
+        # Sums over the tokens of each row, a column at a time.
+        total = np.stack([np.bincount(at, c, len(used)) for c in columns], axis=1).astype(np.float32)
         history[used] += np.einsum("ij,ij->i", total, total)
         weights[used] -= total * (rate / np.sqrt(history[used] + 1.0))[:, None]
 
@@ -269,11 +286,9 @@ def logs(model: Model, t: Tokens) -> np.ndarray:
     """log10 of each token's class share, times a head word's share of its class."""
     out = np.zeros(len(t.number))
     for at, buckets, heads, slot, k, word_buckets in _runs(model, t):
-        p = _softmax(model.class_bias, model.class_weights, buckets)
-        out[at] = np.log10(np.maximum(p[np.arange(len(p)), t.kind[at]], 1e-30))
+        out[at] = _log_share(model.class_bias, model.class_weights, buckets, t.kind[at])
         if len(heads):
-            p = _softmax(model.word_bias[k], model.word_weights, word_buckets)
-            out[at.start + heads] += np.log10(np.maximum(p[np.arange(len(p)), slot], 1e-30))
+            out[at.start + heads] += _log_share(model.word_bias[k], model.word_weights, word_buckets, slot)
     return out
 
 
