@@ -1,7 +1,6 @@
 """Values carried from row to row of a series, without ordering a whole series in one task."""
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,17 +17,16 @@ def run_number(frame: DataFrame, order: str, width: str, length: int) -> Column:
 def with_previous(rows: DataFrame, keys: Iterable[str], order: str, run: str, value: str) -> DataFrame:
     """Add `previous`: `value` of the row before, of the same keys, by `order`; null at a key's first row.
 
-    Rows are ordered within a key and `run`, a whole number that never falls as `order` rises, and the last value of each run, one
-    row a run, is handed to the next; so a long series is spread over its runs. All columns go into a run's last row, as both sides
-    then read one and the same exchange.
+    Rows are ordered within a key and `run`, a whole number that never falls as `order` rises; only the first row of each run is
+    ordered by key, and gets the last value of the run before. So a long series is spread over its runs, nothing is joined, and
+    both parts read one and the same exchange.
     """
     keys = list(keys)
-    within = F.lag(value).over(Window.partitionBy(*keys, run).orderBy(order))
-    whole = F.struct(order, *[c for c in rows.columns if c not in (order, run, *keys)])
-    ends = rows.groupBy(*keys, run).agg(F.max(whole)[value].alias("_last"))
-    before = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(run).alias("_of"), F.lag("_last").over(
-        Window.partitionBy(*keys).orderBy(run)).alias("_before"))
-    # Null-safe, so that rows of a missing key are kept.
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col(run) == F.col("_of"))
-    joined = rows.withColumn("_within", within).join(before, same)
-    return joined.select(*rows.columns, F.coalesce("_within", "_before").alias("previous"))
+    inside = Window.partitionBy(*keys, run).orderBy(order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = rows.withColumns({
+        "_within": F.lag(value).over(inside), "_later": F.lag(F.lit(True)).over(inside), "_last": F.last(value).over(whole)})
+    later = marked.where("_later").select(*rows.columns, F.col("_within").alias("previous"))
+    first = marked.where("_later IS NULL").select(
+        *rows.columns, F.lag("_last").over(Window.partitionBy(*keys).orderBy(run)).alias("previous"))
+    return later.unionAll(first)

@@ -140,3 +140,92 @@ def test_topic_only_samples_have_no_client_label(deliveries):
     by_topic = metrics.producer_metrics(deliveries, ["topic"])
     samples = metrics.to_samples(by_topic, ["topic"])
     assert {tuple(r.labels) for r in samples.collect()} == {("topic",)}
+
+
+SENDS = "ts timestamp_ntz, topic string, client_id string, message_id long, planned_delay double, status string"
+REPORTS = "message_id long, ts timestamp_ntz, status string"
+
+
+@pytest.fixture
+def reported(spark):
+    sends = [(at(0), "a", "c", 1, 0.5, "sent"), (at(2), "a", "c", 2, 1.5, "sent"), (at(3), "a", "c", 3, 9.0, "refused"),
+             (at(12), "a", "c", 4, None, "sent"), (at(13), None, "d", 5, 1.0, "sent"), (at(14), "a", "c", None, 1.0, "sent"),
+             (at(15), "a", "c", 6, 2.0, "sent")]
+    reports = [(1, at(25), "error"), (2, at(2), "ok"), (3, at(4), "error"), (4, at(72.000001), "error"), (5, at(73), "error"),
+               (None, at(15), "error"), (7, at(1), "error"), (6, at(14.999999), "error")]
+    return spark.createDataFrame(sends, SENDS), spark.createDataFrame(reports, REPORTS)
+
+
+def test_an_error_counts_in_the_window_of_its_report(reported):
+    found = metrics.reported_metrics(*reported, within="1 minute")
+    assert rows(found, "topic", "client_id", "window_start", "msg_count", "error_count", "dropped_count", "avg_delay") == sorted([
+        ("a", "c", at(0), 2, 0, 0, 1.0), ("a", "c", at(10), 3, 0, 0, 1.0), ("a", "c", at(20), 0, 1, 0, 0.0),
+        (None, "d", at(10), 1, 0, 0, 1.0), (None, "d", at(70), 0, 1, 0, 0.0)], key=repr)
+    assert rows(found.where("error_count = 1"), "rate", "error_rate") == [(0.0, 0.1)] * 2
+
+
+def test_sends_without_a_report_in_time(reported):
+    assert rows(metrics.unreported(*reported, within="1 minute"), "message_id", "ts") == sorted(
+        [(4, at(12)), (None, at(14)), (6, at(15))], key=repr)
+
+
+def test_a_client_stops_once_per_gap(spark):
+    label = {"topic": "t", "client_id": "c"}
+    samples = spark.createDataFrame(
+        [(at(s), m, label, 1.0) for s in (0, 5, 14, 40, 49, 90) for m in (metrics.MESSAGE_RATE, metrics.DROPPED_MESSAGES)]
+        + [(at(5), metrics.MESSAGE_RATE, {"client_id": "d", "topic": "t"}, 1.0)], "ts timestamp_ntz, metric string, labels map<string,string>, value double")
+    zeros = metrics.stop_samples(samples, gap="10 seconds")
+    assert rows(zeros, "ts", "metric", "value") == sorted(
+        [(at(s + 2), metrics.MESSAGE_RATE, 0.0) for s in (14, 49, 90, 5)], key=repr)
+    assert metrics.with_stop_zeros(samples, gap="10 seconds").count() == samples.count() + 4
+
+
+def folded(sent, width):
+    """Windows of one client's messages (ts, planned_delay, status), one after the other."""
+    out, opened, n, errors, delay = [], None, 0, 0, 0.0
+    for ts, planned, status in sent:
+        opened = opened or ts
+        n, errors, delay = n + 1, errors + (status == "error"), delay + (planned or 0.0)
+        if ts - opened >= width:
+            seconds = (ts - opened) / timedelta(seconds=1)
+            out.append((opened, ts, n, n / seconds, errors, errors / seconds, delay / n))
+            opened, n, errors, delay = ts, 0, 0, 0.0
+    return out
+
+
+@pytest.mark.parametrize("width,hours", [("6 hours", 6), ("3 days", 72)])
+def test_client_windows_equal_a_fold(events, width, hours):
+    from iotlake.operators.client_windows import client_windows
+    from iotlake.plans import inputs
+
+    sent = inputs.deliveries(events, "event_id")
+    clients = defaultdict(list)
+    for r in sorted(sent.collect(), key=lambda r: (r.ts, r.event_id)):
+        clients[r.topic, r.client_id].append((r.ts, r.planned_delay, r.status))
+    expected = sorted((*key, *w) for key, own in clients.items() for w in folded(own, timedelta(hours=hours)))
+    found = client_windows(sent, width=width, tie="event_id", run=3)
+    assert sorted(map(tuple, found.collect())) == expected and len(expected) > 20
+
+
+def test_client_windows_of_ties_gaps_and_missing_keys(spark):
+    from iotlake.operators.client_windows import client_windows
+
+    times = [0, 0, 3, 9.999999, 10, 10, 10, 12, 20, 100, 100, 105, 110.5, 111, 300]
+    rows_ = [(at(s), None if k == 2 else "t", f"c{k}", i / 4, "error" if i % 3 == 0 else "ok", i)
+             for k in (1, 2) for i, s in enumerate(times)] + [(None, "t", "c1", 1.0, "ok", 99), (at(1), "t", "alone", 1.0, "ok", 0)]
+    frame = spark.createDataFrame(rows_, "ts timestamp_ntz, topic string, client_id string, planned_delay double, status string, i long")
+    expected = folded([(at(s), i / 4, "error" if i % 3 == 0 else "ok") for i, s in enumerate(times)], timedelta(seconds=10))
+    for run in (1, 10_000):
+        found = client_windows(frame.repartition(3), tie="i", run=run).collect()
+        assert sorted((tuple(r) for r in found), key=repr) == sorted(((t, c, *w) for t, c in (("t", "c1"), (None, "c2")) for w in expected), key=repr)
+    assert client_windows(frame.where("i < 0")).count() == 0
+
+
+def test_client_windows_plan_has_no_loop_over_a_client(spark, deliveries):
+    from conftest import plan
+
+    from iotlake.operators.client_windows import _closing
+
+    instants = deliveries.select("topic", F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).withColumn("slot", F.floor(F.col("t") / 10))
+    text = plan(_closing(instants, ["topic"], F.lit(10), 100))
+    assert "Python" not in text and "Cartesian" not in text

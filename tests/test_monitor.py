@@ -114,7 +114,7 @@ def test_newest_files(spark, lake):
     found = monitor.newest_files(spark, lake[0], n=3).collect()
     assert len(found) == 3
     assert [r.modified for r in found] == sorted((r.modified for r in found), reverse=True)
-    assert all("/_" not in r.path and r.length > 0 for r in found)
+    assert all("/_" not in r.path and r.size > 0 for r in found)
 
 
 def test_report(spark, events, lake, checkpoint):

@@ -123,6 +123,15 @@ def test_listed_targets_rename_what_they_replace(samples):
     assert "job" not in result[4.0]
 
 
+def test_label_values_of_listed_targets_need_no_map(spark, samples):
+    targets = {"j": (["h:1", "h:2"], {"impl": "new"}), "k": (["h:1"], {})}
+    scraped = samples.withColumn("job", F.when(F.col("value") < 8.0, "j").otherwise("k")).withColumn(
+        "instance", F.when(F.col("value") == 4.0, "elsewhere").when(F.col("value") == 2.0, "h:2").otherwise("h:1"))
+    names = ["topic", "impl", "exported_impl", "job", "instance", "client_id", "other"]
+    whole = series.label_values(series.with_listed_targets(scraped, targets), RATE, *names)
+    assert rows(series.label_values(scraped, RATE, *names, targets=targets)) == rows(whole)
+
+
 def test_every_producer_job_is_listed(spark):
     rows_ = [(job, instance) for job, (instances, _) in series.TARGETS.items() for instance in instances]
     frame = spark.createDataFrame(rows_, "job string, instance string").withColumn(

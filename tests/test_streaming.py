@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from iotlake.operators import decode, metrics, monitor, series
 from iotlake.plans import jobs, queries
 from iotlake.schemas import DELIVERY, ENVELOPE, METRICS_LOG
+from iotlake.sources.checkpoint import sink_log
 from iotlake.sources.lake import read_lake
 from iotlake.sources.metrics_log import read_metrics_csv
 from iotlake.sources.replay import read_envelopes, replay
-from iotlake.streaming import progress, sinks
+from iotlake.streaming import carried, progress, sinks
 from iotlake.streaming.recovery import CheckpointMismatch, check_recovery
 
 ONCE = {"availableNow": True}
@@ -249,16 +250,156 @@ def test_sampling_stream_equals_batch(spark, sent, folders):
     assert len(rows(actual)) == 10
 
 
-def test_metrics_log_of_a_stream(spark, sent, folders):
-    batch, stream = sent
-    started = batch.agg(F.min("ts")).first()[0]
-    windows = metrics.producer_metrics(stream, ["topic"], watermark="5 seconds")
-    sinks.stream_metrics_csv(windows, folders["out"], folders["checkpoint"], "7", started, ONCE).awaitTermination()
-    expected = closed(metrics.producer_metrics(batch, ["topic"]), "window_end", folders, 5)
-    expected = expected.withColumn(
-        "elapsed_seconds", F.col("window_end").cast("double") - F.lit(started).cast("timestamp").cast("double"))
-    log = read_metrics_csv(spark, folders["out"]).where("run = '7'").drop("run")
+@pytest.fixture
+def parts(spark, folders):
+    """All deliveries, and a stream whose files come one before each step."""
+    batch = deliveries(spark, folders["in"])
+    files = sorted(Path(folders["in"]).glob("*.parquet"), key=lambda f: spark.read.parquet(str(f)).first()["ts"])
+    Path(folders["more"]).mkdir()
+
+    def steps():
+        for file in files:
+            shutil.copy(file, folders["more"])
+            yield spark.readStream.schema(batch.schema).parquet(folders["more"])
+
+    return batch, steps()
+
+
+def undo_last(folders):
+    """As if the last batch had failed before it was committed: the next start runs it again."""
+    last = max(int(p.name) for p in Path(folders["checkpoint"], "commits").iterdir() if p.name.isdigit())
+    Path(folders["checkpoint"], "commits", str(last)).unlink()
+    Path(folders["checkpoint"], "commits", f".{last}.crc").unlink(missing_ok=True)
+
+
+def test_metrics_log_of_a_stream(spark, parts, folders):
+    batch, steps = parts
+    for stream in steps:
+        windows = metrics.producer_metrics(stream, ["topic"], watermark="5 seconds")
+        start = lambda: sinks.stream_metrics_csv(windows, folders["out"], folders["checkpoint"], "7", ONCE).awaitTermination()
+        start()
+        undo_last(folders)
+        start()
+    expected = closed(metrics.with_elapsed(metrics.producer_metrics(batch, ["topic"])), "window_end", folders, 5)
+    log = read_metrics_csv(spark, folders["out"]).where("run = '7'")
     assert rows(log, *sinks.metrics_log(expected).columns) == rows(sinks.metrics_log(expected))
+    assert log.select("batch").distinct().count() > 1
+    with pytest.raises(CheckpointMismatch):
+        sinks.stream_metrics_csv(windows, folders["out"], folders["checkpoint"] + "-new", "7", ONCE)
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_gaps_of_a_stream_equal_the_batch(spark, parts, folders, repeat):
+    batch, steps = parts
+    for stream in steps:
+        start = lambda: carried.write_gaps(
+            stream, folders["out"], folders["checkpoint"], "gaps", ["topic"], "10 seconds", "5 seconds", ONCE).awaitTermination()
+        start()
+        if repeat:
+            undo_last(folders)
+            start()
+    found = spark.read.parquet(folders["out"])
+    expected = metrics.observed_gap(batch, ["topic"], "10 seconds").withColumn("window_end", F.expr("window_start + INTERVAL 10 SECONDS"))
+    expected = closed(expected, "window_end", folders, 5)
+    assert rows(found, "topic", "window_start", "n", "avg_delay") == rows(expected, "topic", "window_start", "n", "avg_delay")
+    first = {r.topic: r.first for r in batch.groupBy("topic").agg(F.min("ts").alias("first")).collect()}
+    assert all(r.elapsed_seconds == (r.window_end - first[r.topic]).total_seconds() for r in found.collect())
+
+
+def test_windows_of_a_missing_key_are_carried(spark, parts, folders):
+    batch, steps = parts
+    for stream in steps:
+        gone = stream.withColumn("topic", F.when(F.col("topic") == "topic-1", F.col("topic")))
+        carried.write_gaps(gone, folders["out"], folders["checkpoint"], "gaps", trigger=ONCE, watermark="1 second").awaitTermination()
+    found = spark.read.parquet(folders["out"])
+    assert {r.topic for r in found.collect()} == {None, "topic-1"}
+    assert found.where("previous IS NULL").count() == 2
+
+
+def test_newest_lambda_of_a_stream(spark, folders):
+    def put(*values):
+        spark.createDataFrame(values, "second int, topic string, lambda double").select(
+            F.timestamp_seconds("second").alias("ts"), "topic", "lambda").coalesce(1).write.mode("append").parquet(folders["in"])
+        stream = spark.readStream.schema("ts timestamp, topic string, lambda double").parquet(folders["in"])
+        start = lambda: sinks.upsert_lambda(
+            metrics.newest_lambda(stream), folders["out"], folders["checkpoint"], "lambda", ONCE).awaitTermination()
+        start()
+        undo_last(folders)
+        start()
+        return rows(sinks.read_lambda(spark, folders["out"]))
+
+    assert rows(sinks.read_lambda(spark, folders["out"])) == []
+    assert put((10, "a", 5.0), (5, "a", 7.0), (9, "b", 1.0)) == [("a", 5.0), ("b", 1.0)]
+    assert put((8, "a", 99.0), (3, "c", -4.0), (9, "b", None)) == [("a", 5.0), ("b", 1.0), ("c", 0.0)]
+    assert put((11, "a", 6.0)) == [("a", 6.0), ("b", 1.0), ("c", 0.0)]
+    assert sorted(p.name for p in Path(folders["out"]).iterdir()) == ["batch=1", "batch=2"]
+    with pytest.raises(CheckpointMismatch):
+        sinks.upsert_lambda(metrics.newest_lambda(spark.readStream.schema("ts timestamp, topic string, lambda double").parquet(folders["in"])),
+                            folders["out"], folders["more"], "lambda", ONCE)
+
+
+def test_a_stream_gives_a_zero_once_a_client_has_stopped(spark, folders):
+    def put(*seconds):
+        spark.createDataFrame([(s, c) for s, c in seconds], "second int, c string").select(
+            F.timestamp_seconds("second").alias("ts"), F.lit(metrics.MESSAGE_RATE).alias("metric"),
+            F.create_map(F.lit("client_id"), "c").alias("labels"), F.lit(1.0).alias("value")).coalesce(1).write.mode("append").parquet(folders["in"])
+        stream = spark.readStream.schema("ts timestamp, metric string, labels map<string,string>, value double").parquet(folders["in"])
+        zeros = metrics.stop_samples(stream, gap="10 seconds", watermark="1 second")
+        return sorted((r.labels["client_id"], int(r.ts.timestamp())) for r in drain(zeros, folders).collect())
+
+    assert put((0, "a"), (5, "a"), (5, "b")) == []
+    assert put((13, "a")) == []
+    assert put((22, "a"), (20, "c")) == [("b", 7)]
+    assert put((60, "c")) == [("a", 24), ("b", 7), ("c", 22)]
+
+
+def test_reports_of_a_stream_equal_the_batch(spark, folders):
+    """An error that is told two windows later, over two runs."""
+    sends = "second int, topic string, client_id string, message_id long, planned_delay double, status string"
+    found = None
+    for number, (sent, told) in enumerate([
+        ([(0, "t", "c", 1, 1.0, "sent"), (3, "t", "c", 2, 2.0, "refused"), (9, "t", "c", 3, 3.0, "sent")], [(1, 4, "ok")]),
+        ([(31, "t", "c", 4, 1.0, "sent"), (33, "t", "c", 5, 1.0, "sent")], [(3, 24, "error"), (2, 24, "error"), (4, 32, "error")]),
+        ([(300, "t", "c", 6, 1.0, "sent")], [(6, 300, "error"), (5, 299, "error")]),
+    ]):
+        timed = lambda frame: frame.withColumn("ts", F.timestamp_seconds("second"))
+        for name, values, schema in (("s", sent, sends), ("r", told, "message_id long, second int, status string")):
+            timed(spark.createDataFrame(values, schema)).coalesce(1).write.mode("append").parquet(f"{folders['in']}/{name}")
+        read = lambda how, name: how.schema(spark.read.parquet(f"{folders['in']}/{name}").schema).parquet(f"{folders['in']}/{name}")
+        both = lambda how, mark: metrics.reported_metrics(read(how, "s"), read(how, "r"), within="1 minute", watermark=mark)
+        found = drain(both(spark.readStream, "1 second").drop("window"), folders)
+    batch = both(spark.read, None).drop("window").where("window_start < timestamp_seconds(200)")
+    assert rows(found) == rows(batch)
+    assert [(r.msg_count, r.error_count) for r in batch.orderBy("window_start").collect()] == [(2, 0), (0, 1), (2, 1)]
+
+
+def test_sends_that_a_stream_never_hears_of(spark, folders):
+    def put(sent, told):
+        for name, values in (("s", sent), ("r", told)):
+            spark.createDataFrame(values, "message_id long, second int, status string").withColumn(
+                "ts", F.timestamp_seconds("second")).coalesce(1).write.mode("append").parquet(f"{folders['in']}/{name}")
+        read = lambda name: spark.readStream.schema("message_id long, second int, status string, ts timestamp").parquet(f"{folders['in']}/{name}")
+        return rows(drain(metrics.unreported(read("s"), read("r"), "10 seconds", "1 second"), folders), "message_id")
+
+    assert put([(1, 0, "sent"), (2, 1, "sent"), (3, 2, "refused")], [(1, 5, "ok")]) == []
+    assert put([(4, 50, "sent")], [(4, 50, "error")]) == [(2,)]
+
+
+def test_sink_log_names_what_was_committed(spark, settings, folders):
+    with settings({"spark.sql.streaming.fileSink.log.compactInterval": "3"}):
+        for i in range(5):
+            add(spark, folders["in"], [payload(i)], i, f"2025-01-15 0{i}:00:00")
+            jobs.lake_job(replay(spark, folders["in"]), "json", folders["out"], folders["checkpoint"], trigger=ONCE).awaitTermination()
+    assert any(p.name.endswith(".compact") for p in Path(folders["out"], "_spark_metadata").iterdir())
+    stray = Path(folders["out"], "date=2025-01-15", "hour=21", "part-stray.json")
+    stray.write_text(payload(9))
+    log = sink_log(spark, folders["out"])
+    written = {p.name for p in Path(folders["out"]).rglob("part-*.json")} - {stray.name}
+    assert {r.path.rsplit("/", 1)[1] for r in log.collect()} == written and log.count() == 5
+    newest = monitor.newest_files(spark, folders["out"], 2).collect()
+    assert [r.path for r in newest] == [r.path for r in log.orderBy(F.desc("modified")).limit(2).collect()]
+    assert all(r.size > 0 for r in newest)
+    assert sink_log(spark, folders["more"]).count() == 0
 
 
 def test_metrics_log_of_a_batch(spark, sent, folders):
@@ -267,7 +408,7 @@ def test_metrics_log_of_a_batch(spark, sent, folders):
     for run in ("1", "2"):
         sinks.write_metrics_csv(windows, folders["out"], run)
     log = read_metrics_csv(spark, folders["out"])
-    assert log.columns == [*METRICS_LOG.fieldNames(), "run", "topic"]
+    assert log.columns == [*METRICS_LOG.fieldNames(), "run", "batch", "topic"]
     assert rows(log.where("run = '1'").drop("run")) == rows(log.where("run = '2'").drop("run"))
     assert rows(log.where("run = '1'"), *sinks.metrics_log(windows).columns) == rows(sinks.metrics_log(windows))
 
