@@ -6,7 +6,7 @@ their validators agree, and merges the headers that a 304 may update into that r
 
 The as-of join works on ids, instants and validators only: within runs of `hours` of a URL by a window over earlier rows, and
 from run to run by the run's last response. A URL with very many captures is thereby spread over its runs; the payload is
-joined by record_id at the end, for resolved revisits alone.
+joined by URL, instant and record_id at the end, for resolved revisits alone.
 
 States: `matched`; `mismatched`, when the entity tags (weak comparison) differ or, without a pair of tags, the
 Last-Modified values; `unchecked`, when there is no pair of either; `orphan`, without an earlier response. Only matched revisits
@@ -14,8 +14,9 @@ get headers and payload.
 
 Defined results: responses at the very instant of a revisit aren't earlier; of several at the latest instant the largest
 record_id counts; a null URL, date or record_id resolves to nothing (`orphan`) and serves nothing; an empty payload is a
-payload, a null one is none; repeated rows of a revisit are resolved each, those of a response serve once; header names are compared
-in lower case; further columns are ignored.
+payload, a null one is none; repeated rows of a revisit are resolved each; of rows with one URL, instant and record_id the one with the greatest
+validators serves, then that with the least payload, and a record_id may belong to several URLs; header names are compared
+in lower case; an empty table has no rows; payloads of any length are passed on whole; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,18 +98,25 @@ def resolve(records: DataFrame, hours: int = 1) -> DataFrame:
     found = near.join(runs, ["url_key", "run"]).withColumn("r", F.coalesce("near", "before"))
     agree = F.coalesce(F.col("tag") == F.col("r.tag"), F.col("modified") == F.col("r.modified"))
     found = found.select(
-        "record_id", "url_key", "headers", F.col("r.ref_id").alias("ref_id"),
+        "record_id", "url_key", "headers", F.col("r.ref_id").alias("ref_id"), F.col("r.at").alias("ref_at"),
         F.when(F.col("r").isNull(), "orphan").when(agree.isNull(), "unchecked").when(agree, "matched").otherwise("mismatched").alias("state"))
     loose = base.where(f"revisit and not ({known})").select(
-        "record_id", "url_key", "headers", F.lit(None).cast(base.schema["record_id"].dataType).alias("ref_id"), F.lit("orphan").alias("state"))
+        "record_id", "url_key", "headers", F.lit(None).cast(base.schema["record_id"].dataType).alias("ref_id"),
+        F.lit(None).cast("long").alias("ref_at"), F.lit("orphan").alias("state"))
     found = stored(found.unionByName(loose), "revisit-states")
+    # A response is that of its URL, instant and id: ids may repeat.
+    one = ["url_key", "ref_at", "ref_id"]
     full = records.where("kind = 'response' and status = 200 and payload is not null").select(
-        F.col("record_id").alias("ref_id"), _lower_names(F.col("headers")).alias("of_response"), "payload")
+        canonical_url(F.col("url")).alias("url_key"), F.unix_micros("date").alias("ref_at"), F.col("record_id").alias("ref_id"),
+        _lower_names(F.col("headers")).alias("of_response"), "payload")
     matched = found.where("state = 'matched'")
-    # Rows that repeat a response serve once.
-    full = full.join(matched.select("ref_id").distinct(), "ref_id", "left_semi").groupBy("ref_id").agg(
-        F.first(F.struct("of_response", "payload")).alias("full"))
-    done = matched.join(full, "ref_id").select(
+    # Rows that repeat a response serve once: that of the greatest validators, as the state was decided by; then of the least payload.
+    rank = F.struct(_tag(F.col("of_response")).alias("tag"), F.element_at("of_response", "last-modified").alias("modified"))
+    full = full.join(matched.select(*one).distinct(), one, "left_semi").groupBy(*one, rank.alias("rank")).agg(
+        F.min(F.struct("payload", header_text(F.col("of_response")).alias("text"), F.map_entries("of_response").alias("entries"))).alias("full")
+    ).groupBy(*one).agg(F.max_by("full", "rank").alias("full")).select(
+        *one, F.struct(F.map_from_entries("full.entries").alias("of_response"), F.col("full.payload").alias("payload")).alias("full"))
+    done = matched.join(full, one).select(
         "record_id", "url_key", "state", "ref_id", merged_headers(F.col("full.of_response"), F.col("headers")).alias("headers"),
         F.col("full.payload").alias("payload"))
     none = found.where("state <> 'matched'").select(
