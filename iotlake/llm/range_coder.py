@@ -108,7 +108,10 @@ def _contexts(before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
 
 
 def encode_blocks(blocks: list[np.ndarray], slots: int) -> list[bytes]:
-    """Payload of each block of ids (below 65536)."""
+    """Payload of each block of ids (below 65536; others are refused, as a symbol has 16 bits)."""
+    wide = [int(b.max()) for b in blocks if len(b) and (b.max() >> 16 or b.min() < 0)]
+    if wide:
+        raise ValueError(f"ids have 16 bits, not {max(wide)}")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order], np.int64)
     lanes, longest = len(order), int(sizes[0]) if len(order) else 0
@@ -306,8 +309,10 @@ class Tokens:
         import regex
         from tokenizers import Tokenizer
 
+        # As the library encodes: the string of a special token in a text is that token.
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.parts = regex.compile(pattern) if pattern else None
         self.memo: dict[str, np.ndarray] = {}
 
@@ -315,7 +320,7 @@ class Tokens:
         if not self.parts:
             return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         memo = self.memo
-        split = [self.parts.findall(t) for t in texts]
+        split = [self._split(t) for t in texts]
         new = list({p for parts in split for p in parts if p not in memo})
         if len(memo) + len(new) > MEMO:
             memo.clear()
@@ -326,6 +331,16 @@ class Tokens:
                 memo[part] = e.ids
         return [np.array([i for p in parts for i in memo[p]], np.int64) for parts in split]
 
+    def _split(self, text: str) -> list[str]:
+        if not self.special or not self.special.search(text):
+            return self.parts.findall(text)
+        out, at = [], 0
+        for found in self.special.finditer(text):
+            out += self.parts.findall(text[at:found.start()])
+            out.append(found[0])
+            at = found.end()
+        return out + self.parts.findall(text[at:])
+
 
 @cache
 def tokens(path: str, pattern: str | None) -> Tokens:
