@@ -5,13 +5,13 @@ word vector is the sum of the index vectors of the units within two places of it
 into `Shape.buckets` (a million), so the vectors take buckets * width bytes however large the corpus is, and of more distinct
 words some share a vector. Tasks sum runs of tokens, Spark adds the sums, and unit vectors in 1/127 reach the driver.
 
-A document's features are the mean of its unit vectors, that mean's length, the mean likeness of
-neighbouring units and the shares of a few character kinds. A two-layer network gives a logit, whose
+A document's features are the mean of its unit vectors, that mean's length and the mean likeness of
+neighbouring units. A two-layer network gives a logit, whose
 temperature is fitted on labelled rows that the network was not trained on.
 
 Defined results: a null or empty text has all-zero features and is scored like any other; repeated rows are
 scored each; a null or unknown label is not learned; without labels of both kinds every score is the share of
-label 1 (0.5 without any label). Other columns of the tables are ignored.
+label 1 (0.5 without any label); an empty table has no scores; texts of any length are read whole. Other columns of the tables are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from iotlake.llm.tables import give_back, hash_sample, list_array, map_texts, pl
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Unit vectors kept at hand per task.
-MEMO = 200_000
+MEMO = 50_000
 #: Tokens that a task sums at once.
 RUN = 1 << 18
 
@@ -65,15 +66,18 @@ class Units:
         return out
 
 
-def index_vectors(shape: Shape) -> np.ndarray:
-    """buckets x width, -1, 0 or 1; row 0 is zero."""
-    rng = np.random.default_rng(shape.seed)
-    index = np.zeros((shape.buckets, shape.width), np.int8)
-    for _ in range(shape.nonzero):
-        index[np.arange(shape.buckets), rng.integers(0, shape.width, shape.buckets)] = rng.choice(
-            np.array([-1, 1], np.int8), shape.buckets)
-    index[0] = 0
-    return index
+def index_vectors(ids: np.ndarray, shape: Shape) -> np.ndarray:
+    """ids x width, -1, 0 or 1: what the ids' hashes say, so that no table of them is held; that of id 0 is zero."""
+    out = np.zeros((len(ids), shape.width), np.int8)
+    rows = np.arange(len(ids))
+    for k in range(shape.nonzero):
+        h = ids.astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32((shape.seed * 1_000_003 + k * 0x85EBCA6B) & 0xFFFFFFFF)
+        h = (h ^ (h >> np.uint32(16))) * np.uint32(0x7FEB352D)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x846CA68B)
+        h ^= h >> np.uint32(16)
+        out[rows, (h >> np.uint32(1)) % np.uint32(shape.width)] = (h & np.uint32(1)).astype(np.int8) * 2 - 1
+    out[ids == 0] = 0
+    return out
 
 
 def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
@@ -83,13 +87,13 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
     texts = frame.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
 
     def run(batches):
-        index, units = index_vectors(shape), Units(shape.buckets)
+        units = Units(shape.buckets)
         gap, held = [0] * shape.reach, []
 
         def sums():
             ids = np.array(gap + held, np.int64)
             near = np.zeros((len(ids), shape.width), np.int8)
-            vectors = index[ids]
+            vectors = index_vectors(ids, shape)
             for step in range(1, shape.reach + 1):
                 near[step:] += vectors[:-step]
                 near[:-step] += vectors[step:]
@@ -119,20 +123,19 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
 def word_vectors(frame: DataFrame, shape: Shape) -> np.ndarray:
     """buckets x width unit-length vectors in 1/127, of a byte a number; at most shape.buckets rows of bytes reach the driver."""
     def run(batches):
-        index = index_vectors(shape)
         for batch in batches:
             ids = np.asarray(batch.column(0))
             sums = np.stack([np.asarray(c, np.float32) for c in batch.columns[1:]], axis=1)
-            found = _mixed(sums, index[ids])
+            found = _mixed(sums, index_vectors(ids, shape))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids.astype(np.int32).tobytes()], pa.binary()), pa.array([found.tobytes()], pa.binary())], names=["ids", "vectors"])
 
-    index = index_vectors(shape)
-    out = np.zeros(index.shape, np.int8)
+    out = np.zeros((shape.buckets, shape.width), np.int8)
     for at in range(0, shape.buckets, 1 << 16):
-        own = index[at:at + (1 << 16)]
-        out[at:at + (1 << 16)] = _mixed(np.zeros(own.shape, np.float32), own)
-    for row in context_sums(frame, shape).mapInArrow(run, "ids binary, vectors binary").collect():
+        own = index_vectors(np.arange(at, min(at + (1 << 16), shape.buckets)), shape)
+        out[at:at + len(own)] = _mixed(np.zeros(own.shape, np.float32), own)
+    # A run at a time, so that the driver holds the vectors once.
+    for row in context_sums(frame, shape).mapInArrow(run, "ids binary, vectors binary").toLocalIterator(prefetchPartitions=True):
         out[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row.vectors, np.int8).reshape(-1, shape.width)
     return out
 
@@ -146,11 +149,11 @@ def _mixed(sums: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 
 def features(texts: list[str], vectors: np.ndarray, units: Units) -> np.ndarray:
-    """A row per text: pooled vector, its length, likeness of neighbours, shares of character kinds."""
+    """A row per text: pooled vector, its length, likeness of neighbours, and whether there is any word."""
     rows = [units.of(t) for t in texts]
     sizes = np.array([len(r) for r in rows], np.int64)
     width = vectors.shape[1]
-    out = np.zeros((len(texts), width + 6))
+    out = np.zeros((len(texts), width + 3))
     full = np.flatnonzero(sizes)
     if len(full):
         ids = np.concatenate([np.asarray(rows[i], np.int64) for i in full])
@@ -164,12 +167,6 @@ def features(texts: list[str], vectors: np.ndarray, units: Units) -> np.ndarray:
         out[full, width] = np.linalg.norm(pooled, axis=1)
         out[full, width + 1] = np.add.reduceat(like, starts) / np.maximum(sizes[full] - 1, 1)
         out[full, width + 2] = 1
-    for i, text in enumerate(texts):
-        if text:
-            n = len(text)
-            out[i, width + 3] = sum(map(text.count, "!#$%&*|")) / n
-            out[i, width + 4] = text.count("\n") / n
-            out[i, width + 5] = sizes[i] / n
     return out
 
 
@@ -266,13 +263,13 @@ def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> QualityMo
                 "x": list_array(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())}
 
     found = map_texts(texts, rows, "doc_id long, y int, x array<double>", key="key").orderBy("doc_id").collect()
-    x = np.array([r.x for r in found]) if found else np.zeros((0, vectors.shape[1] + 6))
+    x = np.array([r.x for r in found]) if found else np.zeros((0, vectors.shape[1] + 3))
     return QualityModel(vectors, fit_network(x, np.array([r.y for r in found], float), shape))
 
 
-def score_column(spark: SparkSession, model: QualityModel) -> Column:
-    """The score (0 to 1, higher: label 1 likelier) of the column `text`."""
-    sent = spark.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: QualityModel, sent: Broadcast | None = None) -> Column:
+    """The score (0 to 1, higher: label 1 likelier) of the column `text`; `sent` is the model, if the caller has broadcast it."""
+    sent = sent or spark.sparkContext.broadcast(model)
     units = Units(len(model.vectors))
 
     def run(texts):

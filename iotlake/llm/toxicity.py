@@ -23,6 +23,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,9 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, shape: S
     return fit_linear(picked, y[order] == 1, features, prior, shape)
 
 
-def score_column(spark: SparkSession, model: ToxicityModel) -> Column:
-    """The score (0 to 1, higher: toxic likelier) of the column `text`."""
-    sent = spark.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: ToxicityModel, sent: Broadcast | None = None) -> Column:
+    """The score (0 to 1, higher: toxic likelier) of the column `text`; `sent` is the model, if the caller has broadcast it."""
+    sent = sent or spark.sparkContext.broadcast(model)
     memo: dict = {}
 
     def run(texts):

@@ -50,7 +50,7 @@ def test_empty_tables(spark):
 def test_context_sums_equal_a_plain_loop(spark):
     shape = quality.Shape(buckets=64, width=8)
     texts = ["a b c, a", "", "b b b b"]
-    index, units = quality.index_vectors(shape).astype(int), quality.Units(shape.buckets)
+    index, units = quality.index_vectors(np.arange(64), shape).astype(int), quality.Units(shape.buckets)
     expected = np.zeros((64, 8), int)
     for ids in map(units.of, texts):
         for i, u in enumerate(ids):

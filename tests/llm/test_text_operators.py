@@ -91,7 +91,6 @@ def test_files_give_every_documents_ids(spark):
     files = range_coder.write_ids(docs, BPE, 2, BYTE_LEVEL, 3, range_coder.Shape(block=64, lanes=5, slots=256))
     found = sorted(range_coder.read_documents(files).collect(), key=lambda r: r.start)
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     start = 0
     for r, (i, t) in zip(found, sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or "")), strict=True):
         ids = np.array(plain.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
@@ -99,6 +98,27 @@ def test_files_give_every_documents_ids(spark):
         start += len(ids)
 
 
+def test_wide_ids_are_refused_when_they_are_written():
+    import numpy as np
+
+    assert range_coder.encode_blocks([np.array([65535, 0])], 64)
+    for ids in ([70_000], [1, -1]):
+        with pytest.raises(ValueError):
+            range_coder.encode_blocks([np.array([3]), np.array(ids)], 64)
+
+
+def test_special_tokens_are_read_as_the_library_reads_them():
+    from tokenizers import Tokenizer
+
+    from iotlake.llm.queries import BYTE_LEVEL
+
+    plain = Tokenizer.from_file(BPE)
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "a <|endoftext|", "", "x<|endoftext|>\n y's 12"]
+    for pattern in (None, BYTE_LEVEL):
+        found = range_coder.Tokens(BPE, pattern).of(texts)
+        assert [f.tolist() for f in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_empty_file_set(spark):
     files = range_coder.write_ids(spark.createDataFrame([], "doc_id long, text string"), BPE, 2)
     assert files.count() == 0 and range_coder.read_documents(files).collect() == []
@@ -150,6 +170,19 @@ def test_revisits_equal_brute_force(spark):
     assert warc_revisit.resolve(frame.where("record_id < 0")).collect() == []
 
 
+def test_payload_is_that_of_the_url_instant_and_id(spark):
+    at = datetime(2024, 1, 1)
+    late = at + timedelta(hours=1)
+    rows = [(1, "http://a/x", at, "response", 200, {"etag": "e"}, "of a"), (1, "http://b/y", at, "response", 200, {"etag": "e"}, "of b"),
+            (1, "http://b/y", at + timedelta(minutes=1), "response", 200, {"etag": "e"}, "later b"),
+            (2, "http://a/x", late, "revisit", 304, {"etag": "e"}, None), (3, "http://b/y", late, "revisit", 304, {"etag": "e"}, None),
+            (4, "http://c/", at, "response", 200, {"etag": "f"}, "second"), (4, "http://c/", at, "response", 200, {"etag": "f"}, "first"),
+            (4, "http://c/", at, "response", 200, {"etag": "d"}, "another"), (5, "http://c/", late, "revisit", 304, {"etag": "f"}, None)]
+    frame = spark.createDataFrame(rows, "record_id long, url string, date timestamp, kind string, status int, headers map<string,string>, payload string")
+    found = {r.record_id: (r.state, r.payload) for r in warc_revisit.resolve(frame.repartition(4)).collect()}
+    assert found == {2: ("matched", "of a"), 3: ("matched", "later b"), 5: ("matched", "first")}
+
+
 def test_content_headers_of_a_revisit_are_not_merged(spark):
     frame = spark.sql("select map('etag', 'x', 'content-length', '9', 'server', 's') a, map('etag', 'y', 'content-length', '0', 'expires', 'e') b")
     merged = frame.select(warc_revisit.merged_headers(F.col("a"), F.col("b")).alias("m")).first().m
@@ -228,6 +261,61 @@ def test_page_text(spark):
     assert html_region.main_text(frame.where("page_id < 0")).collect() == []
 
 
+BODY = "<h1>Head</h1><p>" + "some words of the story " * 20 + "</p><p>" + "and more of it " * 20 + "</p>"
+STORY = html_region.extract(f"<body><nav>menu</nav><article>{BODY}</article></body>", html_region.DEFAULT)
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='no-sidebar'><nav>menu</nav><article>{}</article></body>",
+    "<body><div class='content-with-sidebar'><article>{}</article></div><aside>side</aside></body>",
+    "<body><main class='related-topics'>{}</main><footer>end</footer></body>",
+    "<body><form action='/'><nav>menu</nav><article>{}</article><input></form></body>",
+    "<body><article class='post share-enabled'>{}</article></body>",
+    "<body><article data-id='ad'>{}</article></body>",
+    "<body><article class='notice'>{}</article></body>",
+    "<body><div class='sidebar'><article>{}</article></div></body>",
+    "<body><form><div>{}</div></form></body>",
+    "<body><article>{}<section class='replies'><p>I say so too</p></section></article></body>",
+    "<body><article>{}<ol class='comment-list'><li><article class='comment'>a reader</article></li></ol></article></body>",
+    "<body><article>{}</article><div class='thread'><p>" + "a reader says a lot " * 300 + "</p></div></body>",
+    "<body><div title='class=ad'><article>{}</article></div></body>",
+    "<body><article>{}<p id=cookie-banner>we use them</p><div role='complementary'>more</div></article></body>",
+])
+def test_a_wrapper_doesnt_empty_a_page_and_comments_go(page):
+    assert html_region.extract(page.replace("{}", BODY), html_region.DEFAULT) == STORY and len(STORY) > 700
+
+
+def test_names_are_learned_from_labelled_pages(spark):
+    said = "<div class='xq talk'><p>" + "one reader says this " * 10 + "</p></div>"
+    pages = [(i, "u", f"<body><article class='body'>{BODY}</article>{said}</body>") for i in range(5)]
+    pages.append((9, "u", f"<body><div class='body'>{BODY}{said}</div></body>"))
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    weights = html_region.fit(frame)
+    assert weights.names == {"xq", "talk"}
+    assert {r.text for r in html_region.main_text(frame).collect()} == {STORY}
+    # The same counts as in one pass over the labelled pages.
+    total = sum((html_region.counts(h, weights.names) for i, _, h in pages[:5]), start=html_region.Counter())
+    assert html_region.weighed(total).tag == weights.tag and html_region.weighed(total).word == weights.word
+
+
+def test_a_link_is_a_link_however_deep():
+    found = [t for t in html_region.tokens("<p><a>" + "<b>" * 9 + "deep" + "</b>" * 9 + "</a>flat</p>") if t.text]
+    assert [t.place for t in found] == ["p/a", "p"]
+
+
+@pytest.mark.parametrize("piece", ['<a href="x ', "<a ", "<div></p></x>", "<a '>", '<a ">"', "<", "</", "<!-- ", "<script>", "</div ", "<p class=", "<b><i>", "<a b='c' d=\"e\">"])
+def test_reading_takes_linear_time(piece):
+    import time
+
+    took = []
+    for size in (1 << 17, 1 << 20):
+        page = "<p>before</p>" + piece * (size // len(piece)) + "<p>after</p>"
+        start = time.perf_counter()
+        html_region.extract(page, html_region.DEFAULT)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * max(took[0], 0.02)
+
+
 def test_region_is_the_best_of_all():
     rng = random.Random(6)
     for _ in range(200):
