@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that its predecesso
 the columns of documents. `run` writes each stage's rows as Parquet to the shared folder and reads them again.
 
 Defined results: a row with a null or empty text is scored like any other and has no near duplicate and no benchmark
-passage; rows that repeat a doc_id are one document, of which the near-duplicate stage keeps one row; rows without
+passage; rows that repeat a doc_id are one document, of which the near-duplicate stage keeps one row, the least as JSON text; rows without
 doc_id are no near duplicate and no match of anything; an empty table stays empty. Further columns are kept up to the last
 stage.
 """
@@ -22,14 +22,22 @@ from iotlake.llm.tables import small, split_of, stored, table
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier takes for label 1."""
     labels = table(spark, sf_dir, "labels").where(~split_of("doc_id", 5, 0))
-    return docs.where(quality.score_column(spark, quality.fit(docs, labels)) >= THRESHOLD)
+    return _scored(spark, docs, quality.fit(docs, labels), quality.score_column, lambda score: score >= THRESHOLD)
+
+
+def _scored(spark: SparkSession, docs: DataFrame, model, score_column, keep) -> DataFrame:
+    """The documents that `keep(score)` holds of; written, so that the model needn't stay in executors or driver for the stages behind."""
+    sent = spark.sparkContext.broadcast(model)
+    out = stored(docs.where(keep(score_column(spark, model, sent))), "scored-docs")
+    sent.destroy()
+    return out
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't take for label 1."""
     seen = ~split_of("doc_id", 4, 2)
     model = toxicity.fit(docs.where(seen), table(spark, sf_dir, "labels").where(seen))
-    return docs.where(toxicity.score_column(spark, model) < THRESHOLD)
+    return _scored(spark, docs, model, toxicity.score_column, lambda score: score < THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +48,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if repeated.isEmpty():
         return out.select(docs.columns)
     repeated = small(repeated)
-    once = out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    whole = F.struct(*docs.columns)
+    once = out.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
     return out.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
 
