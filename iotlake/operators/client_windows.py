@@ -20,8 +20,8 @@ def client_windows(deliveries: DataFrame, keys: Iterable[str] = ("topic", "clien
     instant. The last, still open window of a client is not reported. Rows without a time count for nothing.
 
     No client is walked through in one task. Times are cut into slots of `width`, so the instant that would close a window opened at an instant t is the
-    first one from t + width on in the next slot, or else the first one of the slots behind it. From these pointers the windows' starts are found by pointer
-    doubling: round k adds what lies 2**k windows further. A window's messages lie in the slot of its start and the next
+    first one from t + width on in the next slot, or else the first one of the slots behind it. These pointers are doubled, to jumps over 2, 4, 8, ...
+    windows, and the windows' starts are what jumps reach from a client's first instant, the longest jumps first. A window's messages lie in the slot of its start and the next
     one, and a slot has one start at most, so messages find their window by an equal join.
     """
     keys = list(keys)
@@ -37,9 +37,8 @@ def client_windows(deliveries: DataFrame, keys: Iterable[str] = ("topic", "clien
             F.coalesce(F.min_by("e", "o"), F.lit(0)).alias("first_error"), F.min_by("d", "o").alias("first_delay"))
         .withColumn("slot", F.floor(F.col("t") / span)), "instants")
 
-    starts = _starts(_closing(instants, keys, span, run), keys)
     # A window by the slots that its messages may lie in; the closing message is that of the instant `end`.
-    opened = starts.where("end IS NOT NULL")
+    opened = stored(_starts(_closing(instants, keys, span, run), keys).where("end IS NOT NULL"), "client-windows")
     slot = F.floor(F.col("start") / span)
     reach = opened.select(*[F.col(k).alias(f"_{k}") for k in keys], "start", "end", F.explode(F.array(slot, slot + 1)).alias("_slot"))
     inside = instants.join(reach, _same(keys) & (F.col("slot") == F.col("_slot"))).where(
@@ -94,14 +93,18 @@ def _closing(instants: DataFrame, keys: list[str], span: Column, run: int) -> Da
 
 def _starts(closing: DataFrame, keys: list[str]) -> DataFrame:
     """`*keys, start, end` of the windows that follow one another from each key's first instant."""
-    jumps = stored(closing, "window-jumps")
     to = lambda frame: frame.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("start").alias("_start"), F.col("end").alias("_end"))
-    found = stored(jumps.groupBy(*keys).agg(F.min("start").alias("start")), "window-starts")
-    links, n = jumps, -1
-    while (now := found.count()) != n:
-        n = now
-        reached = found.join(to(jumps), _same(keys) & (F.col("start") == F.col("_start"))).where("_end IS NOT NULL")
-        found = stored(found.unionByName(reached.select(*keys, F.col("_end").alias("start"))).distinct(), "window-starts")
-        jumps = stored(jumps.join(to(jumps), _same(keys) & (F.col("end") == F.col("_start"))).where("_end IS NOT NULL").select(
+    closing = stored(closing, "window-jumps")
+    # Jumps over 1, 2, 4, ... windows, until none is left that doesn't pass the last window.
+    jumps, longer = [], closing.where("end IS NOT NULL")
+    while not longer.isEmpty():
+        jumps.append(longer)
+        longer = stored(longer.join(to(longer), _same(keys) & (F.col("end") == F.col("_start"))).select(
             *keys, "start", F.col("_end").alias("end")), "window-jumps")
-    return found.join(to(links), _same(keys) & (F.col("start") == F.col("_start"))).select(*keys, "start", F.col("_end").alias("end"))
+    # Every number of windows is a sum of jumps, the longest first; each start is reached once.
+    found = closing.groupBy(*keys).agg(F.min("start").alias("start"))
+    for jump in reversed(jumps):
+        reached = F.array_compact(F.array("start", "_end"))
+        found = found.join(to(jump), _same(keys) & (F.col("start") == F.col("_start")), "left").select(
+            *keys, F.explode(reached).alias("start"))
+    return found.join(to(closing), _same(keys) & (F.col("start") == F.col("_start"))).select(*keys, "start", F.col("_end").alias("end"))
