@@ -18,7 +18,7 @@ estimate keeps a pair unless it falls `margin` short, 4.2 standard deviations at
 
 Defined results: doc_id is taken to name one text. A null, empty or blank text has no shingles, is linked with nothing and is kept; a text of
 fewer words is one shingle; repeated rows of one doc_id share its component; a row whose doc_id is null has a null
-component and is kept. Other columns are ignored.
+component and is kept; an empty table has no rows; texts of any length are read whole, by one task each. Other columns are ignored.
 """
 
 from __future__ import annotations

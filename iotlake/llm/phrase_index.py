@@ -14,7 +14,8 @@ joins are shuffled.
 Defined results: null, empty and punctuation-only texts have no words and no matches; an item of fewer words than
 a window is one window; repeated items and windows count once; rows repeated with their doc_id get the same counts;
 doc_id is taken to name one text, and a row whose doc_id is null has no matches. Items without words and null
-item_ids never match. Other columns are ignored.
+item_ids never match; without items no document has matches, and without documents there are no rows; texts of any
+length are read whole. Other columns are ignored.
 """
 
 from __future__ import annotations

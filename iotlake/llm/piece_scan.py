@@ -25,7 +25,7 @@ The model in use was trained for merges and not as a unigram model: its scores a
 are a valid encoding of the text by its pieces, but not the one that its merges give.
 
 Defined results: a null or empty text has no ids and decodes to empty; repeated rows are encoded each; a null
-doc_id is kept. Other columns are ignored.
+doc_id is kept; an empty table has no rows; texts of any length are encoded whole. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ Classes that would miss a partner with a probability above `miss`, by what they
 
 Defined results: a null or zero vector, or one with null or non-finite components, is linked with nothing and kept; vectors
 of different lengths are never linked; rows that repeat a vec_id count as copies; a row without vec_id has a null component and
-is kept. Other columns are ignored.
+is kept; an empty table has no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

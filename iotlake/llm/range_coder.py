@@ -16,7 +16,8 @@ A block is the bytes
 and a file set is a Parquet table (part, seq, block), which Spark's writer commits as a whole: parts ascend by doc_id, blocks by seq.
 
 Defined results: a null or empty text is the end id alone; rows that repeat a doc_id are documents of their own, ordered by text;
-rows without doc_id come first; an empty table gives no block. Ids are below 65536. Other columns are ignored.
+rows without doc_id come first; an empty table gives no block; texts of any length are encoded whole, over several blocks. Ids are below
+65536, others are refused when they are written. Other columns are ignored.
 """
 
 from __future__ import annotations

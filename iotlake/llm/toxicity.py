@@ -10,8 +10,8 @@ along its gradient instead (the non-negative correction). Texts labelled not tox
 the labels only name the positives and, by their share, the class prior.
 
 Defined results: a null or empty text holds no words and gets the score of the bias alone; repeated rows are
-scored each; null or unknown labels are not learned; without any positive every score is 0. Other columns of the
-tables are ignored.
+scored each; null or unknown labels are not learned; without any positive every score is 0; an empty table has no
+scores; texts of any length are read whole. Other columns of the tables are ignored.
 """
 
 from __future__ import annotations

@@ -165,3 +165,11 @@ def test_pairs_in_a_dense_unlinked_cone_are_found(spark):
     near = all_rows @ all_rows.T >= 0.9
     expected = groups(range(len(all_rows)), [(int(a), int(b)) for a, b in np.argwhere(np.triu(near, 1))])
     assert {r.vec_id: r.component_id for r in p.near_duplicates(frame, shape).collect()} == expected
+
+
+def test_a_very_long_text_and_its_near_copy(spark):
+    words = [f"w{i % 7919}x{i}" for i in range(60_000)]
+    near = words[:59_000] + [f"y{i}" for i in range(1_000)]
+    docs = spark.createDataFrame([(5, " ".join(words)), (9, " ".join(near)), (3, " ".join(words[:200]))], "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in o.near_duplicates(docs).collect()}
+    assert found == {5: (59_996, 5, True), 9: (59_996, 5, False), 3: (196, 3, True)}

@@ -220,13 +220,36 @@ def test_contamination_equals_brute_force(spark):
         expected.append((i, len(w), len(hit), sorted(map(str, found))))
     frame = spark.createDataFrame([(i, t, "x") for i, t in docs] + [(None, docs[0][1], "x")], "doc_id long, text string, items string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = phrase_index.contamination(frame, bench).where("doc_id is not null").collect()
+    every = phrase_index.contamination(frame, bench)
+    alone = every.where("doc_id is null").collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in alone] == [(len([x for x in words_of(docs[0][1]) if x]), 0, [])]
+    found = every.where("doc_id is not null").collect()
     assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found) == sorted(expected)
     assert any(n for _, _, n, _ in expected)
     for a, b in ((frame.where("doc_id < 0"), bench), (frame, bench.where("item_id < 0"))):
         assert phrase_index.contamination(a, b).where("n_hit > 0").count() == 0
 
 
+def test_very_long_texts(spark):
+    """Whole texts, not their beginnings."""
+    passage = " ".join(f"word{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, "filler " * 200_000 + passage), (2, "filler " * 10)], "doc_id long, text string")
+    bench = spark.createDataFrame([("b", passage)], "item_id string, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit) for r in phrase_index.contamination(docs, bench).collect()}
+    assert found == {1: (200_012, 12), 2: (10, 0)}
+    at = datetime(2024, 1, 1)
+    body = "payload " * 200_000
+    records = spark.createDataFrame(
+        [(1, "http://a/", at, "response", 200, {"etag": "e"}, body), (2, "http://a/", at + timedelta(days=1), "revisit", 304, {"etag": "e"}, None)],
+        "record_id long, url string, date timestamp, kind string, status int, headers map<string,string>, payload string")
+    assert warc_revisit.resolve(records).select(F.md5("payload")).first()[0] == spark.sql(f"select md5(repeat('payload ', 200000))").first()[0]
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"t{i} " + "x" * (50_000 if i == 7 else 0)) for i in range(500)]
+    chats = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").select(
+        "conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts")))
+    turns = chats.select(chat_format.read_turns(F.col("formatted")).alias("t")).first().t
+    assert [(t.role, t.text) for t in turns] == [(r[2], r[3]) for r in rows]
+
+
 def test_phrases_and_proximity(spark):
     docs = spark.createDataFrame([(1, "a b c x b a"), (2, "a x b x c"), (3, "c b a"), (4, "a b")], "doc_id long, text string")
     phrases = spark.createDataFrame([("p", ["a", "b", "c"]), ("q", ["a"]), ("r", ["a", "b"])], "phrase_id string, terms array<string>")
