@@ -31,6 +31,7 @@ doc_id is kept; an empty table has no rows; texts of any length are encoded whol
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import chain
 
@@ -49,6 +50,8 @@ OWN = "\ud800"
 #: Below any sum of scores.
 LOW = -(1 << 60)
 MEMO = 150_000
+#: Stands between stretches that are looked through together; no piece has it.
+PART = "\0"
 
 
 @dataclass(frozen=True)
@@ -90,12 +93,17 @@ class Vocabulary:
         #: Whether every place before a run of spaces, and after anything else, is one that no piece crosses.
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in self.ids)
         self.stretch = self._stretches()
-        #: Finds all pieces in a stretch, those that end at one place from the longest to the shortest.
+        #: Finds the ids of all pieces in a stretch, those that end at one place from the longest to the shortest.
         self.finder = Automaton()
-        for name, score in self.scores.items():
-            self.finder.add_word(name, (len(name), score))
+        self.lengths, self.gains = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for name, i in self.ids.items():
+            self.finder.add_word(name, i)
+            self.lengths[i], self.gains[i] = len(name), self.scores[name]
         self.finder.make_automaton()
         self.single = {name for name in self.ids if len(name) == 1}
+        #: What no piece holds, if every code point of a piece is one itself: stretches may be cut there.
+        self.foreign = re.compile("([^" + "".join(map(re.escape, sorted(self.single))) + "])") \
+            if self.single.issuperset(chain.from_iterable(self.ids)) else None
         self.memo: dict[str, tuple[tuple[int, ...], int]] = {}
         self.older: dict[str, tuple[tuple[int, ...], int]] = {}
 
@@ -172,19 +180,67 @@ class Vocabulary:
             best, step = self.forward(text, [0], size)
             steps, _ = self.back(step, size)
             return tuple(i for ids in steps for i in ids), best[size]
-        best, came = [LOW] * (size + 1), [0] * (size + 1)
-        best[0] = 0
-        # Pieces come by their ends, so all ways to a start are known before a piece that starts there.
-        for last, (length, score) in self.finder.iter(text):
-            start = last + 1 - length
-            score += best[start]
-            if score > best[last + 1]:
-                best[last + 1], came[last + 1] = score, start
-        out, at = [], size
-        while at:
-            out.append(self.ids[text[came[at]:at]])
-            at = came[at]
-        return tuple(out[::-1]), best[size]
+        return self._best_of([text])[0]
+
+    def _best_of(self, texts: list[str]) -> list[tuple[tuple[int, ...], int]]:
+        """What `forward` and `back` give for stretches whose code points are all pieces; all stretches go place by place together."""
+        sizes = np.array(list(map(len, texts)), np.int64)
+        # Places of each stretch, its end among them, stand where its code points and what parts it from the next one stand.
+        begin = np.cumsum(sizes + 1) - (sizes + 1)
+        found = np.fromiter(chain.from_iterable(self.finder.iter(PART.join(texts))), np.int64).reshape(-1, 2)
+        to, piece = found[:, 0] + 1, found[:, 1]
+        length = self.lengths[piece]
+        start, gain = to - length, self.gains[piece]
+        place = to - np.repeat(begin, sizes + 1)[found[:, 0]]
+        order = np.argsort(place, kind="stable")
+        bounds = np.searchsorted(place[order], np.arange(1, sizes.max() + 2))
+        # The best score, then the longest last piece: one number to compare.
+        low = max(len(self.lengths).bit_length(), 1)
+        shift = low + int(self.longest).bit_length()
+        tag = length << low | piece
+        total = int(sizes.sum()) + len(sizes)
+        best, key = np.zeros(total, np.int64), np.full(total, np.iinfo(np.int64).min)
+        for at, end in zip(bounds[:-1], bounds[1:]):
+            rows = order[at:end]
+            there = to[rows]
+            np.maximum.at(key, there, best[start[rows]] + gain[rows] << shift | tag[rows])
+            best[there] = key[there] >> shift
+        here, live = begin + sizes, np.arange(len(sizes))
+        pieces, owners = [], []
+        while len(live):
+            got = key[here[live]]
+            pieces.append(got & (1 << low) - 1)
+            owners.append(live)
+            here[live] -= (got >> low) & (1 << shift - low) - 1
+            live = live[here[live] > begin[live]]
+        owner = np.concatenate(owners[::-1])
+        flat = np.concatenate(pieces[::-1])[np.argsort(owner, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=len(sizes))).tolist()
+        return [(tuple(flat[a:b]), score) for a, b, score in zip([0, *ends], ends, best[begin + sizes].tolist())]
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Puts the stretches that aren't kept yet with those that are, all at once."""
+        if len(self.memo) >= MEMO:
+            self.memo, self.older = {}, self.memo
+        memo, older, new, mixed = self.memo, self.older, set(), {}
+        for part in {p for p in parts if p not in memo}:
+            got = older.get(part)
+            if got is not None:
+                memo[part] = got
+            elif len(part) > 64:
+                continue
+            elif self.single.issuperset(part):
+                new.add(part)
+            elif self.foreign:
+                mixed[part] = self.foreign.split(part)
+        # Every other one is foreign.
+        new.update(x for cut in mixed.values() for x in cut[::2] if x and x not in memo)
+        some = list(new)
+        if some:
+            memo.update(zip(some, self._best_of(some)))
+        for part, cut in mixed.items():
+            found = [memo[x] if i % 2 == 0 else (self.byte_ids(x), self.unknown) for i, x in enumerate(cut) if x]
+            memo[part] = tuple(chain.from_iterable(ids for ids, _ in found)), sum(score for _, score in found)
 
     def words(self, text: str) -> list[str]:
         """Stretches between places that no piece crosses."""
@@ -192,13 +248,17 @@ class Vocabulary:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        if not text:
-            return []
-        out: list[int] = []
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts."""
+        cut = [self.words(prepared(" " + t)) if t else [] for t in texts]
+        self.learn(chain.from_iterable(cut))
+        return [self.ids_of(parts) for parts in cut]
+
+    def ids_of(self, parts: list[str]) -> list[int]:
         known, word = self.memo, self.word
-        for part in self.words(prepared(" " + text)):
-            out += (known.get(part) or word(part))[0]
-        return out
+        return list(chain.from_iterable([(known.get(part) or word(part))[0] for part in parts]))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.content.__getitem__, ids)).decode()[1:]
@@ -208,24 +268,29 @@ class Vocabulary:
 
         `text`: the chunk's n code points and the L - 1 after them, or as many as there are.
         """
+        cuts = self.cuts(text, n)
+        if not cuts:
+            return self.transfer_ends(text, None, n, 0)
+        first, last = cuts
+        between = sum(self.word(part)[1] for part in self.words(text[first:last]))
+        return self.transfer_ends(text[:first], text[last:], n - last, between)
+
+    def transfer_ends(self, head: str, tail: str | None, n: int, between: int) -> np.ndarray:
+        """The same of a chunk's two ends and the score of what stands between; n is counted from the tail's start, or the head's without one."""
         size = self.longest
         out = np.full((size, size), LOW, np.int64)
-        cuts = self.cuts(text, n)
-        first, last = (cuts[0], cuts[-1]) if cuts else (n, None)
-        for i in range(min(size, n)):
-            entry = [LOW] * i + [0]
-            best, _ = self.forward(text[:first] if cuts else text, entry, first)
-            if cuts:
-                out[i, 0] = best[first]
-            else:
+        whole = n if tail is None else len(head)
+        for i in range(min(size, whole)):
+            best, _ = self.forward(head, [LOW] * i + [0], whole)
+            if tail is None:
                 out[i] = best[n:n + size]
-        for i in range(n, size):  # entered at or beyond its end
-            out[i, i - n] = 0
-        if cuts:
-            between = sum(self.word(part)[1] for part in self.words(text[first:last]))
-            tail, _ = self.forward(text[last:], [0], n - last)
-            exits = np.full(size, LOW, np.int64)
-            exits[:] = tail[n - last:n - last + size]
+            else:
+                out[i, 0] = best[whole]
+        for i in range(whole, size):  # entered at or beyond its end
+            out[i, i - whole] = 0
+        if tail is not None:
+            best, _ = self.forward(tail, [0], n)
+            exits = np.array(best[n:n + size], np.int64)
             out = np.where((out[:, :1] == LOW) | (exits == LOW), LOW, out[:, :1] + between + exits)
         return out
 
@@ -244,32 +309,28 @@ class Vocabulary:
     def trace(self, text: str, n: int, entry: list[int]) -> list[tuple[int, list[int]]]:
         """For each exit, the entry and the ids that lead there; entry -1 where nothing does."""
         cuts = self.cuts(text, n)
-        size = self.longest
         if not cuts:
-            best, step = self.forward(text, entry, n)
-            out = []
-            for j in range(size):
-                if best[n + j] == LOW:
-                    out.append((-1, []))
-                else:
-                    steps, i = self.back(step, n + j)
-                    out.append((i, [x for ids in steps for x in ids]))
-            return out
+            return [(i, head) for i, head, _ in self.trace_ends(text, None, n, entry)]
         first, last = cuts
-        _, step = self.forward(text[:first], entry, first)
-        steps, i = self.back(step, first)
-        head = [x for ids in steps for x in ids]
-        for part in self.words(text[first:last]):
-            head += self.word(part)[0]
-        best, step = self.forward(text[last:], [0], n - last)
-        out = []
-        for j in range(size):
-            if best[n - last + j] == LOW:
-                out.append((-1, []))
-            else:
-                steps, _ = self.back(step, n - last + j)
-                out.append((i, head + [x for ids in steps for x in ids]))
-        return out
+        middle = self.ids_of(self.words(text[first:last]))
+        return [(i, head + middle + tail if i >= 0 else [])
+                for i, head, tail in self.trace_ends(text[:first], text[last:], n - last, entry)]
+
+    def trace_ends(self, head: str, tail: str | None, n: int, entry: list[int], exits: Iterable[int] | None = None) -> list[tuple[int, list[int], list[int]]]:
+        """For each exit, the entry, the ids of the head and those of the tail; n as for `transfer_ends`."""
+        flat = lambda steps: [x for ids in steps for x in ids]
+        exits = range(self.longest) if exits is None else exits
+        if tail is None:
+            best, step = self.forward(head, entry, n)
+            found = [(j, *self.back(step, n + j)) for j in exits if best[n + j] != LOW]
+            at = {j: (i, flat(steps), []) for j, steps, i in found}
+        else:
+            _, step = self.forward(head, entry, len(head))
+            steps, i = self.back(step, len(head))
+            start = flat(steps)
+            best, step = self.forward(tail, [0], n)
+            at = {j: (i, start, flat(self.back(step, n + j)[0])) for j in exits if best[n + j] != LOW}
+        return [at.get(j, (-1, [], [])) for j in exits]
 
 
 #: A non-space before a space.
@@ -362,44 +423,53 @@ def _encode_long(docs: DataFrame, path: str, shape: Shape) -> DataFrame:
     chunks = stored(_cut(named, max(shape.chunk, size), size - 1).repartition("key", "idx"), "long-chunks")
 
     def matrices(keys, bodies):
-        v = vocabulary(path)
-        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys],
-                "payload": [v.transfer(prepared(b), k["n"]).tobytes() for k, b in zip(keys, bodies, strict=True)]}
-
+        v, cut = vocabulary(path), []
+        for k, b in zip(keys, bodies, strict=True):
+            text = prepared(b)
+            cuts = v.cuts(text, k["n"])
+            cut.append((b, None, k["n"], []) if not cuts else (
+                b[:cuts[0]], b[cuts[1]:], k["n"] - cuts[1], v.words(text[cuts[0]:cuts[1]])))
+        v.learn(chain.from_iterable(parts for *_, parts in cut))
+        payloads = [v.transfer_ends(prepared(head), None if tail is None else prepared(tail), n, sum(v.word(p)[1] for p in parts)).tobytes()
+                    for head, tail, n, parts in cut]
+        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "payload": payloads, "head": [c[0] for c in cut],
+                "tail": [c[1] for c in cut], "n": [c[2] for c in cut], "middle": [v.ids_of(c[3]) for c in cut]}
+
+    # What lies between a chunk's first and last cut is encoded here, once; the later steps need the two ends alone.
     payload = "key long, idx long, payload binary"
-    found = stored(map_texts(chunks.select(F.struct("key", "idx", "n").alias("k"), "body"), matrices, payload,
-                             key="k", text="body"), "long-matrices")
+    found = stored(map_texts(
+        chunks.select(F.struct("key", "idx", "n").alias("k"), "body"), matrices,
+        payload + ", head string, tail string, n long, middle array<int>", key="k", text="body"), "long-matrices")
     unit = np.full((size, size), LOW, np.int64)
     np.fill_diagonal(unit, 0)
-    entered = chunks.join(exclusive_scan(found, product, unit, shape.block).withColumnRenamed("payload", "before"), ["key", "idx"])
-    entered = stored(entered, "long-entered")
-
-    def entry(k) -> list[int]:
-        # A text is entered at its start: the first row.
-        return np.frombuffer(k["before"], np.int64)[:size].tolist()
+    before = exclusive_scan(found.select("key", "idx", "payload"), product, unit, shape.block).withColumnRenamed("payload", "before")
+    entered = stored(found.select("key", "idx", "head", "tail", "n").join(before, ["key", "idx"]), "long-entered")
 
-    def maps(keys, bodies):
+    def traced(keys, heads, exits=None):
         v = vocabulary(path)
-        traced = [np.array([i for i, _ in v.trace(prepared(b), k["n"], entry(k))], np.int64)
-                  for k, b in zip(keys, bodies, strict=True)]
-        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "payload": [t.tobytes() for t in traced]}
+        for k, head in zip(keys, heads, strict=True):
+            # A text is entered at its start: the first row. It is left at its end: exit 0 of its last chunk.
+            entry = np.frombuffer(k["before"], np.int64)[:size].tolist()
+            at = None if exits is None else [int(np.frombuffer(k["exits"], np.int64)[0])]
+            yield v.trace_ends(prepared(head), None if k["tail"] is None else prepared(k["tail"]), k["n"], entry, at)
+
+    def maps(keys, heads):
+        entries = [np.array([i for i, _, _ in found], np.int64).tobytes() for found in traced(keys, heads)]
+        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "payload": entries}
 
-    turned = map_texts(entered.select(F.struct("key", "idx", "n", "before").alias("k"), "body"), maps, payload, key="k", text="body")
+    turned = map_texts(entered.select(F.struct("key", "idx", "n", "tail", "before").alias("k"), "head"), maps, payload, key="k", text="head")
     ends = found.groupBy("key").agg(F.max("idx").alias("last"))
     turned = stored(turned.join(ends, "key").select("key", (F.col("last") - F.col("idx")).alias("idx"), "payload"), "long-maps")
     exits = exclusive_scan(turned, after, np.arange(size, dtype=np.int64), shape.block)
     exits = exits.join(ends, "key").select("key", (F.col("last") - F.col("idx")).alias("idx"), F.col("payload").alias("exits"))
 
-    def ids(keys, bodies):
-        v, rows = vocabulary(path), []
-        for k, b in zip(keys, bodies, strict=True):
-            # A text is left at its end: exit 0 of its last chunk.
-            exit_at = int(np.frombuffer(k["exits"], np.int64)[0])
-            rows.append(v.trace(prepared(b), k["n"], entry(k))[exit_at][1])
-        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "ids": rows}
+    def ids(keys, heads):
+        rows = [found[0] for found in traced(keys, heads, exits=True)]
+        return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "start": [r[1] for r in rows], "end": [r[2] for r in rows]}
 
-    parts = map_texts(entered.join(exits, ["key", "idx"]).select(F.struct("key", "idx", "n", "before", "exits").alias("k"), "body"),
-                      ids, "key long, idx long, ids array<int>", key="k", text="body")
+    parts = map_texts(entered.join(exits, ["key", "idx"]).select(F.struct("key", "idx", "n", "tail", "before", "exits").alias("k"), "head"),
+                      ids, "key long, idx long, start array<int>, end array<int>", key="k", text="head")
+    parts = parts.join(found.select("key", "idx", "middle"), ["key", "idx"]).select("key", "idx", F.concat("start", "middle", "end").alias("ids"))
     whole = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("idx", "ids"))).alias("parts"))
     return whole.join(named.select("key", "doc_id", "copies"), "key").select(
         "doc_id", F.flatten(F.col("parts")["ids"]).alias("ids"), F.explode(F.array_repeat(F.lit(0), F.col("copies")))
@@ -412,7 +482,7 @@ def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
 
     def rows(keys, values):
         v = vocabulary(path)
-        found = [v.encode(t) for t in values]
+        found = v.encode_all(values)
         return {"doc_id": keys, "ids": list_array(
             np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found))), np.array([len(f) for f in found]),
             pa.int32())}
@@ -424,13 +494,18 @@ def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of `encoded` (doc_id, ids) with their text; null or no ids give an empty text."""
     def run(batches):
-        v = vocabulary(path)
+        content = pa.array(vocabulary(path).content, pa.large_binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, sizes = part.column(1).flatten().tolist(), pc.list_value_length(part.column(1)).fill_null(0).to_pylist()
-                ends = np.cumsum(sizes).tolist()
-                texts = [v.decode(ids[e - n:e]) for n, e in zip(sizes, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+                sizes = np.asarray(pc.list_value_length(part.column(1)).fill_null(0))
+                bytes_ = content.take(part.column(1).flatten())
+                # The texts stand one after another in the pieces' bytes.
+                offsets = np.frombuffer(bytes_.buffers()[1], np.int64)[bytes_.offset:]
+                texts = pa.LargeStringArray.from_buffers(
+                    len(sizes), pa.py_buffer(offsets[np.concatenate([[0], np.cumsum(sizes)])].copy()), bytes_.buffers()[2])
+                # Without the space that is put in front.
+                texts = pc.utf8_slice_codeunits(texts, 1).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
