@@ -22,13 +22,10 @@ from iotlake.llm.tables import small, split_of, stored, table
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier takes for label 1."""
     labels = table(spark, sf_dir, "labels").where(~split_of("doc_id", 5, 0))
-    return _scored(spark, docs, quality.fit(docs, labels), quality.score_column, lambda score: score >= THRESHOLD)
-
-
-def _scored(spark: SparkSession, docs: DataFrame, model, score_column, keep) -> DataFrame:
-    """The documents that `keep(score)` holds of; written, so that the model needn't stay in executors or driver for the stages behind."""
+    model = quality.fit(docs, labels)
+    # Written, so that the word vectors needn't stay in executors and driver for the stages behind.
     sent = spark.sparkContext.broadcast(model)
-    out = stored(docs.where(keep(score_column(spark, model, sent))), "scored-docs")
+    out = stored(docs.where(quality.score_column(spark, model, sent) >= THRESHOLD), "quality-docs")
     sent.destroy()
     return out
 
@@ -37,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't take for label 1."""
     seen = ~split_of("doc_id", 4, 2)
     model = toxicity.fit(docs.where(seen), table(spark, sf_dir, "labels").where(seen))
-    return _scored(spark, docs, model, toxicity.score_column, lambda score: score < THRESHOLD)
+    return docs.where(toxicity.score_column(spark, model) < THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
