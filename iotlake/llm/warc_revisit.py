@@ -15,7 +15,7 @@ get headers and payload.
 Defined results: responses at the very instant of a revisit aren't earlier; of several at the latest instant the largest
 record_id counts; a null URL, date or record_id resolves to nothing (`orphan`) and serves nothing; an empty payload is a
 payload, a null one is none; repeated rows of a revisit are resolved each; of rows with one URL, instant and record_id the one with the greatest
-validators serves, then that with the least payload, and a record_id may belong to several URLs; header names are compared
+validators serves, then that with the greatest MD5 of its payload, and a record_id may belong to several URLs; header names are compared
 in lower case; an empty table has no rows; payloads of any length are passed on whole; further columns are ignored.
 """
 
@@ -110,12 +110,12 @@ def resolve(records: DataFrame, hours: int = 1) -> DataFrame:
         canonical_url(F.col("url")).alias("url_key"), F.unix_micros("date").alias("ref_at"), F.col("record_id").alias("ref_id"),
         _lower_names(F.col("headers")).alias("of_response"), "payload")
     matched = found.where("state = 'matched'")
-    # Rows that repeat a response serve once: that of the greatest validators, as the state was decided by; then of the least payload.
-    rank = F.struct(_tag(F.col("of_response")).alias("tag"), F.element_at("of_response", "last-modified").alias("modified"))
-    full = full.join(matched.select(*one).distinct(), one, "left_semi").groupBy(*one, rank.alias("rank")).agg(
-        F.min(F.struct("payload", header_text(F.col("of_response")).alias("text"), F.map_entries("of_response").alias("entries"))).alias("full")
-    ).groupBy(*one).agg(F.max_by("full", "rank").alias("full")).select(
-        *one, F.struct(F.map_from_entries("full.entries").alias("of_response"), F.col("full.payload").alias("payload")).alias("full"))
+    # Rows that repeat a response serve once: that of the greatest validators, as the state was decided by; then by digests.
+    rank = F.struct(
+        _tag(F.col("of_response")).alias("tag"), F.element_at("of_response", "last-modified").alias("modified"), F.md5("payload").alias("payload"),
+        header_text(F.col("of_response")).alias("headers"))
+    full = full.join(matched.select(*one).distinct(), one, "left_semi").groupBy(*one).agg(
+        F.max_by(F.struct("of_response", "payload"), rank).alias("full"))
     done = matched.join(full, one).select(
         "record_id", "url_key", "state", "ref_id", merged_headers(F.col("full.of_response"), F.col("headers")).alias("headers"),
         F.col("full.payload").alias("payload"))
