@@ -17,8 +17,8 @@ round before. Scores come from batches of numpy over the touched rows of the wei
 weights and the `known` most frequent words with their counts. Rarer words of a text are looked up by a join.
 
 Defined results: a null text is empty; an empty text is its end alone; repeated rows are scored each; a null
-doc_id is a row like any other; without training texts the vocabulary is empty, the end has the
-whole probability of classes known, and every word is unseen; an empty table stays empty; texts of any length are read whole, and further
+doc_id is a row like any other; without training texts the vocabulary is empty, the end and the classes of unseen words
+are equally likely, and a class holds one unseen word; an empty table stays empty; texts of any length are read whole, and further
 columns are ignored.
 """
 
