@@ -5,8 +5,10 @@
    (directions of a pass are orthogonal in runs, which lowers the variance of the angle). All passes are sorted at once, by
    (pass, number, id), and every class is compared with the `window` classes before and after it. Vectors at a small angle
    agree in long runs of leading bits, so they stand close together in some pass.
-3. Pairs at the threshold are verified in double precision and united; a block of the sorted order reports each class's link to
-   its component within the block, so a block gives no more rows than it has.
+3. The passes carry unit vectors rounded to 16 bits a component. That settles all pairs but those within the rounding's bound of the
+   threshold. A block of the sorted order unites the pairs that are sure and reports each class's link to
+   its component within the block, so that gives no more rows than it has; of the pairs in question it reports those that would join two
+   of its components, and these are verified in double precision.
 4. Within each component all classes are compared, in blocks of classes against blocks. That counts every link of a
    group, however large it is and however far apart the passes put its members: the window is no cap on partners.
 
@@ -29,6 +31,7 @@ from math import acos, ceil, log, log2, pi
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,27 +74,45 @@ def _unit(packed: list, kind=np.float64) -> np.ndarray:
     return (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(kind)
 
 
+#: What a component of 1 is rounded to in a pass.
+ONE = 32_767
+
+
+def _coarse(unit: np.ndarray) -> list[bytes]:
+    """Unit vectors with their components rounded to 16 bits."""
+    return [row.tobytes() for row in np.rint(unit * ONE).astype(np.int16)]
+
+
+def _rounded(coarse: list) -> tuple[np.ndarray, float]:
+    """The vectors behind such bytes, all of one length, and a bound of what two of them miss of their cosine.
+
+    Rounding moves a vector by half a step in each component at most, so by sqrt(width) of those; the rest is for sums in single precision.
+    """
+    rows = np.frombuffer(b"".join(coarse), np.int16).reshape(len(coarse), -1).astype(np.float32) / np.float32(ONE)
+    width = rows.shape[1]
+    moved = width ** 0.5 / (2 * ONE)
+    return rows, moved * (2 + moved) + (width + 8) * 2.0 ** -23
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and packed: the components as bytes of doubles; null where the vector can't be compared."""
     def run(batches):
         for batch in batches:
             column = batch.column(1)
-            packed = []
-            for x in column:
-                v = x.as_py()
-                if v is None or not v or any(c is None for c in v):
-                    packed.append(None)
-                    continue
-                # -0.0 + 0.0 is 0.0: equal vectors have equal bytes.
-                a = np.array(v, np.float64) + 0.0
-                packed.append(a.tobytes() if np.isfinite(a).all() and a.any() else None)
+            ends = np.cumsum(np.asarray(pc.list_value_length(column).fill_null(0)), dtype=np.int64)
+            starts = np.concatenate([[0], ends])[:-1]
+            # A null component comes as no number. -0.0 + 0.0 is 0.0: equal vectors have equal bytes.
+            values = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) + 0.0
+            bad, other = (np.concatenate([[0], np.cumsum(x)]) for x in (~np.isfinite(values), values != 0))
+            known = (bad[ends] == bad[starts]) & (other[ends] > other[starts])
+            packed = [values[i:j].tobytes() if ok else None for i, j, ok in zip(starts, ends, known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["vec_id", "packed"])
 
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, packed binary")
 
 
 def _sorted_passes(classes: DataFrame, first: int, n_passes: int, shape: Shape) -> DataFrame:
-    """rep, packed, number and position (pass, rank) of every class in every pass from the first on."""
+    """rep, coarse, number and position (pass, rank) of every class in every pass from the first on."""
     def run(batches):
         known: dict = {}
         for batch in batches:
@@ -102,18 +123,19 @@ def _sorted_passes(classes: DataFrame, first: int, n_passes: int, shape: Shape)
                 for size in np.unique(sizes):
                     rows = np.flatnonzero(sizes == size)
                     unit = _unit([packed[i] for i in rows])
+                    coarse = pa.array(_coarse(unit), pa.binary())
                     for one in range(first, first + n_passes):
                         if (size, one) not in known:
                             known[size, one] = directions(unit.shape[1], one, shape)
                         side = (unit @ known[size, one].T > 0).astype(np.int64)
                         number = (side << np.arange(shape.bits - 1, -1, -1)).sum(axis=1)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([one] * len(rows), pa.int32()), pa.array(number), pa.array([reps[i] for i in rows], pa.int64()),
-                             pa.array([packed[i] for i in rows], pa.binary())], names=["pass", "number", "rep", "packed"])
+                            [pa.array([one] * len(rows), pa.int32()), pa.array(number), pa.array([reps[i] for i in rows], pa.int64()), coarse],
+                            names=["pass", "number", "rep", "coarse"])
 
-    hashed = classes.select("rep", "packed").mapInArrow(run, "pass int, number long, rep long, packed binary")
+    hashed = classes.select("rep", "packed").mapInArrow(run, "pass int, number long, rep long, coarse binary")
     ordered = hashed.repartitionByRange("pass", "number", "rep").sortWithinPartitions("pass", "number", "rep").select(
-        "rep", "pass", "number", "packed", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+        "rep", "pass", "number", "coarse", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
     ordered = stored(ordered, "passes-sorted")
     # A number per partition reaches the driver.
     counts = {r.part: (r.n, r.low) for r in ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("row").alias("low")).collect()}
@@ -122,9 +144,9 @@ def _sorted_passes(classes: DataFrame, first: int, n_passes: int, shape: Shape)
         offsets.append((part, total - counts[part][1]))
         total += counts[part][0]
     if not offsets:
-        return ordered.select("rep", "pass", "number", "packed", F.lit(0).cast("long").alias("rank"))
+        return ordered.select("rep", "pass", "number", "coarse", F.lit(0).cast("long").alias("rank"))
     shift = ordered.sparkSession.createDataFrame(offsets, "part int, shift long")
-    return ordered.join(F.broadcast(shift), "part").select("rep", "pass", "number", "packed", (F.col("row") + F.col("shift")).alias("rank"))
+    return ordered.join(F.broadcast(shift), "part").select("rep", "pass", "number", "coarse", (F.col("row") + F.col("shift")).alias("rank"))
 
 
 def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -180,32 +202,58 @@ def found_links(classes: DataFrame, first: int, n_passes: int, shape: Shape) ->
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank")
-        sizes = rows["packed"].map(len).to_numpy()
+        sizes = rows["coarse"].map(len).to_numpy()
         missed = _log_missed(rows["number"].to_numpy(), rows["pass"].to_numpy(), shape)
         mine = (rows["rank"] // block == rows["block"]).to_numpy()
         out = [pd.DataFrame({"a": rows["rep"][mine], "b": None, "log_missed": missed[mine]})]
         for (_, _), part in rows.groupby([rows["pass"], sizes], sort=False):
-            unit = _unit(part["packed"].tolist())
+            unit, slack = _rounded(part["coarse"].tolist())
             rank, reps = part["rank"].to_numpy(), part["rep"].to_numpy()
-            xs, ys = [], []
+            xs, ys, known = [], [], []
             for at in range(0, len(part), 256):
-                near = unit[at:at + 256] @ unit[at:at + 256 + window].T >= cosine
-                i, j = np.nonzero(near)
+                near = unit[at:at + 256] @ unit[at:at + 256 + window].T
+                i, j = np.nonzero(near >= cosine - slack)
                 keep = (j > i) & (rank[at + j] - rank[at + i] <= window)
-                xs.append(at + i[keep])
-                ys.append(at + j[keep])
-            x, y = np.concatenate(xs), np.concatenate(ys)
+                i, j = i[keep], j[keep]
+                xs.append(at + i)
+                ys.append(at + j)
+                known.append(near[i, j] >= cosine + slack)
+            x, y, sure = np.concatenate(xs), np.concatenate(ys), np.concatenate(known)
             order = np.argsort(reps)
             place = np.empty(len(reps), np.int64)
             place[order] = np.arange(len(reps))
-            root = _roots(len(reps), place[x], place[y])
+            x, y = place[x], place[y]
+            root = _roots(len(reps), x[sure], y[sure])
             linked = np.flatnonzero(root != np.arange(len(root)))
-            out.append(pd.DataFrame({"a": reps[order][root[linked]], "b": reps[order][linked], "log_missed": None}))
-        return pd.concat([x.astype({"b": "Int64", "log_missed": "Float64"}) for x in out])
+            out.append(pd.DataFrame({"a": reps[order][root[linked]], "b": reps[order][linked], "sure": True}))
+            x, y = x[root[x] != root[y]], y[root[x] != root[y]]
+            out.append(pd.DataFrame({"a": reps[order][np.minimum(x, y)], "b": reps[order][np.maximum(x, y)], "sure": False}))
+        return pd.concat([x.reindex(columns=["a", "b", "log_missed", "sure"]).astype(
+            {"b": "Int64", "log_missed": "Float64", "sure": "boolean"}) for x in out])
+
+    found = stored(placed.groupBy("block").applyInPandas(compare, "a long, b long, log_missed double, sure boolean"), "passes-found")
+    pairs = found.where("b is not null").groupBy("a", "b").agg(F.bool_or("sure").alias("sure"))
+    links = pairs.where("sure").select("a", "b").unionAll(verified(pairs.where("not sure").select("a", "b"), classes, cosine))
+    return (stored(links, "passes-links"),
+            found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("log_missed").alias("log_missed")))
+
+
+def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
+    """The pairs (a, b) of classes whose vectors have at least this cosine in double precision."""
+    vectors = classes.select("rep", "packed")
+    both = pairs.join(vectors.select(F.col("rep").alias("a"), F.col("packed").alias("x")), "a").join(
+        vectors.select(F.col("rep").alias("b"), F.col("packed").alias("y")), "b")
+
+    def run(batches):
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            sizes, near = np.array([len(v) for v in x]), np.zeros(len(x), bool)
+            for size in np.unique(sizes):
+                rows = np.flatnonzero(sizes == size)
+                near[rows] = (_unit([x[i] for i in rows]) * _unit([y[i] for i in rows])).sum(axis=1) >= cosine
+            yield batch.select([0, 1]).filter(pa.array(near))
 
-    both = stored(placed.groupBy("block").applyInPandas(compare, "a long, b long, log_missed double"), "passes-found")
-    return (both.where("b is not null").select("a", "b").distinct(),
-            both.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("log_missed").alias("log_missed")))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def all_links(classes: DataFrame, shape: Shape, tile: int = 4_096) -> DataFrame:
@@ -259,11 +307,12 @@ def count_links(members: DataFrame, shape: Shape, tile: int = 1_024) -> DataFram
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     cut = members.join(sizes, "component").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
-    # Small components share a group; a tile of a large one meets every tile of it.
+    # Small components share a group, some `tile` classes of them; a tile of a large one meets every tile of it.
+    bins = max(members.count() // tile, 64)
     pairs = cut.withColumn("other", F.explode(every)).select(
         "component", "rep", "packed", "copies",
         F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile")
-    pairs = pairs.withColumn("bin", F.when(F.col("hi") == 0, F.pmod(F.xxhash64("component"), F.lit(4096))).otherwise(
+    pairs = pairs.withColumn("bin", F.when(F.col("hi") == 0, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(
         F.xxhash64("component", "lo", "hi")))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:

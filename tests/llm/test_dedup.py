@@ -133,6 +133,29 @@ def test_large_component_is_counted_in_tiles(spark):
     assert {r.n_links for r in p.near_duplicates(frame, p.Shape(window=3)).collect()} == {199}
 
 
+def test_rounding_of_the_passes_stays_within_its_bound():
+    rng = np.random.default_rng(6)
+    for width in (1, 2, 64, 2_000):
+        rows = rng.normal(size=(200, width)) * rng.choice([1e-6, 1.0, 5.0], size=(200, width))
+        unit = p._unit([r.tobytes() for r in np.concatenate([rows, rows + rng.normal(size=rows.shape) * 0.01])])
+        rounded, slack = p._rounded(p._coarse(unit))
+        assert np.abs(rounded @ rounded.T - unit @ unit.T).max() <= slack < 2e-3
+
+
+def test_pairs_within_the_rounding_of_the_threshold_are_settled_exactly(spark):
+    rng = np.random.default_rng(7)
+    rows, links = [], {}
+    for k in range(60):  # cosines from 0.9 - 3e-5 to 0.9 + 3e-5, in planes far from each other
+        x, y = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+        cosine = 0.9 + (k - 29.5) * 1e-6
+        rows += [x * 3, (cosine * x + (1 - cosine ** 2) ** 0.5 * y) * 7]
+        links[2 * k], links[2 * k + 1] = 2 * k, 2 * k + (k < 30)
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = p.near_duplicates(frame).collect()
+    assert {r.vec_id: r.component_id for r in found} == links
+    assert all(r.n_links == (r.vec_id // 2 >= 30) for r in found)
+
+
 def test_empty_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert p.near_duplicates(frame).collect() == []
