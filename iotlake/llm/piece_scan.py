@@ -31,18 +31,19 @@ doc_id is kept; an empty table has no rows; texts of any length are encoded whol
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from ahocorasick import Automaton
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import list_array, map_texts, plain, stored
+from iotlake.llm.tables import give_back, list_array, map_texts, plain, stored
 
 SPACE = "\u2581"
 #: Stands for a U+2581 of the text while it is encoded; no text has a lone surrogate.
@@ -52,6 +53,12 @@ LOW = -(1 << 60)
 MEMO = 150_000
 #: Stands between stretches that are looked through together; no piece has it.
 PART = "\0"
+#: Code points that are looked through together.
+LOOK = 1 << 16
+#: Ids that are decoded together; a row of more is decoded on its own.
+DECODED = 1 << 18
+#: Texts whose chunks one group of a scan takes.
+KEYS = 64
 
 
 @dataclass(frozen=True)
@@ -74,14 +81,12 @@ class Vocabulary:
         self.bytes = [0] * 256
         self.ids, self.scores = {}, {}
         #: What each id decodes to.
-        self.content = [b""] * n
+        self.content = _contents(model)
         for i, name in enumerate(names):
             if model.is_byte(i):
-                value = int(name[1:-1], 16)
-                self.bytes[value], self.content[i] = i, bytes([value])
+                self.bytes[int(name[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[name], self.scores[name] = i, round(model.get_score(i) * scale)
-                self.content[i] = name.replace(SPACE, " ").encode()
         #: Score of each piece, None of what only begins one.
         self.tree: dict[str, int | None] = {}
         for name in self.ids:
@@ -93,19 +98,63 @@ class Vocabulary:
         #: Whether every place before a run of spaces, and after anything else, is one that no piece crosses.
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in self.ids)
         self.stretch = self._stretches()
-        #: Finds the ids of all pieces in a stretch, those that end at one place from the longest to the shortest.
-        self.finder = Automaton()
         self.lengths, self.gains = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for name, i in self.ids.items():
-            self.finder.add_word(name, i)
             self.lengths[i], self.gains[i] = len(name), self.scores[name]
-        self.finder.make_automaton()
+        #: A code point's bytes score once, by the first of them.
+        self.gains[[i for b, i in enumerate(self.bytes) if not 0x80 <= b < 0xC0]] = self.unknown
+        self._nodes()
         self.single = {name for name in self.ids if len(name) == 1}
         #: What no piece holds, if every code point of a piece is one itself: stretches may be cut there.
         self.foreign = re.compile("([^" + "".join(map(re.escape, sorted(self.single))) + "])") \
             if self.single.issuperset(chain.from_iterable(self.ids)) else None
-        self.memo: dict[str, tuple[tuple[int, ...], int]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], int]] = {}
+        #: Ids of stretches, as bytes of four an id.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _nodes(self) -> None:
+        """What begins a piece as numbered nodes: `edges`, sorted, are a node's number times the number of code points plus a code point's, and
+        lead to `nodes`; the root's are kept apart. `held` is a node's piece, or -1."""
+        chars = sorted(set(chain.from_iterable(self.tree)))
+        #: A code point's number, from 1; 0 for all that are in no piece.
+        self.number = np.zeros(0x110000, np.uint16 if len(chars) < 1 << 16 else np.uint32)
+        self.number[list(map(ord, chars))] = np.arange(1, len(chars) + 1)
+        self.many = len(chars) + 1
+        node = {"": 0} | {name: i for i, name in enumerate(self.tree, 1)}
+        self.held = np.full(len(node), -1, np.int64)
+        self.roots = np.zeros(self.many, np.int64)
+        edges = []
+        for name, i in node.items():
+            if name in self.ids:
+                self.held[i] = self.ids[name]
+            if len(name) == 1:
+                self.roots[self.number[ord(name)]] = i
+            elif name:
+                edges.append((node[name[:-1]] * self.many + int(self.number[ord(name[-1])]), i))
+        edges.sort()
+        #: Greater than any edge, so that every place looked up is one.
+        edges.append((np.iinfo(np.int64).max, 0))
+        self.edges, self.nodes = np.array(edges, np.int64).T.copy()
+
+    def _pieces(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and id of all pieces in a text, a length at a time."""
+        number = self.number[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
+        node = self.roots[number]
+        at = np.flatnonzero(node)
+        node, found = node[at], []
+        for size in range(1, self.longest + 1):
+            piece = self.held[node]
+            some = np.flatnonzero(piece >= 0)
+            found.append((at[some], np.full(len(some), size, np.int64), piece[some]))
+            inside = at + size < len(number)
+            at, node = at[inside], node[inside]
+            edge = node * self.many + number[at + size]
+            place = np.searchsorted(self.edges, edge)
+            there = np.flatnonzero(self.edges[place] == edge)
+            if not len(there):
+                break
+            at, node = at[there], self.nodes[place[there]]
+        return tuple(map(np.concatenate, zip(*found)))
 
     def _stretches(self) -> re.Pattern:
         """Matches the stretches of a text between places that no piece crosses: spaces with what follows them, letters and
@@ -162,8 +211,8 @@ class Vocabulary:
             out.append(ids)
         return out[::-1], at
 
-    def word(self, text: str) -> tuple[tuple[int, ...], int]:
-        """Ids and score of a stretch that is entered at its start and left at its end."""
+    def word(self, text: str) -> bytes:
+        """Ids of a stretch that is entered at its start and left at its end."""
         got = self.memo.get(text)
         if got is None:
             got = self.older.get(text) or self._best(text)
@@ -173,26 +222,25 @@ class Vocabulary:
                 self.memo[text] = got
         return got
 
-    def _best(self, text: str) -> tuple[tuple[int, ...], int]:
+    def _best(self, text: str) -> bytes:
         """What `forward` and `back` give for a stretch of its own."""
         size = len(text)
         if not self.single.issuperset(text):
-            best, step = self.forward(text, [0], size)
+            _, step = self.forward(text, [0], size)
             steps, _ = self.back(step, size)
-            return tuple(i for ids in steps for i in ids), best[size]
+            return _packed(i for ids in steps for i in ids)
         return self._best_of([text])[0]
 
-    def _best_of(self, texts: list[str]) -> list[tuple[tuple[int, ...], int]]:
+    def _best_of(self, texts: list[str]) -> list[bytes]:
         """What `forward` and `back` give for stretches whose code points are all pieces; all stretches go place by place together."""
         sizes = np.array(list(map(len, texts)), np.int64)
         # Places of each stretch, its end among them, stand where its code points and what parts it from the next one stand.
         begin = np.cumsum(sizes + 1) - (sizes + 1)
-        found = np.fromiter(chain.from_iterable(self.finder.iter(PART.join(texts))), np.int64).reshape(-1, 2)
-        to, piece = found[:, 0] + 1, found[:, 1]
-        length = self.lengths[piece]
-        start, gain = to - length, self.gains[piece]
-        place = to - np.repeat(begin, sizes + 1)[found[:, 0]]
-        order = np.argsort(place, kind="stable")
+        start, length, piece = self._pieces(PART.join(texts))
+        to, gain = start + length, self.gains[piece]
+        place = to - np.repeat(begin, sizes + 1)[start]
+        # Numbers of a byte are sorted by counting.
+        order = np.argsort(place.astype(np.uint8) if sizes.max() < 256 else place, kind="stable")
         bounds = np.searchsorted(place[order], np.arange(1, sizes.max() + 2))
         # The best score, then the longest last piece: one number to compare.
         low = max(len(self.lengths).bit_length(), 1)
@@ -214,16 +262,16 @@ class Vocabulary:
             here[live] -= (got >> low) & (1 << shift - low) - 1
             live = live[here[live] > begin[live]]
         owner = np.concatenate(owners[::-1])
-        flat = np.concatenate(pieces[::-1])[np.argsort(owner, kind="stable")].tolist()
-        ends = np.cumsum(np.bincount(owner, minlength=len(sizes))).tolist()
-        return [(tuple(flat[a:b]), score) for a, b, score in zip([0, *ends], ends, best[begin + sizes].tolist())]
+        flat = np.concatenate(pieces[::-1])[np.argsort(owner, kind="stable")].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(sizes)))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, parts: Iterable[str]) -> None:
         """Puts the stretches that aren't kept yet with those that are, all at once."""
         if len(self.memo) >= MEMO:
             self.memo, self.older = {}, self.memo
         memo, older, new, mixed = self.memo, self.older, set(), {}
-        for part in {p for p in parts if p not in memo}:
+        for part in set(parts).difference(memo):
             got = older.get(part)
             if got is not None:
                 memo[part] = got
@@ -235,12 +283,16 @@ class Vocabulary:
                 mixed[part] = self.foreign.split(part)
         # Every other one is foreign.
         new.update(x for cut in mixed.values() for x in cut[::2] if x and x not in memo)
-        some = list(new)
-        if some:
-            memo.update(zip(some, self._best_of(some)))
+        some, at = list(new), 0
+        while at < len(some):
+            end, held = at, 0
+            while end < len(some) and held < LOOK:
+                held += len(some[end])
+                end += 1
+            memo.update(zip(some[at:end], self._best_of(some[at:end])))
+            at = end
         for part, cut in mixed.items():
-            found = [memo[x] if i % 2 == 0 else (self.byte_ids(x), self.unknown) for i, x in enumerate(cut) if x]
-            memo[part] = tuple(chain.from_iterable(ids for ids, _ in found)), sum(score for _, score in found)
+            memo[part] = b"".join(memo[x] if i % 2 == 0 else _packed(self.byte_ids(x)) for i, x in enumerate(cut) if x)
 
     def words(self, text: str) -> list[str]:
         """Stretches between places that no piece crosses."""
@@ -252,13 +304,16 @@ class Vocabulary:
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts."""
-        cut = [self.words(prepared(" " + t)) if t else [] for t in texts]
+        return [ids.tolist() for ids in self.arrays([self.words(prepared(" " + t)) if t else [] for t in texts])]
+
+    def arrays(self, cut: list[list[str]]) -> list[np.ndarray]:
+        """Ids of the stretches of each text."""
         self.learn(chain.from_iterable(cut))
         return [self.ids_of(parts) for parts in cut]
 
-    def ids_of(self, parts: list[str]) -> list[int]:
-        known, word = self.memo, self.word
-        return list(chain.from_iterable([(known.get(part) or word(part))[0] for part in parts]))
+    def ids_of(self, parts: list[str]) -> np.ndarray:
+        known, word = self.memo.get, self.word
+        return np.frombuffer(b"".join([known(part) or word(part) for part in parts]), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.content.__getitem__, ids)).decode()[1:]
@@ -272,7 +327,7 @@ class Vocabulary:
         if not cuts:
             return self.transfer_ends(text, None, n, 0)
         first, last = cuts
-        between = sum(self.word(part)[1] for part in self.words(text[first:last]))
+        between = int(self.gains[self.ids_of(self.words(text[first:last]))].sum())
         return self.transfer_ends(text[:first], text[last:], n - last, between)
 
     def transfer_ends(self, head: str, tail: str | None, n: int, between: int) -> np.ndarray:
@@ -312,7 +367,7 @@ class Vocabulary:
         if not cuts:
             return [(i, head) for i, head, _ in self.trace_ends(text, None, n, entry)]
         first, last = cuts
-        middle = self.ids_of(self.words(text[first:last]))
+        middle = self.ids_of(self.words(text[first:last])).tolist()
         return [(i, head + middle + tail if i >= 0 else [])
                 for i, head, tail in self.trace_ends(text[:first], text[last:], n - last, entry)]
 
@@ -345,6 +400,33 @@ def vocabulary(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
+_CONTENT: dict[str, pa.Array] = {}
+
+
+def contents(path: str) -> pa.Array:
+    """What each id decodes to; one per task process, which needs no more of the vocabulary to decode."""
+    if path not in _CONTENT:
+        from sentencepiece import SentencePieceProcessor
+
+        _CONTENT[path] = pa.array(_contents(SentencePieceProcessor(model_file=path)), pa.large_binary())
+    return _CONTENT[path]
+
+
+def _contents(model) -> list[bytes]:
+    out = [b""] * model.get_piece_size()
+    for i in range(len(out)):
+        if model.is_byte(i):
+            out[i] = bytes([int(model.id_to_piece(i)[1:-1], 16)])
+        elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            out[i] = model.id_to_piece(i).replace(SPACE, " ").encode()
+    return out
+
+
+def _packed(ids: Iterable[int]) -> bytes:
+    """Four bytes an id."""
+    return array("i", ids).tobytes()
+
+
 def prepared(text: str) -> str:
     """Code point for code point, what is matched with pieces."""
     return text.replace(SPACE, OWN).replace(" ", SPACE)
@@ -365,35 +447,51 @@ def exclusive_scan(items: DataFrame, combine, identity: np.ndarray, block: int)
     """(key, idx, payload): for each item of (key, idx, payload) the items of its key with a smaller idx, combined.
 
     `combine` is associative, over arrays of `identity`'s shape; idx runs from 0. Blocks of `block` items are combined, their
-    results scanned likewise, and each block's items combined from there on.
+    results scanned likewise, and each block's items combined from there on. Blocks of one number of `KEYS` neighbouring keys go together,
+    as most texts have few items.
     """
     kind, form = identity.dtype, identity.shape
     unit = identity.tobytes()
 
+    def runs(rows):
+        rows = rows.sort_values(["key", "idx"])
+        return [one for _, one in rows.groupby("key", sort=False)]
+
     def whole(keys, rows):
-        total = identity
-        for payload in rows.sort_values("idx")["payload"]:
-            total = combine(total, np.frombuffer(payload, kind).reshape(form))
-        return rows.iloc[:1].assign(idx=keys[1], payload=[total.tobytes()])[["key", "idx", "payload"]]
+        out = []
+        for one in runs(rows):
+            total = identity
+            for payload in one["payload"]:
+                total = combine(total, np.frombuffer(payload, kind).reshape(form))
+            out.append((one["key"].iloc[0], keys[1], total.tobytes()))
+        return pd.DataFrame(out, columns=["key", "idx", "payload"])
 
     def within(keys, rows):
-        rows, out = rows.sort_values("idx"), []
-        total = np.frombuffer(rows["before"].iloc[0], kind).reshape(form)
-        for payload in rows["payload"]:
-            out.append(total.tobytes())
-            total = combine(total, np.frombuffer(payload, kind).reshape(form))
-        return rows.assign(payload=out)[["key", "idx", "payload"]]
+        found = []
+        for one in runs(rows):
+            out, total = [], np.frombuffer(one["before"].iloc[0], kind).reshape(form)
+            for payload in one["payload"]:
+                out.append(total.tobytes())
+                total = combine(total, np.frombuffer(payload, kind).reshape(form))
+            found.append(pd.DataFrame({"key": one["key"], "idx": one["idx"], "payload": out}))
+        return pd.concat(found)
 
     schema = "key long, idx long, payload binary"
-    items = items.select("key", "idx", "payload", F.floor(F.col("idx") / block).alias("block"))
+    items = items.select("key", "idx", "payload", F.floor(F.col("idx") / block).alias("block"),
+                         F.floor(F.col("key") / KEYS).alias("some"))
     last = items.agg(F.max("idx")).first()[0]
     if last is None or last < block:
         started = items.withColumn("before", F.lit(bytearray(unit)))
     else:
-        blocks = stored(items.groupBy("key", "block").applyInPandas(whole, schema), "scan-blocks")
+        blocks = stored(items.groupBy("some", "block").applyInPandas(whole, schema), "scan-blocks")
         before = exclusive_scan(blocks, combine, identity, block)
         started = items.join(before.select("key", F.col("idx").alias("block"), F.col("payload").alias("before")), ["key", "block"])
-    return stored(started.groupBy("key", "block").applyInPandas(within, schema), "scan")
+    return stored(started.groupBy("some", "block").applyInPandas(within, schema), "scan")
+
+
+def _ids_array(found: list[np.ndarray]) -> pa.Array:
+    """The ids of each row as a list column."""
+    return list_array(np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64), pa.int32())
 
 
 def _cut(named: DataFrame, chunk: int, ahead: int) -> DataFrame:
@@ -429,11 +527,11 @@ def _encode_long(docs: DataFrame, path: str, shape: Shape) -> DataFrame:
             cuts = v.cuts(text, k["n"])
             cut.append((b, None, k["n"], []) if not cuts else (
                 b[:cuts[0]], b[cuts[1]:], k["n"] - cuts[1], v.words(text[cuts[0]:cuts[1]])))
-        v.learn(chain.from_iterable(parts for *_, parts in cut))
-        payloads = [v.transfer_ends(prepared(head), None if tail is None else prepared(tail), n, sum(v.word(p)[1] for p in parts)).tobytes()
-                    for head, tail, n, parts in cut]
+        middle = v.arrays([parts for *_, parts in cut])
+        payloads = [v.transfer_ends(prepared(head), None if tail is None else prepared(tail), n, int(v.gains[between].sum())).tobytes()
+                    for (head, tail, n, _), between in zip(cut, middle)]
         return {"key": [k["key"] for k in keys], "idx": [k["idx"] for k in keys], "payload": payloads, "head": [c[0] for c in cut],
-                "tail": [c[1] for c in cut], "n": [c[2] for c in cut], "middle": [v.ids_of(c[3]) for c in cut]}
+                "tail": [c[1] for c in cut], "n": [c[2] for c in cut], "middle": _ids_array(middle)}
 
     # What lies between a chunk's first and last cut is encoded here, once; the later steps need the two ends alone.
     payload = "key long, idx long, payload binary"
@@ -469,8 +567,11 @@ def _encode_long(docs: DataFrame, path: str, shape: Shape) -> DataFrame:
 
     parts = map_texts(entered.join(exits, ["key", "idx"]).select(F.struct("key", "idx", "n", "tail", "before", "exits").alias("k"), "head"),
                       ids, "key long, idx long, start array<int>, end array<int>", key="k", text="head")
-    parts = parts.join(found.select("key", "idx", "middle"), ["key", "idx"]).select("key", "idx", F.concat("start", "middle", "end").alias("ids"))
-    whole = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("idx", "ids"))).alias("parts"))
+    # The ends' ids and those between them meet in one grouping, so that ids are shuffled once.
+    sides = F.array(F.struct(F.lit(0).alias("place"), F.col("start").alias("ids")), F.struct(F.lit(2).alias("place"), F.col("end").alias("ids")))
+    parts = parts.select("key", "idx", F.inline(sides)).unionByName(
+        found.select("key", "idx", F.lit(1).alias("place"), F.col("middle").alias("ids")))
+    whole = parts.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("idx", "place", "ids"))).alias("parts"))
     return whole.join(named.select("key", "doc_id", "copies"), "key").select(
         "doc_id", F.flatten(F.col("parts")["ids"]).alias("ids"), F.explode(F.array_repeat(F.lit(0), F.col("copies")))
         ).select("doc_id", "ids")
@@ -482,10 +583,7 @@ def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
 
     def rows(keys, values):
         v = vocabulary(path)
-        found = v.encode_all(values)
-        return {"doc_id": keys, "ids": list_array(
-            np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found))), np.array([len(f) for f in found]),
-            pa.int32())}
+        return {"doc_id": keys, "ids": _ids_array(v.arrays([v.words(prepared(" " + t)) if t else [] for t in values]))}
 
     short = map_texts(docs.where(F.coalesce(F.length("text"), F.lit(0)) <= shape.chunk), rows, "doc_id long, ids array<int>")
     return short.unionByName(_encode_long(docs.where(F.length("text") > shape.chunk), path, shape))
@@ -494,11 +592,14 @@ def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of `encoded` (doc_id, ids) with their text; null or no ids give an empty text."""
     def run(batches):
-        content = pa.array(vocabulary(path).content, pa.large_binary())
+        content = contents(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sizes = np.asarray(pc.list_value_length(part.column(1)).fill_null(0))
+            whole = np.asarray(pc.list_value_length(batch.column(1)).fill_null(0))
+            upto, at = np.cumsum(whole, dtype=np.int64), 0
+            while at < len(whole):
+                # As many rows as have so many ids together, one at least.
+                end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + DECODED, side="right")))
+                part, sizes, at = batch.slice(at, end - at), whole[at:end], end
                 bytes_ = content.take(part.column(1).flatten())
                 # The texts stand one after another in the pieces' bytes.
                 offsets = np.frombuffer(bytes_.buffers()[1], np.int64)[bytes_.offset:]
@@ -507,5 +608,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 # Without the space that is put in front.
                 texts = pc.utf8_slice_codeunits(texts, 1).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=["doc_id", "ids", "text"])
+        give_back()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

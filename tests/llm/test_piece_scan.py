@@ -1,6 +1,7 @@
 """The chunked scan against one pass over the text, and round trips."""
 
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -92,3 +93,27 @@ def test_operator(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert piece_scan.encode(docs, PATH).collect() == []
+
+
+def test_memory_of_new_stretches_is_bounded(vocabulary, monkeypatch):
+    """New stretches are looked through in runs, and a kept one takes four bytes an id."""
+    v, looked, best = Vocabulary(PATH), [], Vocabulary._best_of
+    monkeypatch.setattr(Vocabulary, "_best_of", lambda self, texts: looked.append(sum(map(len, texts))) or best(self, texts))
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(20_000))
+    assert v.decode(v.encode(text)) == text
+    assert sum(looked) > 150_000 and max(looked) < 70_000
+    assert all(sys.getsizeof(ids) <= 40 + 4 * len(part) for part, ids in v.memo.items())
+
+
+def test_scan_takes_many_keys_together(spark):
+    """Each key's items are combined on their own, also where blocks of many keys make one group."""
+    items = [(k, i, np.array([k * 7 + i], np.int64)) for k in [*range(70), 1 << 33] for i in range(k % 9)]
+    frame = spark.createDataFrame([(k, i, bytearray(x.tobytes())) for k, i, x in items], "key long, idx long, payload binary")
+    found = {(r.key, r.idx): int(np.frombuffer(r.payload, np.int64)[0])
+             for r in piece_scan.exclusive_scan(frame, lambda a, b: a * 3 + b, np.zeros(1, np.int64), 100).collect()}
+    expected, total = {}, {}
+    for k, i, x in items:
+        expected[k, i] = total.get(k, 0)
+        total[k] = expected[k, i] * 3 + int(x[0])
+    assert found == expected
