@@ -3,7 +3,8 @@
 Random indexing: every unit (a whole word, or a whole run of symbols) has a fixed sparse ternary index vector. Its
 word vector is the sum of the index vectors of the units within two places of it, over all documents. Units are hashed
 into `Shape.buckets` (a million), so the vectors take buckets * width bytes however large the corpus is, and of more distinct
-words some share a vector. Tasks sum runs of tokens, Spark adds the sums, and unit vectors in 1/127 reach the driver.
+words some share a vector. Tasks sum runs of tokens, the sums of a range of buckets travel together, of a byte a number where that is enough, to the task that
+adds them up, and unit vectors in 1/127 reach the driver.
 
 A document's features are the mean of its unit vectors, that mean's length and the mean likeness of
 neighbouring units. A two-layer network gives a logit, whose
@@ -17,6 +18,7 @@ label 1 (0.5 without any label); an empty table has no scores; texts of any leng
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -33,6 +35,8 @@ TOKEN = re.compile(r"\w+|[^\w\s]+")
 MEMO = 50_000
 #: Tokens that a task sums at once.
 RUN = 1 << 18
+#: Buckets whose sums travel together.
+RANGE = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -80,10 +84,16 @@ def index_vectors(ids: np.ndarray, shape: Shape) -> np.ndarray:
     return out
 
 
-def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
-    """Per bucket the sum of its neighbours' index vectors over all texts: bucket, v0, v1, ..."""
-    names = [f"v{i}" for i in range(shape.width)]
-    schema = "bucket int, " + ", ".join(f"{n} int" for n in names)
+def _sums(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that occur, ascending, and the sums of each one's vectors."""
+    order = np.argsort(ids, kind="stable")
+    used, starts = np.unique(ids[order], return_index=True)
+    return used, np.add.reduceat(vectors[order], starts, axis=0, dtype=np.int64)
+
+
+def partial_sums(frame: DataFrame, shape: Shape) -> DataFrame:
+    """Sums of the neighbours' index vectors over runs of tokens: of each range of buckets the buckets met, as places in the range, and their
+    sums one after another, in numbers of `size` bytes."""
     texts = frame.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
 
     def run(batches):
@@ -97,14 +107,20 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
             for step in range(1, shape.reach + 1):
                 near[step:] += vectors[:-step]
                 near[:-step] += vectors[step:]
-            order = np.argsort(ids, kind="stable")
-            used, starts = np.unique(ids[order], return_index=True)
-            total = np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
+            used, total = _sums(ids, near)
             keep = (used > 0) & total.any(axis=1)
-            used, total = used[keep].astype(np.int32), np.ascontiguousarray(total[keep].T)
-            for at in range(0, len(used), 4096):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[at:at + 4096]) for x in (used, *total)], names=["bucket", *names])
+            used, total = used[keep], total[keep]
+            wide = np.abs(total).max(axis=1, initial=0) > 127
+            for kind, some in ((np.int8, ~wide), (np.int32, wide)):
+                own, values = used[some], total[some].astype(kind)
+                part = own // RANGE
+                cuts = np.flatnonzero(np.diff(part)) + 1
+                rows = [(a, b) for a, b in zip([0, *cuts], [*cuts, len(own)]) if a < b]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part[a] for a, _ in rows], pa.int32()), pa.array([values.itemsize] * len(rows), pa.int32()),
+                    pa.array([(own[a:b] % RANGE).astype(np.uint16).tobytes() for a, b in rows], pa.binary()),
+                    # Mostly zeros and small numbers.
+                    pa.array([zlib.compress(values[a:b].tobytes(), 1) for a, b in rows], pa.binary())], names=["part", "size", "places", "sums"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -117,7 +133,31 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
             yield from sums()
         give_back()
 
-    return texts.mapInArrow(run, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
+    return texts.mapInArrow(run, "part int, size int, places binary, sums binary")
+
+
+def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
+    """Per bucket the sum of its neighbours' index vectors over all texts: bucket, v0, v1, ..."""
+    names = [f"v{i}" for i in range(shape.width)]
+
+    def run(batches):
+        # The sums of the ranges that came to this task: bounded by the buckets, whatever the number of rows.
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, size, places, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                total = held.get(part)
+                if total is None:
+                    total = held[part] = np.zeros((RANGE, shape.width), np.int64)
+                values = np.frombuffer(zlib.decompress(sums), np.int8 if size == 1 else np.int32)
+                total[np.frombuffer(places, np.uint16)] += values.reshape(-1, shape.width)
+        for part, total in held.items():
+            met = np.flatnonzero(total.any(axis=1))
+            columns = np.ascontiguousarray(total[met].T)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in ((met + part * RANGE).astype(np.int32), *columns)], names=["bucket", *names])
+        give_back()
+
+    return partial_sums(frame, shape).repartition("part").mapInArrow(run, "bucket int, " + ", ".join(f"{n} long" for n in names))
 
 
 def word_vectors(frame: DataFrame, shape: Shape) -> np.ndarray:

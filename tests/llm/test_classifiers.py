@@ -64,6 +64,23 @@ def test_context_sums_equal_a_plain_loop(spark):
     assert (found == expected).all()
 
 
+def test_partial_sums_are_small(spark):
+    """What is shuffled takes well under the 264 bytes of a bucket's sums as longs; counts beyond a byte are kept."""
+    rng, shape = np.random.default_rng(1), quality.Shape()
+    text = " ".join(f"w{n}" for n in rng.integers(0, 20_000, 60_000)) + " often" * 3000
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = quality.partial_sums(frame, shape).collect()
+    buckets = sum(len(r.places) // 2 for r in rows)
+    assert {r["size"] for r in rows} == {1, 4} and buckets > 15_000
+    assert sum(len(r.places) + len(r.sums) for r in rows) < 40 * buckets
+    ids = quality.Units(shape.buckets).of(text)
+    often = quality.Units(shape.buckets).of("often")[0]
+    sums = {r.bucket: r[1:] for r in quality.context_sums(frame, shape).collect()}
+    index = quality.index_vectors(np.array(ids), shape).astype(int)
+    expected = sum(index[j] for i, u in enumerate(ids) if u == often for j in range(max(0, i - 2), min(len(ids), i + 3)) if j != i)
+    assert len(sums) == buckets and (np.array(sums[often]) == expected).all()
+
+
 def test_nn_risk_gradient_and_correction():
     rng = np.random.default_rng(0)
     positive = np.arange(12) < 5
