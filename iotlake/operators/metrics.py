@@ -238,8 +238,9 @@ def stop_samples(samples: DataFrame, after: str = "2 seconds", gap: str | None =
 
     With `gap` a client stops whenever a gauge has had no sample for so long, so a series gets a zero for each time that it stops
     and none while it goes on: its samples are grouped into sessions. That also works on a stream with `watermark`, which gives the
-    zero once the session can't go on any more. Sessions are merged in the scanning task where
-    `spark.sql.sessionWindow.merge.sessions.in.local.partition` is set.
+    zero once the session can't go on any more. A batch first keeps the first and the last sample of each series and slot of `gap`, as samples within
+    a slot are of one session, so no series is ordered in one task by its samples. A stream can't group twice, so there samples of different times are
+    ordered in one task a series; `spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition` moves that to the scanning tasks.
     """
     gauges = samples.where(F.col("metric").isin(*ZEROED_ON_STOP))
     if watermark:
@@ -248,9 +249,13 @@ def stop_samples(samples: DataFrame, after: str = "2 seconds", gap: str | None =
         last = gauges.groupBy("metric", "labels").agg(F.max("ts").alias("last"))
     else:
         # Sessions are merged in order of their keys, and maps have none.
-        entries = F.array_sort(F.map_entries("labels")).alias("_labels")
+        gauges = gauges.select("metric", F.array_sort(F.map_entries("labels")).alias("_labels"), "ts")
+        if not gauges.isStreaming:
+            slots = gauges.where("ts IS NOT NULL").groupBy("metric", "_labels", F.window("ts", gap)).agg(
+                F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+            gauges = slots.select("metric", "_labels", F.explode(F.array("_first", "_last")).alias("ts"))
         last = (
-            gauges.groupBy("metric", entries, F.session_window("ts", gap)).agg(F.max("ts").alias("last"))
+            gauges.groupBy("metric", "_labels", F.session_window("ts", gap)).agg(F.max("ts").alias("last"))
             .withColumn("labels", F.map_from_entries("_labels"))
         )
     return last.select((F.col("last") + F.expr(f"INTERVAL {after}")).alias("ts"), "metric", "labels", F.lit(0.0).alias("value"))

@@ -229,3 +229,22 @@ def test_client_windows_plan_has_no_loop_over_a_client(spark, deliveries):
     instants = deliveries.select("topic", F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).withColumn("slot", F.floor(F.col("t") / 10))
     text = plan(_closing(instants, ["topic"], F.lit(10), 100))
     assert "Python" not in text and "Cartesian" not in text
+
+
+def test_sessions_of_a_batch_are_made_of_slots_not_samples(spark):
+    """A busy series reaches the ordering of its sessions with two samples a slot at most; the zeros are those of all samples."""
+    from random import Random
+
+    rng, at, times = Random(3), 0, []
+    for _ in range(4000):
+        at += rng.choice([1, 2, 30, 59, 61, 200]) * 1_000_000 if rng.random() < 0.05 else rng.randrange(1_000_000)
+        times.append(at)
+    frame = spark.createDataFrame([(t,) for t in times] + [(None,)], "t long").select(
+        F.timestamp_micros("t").alias("ts"), F.lit(metrics.MESSAGE_RATE).alias("metric"),
+        F.create_map(F.lit("topic"), F.lit("a")).alias("labels"), F.lit(1.0).alias("value"))
+    found = metrics.stop_samples(frame, gap="1 minute")
+    got = sorted(r.t - 2_000_000 for r in found.select(F.unix_micros("ts").alias("t")).collect())
+    last = [a for a, b in zip(times, [*times[1:], None]) if b is None or b - a > 60_000_000]
+    assert len(last) > 20 and got == last
+    assert 2 * len({t // 60_000_000 for t in times}) < len(times)
+    assert "_first" in found._jdf.queryExecution().executedPlan().toString()
