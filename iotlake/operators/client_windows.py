@@ -10,6 +10,9 @@ from iotlake.functions.event_time import interval_micros, micros_ntz, micros_of
 from iotlake.operators.runs import with_previous
 from iotlake.scratch import stored
 
+#: Slots of a block, and blocks of a block of the next level.
+BLOCK = 4
+
 
 def client_windows(deliveries: DataFrame, keys: Iterable[str] = ("topic", "client_id"), width: str = "10 seconds",
                    tie: str | None = None, run: int = 10_000) -> DataFrame:
@@ -20,9 +23,10 @@ def client_windows(deliveries: DataFrame, keys: Iterable[str] = ("topic", "clien
     instant. The last, still open window of a client is not reported. Rows without a time count for nothing.
 
     No client is walked through in one task. Times are cut into slots of `width`, so the instant that would close a window opened at an instant t is the
-    first one from t + width on in the next slot, or else the first one of the slots behind it. These pointers are doubled, to jumps over 2, 4, 8, ...
-    windows, and the windows' starts are what jumps reach from a client's first instant, the longest jumps first. A window's messages lie in the slot of its start and the next
-    one, and a slot has one start at most, so messages find their window by an equal join.
+    first one from t + width on in the next slot, or else the first one of the slots behind it. Such jumps are joined to jumps out of blocks of 4, 16, 64, ... slots,
+    each only for the instants at which a jump enters such a block. From a client's first instant the longest jumps give the starts that are
+    first in their block, and the shorter ones those between. So every instant is gone through at one level alone, and the levels above it have
+    an eighth of them and less. A window's messages lie in the slot of its start and the next one, and a slot has one start at most, so messages find their window by an equal join.
     """
     keys = list(keys)
     span = F.lit(interval_micros(F.expr(f"INTERVAL {width}").cast("interval day to second")))
@@ -38,7 +42,7 @@ def client_windows(deliveries: DataFrame, keys: Iterable[str] = ("topic", "clien
         .withColumn("slot", F.floor(F.col("t") / span)), "instants")
 
     # A window by the slots that its messages may lie in; the closing message is that of the instant `end`.
-    opened = stored(_starts(_closing(instants, keys, span, run), keys).where("end IS NOT NULL"), "client-windows")
+    opened = _starts(_closing(instants, keys, span, run), keys, span).where("end IS NOT NULL")
     slot = F.floor(F.col("start") / span)
     reach = opened.select(*[F.col(k).alias(f"_{k}") for k in keys], "start", "end", F.explode(F.array(slot, slot + 1)).alias("_slot"))
     inside = instants.join(reach, _same(keys) & (F.col("slot") == F.col("_slot"))).where(
@@ -91,20 +95,43 @@ def _closing(instants: DataFrame, keys: list[str], span: Column, run: int) -> Da
     return there.unionByName(asked).withColumn("end", end).where("is_instant = 0").select(*keys, "start", "end")
 
 
-def _starts(closing: DataFrame, keys: list[str]) -> DataFrame:
+def _starts(closing: DataFrame, keys: list[str], span: Column) -> DataFrame:
     """`*keys, start, end` of the windows that follow one another from each key's first instant."""
-    to = lambda frame: frame.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("start").alias("_start"), F.col("end").alias("_end"))
     closing = stored(closing, "window-jumps")
-    # Jumps over 1, 2, 4, ... windows, until none is left that doesn't pass the last window.
-    jumps, longer = [], closing.where("end IS NOT NULL")
-    while not longer.isEmpty():
-        jumps.append(longer)
-        longer = stored(longer.join(to(longer), _same(keys) & (F.col("end") == F.col("_start"))).select(
-            *keys, "start", F.col("_end").alias("end")), "window-jumps")
-    # Every number of windows is a sum of jumps, the longest first; each start is reached once.
-    found = closing.groupBy(*keys).agg(F.min("start").alias("start"))
-    for jump in reversed(jumps):
-        reached = F.array_compact(F.array("start", "_end"))
-        found = found.join(to(jump), _same(keys) & (F.col("start") == F.col("_start")), "left").select(
-            *keys, F.explode(reached).alias("start"))
-    return found.join(to(closing), _same(keys) & (F.col("start") == F.col("_start"))).select(*keys, "start", F.col("_end").alias("end"))
+    slot = lambda c: F.floor(F.col(c) / span)
+    low, high = closing.agg(F.min(slot("start")), F.max(slot("start"))).first()
+    if low is None:
+        return closing
+    # A block of level k is BLOCK ** k slots.
+    block = lambda c, level: F.floor((slot(c) - low) / BLOCK ** level)
+    levels = 1
+    while BLOCK ** levels <= high - low:
+        levels += 1
+
+    def follow(state, jumps, level):
+        """Moves `here` by the jumps of a level until it is beyond its block of the next level: that has `BLOCK` blocks, and no jump stays in one."""
+        state = state.withColumn("_block", block("here", level + 1))
+        for k in range(BLOCK):
+            step = jumps.where(block("start", level) % BLOCK == k).select(
+                *[F.col(c).alias(f"_{c}") for c in keys], F.col("start").alias("_start"), F.col("end").alias("_end"),
+                block("start", level + 1).alias("_there"))
+            met = F.col("_start").isNotNull()
+            state = state.join(
+                step, _same(keys) & (F.col("here") == F.col("_start")) & (F.col("_block") == F.col("_there")), "left"
+            ).withColumns({"here": F.when(met, F.col("_end")).otherwise(F.col("here")), "path": F.when(
+                met, F.concat("path", F.array(F.struct(F.col("_start").alias("start"), F.col("_end").alias("end"))))).otherwise(F.col("path"))}
+            ).drop(*step.columns)
+        return state
+
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    first = stored(closing.groupBy(*keys).agg(F.min("start").alias("start")), "window-first")
+    jumps = [closing]
+    for level in range(levels - 1):
+        entered = jumps[-1].where(block("start", level + 1) != block("end", level + 1)).select(*keys, F.col("end").alias("start")).distinct()
+        entered = entered.unionByName(first).withColumns({"here": F.col("start"), "path": none})
+        jumps.append(stored(follow(entered, jumps[-1], level).select(*keys, "start", F.col("here").alias("end")), "window-jumps"))
+    found = first
+    for level in reversed(range(levels)):
+        met = follow(found.select(*keys, F.col("start").alias("here"), none.alias("path")), jumps[level], level)
+        found = stored(met.select(*keys, F.inline("path")), "window-starts")
+    return found

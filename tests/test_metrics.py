@@ -231,6 +231,24 @@ def test_client_windows_plan_has_no_loop_over_a_client(spark, deliveries):
     assert "Python" not in text and "Cartesian" not in text
 
 
+def test_client_windows_go_through_every_instant_at_one_level_alone(events, monkeypatch):
+    """What is stored of jumps over many windows is a fraction of the instants, however many windows follow one another."""
+    from iotlake.operators import client_windows as module
+    from iotlake.plans import inputs
+
+    sent, rows, stored = inputs.deliveries(events, "event_id"), [], module.stored
+
+    def counted(frame, purpose):
+        out = stored(frame, purpose)
+        rows.append((purpose, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "stored", counted)
+    assert module.client_windows(sent, width="6 hours", tie="event_id").count() > 100
+    one, *longer = [n for purpose, n in rows if purpose == "window-jumps"]
+    assert len(longer) > 1 and sum(longer) < one
+
+
 def test_sessions_of_a_batch_are_made_of_slots_not_samples(spark):
     """A busy series reaches the ordering of its sessions with two samples a slot at most; the zeros are those of all samples."""
     from random import Random
