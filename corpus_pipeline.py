@@ -60,7 +60,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, their number, and the digest of the text that they decode to."""
     path = TOKENIZERS + "/piece_bpe_32k.model"
-    return piece_scan.decode(piece_scan.encode(docs, path), path).select(
+    return piece_scan.encode(docs, path, decoded=True).select(
         "doc_id", "ids", F.size("ids").alias("n_ids"), F.md5("text").alias("text_md5"))
 
 

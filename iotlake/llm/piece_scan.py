@@ -97,7 +97,7 @@ class Vocabulary:
         self.unknown = min(self.scores.values()) - 10 * scale
         #: Whether every place before a run of spaces, and after anything else, is one that no piece crosses.
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in self.ids)
-        self.stretch = self._stretches()
+        self.classes = self._classes()
         self.lengths, self.gains = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for name, i in self.ids.items():
             self.lengths[i], self.gains[i] = len(name), self.scores[name]
@@ -156,17 +156,18 @@ class Vocabulary:
             at, node = at[there], self.nodes[place[there]]
         return tuple(map(np.concatenate, zip(*found)))
 
-    def _stretches(self) -> re.Pattern:
-        """Matches the stretches of a text between places that no piece crosses: spaces with what follows them, letters and
-        the like, and code points that pieces never mix with those."""
+    def _classes(self) -> np.ndarray:
+        """By code point: 0 for the space, 1 for those that pieces never mix with letters and the like, 2 for all others."""
         loose = {c for name in self.ids for c in name if not c.isalnum() and c != SPACE}
         while True:
             mixed = {c for name in self.ids if not loose.issuperset(name.replace(SPACE, "")) for c in name}
             if not mixed & loose:
                 break
             loose -= mixed
-        some = "".join(map(re.escape, sorted(loose)))
-        return re.compile(f"{SPACE}*[^{SPACE}{some}]+|{SPACE}*[{some}]+|{SPACE}+" if some else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        out = np.full(0x110000, 2, np.uint8)
+        out[list(map(ord, loose))] = 1
+        out[ord(SPACE)] = 0
+        return out
 
     def ways(self, text: str, at: int):
         """(length, ids, score) of the pieces that start at `at`."""
@@ -295,8 +296,13 @@ class Vocabulary:
             memo[part] = b"".join(memo[x] if i % 2 == 0 else _packed(self.byte_ids(x)) for i, x in enumerate(cut) if x)
 
     def words(self, text: str) -> list[str]:
-        """Stretches between places that no piece crosses."""
-        return self.stretch.findall(text) if self.cuttable else [text]
+        """Stretches between places that no piece crosses: spaces with what follows them, as long as it is of one class."""
+        if not self.cuttable or not text:
+            return [text] if text else []
+        kind = self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        before = kind[:-1]
+        ends = (np.flatnonzero((kind[1:] != before) & (before != 0)) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
@@ -312,8 +318,10 @@ class Vocabulary:
         return [self.ids_of(parts) for parts in cut]
 
     def ids_of(self, parts: list[str]) -> np.ndarray:
-        known, word = self.memo.get, self.word
-        return np.frombuffer(b"".join([known(part) or word(part) for part in parts]), np.int32)
+        found = list(map(self.memo.get, parts))
+        if None in found:
+            found = [ids or self.word(part) for ids, part in zip(found, parts)]
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.content.__getitem__, ids)).decode()[1:]
@@ -577,16 +585,36 @@ def _encode_long(docs: DataFrame, path: str, shape: Shape) -> DataFrame:
         ).select("doc_id", "ids")
 
 
-def encode(docs: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
-    """doc_id, ids of every row of `docs` (doc_id, text); `path` names the model file on every machine."""
+def encode(docs: DataFrame, path: str, shape: Shape = Shape(), decoded: bool = False) -> DataFrame:
+    """doc_id, ids of every row of `docs` (doc_id, text); `path` names the model file on every machine.
+
+    With `decoded` also the `text` that `decode` gives for the ids, which spares ids of short texts the way to another process.
+    """
     docs = plain(docs, "doc_id", "text")
 
     def rows(keys, values):
         v = vocabulary(path)
-        return {"doc_id": keys, "ids": _ids_array(v.arrays([v.words(prepared(" " + t)) if t else [] for t in values]))}
+        ids = _ids_array(v.arrays([v.words(prepared(" " + t)) if t else [] for t in values]))
+        return {"doc_id": keys, "ids": ids} | ({"text": _texts(ids, contents(path))} if decoded else {})
+
+    short = map_texts(docs.where(F.coalesce(F.length("text"), F.lit(0)) <= shape.chunk), rows,
+                      "doc_id long, ids array<int>" + (", text string" if decoded else ""))
+    long = _encode_long(docs.where(F.length("text") > shape.chunk), path, shape)
+    return short.unionByName(decode(long, path) if decoded else long)
+
 
-    short = map_texts(docs.where(F.coalesce(F.length("text"), F.lit(0)) <= shape.chunk), rows, "doc_id long, ids array<int>")
-    return short.unionByName(_encode_long(docs.where(F.length("text") > shape.chunk), path, shape))
+def _texts(ids: pa.Array, content: pa.Array) -> pa.Array:
+    """What each row's ids decode to."""
+    sizes = np.asarray(pc.list_value_length(ids).fill_null(0))
+    bytes_ = content.take(ids.flatten())
+    if not len(bytes_):
+        return pa.array([""] * len(sizes), pa.string())
+    # The texts stand one after another in the pieces' bytes.
+    offsets = np.frombuffer(bytes_.buffers()[1], np.int64)[bytes_.offset:]
+    texts = pa.LargeStringArray.from_buffers(
+        len(sizes), pa.py_buffer(offsets[np.concatenate([[0], np.cumsum(sizes)])].copy()), bytes_.buffers()[2])
+    # Without the space that is put in front.
+    return pc.utf8_slice_codeunits(texts, 1).cast(pa.string())
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -599,15 +627,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             while at < len(whole):
                 # As many rows as have so many ids together, one at least.
                 end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + DECODED, side="right")))
-                part, sizes, at = batch.slice(at, end - at), whole[at:end], end
-                bytes_ = content.take(part.column(1).flatten())
-                # The texts stand one after another in the pieces' bytes.
-                offsets = np.frombuffer(bytes_.buffers()[1], np.int64)[bytes_.offset:]
-                texts = pa.LargeStringArray.from_buffers(
-                    len(sizes), pa.py_buffer(offsets[np.concatenate([[0], np.cumsum(sizes)])].copy()), bytes_.buffers()[2])
-                # Without the space that is put in front.
-                texts = pc.utf8_slice_codeunits(texts, 1).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=["doc_id", "ids", "text"])
+                part, at = batch.slice(at, end - at), end
+                yield pa.RecordBatch.from_arrays([*part.columns, _texts(part.column(1), content)], names=["doc_id", "ids", "text"])
         give_back()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

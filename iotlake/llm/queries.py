@@ -50,9 +50,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
-    encoded = piece_scan.encode(table(spark, sf_dir, "documents"), TOKENIZERS + "/piece_bpe_32k.model")
-    return piece_scan.decode(encoded, TOKENIZERS + "/piece_bpe_32k.model").select(
-        "doc_id", "ids", F.md5("text").alias("text_md5"))
+    found = piece_scan.encode(table(spark, sf_dir, "documents"), TOKENIZERS + "/piece_bpe_32k.model", decoded=True)
+    return found.select("doc_id", "ids", F.md5("text").alias("text_md5"))
 
 
 def op4_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,3 +117,30 @@ def test_scan_takes_many_keys_together(spark):
         expected[k, i] = total.get(k, 0)
         total[k] = expected[k, i] * 3 + int(x[0])
     assert found == expected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_stretches_are_spaces_and_a_run_of_one_class(vocabulary, seed):
+    text = prepared(noise(seed, 3000) + "".join(TEXTS))
+    kind = {c: int(vocabulary.classes[ord(c)]) for c in text}
+    expected, last = [], None
+    for c in text:
+        if last is None or (last != 0 and kind[c] != last):
+            expected.append("")
+        expected[-1] += c
+        last = kind[c]
+    assert vocabulary.words(text) == expected and vocabulary.words("") == []
+    assert {0, 1, 2} <= set(kind.values())
+
+
+def test_texts_are_decoded_where_they_are_encoded(spark):
+    """Ids of short texts don't go to a second Python process; rows are those of `decode`."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, noise(5, 700)])] + [(None, None)], "doc_id long, text string")
+    shape = Shape(chunk=300)
+    found = piece_scan.encode(docs, PATH, shape, decoded=True)
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    rows = found.collect()
+    assert order(rows) == order(piece_scan.decode(piece_scan.encode(docs, PATH, shape), PATH).collect())
+    assert order((r.doc_id, r.text) for r in rows) == order((r.doc_id, r.text or "") for r in docs.collect())
+    short = piece_scan.encode(docs.where("length(text) < 300"), PATH, shape, decoded=True)._jdf.queryExecution().executedPlan().toString()
+    assert short.split("Union")[-1].split("Exchange")[0].count("MapInArrow") == 1
