@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -136,11 +137,14 @@ def partial_sums(frame: DataFrame, shape: Shape) -> DataFrame:
     return texts.mapInArrow(run, "part int, size int, places binary, sums binary")
 
 
-def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
-    """Per bucket the sum of its neighbours' index vectors over all texts: bucket, v0, v1, ..."""
+def context_sums(frame: DataFrame, shape: Shape, then: Callable | None = None, schema: str | None = None) -> DataFrame:
+    """Per bucket the sum of its neighbours' index vectors over all texts: bucket, v0, v1, ...
+
+    `then` makes batches of `schema` of them in the same process.
+    """
     names = [f"v{i}" for i in range(shape.width)]
 
-    def run(batches):
+    def sums(batches):
         # The sums of the ranges that came to this task: bounded by the buckets, whatever the number of rows.
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -155,9 +159,12 @@ def context_sums(frame: DataFrame, shape: Shape) -> DataFrame:
             columns = np.ascontiguousarray(total[met].T)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in ((met + part * RANGE).astype(np.int32), *columns)], names=["bucket", *names])
+
+    def run(batches):
+        yield from then(sums(batches)) if then else sums(batches)
         give_back()
 
-    return partial_sums(frame, shape).repartition("part").mapInArrow(run, "bucket int, " + ", ".join(f"{n} long" for n in names))
+    return partial_sums(frame, shape).repartition("part").mapInArrow(run, schema or "bucket int, " + ", ".join(f"{n} long" for n in names))
 
 
 def word_vectors(frame: DataFrame, shape: Shape) -> np.ndarray:
@@ -175,7 +182,7 @@ def word_vectors(frame: DataFrame, shape: Shape) -> np.ndarray:
         own = index_vectors(np.arange(at, min(at + (1 << 16), shape.buckets)), shape)
         out[at:at + len(own)] = _mixed(np.zeros(own.shape, np.float32), own)
     # A run at a time, so that the driver holds the vectors once.
-    for row in context_sums(frame, shape).mapInArrow(run, "ids binary, vectors binary").toLocalIterator(prefetchPartitions=True):
+    for row in context_sums(frame, shape, run, "ids binary, vectors binary").toLocalIterator(prefetchPartitions=True):
         out[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row.vectors, np.int8).reshape(-1, shape.width)
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import ctypes.util
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -129,16 +129,18 @@ def give_back() -> None:
 def text_column(function: Callable[[list[str]], np.ndarray], text: str = "text") -> Column:
     """A double for each text by `function`, which gets runs of texts; a null text comes as empty."""
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        values, out, at = texts.tolist(), [], 0
-        while at < len(values):
-            end, held = at, 0
-            while end < len(values) and (end == at or held + len(values[end]) <= BATCH_BYTES):
-                held += len(values[end])
-                end += 1
-            out.append(np.asarray(function(values[at:end]), float))
-            at = end
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    def run(runs: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in runs:
+            values, out, at = texts.tolist(), [], 0
+            while at < len(values):
+                end, held = at, 0
+                while end < len(values) and (end == at or held + len(values[end]) <= BATCH_BYTES):
+                    held += len(values[end])
+                    end += 1
+                out.append(np.asarray(function(values[at:end]), float))
+                at = end
+            yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        give_back()
 
     return run(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
