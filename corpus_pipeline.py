@@ -24,9 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labels = table(spark, sf_dir, "labels").where(~split_of("doc_id", 5, 0))
     model = quality.fit(docs, labels)
     # Written, so that the word vectors needn't stay in executors and driver for the stages behind.
-    sent = spark.sparkContext.broadcast(model)
-    out = stored(docs.where(quality.score_column(spark, model, sent) >= THRESHOLD), "quality-docs")
-    sent.destroy()
+    out = stored(docs.where(quality.score_column(spark, model) >= THRESHOLD), "quality-docs")
+    model.sent.destroy()
     return out
 
 

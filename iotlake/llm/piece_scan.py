@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import give_back, list_array, map_texts, plain, stored
+from iotlake.llm.tables import give_back, kept, list_array, map_texts, plain, stored
 
 SPACE = "\u2581"
 #: Stands for a U+2581 of the text while it is encoded; no text has a lone surrogate.
@@ -398,14 +398,11 @@ class Vocabulary:
 
 #: A non-space before a space.
 _CUT = re.compile(f"[^{SPACE}](?={SPACE})")
-_LOADED: dict[str, Vocabulary] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
-    """One per task process."""
-    if path not in _LOADED:
-        _LOADED[path] = Vocabulary(path)
-    return _LOADED[path]
+    """One per task process, until that serves another operator."""
+    return kept(("pieces", path), lambda: Vocabulary(path))
 
 
 _CONTENT: dict[str, pa.Array] = {}

@@ -29,13 +29,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import give_back, hash_sample, list_array, map_texts, plain, text_column
+from iotlake.llm.tables import give_back, hash_sample, kept, list_array, map_texts, plain, text_column
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Unit vectors kept at hand per task.
 MEMO = 50_000
 #: Tokens that a task sums at once.
 RUN = 1 << 18
+#: Vectors that are summed at once.
+ROWS = 1 << 14
 #: Buckets whose sums travel together.
 RANGE = 1 << 12
 
@@ -89,7 +91,13 @@ def _sums(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """The ids that occur, ascending, and the sums of each one's vectors."""
     order = np.argsort(ids, kind="stable")
     used, starts = np.unique(ids[order], return_index=True)
-    return used, np.add.reduceat(vectors[order], starts, axis=0, dtype=np.int64)
+    total = np.zeros((len(used), vectors.shape[1]), np.int64)
+    # Some rows at a time, as numpy copies what it adds up in the wider type.
+    for at in range(0, len(ids), ROWS):
+        end = min(at + ROWS, len(ids))
+        first, last = np.searchsorted(starts, at, side="right") - 1, np.searchsorted(starts, end)
+        total[first:last] += np.add.reduceat(vectors[order[at:end]], np.maximum(starts[first:last], at) - at, axis=0, dtype=np.int64)
+    return used, total
 
 
 def partial_sums(frame: DataFrame, shape: Shape) -> DataFrame:
@@ -98,7 +106,7 @@ def partial_sums(frame: DataFrame, shape: Shape) -> DataFrame:
     texts = frame.select(F.coalesce(F.col("text"), F.lit("")).alias("t"))
 
     def run(batches):
-        units = Units(shape.buckets)
+        units = kept(("quality units", shape.buckets), lambda: Units(shape.buckets))
         gap, held = [0] * shape.reach, []
 
         def sums():
@@ -109,6 +117,7 @@ def partial_sums(frame: DataFrame, shape: Shape) -> DataFrame:
                 near[step:] += vectors[:-step]
                 near[:-step] += vectors[step:]
             used, total = _sums(ids, near)
+            del vectors, near
             keep = (used > 0) & total.any(axis=1)
             used, total = used[keep], total[keep]
             wide = np.abs(total).max(axis=1, initial=0) > 127
@@ -286,6 +295,8 @@ def fit_network(x: np.ndarray, y: np.ndarray, shape: Shape) -> Network:
 class QualityModel:
     vectors: np.ndarray
     network: Network
+    #: The vectors as `fit` has sent them to the tasks, for scoring to use the same copy.
+    sent: Broadcast | None = None
 
 
 def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
@@ -299,28 +310,28 @@ def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> QualityMo
     """Vectors from all `docs`, the network from at most shape.fit_rows labelled ones (doc_id, quality)."""
     docs = plain(docs, "doc_id", "text")
     vectors = word_vectors(docs, shape)
+    sent = docs.sparkSession.sparkContext.broadcast(vectors)
     # At most shape.fit_rows pairs of numbers, so the broadcast is bounded.
     sample = F.broadcast(labelled_sample(labels, "quality", shape.fit_rows))
     texts = docs.join(sample, docs.doc_id == sample.id).select(
         F.struct("doc_id", "y").alias("key"), "text")
 
     def rows(keys, values):
-        x = features(values, vectors, Units(shape.buckets))
+        x = features(values, sent.value, kept(("quality units", shape.buckets), lambda: Units(shape.buckets)))
         return {"doc_id": [k["doc_id"] for k in keys], "y": [k["y"] for k in keys],
                 "x": list_array(x.ravel(), np.full(len(x), x.shape[1]), pa.float64())}
 
     found = map_texts(texts, rows, "doc_id long, y int, x array<double>", key="key").orderBy("doc_id").collect()
     x = np.array([r.x for r in found]) if found else np.zeros((0, vectors.shape[1] + 3))
-    return QualityModel(vectors, fit_network(x, np.array([r.y for r in found], float), shape))
+    return QualityModel(vectors, fit_network(x, np.array([r.y for r in found], float), shape), sent)
 
 
-def score_column(spark: SparkSession, model: QualityModel, sent: Broadcast | None = None) -> Column:
-    """The score (0 to 1, higher: label 1 likelier) of the column `text`; `sent` is the model, if the caller has broadcast it."""
-    sent = sent or spark.sparkContext.broadcast(model)
-    units = Units(len(model.vectors))
+def score_column(spark: SparkSession, model: QualityModel) -> Column:
+    """The score (0 to 1, higher: label 1 likelier) of the column `text`."""
+    sent, network, buckets = model.sent or spark.sparkContext.broadcast(model.vectors), model.network, len(model.vectors)
 
     def run(texts):
-        return sent.value.network.probability(features(texts, sent.value.vectors, units))
+        return network.probability(features(texts, sent.value, kept(("quality units", buckets), lambda: Units(buckets))))
 
     return text_column(run)
 

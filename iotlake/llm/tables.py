@@ -117,6 +117,20 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What `make` gives, kept in this process from task to task until a task asks for something else.
+
+    Python workers serve one operator after another, and what each has learned would add up.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def give_back() -> None:
     """Returns freed memory to the machine at the end of a task, as Python workers live on from task to task."""
     pa.default_memory_pool().release_unused()

@@ -1,12 +1,14 @@
 """Quality and toxicity: held-out accuracy, the risk's correction, odd rows."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from iotlake.llm import quality, toxicity
 from iotlake.llm.queries import op1_toxicity, op9_quality
-from iotlake.llm.tables import split_of
+from iotlake.llm.tables import kept, split_of
 
 SF = "/root/testdata/sf0.01"
 ODD = [(None, "x y"), (1, None), (2, ""), (3, "same text"), (3, "same text"), (4, "word " * 50_000)]
@@ -108,3 +110,32 @@ def test_words_that_differ_after_the_third_letter_differ(spark):
     one, two = quality.features(texts, vectors, quality.Units(len(vectors)))
     assert np.abs(one - two)[:vectors.shape[1]].max() > 0.1
     assert np.abs(np.linalg.norm(vectors[1:] / 127, axis=1) - 1).max() < 0.05
+
+
+def test_sums_of_a_run_hold_no_wide_copy():
+    rng = np.random.default_rng(3)
+    ids, vectors = rng.integers(0, 50, 1 << 17), rng.integers(-4, 5, (1 << 17, 32)).astype(np.int8)
+    tracemalloc.start()
+    used, total = quality._sums(ids, vectors)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # In the wide type the vectors take 32 MB.
+    assert most < 16 << 20
+    for i, row in zip(used, total, strict=True):
+        assert (row == vectors[ids == i].sum(axis=0, dtype=int)).all()
+
+
+def test_a_process_keeps_what_one_operator_needs():
+    one = kept("one", list)
+    assert kept("one", list) is one
+    two = kept("two", list)
+    assert kept("two", list) is two and kept("one", list) is not one
+
+
+def test_word_vectors_are_sent_once(spark, monkeypatch):
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string")
+    model = quality.fit(docs, labels(spark, [(i, i % 2, 0) for i in range(20)]), FEW)
+    assert quality.score(docs, model).count() == 20 and len(quality.score(docs, model).collect()) == 20
+    assert [x.shape for x in sent if isinstance(x, np.ndarray)] == [(FEW.buckets, FEW.width)] and len(sent) == 1
