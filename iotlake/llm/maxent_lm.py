@@ -43,6 +43,8 @@ _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 UNIT = 2.0 ** -20
 #: Weights in a row of what the tasks send.
 BLOCK = 16
+#: A row of weights that so many tokens of a batch touch is summed on its own.
+OFTEN = 16
 
 
 @dataclass(frozen=True)
@@ -196,7 +198,7 @@ class Reader:
         kind, own = self.class_of[number], self.hash_of[number]
         others = np.flatnonzero(number == -1)
         words = [flat[i] for i in others.tolist()]
-        kind[others] = 1 + self.shape.head + np.fromiter((crc32(w[-2:]) for w in words), np.int64, len(words)) % self.shape.tail
+        kind[others] = 1 + self.shape.head + np.array([crc32(w[-2:]) for w in words], np.int64) % self.shape.tail
         own[others] = np.fromiter(map(crc32, words), np.uint32, len(words))
         one, two = np.zeros(len(flat), np.uint32), np.zeros(len(flat), np.uint32)
         one[1:], two[2:] = own[:-1], own[:-2]
@@ -215,43 +217,71 @@ def context(one: np.ndarray, two: np.ndarray, bits: int, more: np.ndarray | None
     return [_mixed(x, by, bits) for x, by in zip(found, (0x2C1B3C6D, 0x297A2D39, 0x7FEB352D))]
 
 
-def _scores(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
-    """Logits, less the largest of each row."""
+def _logits(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
     z = weights.take(buckets[0], axis=0, mode="clip")
     for b in buckets[1:]:
         z += weights.take(b, axis=0, mode="clip")
     z += bias
-    z -= z.max(axis=1, keepdims=True)
     return z
 
 
+def _exponents(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What was taken off each row of the logits, exp of the rest, and its sums. Only rows whose sum float32 can't hold well need their
+    largest logit taken off, which costs as much as all else."""
+    off, ones = np.zeros(len(z), np.float32), np.ones(z.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        total = e @ ones
+    far = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
+    if len(far):
+        off[far] = z[far].max(axis=1)
+        e[far] = np.exp(z[far] - off[far, None])
+        total[far] = e[far] @ ones
+    return off, e, total
+
+
 def _softmax(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray]) -> np.ndarray:
-    z = _scores(bias, weights, buckets)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+    _, e, total = _exponents(_logits(bias, weights, buckets))
+    e /= total[:, None]
+    return e
 
 
 def _log_share(bias: np.ndarray, weights: np.ndarray, buckets: list[np.ndarray], of: np.ndarray) -> np.ndarray:
     """log10 of the softmax at one place of each row."""
-    z = _scores(bias, weights, buckets)
-    own = z[np.arange(len(z)), of].astype(np.float64)
-    np.exp(z, out=z)
-    return (own - np.log(z.sum(axis=1, dtype=np.float64))) / np.log(10)
+    z = _logits(bias, weights, buckets)
+    off, _, total = _exponents(z)
+    own = z[np.arange(len(z)), of].astype(np.float64) - off
+    return (own - np.log(total, dtype=np.float64)) / np.log(10)
+
+
+def _row_sums(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur, and the sums of each one's gradients."""
+    order = np.argsort(rows, kind="stable")
+    rows, grad = rows[order], grad.take(order, axis=0, mode="clip")
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    by = np.argsort(-sizes, kind="stable")
+    starts, sizes = starts[by], sizes[by]
+    total = grad.take(starts, axis=0, mode="clip")
+    often = int(np.searchsorted(-sizes, -OFTEN, side="right"))
+    for i in range(often):
+        total[i] = grad[starts[i]:starts[i] + sizes[i]].sum(axis=0, dtype=np.float64)
+    # Of all others together the second gradient, then the third, and so on.
+    for k in range(1, OFTEN):
+        end = int(np.searchsorted(-sizes, -k))
+        if end <= often:
+            break
+        total[often:end] += grad.take(starts[often:end] + k, axis=0, mode="clip")
+    return rows[starts], total
 
 
 def _step(weights: np.ndarray, history: np.ndarray, buckets: list[np.ndarray], grad: np.ndarray, rate: float) -> None:
     """An AdaGrad step of the touched rows; `history` has a number for each row."""
-    columns = np.ascontiguousarray(grad.T, np.float64)
-    place = np.empty(len(weights), np.intp)
     for b in buckets:
-        used = np.flatnonzero(np.bincount(b, minlength=len(weights)))
-        place[used] = np.arange(len(used))
-        at = place[b]
-        # Sums over the tokens of each row, a column at a time.
-        total = np.stack([np.bincount(at, c, len(used)) for c in columns], axis=1).astype(np.float32)
+        used, total = _row_sums(b, grad)
         history[used] += np.einsum("ij,ij->i", total, total)
-        weights[used] -= total * (rate / np.sqrt(history[used] + 1.0))[:, None]
+        total *= (rate / np.sqrt(history[used] + 1.0))[:, None]
+        weights[used] = weights.take(used, axis=0, mode="clip") - total
 
 
 def _runs(model: Model, t: Tokens):

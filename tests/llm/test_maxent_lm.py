@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 from math import log10
+from time import process_time
 from zlib import crc32
 
 import numpy as np
@@ -127,3 +128,36 @@ def test_most_frequent(spark):
     counts = spark.createDataFrame(rows, "word string, c long")
     for n in (0, 1, 40, 500):
         assert [(r.word, r.c) for r in lm.most_frequent(counts, n)] == sorted(rows, key=lambda r: (-r[1], r[0]))[:n]
+
+
+def test_gradients_are_summed_by_row_faster_than_by_column():
+    rng = np.random.default_rng(5)
+    rows, grad = (rng.zipf(1.4, 1 << 14) % (1 << 14)).astype(np.uint16), rng.normal(size=(1 << 14, 32)).astype(np.float32)
+    columns = np.ascontiguousarray(grad.T, np.float64)
+
+    def by_column():
+        return np.stack([np.bincount(rows, c, 1 << 14) for c in columns], axis=1)
+
+    def seconds(run):
+        found = []
+        for _ in range(7):
+            began = process_time()
+            run()
+            found.append(process_time() - began)
+        return min(found)
+
+    used, total = lm._row_sums(rows, grad)
+    assert sorted(used.tolist()) == np.unique(rows).tolist()
+    assert total == pytest.approx(by_column()[used], abs=1e-3)
+    assert seconds(lambda: lm._row_sums(rows, grad)) < seconds(by_column)
+
+
+def test_softmax_holds_for_logits_beyond_float32():
+    weights = np.array([[0, 0, 0], [5000, 4999, 0], [-5000, -5001, -9000], [200, -200, 0]], np.float32)
+    none, rows = np.zeros(3, np.float32), [np.arange(4, dtype=np.uint16)]
+    z = weights.astype(np.float64)
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    assert lm._softmax(none, weights, rows) == pytest.approx(p, abs=1e-6)
+    logs = (z[:, 1] - z.max(axis=1) - np.log(np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1))) / np.log(10)
+    assert lm._log_share(none, weights, rows, np.ones(4, int)) == pytest.approx(logs, rel=1e-6)
