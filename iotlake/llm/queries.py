@@ -64,7 +64,7 @@ def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Fixed value: how the byte-level tokenizers split a text before they merge.
-BYTE_LEVEL = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+BYTE_LEVEL = range_coder.BYTE_LEVEL
 
 
 def op6_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:

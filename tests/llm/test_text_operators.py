@@ -99,6 +99,36 @@ def test_files_give_every_documents_ids(spark):
         start += len(ids)
 
 
+def test_coding_takes_a_few_steps_an_id():
+    import time
+
+    rng = np.random.default_rng(3)
+    words = [rng.integers(0, 50_257, rng.integers(1, 6)) for _ in range(400)]
+    blocks = [np.concatenate([words[int(i)] for i in rng.zipf(1.3, 900) % 400])[:n] for n in rng.integers(900, 1_100, 300)]
+    begun = time.process_time()
+    payloads = range_coder.encode_blocks(blocks, 2_048)
+    decoded = range_coder.decode_blocks(payloads, [len(b) for b in blocks], 2_048)
+    taken = time.process_time() - begun
+    assert all((x == y).all() for x, y in zip(decoded, blocks, strict=True))
+    ids = sum(map(len, blocks))
+    assert taken < 10e-6 * ids and sum(map(len, payloads)) < 1.2 * ids
+
+
+def test_cuts_and_what_is_kept_dont_change_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    some = [" ", "  ", "\n", " \n", "\n ", "\u00a0", "\u3000", "\u0085", "\x1c", "\x0b", "\u200b", "a", "the", "don't", "'ll", "'", "12", "é", "日本", "😀",
+            "<|endoftext|>", "<|endoftext", "...", "\t", "\r\n", "ſ", "\x7f", "\x00", "x" * 80, "²"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(25))) for _ in range(1_500)]
+    expected = [e.ids for e in Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)]
+    for memo in (range_coder.MEMO, 50):
+        monkeypatch.setattr(range_coder, "MEMO", memo)
+        made = range_coder.Tokens(BPE, BYTE_LEVEL)
+        assert [f.tolist() for at in range(0, 1_500, 70) for f in made.of(texts[at:at + 70])] == expected
+        assert len(made.memo) <= memo + 4_096
+
+
 def test_wide_ids_are_refused_when_they_are_written():
     import numpy as np
 
