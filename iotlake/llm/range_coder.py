@@ -33,20 +33,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from iotlake.llm.tables import plain, stored, prepare
+from iotlake.llm.tables import give_back, plain, stored, prepare
 
 MAGIC = b"IDB2"
 _HEAD = struct.Struct("<4s6I2Q")
 #: Texts' parts kept at hand with their ids.
-MEMO = 800_000
+MEMO = 600_000
 
 
 @dataclass(frozen=True)
 class Shape:
     #: Ids of a block.
-    block: int = 8_192
-    #: Blocks coded in step.
-    lanes: int = 768
+    block: int = 4_096
+    #: Blocks coded in step; a quarter more at the end of a part, as a few take almost as long.
+    lanes: int = 1_536
     #: Contexts of order 1, and of order 2, a power of two.
     slots: int = 1 << 11
 
@@ -305,10 +305,12 @@ def encode_blocks(blocks: list[np.ndarray], slots: int) -> list[bytes]:
     if wide:
         raise ValueError(f"ids have 16 bits, not {max(wide)}")
     order, sizes, lanes, longest = _laid_out([len(b) for b in blocks])
-    ids = np.zeros((lanes, longest), np.uint16)
-    for k, i in enumerate(order):
-        ids[k, : sizes[k]] = blocks[i]
-    steps = np.ascontiguousarray(ids.T)
+    steps = np.zeros((longest, lanes), np.uint16)
+    for at in range(0, lanes, 64):  # by columns of some blocks, as memory is in rows
+        some = np.zeros((min(64, lanes - at), longest), np.uint16)
+        for row, i in zip(some, order[at:at + 64], strict=True):
+            row[: len(blocks[i])] = blocks[i]
+        steps[:, at:at + 64] = some.T
     mixer = Mixer(lanes, longest, slots, steps)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
     # Words of 32 bits; what is beyond is carried to the one before at the end.
@@ -342,8 +344,10 @@ def encode_blocks(blocks: list[np.ndarray], slots: int) -> list[bytes]:
     for t, n in enumerate(_active(sizes, longest)):
         if t in looks:
             mixer.look_back(n, t)
-            for k in range(n):
-                spans[k, t + 1: looks[t] + 1] = mixer.look_up(k, ids[k, t: looks[t]])
+            for at in range(0, n, 64):
+                some = np.ascontiguousarray(steps[t: looks[t], at:min(at + 64, n)].T)
+                for k, row in enumerate(some, at):
+                    spans[k, t + 1: looks[t] + 1] = mixer.look_up(k, row)
         now = steps[t, :n].astype(np.int64)
         mixer.distribution(n)
         first, size = mixer.find(now, spans[:n, t + 1])
@@ -475,8 +479,8 @@ class BlockWriter:
             at += n
             if self.held == self.shape.block:
                 self._close()
-                if len(self.waiting) >= self.shape.lanes:
-                    yield from self.flush()
+                if 4 * len(self.waiting) > 5 * self.shape.lanes:
+                    yield from self.flush(self.shape.lanes)
         self.docs += 1
 
     def _close(self) -> None:
@@ -485,18 +489,18 @@ class BlockWriter:
             self.first += self.held
             self.ids, self.held, self.pieces = [], 0, []
 
-    def flush(self):
-        """(seq, block) of what is waiting."""
-        payloads = encode_blocks([w[0] for w in self.waiting], self.shape.slots)
-        for (ids, pieces, first, number), payload in zip(self.waiting, payloads, strict=True):
+    def flush(self, n: int):
+        """(seq, block) of the first n that wait."""
+        some, self.waiting = self.waiting[:n], self.waiting[n:]
+        payloads = encode_blocks([w[0] for w in some], self.shape.slots)
+        for (ids, pieces, first, number), payload in zip(some, payloads, strict=True):
             yield self.seq, pack(ids, payload, pieces, first, number, self.shape.slots)
             self.seq += 1
-        self.waiting = []
 
     def end(self):
         self._close()
         if self.waiting:
-            yield from self.flush()
+            yield from self.flush(len(self.waiting))
 
 
 # Tokens
@@ -679,9 +683,10 @@ def write_ids(
                 some = batch.slice(at, 512)
                 part = some.column(2)[0].as_py()
                 for doc_id, ids in zip(some.column(0).to_pylist(), made.of_column(some.column(1)), strict=True):
-                    yield from rows_of(writer.add(doc_id, np.append(ids, end_id)))
+                    yield from rows_of(writer.add(doc_id, np.append(ids, ids.dtype.type(end_id))))
         if part is not None:
             yield from rows_of(writer.end())
+        give_back()
 
     return stored(ordered.mapInArrow(run, "part int, seq long, block binary"), "token-ids")
 
@@ -729,14 +734,15 @@ def read_pieces(files: DataFrame, lanes: int = Shape.lanes) -> DataFrame:
     def run(batches):
         waiting = []
 
-        def flush():
-            heads = [unpack(b) for _, _, b in waiting]
+        def flush(n):
+            some, waiting[:] = waiting[:n], waiting[n:]
+            heads = [unpack(b) for _, _, b in some]
             decoded: list = [None] * len(heads)
             for slots in {h[4] for h in heads}:
-                some = [i for i, h in enumerate(heads) if h[4] == slots]
-                for i, ids in zip(some, decode_blocks([heads[i][0] for i in some], [heads[i][1] for i in some], slots), strict=True):
+                alike = [i for i, h in enumerate(heads) if h[4] == slots]
+                for i, ids in zip(alike, decode_blocks([heads[i][0] for i in alike], [heads[i][1] for i in alike], slots), strict=True):
                     decoded[i] = ids
-            for (part, seq, _), (_, n_ids, ids_crc, pieces, _, first, number), ids in zip(waiting, heads, decoded, strict=True):
+            for (part, seq, _), (_, n_ids, ids_crc, pieces, _, first, number), ids in zip(some, heads, decoded, strict=True):
                 data = ids.astype("<u4").tobytes()
                 if len(ids) != n_ids or crc32(data) != ids_crc:
                     raise ValueError("block of ids decoded to something else")
@@ -749,15 +755,15 @@ def read_pieces(files: DataFrame, lanes: int = Shape.lanes) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (
                         pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
                     names=names)
-            waiting.clear()
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 waiting.append(row)
-                if len(waiting) >= lanes:
-                    yield from flush()
+                if 4 * len(waiting) > 5 * lanes:
+                    yield from flush(lanes)
         if waiting:
-            yield from flush()
+            yield from flush(len(waiting))
+        give_back()
 
     return files.select("part", "seq", "block").mapInArrow(
         run, "part int, number long, seq long, doc_id long, first long, n long, crc long, ids binary")
